@@ -1,0 +1,5 @@
+"""No streaming operators: every input of this engine is a complete snapshot.
+
+Monday weeks and trailing 90-day windows are calendar columns computed in batch
+(``tallywright.functions.calendar``); there is no watermark or keyed state.
+"""
