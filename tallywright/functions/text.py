@@ -122,3 +122,13 @@ def safe_ratio(num: Column, den: Column) -> Column:
 
 def safe_pct(num: Column, den: Column) -> Column:
     return F.lit(100.0) * num.cast("double") / F.when(den.cast("double") != 0, den.cast("double"))
+
+
+def round_to(c: Column | str, digits: int = 2) -> Column:
+    """Round half away from zero, as on decimals.
+
+    The value is first read as a decimal with ten places, so a double that stands for
+    x.xx5 but lies a bit below it rounds up.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("decimal(30,10)"), digits).cast("double")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywright.functions.text import safe_pct
+from tallywright.functions.text import round_to, safe_pct
 
 
 def count_by(df: DataFrame, keys: Sequence[str], n: str = "job_count", weight: str | None = None) -> DataFrame:
@@ -37,7 +37,7 @@ def share(
     if total is None:
         total = F.sum(n).over(Window.partitionBy(*by)) if by else total_of(df, n)
     pct = safe_pct(F.col(n), total)
-    return df.withColumn(name, pct if digits is None else F.round(pct, digits))
+    return df.withColumn(name, pct if digits is None else round_to(pct, digits))
 
 
 def cumulative(df: DataFrame, x: str, order: Sequence[Column], name: str) -> DataFrame:

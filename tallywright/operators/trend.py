@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.text import safe_pct
+from tallywright.functions.text import round_to, safe_pct
 
 
 def weekly_counts(jobs: DataFrame, week: str = "week_start", n: str = "weekly_jobs") -> DataFrame:
@@ -22,7 +22,7 @@ def change_vs_prior(df: DataFrame, n: str, order: str) -> DataFrame:
     step = F.col(n) - F.col("prior_week_jobs")
     return out.withColumns({
         "absolute_change": step,
-        "week_over_week_pct": F.round(safe_pct(step, F.col("prior_week_jobs")), 2),
+        "week_over_week_pct": round_to(safe_pct(step, F.col("prior_week_jobs")), 2),
     })
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallywright.functions import fixed
 from tallywright.functions.calendar import period_label
 from tallywright.functions.labels import label_order
-from tallywright.functions.text import safe_pct, source_family, source_provider
+from tallywright.functions.text import round_to, safe_pct, source_family, source_provider
 from tallywright.operators.pairs import pair_counts
 from tallywright.operators.shares import (
     count_by, cumulative, demand_rank, reindex, row_total, share, top_k, total_of,
@@ -35,7 +35,7 @@ def overview(jobs: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
 
     def coverage(flag: Column) -> Column:
-        return F.round(safe_pct(F.count_if(flag), n), 2)
+        return round_to(safe_pct(F.count_if(flag), n), 2)
 
     labeled = F.col("experience_min_years").isNotNull()
     return jobs.agg(
@@ -93,7 +93,7 @@ def role_demand(jobs: DataFrame, role: str = "role_family", digits: int | None =
     shared = share(counts, "job_count", "market_share_pct", total=row_total(jobs), digits=None)
     ran = cumulative(shared, "market_share_pct", [F.desc("job_count"), F.asc(role)], "cumulative_market_share_pct")
     if digits is not None:
-        ran = ran.withColumns({c: F.round(c, digits) for c in ("market_share_pct", "cumulative_market_share_pct")})
+        ran = ran.withColumns({c: round_to(c, digits) for c in ("market_share_pct", "cumulative_market_share_pct")})
     return demand_rank(ran, "job_count", bounded=True).orderBy(F.desc("job_count"), role)
 
 
@@ -158,7 +158,7 @@ def employer_concentration(
     else:
         total, name = (total_of(jobs, weight) if weight else row_total(jobs)), "all_job_count"
     out = top.agg(F.sum("job_count").alias(f"top_{k}_job_count")).withColumn(name, total)
-    return out.withColumn(f"top_{k}_employer_share_pct", F.round(safe_pct(F.col(f"top_{k}_job_count"), F.col(name)), 2))
+    return out.withColumn(f"top_{k}_employer_share_pct", round_to(safe_pct(F.col(f"top_{k}_job_count"), F.col(name)), 2))
 
 
 def city_employers(jobs: DataFrame) -> DataFrame:
@@ -205,8 +205,8 @@ def band_reindexed(jobs: DataFrame) -> DataFrame:
     labelled = F.col("experience_band") != fixed.NOT_SPECIFIED
     named = jobs.where(F.coalesce("experience_band", F.lit(fixed.NOT_SPECIFIED)) != fixed.NOT_SPECIFIED)
     return full.withColumns({
-        "pct_of_all_jobs": F.round(safe_pct(F.col("job_count"), row_total(jobs)), 2),
-        "pct_of_labeled_jobs": F.when(labelled, F.round(safe_pct(F.col("job_count"), row_total(named)), 2)),
+        "pct_of_all_jobs": round_to(safe_pct(F.col("job_count"), row_total(jobs)), 2),
+        "pct_of_labeled_jobs": F.when(labelled, round_to(safe_pct(F.col("job_count"), row_total(named)), 2)),
     }).orderBy("label_order")
 
 
@@ -224,8 +224,8 @@ def tag_counts(bridge: DataFrame) -> DataFrame:
 def tag_demand(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
     tagged = row_total(bridge.select("job_id").distinct())
     out = tag_counts(bridge).withColumns({
-        "share_of_all_jobs_pct": F.round(safe_pct(F.col("job_count"), row_total(jobs)), 2),
-        "share_of_skill_tagged_jobs_pct": F.round(safe_pct(F.col("job_count"), tagged), 2),
+        "share_of_all_jobs_pct": round_to(safe_pct(F.col("job_count"), row_total(jobs)), 2),
+        "share_of_skill_tagged_jobs_pct": round_to(safe_pct(F.col("job_count"), tagged), 2),
     })
     return demand_rank(out, "job_count", "skill_demand_rank", bounded=True).orderBy(F.desc("job_count"), "skill")
 
@@ -253,7 +253,7 @@ def tag_pair_rate(bridge: DataFrame, k: int | None = 50) -> DataFrame:
     pairs = pair_counts(bridge, ordered=True, n="pair_jobs")
     singles = bridge.groupBy(F.col("skill").alias("skill_1")).agg(F.count(F.lit(1)).alias("skill_1_jobs"))
     out = pairs.join(singles, "skill_1").withColumn(
-        "cooccurrence_rate_pct", F.round(safe_pct(F.col("pair_jobs"), F.col("skill_1_jobs")), 2)
+        "cooccurrence_rate_pct", round_to(safe_pct(F.col("pair_jobs"), F.col("skill_1_jobs")), 2)
     ).orderBy(F.desc("pair_jobs"), "skill_1", "skill_2")
     return out if k is None else out.limit(k)
 
@@ -307,7 +307,7 @@ def tag_period_mix(jobs: DataFrame, bridge: DataFrame, digits: int | None = 2) -
     """Tag shares of all entities of each period, long form."""
     joined = tag_period_counts(jobs, bridge).join(period_totals(jobs), "market_period")
     pct = safe_pct(F.col("skill_jobs"), F.col("period_jobs"))
-    return joined.withColumn("skill_share_pct", pct if digits is None else F.round(pct, digits)).orderBy(
+    return joined.withColumn("skill_share_pct", pct if digits is None else round_to(pct, digits)).orderBy(
         "skill", "market_period"
     )
 

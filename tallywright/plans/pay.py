@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.text import safe_pct
+from tallywright.functions.text import round_to, safe_pct
 from tallywright.operators.quantiles import group_stats
 from tallywright.operators.sets import has_tag
 from tallywright.plans.demand import specific_city
@@ -21,7 +21,7 @@ def eligible(jobs: DataFrame) -> DataFrame:
 
 
 def _rounded(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.round(c, 2) for c in names})
+    return df.withColumns({c: round_to(c, 2) for c in names})
 
 
 def value_distribution(jobs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
 from tallywright.functions.calendar import recent_flag
-from tallywright.functions.text import lakh_text, safe_pct
+from tallywright.functions.text import lakh_text, round_to, safe_pct
 from tallywright.operators.bootstrap import bootstrap_diff
 from tallywright.operators.names import ascii_key
 from tallywright.operators.quality import (
@@ -31,9 +31,9 @@ def overview_metrics(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
     return _metrics(jobs.agg(
         n.alias("analytical_vacancies"),
         *[F.count_if(f).alias(f"{f}_jobs") for f in flags],
-        *[F.round(safe_pct(F.count_if(f), n), 2).alias(f"{f}_pct") for f in flags],
+        *[round_to(safe_pct(F.count_if(f), n), 2).alias(f"{f}_pct") for f in flags],
         F.count("experience_min_years").alias("experience_labeled_jobs"),
-        F.round(safe_pct(F.count("experience_min_years"), n), 2).alias("experience_labeled_pct"),
+        round_to(safe_pct(F.count("experience_min_years"), n), 2).alias("experience_labeled_pct"),
         F.count_if("is_recent_90d").alias("recent_90d_jobs"),
         F.count_if("is_complete_week").alias("complete_week_jobs"),
     ).select(
@@ -47,7 +47,7 @@ def run_metrics(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
     status = F.col("salary_normalization_status")
 
     def coverage(flag: Column) -> Column:
-        return F.round(safe_pct(F.count_if(flag), n), 2)
+        return round_to(safe_pct(F.count_if(flag), n), 2)
 
     return _metrics(jobs.agg(
         n.alias("processed_job_rows"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.functions.text import round_to
 from tallywright.functions import fixed
 from tallywright.operators.trend import (
     change_vs_prior, dense_weekly_share, rolling_mean, trend_slope, weekly_counts, weekly_tag_share,
@@ -29,7 +30,7 @@ def week_over_week(jobs: DataFrame) -> DataFrame:
 def weekly_tag(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
     rows = weekly_tag_share(jobs, bridge)
     return rows.select(
-        "week_start", "skill", "skill_jobs", "weekly_jobs", F.round("skill_share_pct", 2).alias("weekly_skill_share_pct")
+        "week_start", "skill", "skill_jobs", "weekly_jobs", round_to("skill_share_pct", 2).alias("weekly_skill_share_pct")
     ).orderBy("skill", "week_start")
 
 
@@ -38,8 +39,8 @@ def rolling_tag(jobs: DataFrame, bridge: DataFrame, dense: bool = True, tags=fix
     rows = dense_weekly_share(jobs, bridge, tags) if dense else weekly_tag_share(jobs, bridge)
     rolled = rolling_mean(rows, "skill_share_pct", "skill", "week_start", "rolling_3_week_share_pct")
     return rolled.select(
-        "week_start", "skill", F.round("skill_share_pct", 2).alias("weekly_skill_share_pct"),
-        F.round("rolling_3_week_share_pct", 2).alias("rolling_3_week_share_pct"),
+        "week_start", "skill", round_to("skill_share_pct", 2).alias("weekly_skill_share_pct"),
+        round_to("rolling_3_week_share_pct", 2).alias("rolling_3_week_share_pct"),
     ).orderBy("skill", "week_start")
 
 
@@ -48,7 +49,7 @@ def tag_trend(jobs: DataFrame, bridge: DataFrame, tags=fixed.TRACKED_TAGS, digit
     slopes = trend_slope(dense_weekly_share(jobs, bridge, tags), "skill", "skill_share_pct")
     if digits is not None:
         slopes = slopes.withColumns({
-            c: F.round(c, digits)
+            c: round_to(c, digits)
             for c in ("percentage_point_change_per_week", "min_weekly_share_pct", "max_weekly_share_pct")
         })
     return slopes.orderBy(F.desc("percentage_point_change_per_week"), "skill")

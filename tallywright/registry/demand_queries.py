@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallywright.functions.text import round_to
 from tallywright.operators.sets import with_tag_flag
 from tallywright.plans import demand, kpi, reports
 from tallywright.registry.base_sql import pct, r2, with_ctes
@@ -66,7 +67,7 @@ QUERIES = {
     "tag_pair_rate": _bridge(demand.tag_pair_rate),
     "role_period_mix": _jobs(demand.role_period_mix),
     "role_shift": _jobs(lambda j: demand.role_shift(j).withColumns({
-        c: F.round(c, 6) for c in ("recent_share_pct", "pre_share_pct", "share_change_pp")
+        c: round_to(c, 6) for c in ("recent_share_pct", "pre_share_pct", "share_change_pp")
     })),
     "tag_period_mix": _both(demand.tag_period_mix),
     "period_ranges": _jobs(demand.period_ranges),

@@ -1,2 +1,58 @@
-QUERIES = {}
-ORACLES = {}
+"""Complete-week trends over the order tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallywright.functions.text import round_to
+from tallywright.operators.trend import dense_weekly_share
+from tallywright.plans import trends
+from tallywright.registry.base_sql import pct, r2, with_ctes
+from tallywright.registry.demand_queries import _both, _jobs
+from tallywright.sources import bindings as b
+
+QUERIES = {
+    "weekly_counts": _jobs(trends.weekly),
+    "weekly_employers": _jobs(trends.weekly_employers),
+    "week_over_week": _jobs(trends.week_over_week),
+    "weekly_tag_share": _both(trends.weekly_tag),
+    "rolling_tag_share_sparse": _both(lambda j, t: trends.rolling_tag(j, t, dense=False)),
+    "rolling_tag_share_dense": _both(lambda j, t: trends.rolling_tag(j, t, dense=True, tags=b.BRANDS)),
+    "dense_weekly_share_all": _both(lambda j, t: dense_weekly_share(j, t, None).select(
+        "week_start", "skill", "skill_jobs", "weekly_jobs", "week_index", round_to("skill_share_pct", 2).alias("share_pct"))),
+    "tag_trend_slope": _both(lambda j, t: trends.tag_trend(j, t, b.BRANDS)),
+}
+
+_SQL = {
+    "weekly_counts": "SELECT week_start, weekly_jobs FROM wk",
+    "weekly_employers": """SELECT week_start, count(*) AS weekly_jobs, count(DISTINCT company_key) AS hiring_companies
+        FROM jobs WHERE is_complete_week GROUP BY 1""",
+    "week_over_week": f"""
+        SELECT *, weekly_jobs - prior_week_jobs AS absolute_change,
+               {pct('weekly_jobs - prior_week_jobs', 'prior_week_jobs')} AS week_over_week_pct
+        FROM (SELECT *, lag(weekly_jobs) OVER (ORDER BY week_start) AS prior_week_jobs FROM wk)""",
+    "weekly_tag_share": f"""
+        SELECT week_start, skill, skill_jobs, weekly_jobs, {pct('skill_jobs', 'weekly_jobs')} AS weekly_skill_share_pct
+        FROM wt JOIN wk USING (week_start)""",
+    "rolling_tag_share_sparse": f"""
+        SELECT week_start, skill, {r2('p')} AS weekly_skill_share_pct, {r2('''avg(p) OVER (PARTITION BY skill
+               ORDER BY week_start ROWS 2 PRECEDING)''')} AS rolling_3_week_share_pct
+        FROM (SELECT week_start, skill, 100.0::DOUBLE * skill_jobs / weekly_jobs AS p FROM wt JOIN wk USING (week_start))""",
+    "rolling_tag_share_dense": f"""
+        SELECT week_start, skill, {r2('pct')} AS weekly_skill_share_pct, {r2('''avg(pct) OVER (PARTITION BY skill
+               ORDER BY week_start ROWS 2 PRECEDING)''')} AS rolling_3_week_share_pct FROM grid""",
+    "dense_weekly_share_all": f"""
+        SELECT wk.week_start, t.skill, coalesce(wt.skill_jobs, 0) AS skill_jobs, wk.weekly_jobs,
+               CAST(dense_rank() OVER (ORDER BY wk.week_start) - 1 AS INTEGER) AS week_index,
+               {pct('coalesce(wt.skill_jobs, 0)', 'wk.weekly_jobs')} AS share_pct
+        FROM wk CROSS JOIN (SELECT DISTINCT skill FROM br) t
+        LEFT JOIN wt ON wt.week_start = wk.week_start AND wt.skill = t.skill""",
+    "tag_trend_slope": f"""
+        SELECT skill, count(*) AS complete_weeks, {r2('regr_slope(pct, week_index)', 4)} AS percentage_point_change_per_week,
+               {r2('min(pct)', 4)} AS min_weekly_share_pct, {r2('max(pct)', 4)} AS max_weekly_share_pct,
+               CASE WHEN regr_slope(pct, week_index) IS NULL THEN 'Not Available'
+                    WHEN regr_slope(pct, week_index) > 0.05 THEN 'Upward'
+                    WHEN regr_slope(pct, week_index) < -0.05 THEN 'Downward' ELSE 'Approximately Flat' END AS trend_direction
+        FROM grid GROUP BY 1""",
+}
+ORACLES = {name: with_ctes(sql) for name, sql in _SQL.items()}
