@@ -124,11 +124,16 @@ def safe_pct(num: Column, den: Column) -> Column:
     return F.lit(100.0) * num.cast("double") / F.when(den.cast("double") != 0, den.cast("double"))
 
 
-def round_to(c: Column | str, digits: int = 2) -> Column:
+def round_to(c: Column | str, digits: int = 2, places: int = 10) -> Column:
     """Round half away from zero, as on decimals.
 
-    The value is first read as a decimal with ten places, so a double that stands for
-    x.xx5 but lies a bit below it rounds up.
+    The value is first read as a decimal with ``places`` places, so a double that stands
+    for x.xx5 but lies a bit below it rounds up. Percentages keep ten places; amounts of
+    money, whose doubles are coarser, use ``round_money``.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("decimal(30,10)"), digits).cast("double")
+    return F.round(c.cast(f"decimal(30,{places})"), digits).cast("double")
+
+
+def round_money(c: Column | str, digits: int = 2) -> Column:
+    return round_to(c, digits, places=6)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.text import round_to, safe_pct
+from tallywright.functions.text import round_money, round_to, safe_pct
 from tallywright.operators.quantiles import group_stats
 from tallywright.operators.sets import has_tag
 from tallywright.plans.demand import specific_city
@@ -21,7 +21,7 @@ def eligible(jobs: DataFrame) -> DataFrame:
 
 
 def _rounded(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: round_to(c, 2) for c in names})
+    return df.withColumns({c: round_money(c) for c in names})
 
 
 def value_distribution(jobs: DataFrame) -> DataFrame:
@@ -85,9 +85,8 @@ def value_by_tag(jobs: DataFrame, bridge: DataFrame, min_n: int = fixed.MIN_N_TA
     stats = group_stats(tagged_values(jobs, bridge), ["skill"], VALUE, (0.5,), ("median_salary_inr",),
                         n="salary_n", min_n=min_n, extra=[F.avg(VALUE).alias("mean_salary_inr")])
     gap = safe_pct(F.col("median_salary_inr") - overall, overall)
-    out = stats.withColumn("median_difference_vs_overall_pct", gap)
-    names = ["median_salary_inr", "mean_salary_inr", "median_difference_vs_overall_pct"]
-    return _rounded(out, names).orderBy(F.desc("median_salary_inr"), F.desc("salary_n"), "skill")
+    out = stats.withColumn("median_difference_vs_overall_pct", round_to(gap))
+    return _rounded(out, ["median_salary_inr", "mean_salary_inr"]).orderBy(F.desc("median_salary_inr"), F.desc("salary_n"), "skill")
 
 
 def sample_by_tag(jobs: DataFrame, bridge: DataFrame) -> DataFrame:

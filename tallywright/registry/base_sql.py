@@ -68,9 +68,14 @@ CTES = {
 }
 
 
-def r2(x: str, digits: int = 2) -> str:
+def r2(x: str, digits: int = 2, places: int = 10) -> str:
     """Round half away from zero on a decimal, as double."""
-    return f"CAST(round(CAST({x} AS DECIMAL(30,10)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(30,{places})), {digits}) AS DOUBLE)"
+
+
+def m2(x: str) -> str:
+    """``r2`` for amounts of money."""
+    return r2(x, places=6)
 
 
 def pct(num: str, den: str, digits: int = 2) -> str:

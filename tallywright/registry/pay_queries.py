@@ -8,7 +8,7 @@ from tallywright.functions.text import disclosure_status, round_to
 from tallywright.operators.bootstrap import bootstrap_diff, bootstrap_differences
 from tallywright.operators.shares import histogram
 from tallywright.plans import demand, kpi, pay
-from tallywright.registry.base_sql import pct, r2, with_ctes
+from tallywright.registry.base_sql import m2, pct, r2, with_ctes
 from tallywright.registry.demand_queries import _both, _jobs, _placed, full_jobs
 from tallywright.sources import bindings as b
 
@@ -64,14 +64,14 @@ QUERIES = {
 
 def _stats(table: str, keys: str, having: str = "", where: str = "salary_analysis_eligible") -> str:
     return f"""
-        SELECT {keys}, count(*) AS salary_n, {r2('quantile_cont(salary_midpoint, 0.5)')} AS median_salary_inr,
-               {r2('avg(salary_midpoint)')} AS mean_salary_inr
+        SELECT {keys}, count(*) AS salary_n, {m2('quantile_cont(salary_midpoint, 0.5)')} AS median_salary_inr,
+               {m2('avg(salary_midpoint)')} AS mean_salary_inr
         FROM {table} WHERE {where} GROUP BY {keys} {having}"""
 
 
 def _quartiles(table: str, key: str, where: str = "salary_analysis_eligible") -> str:
-    return f"""SELECT {key}, count(*) AS salary_n, {r2('quantile_cont(salary_midpoint, 0.25)')} AS p25,
-        {r2('quantile_cont(salary_midpoint, 0.5)')} AS median, {r2('quantile_cont(salary_midpoint, 0.75)')} AS p75
+    return f"""SELECT {key}, count(*) AS salary_n, {m2('quantile_cont(salary_midpoint, 0.25)')} AS p25,
+        {m2('quantile_cont(salary_midpoint, 0.5)')} AS median, {m2('quantile_cont(salary_midpoint, 0.75)')} AS p75
         FROM {table} WHERE {where} GROUP BY 1"""
 
 
@@ -141,11 +141,11 @@ def _kpi_sql(where: str = "true", by: str = "") -> str:
 
 _SQL = {
     "value_distribution": f"""
-        SELECT count(*) AS salary_n, {r2('quantile_cont(salary_midpoint, 0.25)')} AS salary_p25_inr,
-               {r2('quantile_cont(salary_midpoint, 0.5)')} AS median_salary_inr,
-               {r2('avg(salary_midpoint)')} AS mean_salary_inr,
-               {r2('quantile_cont(salary_midpoint, 0.75)')} AS salary_p75_inr,
-               {r2('min(salary_midpoint)')} AS minimum_salary_inr, {r2('max(salary_midpoint)')} AS maximum_salary_inr,
+        SELECT count(*) AS salary_n, {m2('quantile_cont(salary_midpoint, 0.25)')} AS salary_p25_inr,
+               {m2('quantile_cont(salary_midpoint, 0.5)')} AS median_salary_inr,
+               {m2('avg(salary_midpoint)')} AS mean_salary_inr,
+               {m2('quantile_cont(salary_midpoint, 0.75)')} AS salary_p75_inr,
+               {m2('min(salary_midpoint)')} AS minimum_salary_inr, {m2('max(salary_midpoint)')} AS maximum_salary_inr,
                count(*) FILTER (WHERE salary_midpoint >= 3000000) AS jobs_at_or_above_30_lakh
         FROM jobs WHERE salary_analysis_eligible""",
     "value_by_role": _stats("jobs", "role_family", "HAVING count(*) >= 30"),
@@ -165,14 +165,14 @@ _SQL = {
         WITH t AS (SELECT skill, count(*) AS salary_n, quantile_cont(salary_midpoint, 0.5) AS m, avg(salary_midpoint) AS a
                    FROM br JOIN jobs USING (job_id) WHERE salary_analysis_eligible GROUP BY 1 HAVING count(*) >= 10),
              o AS (SELECT quantile_cont(salary_midpoint, 0.5) AS m FROM jobs WHERE salary_analysis_eligible)
-        SELECT skill, salary_n, {r2('t.m')} AS median_salary_inr, {r2('t.a')} AS mean_salary_inr,
+        SELECT skill, salary_n, {m2('t.m')} AS median_salary_inr, {m2('t.a')} AS mean_salary_inr,
                {pct('t.m - o.m', 'o.m')} AS median_difference_vs_overall_pct FROM t, o""",
     "tag_vs_rest": f"""
         SELECT CASE WHEN has_tag THEN '{b.BRAND}' ELSE 'Non-{b.BRAND}' END AS skill_group, count(*) AS salary_n,
-               {r2('quantile_cont(salary_midpoint, 0.5)')} AS median_salary_inr,
-               {r2('avg(salary_midpoint)')} AS mean_salary_inr FROM flagged GROUP BY 1""",
+               {m2('quantile_cont(salary_midpoint, 0.5)')} AS median_salary_inr,
+               {m2('avg(salary_midpoint)')} AS mean_salary_inr FROM flagged GROUP BY 1""",
     "tag_vs_rest_diff": f"""
-        SELECT {r2('a')} AS tag_median_inr, {r2('b')} AS rest_median_inr, {r2('a - b')} AS observed_median_difference_inr
+        SELECT {m2('a')} AS tag_median_inr, {m2('b')} AS rest_median_inr, {m2('a - b')} AS observed_median_difference_inr
         FROM (SELECT quantile_cont(salary_midpoint, 0.5) FILTER (WHERE has_tag) AS a,
                      quantile_cont(salary_midpoint, 0.5) FILTER (WHERE NOT has_tag) AS b FROM flagged)""",
     "disclosure_mix": f"""
