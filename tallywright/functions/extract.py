@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,18 +35,21 @@ def _ends(text: Column, pattern: str, has_high: bool) -> Column:
 
 
 def extract_range(
-    text: Column, patterns=fixed.RANGE_PATTERNS, lo: int = fixed.RANGE_LOW, hi: int = fixed.RANGE_HIGH
+    text: Column, patterns=fixed.RANGE_PATTERNS, lo: int = fixed.RANGE_LOW, hi: int = fixed.RANGE_HIGH,
+    needed: Sequence[str] = fixed.RANGE_NEEDED,
 ) -> Column:
     """Smallest valid (min, max) among all matches of all patterns, or a struct of nulls.
 
-    All patterns need a digit and "year" or "yr"; other texts skip the search.
+    Every match contains one of the ``needed`` lower-case texts, so texts without any skip
+    the search; pass ``()`` for patterns of which that is not known.
     """
     pairs = F.concat(*[_ends(text, p, has_high) for p, has_high in patterns])
     valid = F.filter(
         pairs,
         lambda r: r["min"].between(lo, hi) & r["max"].between(lo, hi) & (r["max"] >= r["min"]),
     )
-    lower = F.lower(text)
-    worth = lower.contains("year") | lower.contains("yr")
+    worth = F.lit(True)
+    if needed:
+        worth = functools.reduce(operator.or_, [F.lower(text).contains(w) for w in needed])
     none = F.struct(F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"))
     return F.coalesce(F.when(worth, F.array_min(valid)), none)

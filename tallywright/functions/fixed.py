@@ -190,6 +190,7 @@ RANGE_PATTERNS = [
     (r"\b(\d{1,2})\+\s*(?:years?|yrs?)\b", False),
     (r"\b(\d{1,2})\s*(?:years?|yrs?)\s+(?:of\s+)?experience\b", False),
 ]
+RANGE_NEEDED = ["year", "yr"]
 RANGE_LOW, RANGE_HIGH = 0, 30
 
 # --- Fixed values: experience bands [low, high) ----------------------------------

@@ -82,30 +82,22 @@ def pct(num: str, den: str, digits: int = 2) -> str:
     return r2(f"100.0::DOUBLE * ({num}) / nullif(({den})::DOUBLE, 0)", digits)
 
 
-def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
-    """Put the expressions that ``sql`` names, and those they name, in front of it."""
-    known = {**CTES, **(extra or {})}
-    used: list[str] = []
+def _reads(text: str, name: str) -> bool:
+    return re.search(rf"\b(?:FROM|JOIN)\s+(?:\w+,\s*)*{name}\b", text) is not None
 
-    def visit(text: str) -> None:
-        for name in known:
-            if name not in used and re.search(rf"\b{name}\b", text) and known[name] is not text:
-                body = known[name]
-                used.append(name)
-                visit(body)
 
-    visit(sql)
+def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
+    """Put the expressions that ``sql`` reads, and those they read, in front of it."""
+    known = {**CTES, **(extra or {})}
     order: list[str] = []
 
-    def place(name: str) -> None:
-        if name in order:
-            return
-        for other in used:
-            if other != name and re.search(rf"\b{other}\b", known[name]):
-                place(other)
-        order.append(name)
+    def place(text: str) -> None:
+        for name, body in known.items():
+            if name not in order and _reads(text, name):
+                place(body)
+                if name not in order:
+                    order.append(name)
 
-    for name in used:
-        place(name)
+    place(sql)
     head = ",\n".join(f"{name} AS ({known[name].strip()})" for name in order)
     return f"WITH {head}\n{sql.strip()}" if head else sql.strip()
