@@ -1,5 +1,5 @@
 """Spark-native analytics over text-bearing postings and their tags."""
 
-from tallywright.session import build_session, checkpoint_frame
+from tallywright.session import build_session, materialize
 
-__all__ = ["build_session", "checkpoint_frame"]
+__all__ = ["build_session", "materialize"]

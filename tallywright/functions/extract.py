@@ -10,13 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.patterns import found_any
+from tallywright.functions.patterns import Rules, found_sql, quoted
 
 
-def extract_tags(text: Column, rules=fixed.TAG_RULES) -> Column:
-    """Sorted distinct tags whose patterns occur in ``text`` (lower case, whole text)."""
-    hits = [F.when(found_any(text, patterns), tag) for tag, patterns in rules]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))
+def extract_tags(text: str, rules: Rules = fixed.TAG_RULES) -> Column:
+    """Sorted distinct tags whose patterns occur in ``text``, the name of a ``search_text`` column."""
+    hits = ", ".join(f"CASE WHEN {found_sql(text, patterns)} THEN {quoted(tag)} END" for tag, patterns in rules)
+    return F.expr(f"array_sort(array_distinct(array_compact(array({hits}))))")
 
 
 def tag_count(tags: Column) -> Column:

@@ -1,43 +1,77 @@
-"""Pattern lists compiled to ``rlike`` with a cheap substring test in front."""
+"""Rule lists compiled to one SQL expression each, with a cheap substring test per pattern.
+
+Rule lists are long, so the functions here take the *name* of a text column (or any SQL
+expression for one) and hand Spark one expression text: a few calls into the JVM where
+composing Column objects would take thousands.
+"""
 
 from __future__ import annotations
 
-import functools
-import operator
 import re
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters that equal "s" and "i" when case is ignored but that lower() keeps: a text
-# with one of them goes straight to the pattern, so the substring test loses nothing.
-_FOLDING = ["ſ", "ı"]
+from tallywright.functions.text import normalized_text
+
+Rules = Sequence[tuple[str, Sequence[str]]]
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def array_sql(texts: Iterable[str]) -> str:
+    return f"array({', '.join(quoted(t) for t in texts)})"
 
 
-def _phrase(pattern: str) -> str | None:
-    """The plain phrase inside ``\\bphrase\\b``, or None for any other pattern."""
-    found = re.fullmatch(r"\\b([a-z0-9 ]+)\\b", pattern)
-    return found.group(1) if found else None
+def map_sql(pairs: Mapping[str, str]) -> str:
+    return f"map({', '.join(f'{quoted(k)}, {quoted(v)}' for k, v in pairs.items())})"
+
+
+def search_text(c: Column) -> Column:
+    """Normalized text with the two letters that ``lower`` keeps although they equal ``s`` and
+    ``i`` when case is ignored, so that patterns need not ignore case."""
+    return F.replace(F.replace(normalized_text(c), F.lit("ſ"), F.lit("s")), F.lit("ı"), F.lit("i"))
+
+
+def needed_texts(pattern: str) -> list[str]:
+    """Plain texts of which every match of ``pattern`` contains at least one; [] if none is known.
+
+    Word boundaries, look-arounds, classes and optional letters are taken out, and the longest
+    run of plain characters that is left is part of every match. One bracketed list of
+    alternatives between word boundaries is read alternative by alternative.
+    """
+    listed = re.fullmatch(r"\\b\(([^()]*)\)\\b", pattern)
+    texts = []
+    for part in listed.group(1).split("|") if listed else [pattern]:
+        plain = re.sub(r"\(\?<?[!=][^()]*\)|\[[^\]]*\][?*+]?|\\[a-z][?*+]?|.[?*]", "\0", part)
+        if re.search(r"[^a-z0-9 /\0]", plain):
+            return []
+        longest = max(plain.split("\0"), key=len)
+        if len(longest) < 2:
+            return []
+        texts.append(longest)
+    return texts
 
 
-def found_any(text: Column, patterns: list[str]) -> Column:
-    """True when any pattern occurs in ``text``, which must be in lower case.
+def found_sql(text: str, patterns: Sequence[str]) -> str:
+    """Condition: any pattern occurs in ``text``, the name of a ``search_text`` column.
 
-    A byte search for the plain phrases decides most rows; the regular expression
-    runs only where a phrase occurs.
+    A byte search decides most rows; the regular expression runs only where it can match.
     """
-    pattern = "(?iU)" + "|".join(f"(?:{p})" for p in patterns)
-    phrases = [_phrase(p) for p in patterns]
-    if not all(phrases):
-        return text.rlike(pattern)
-    needed = [p for p in phrases if not any(q != p and q in p for q in phrases)]
-    cheap = functools.reduce(operator.or_, [text.contains(p) for p in needed + _FOLDING])
-    return cheap & text.rlike(pattern)
+    regex = f"rlike({text}, {quoted('(?U)' + '|'.join(f'(?:{p})' for p in patterns))})"
+    needed = [needed_texts(p) for p in patterns]
+    if not all(needed):
+        return regex
+    flat = list(dict.fromkeys(t for texts in needed for t in texts))
+    shortest = [t for t in flat if not any(o != t and o in t for o in flat)]
+    return f"(({' OR '.join(f'contains({text}, {quoted(t)})' for t in shortest)}) AND {regex})"
 
 
-def first_label(text: Column, rules: list[tuple[str, list[str]]], default: str) -> Column:
+def first_label(text: str, rules: Rules, default: str) -> Column:
     """Label of the first rule in list order with a pattern in ``text``."""
-    chain = F
-    for label, patterns in rules:
-        chain = chain.when(found_any(text, patterns), label)
-    return chain.otherwise(default)
+    cases = " ".join(f"WHEN {found_sql(text, patterns)} THEN {quoted(label)}" for label, patterns in rules)
+    return F.expr(f"CASE {cases} ELSE {quoted(default)} END")

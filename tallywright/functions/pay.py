@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.text import clean_text, parse_bool, to_number
+from tallywright.functions.text import parse_bool, to_number
 
 
 def amount_evidence(c: Column, patterns=fixed.PAY_PATTERNS) -> Column:
-    """Struct (unit, amount, evidence) of the first pattern that yields a number."""
-    text = clean_text(c)
-    lower = F.lower(text)
+    """Struct (unit, amount, evidence) of the first pattern that yields a number.
+
+    ``c`` is a ``clean_text``.
+    """
+    text, lower = c, F.lower(c)
     found = []
     for unit, factor, needed, pattern in patterns:
         regex = "(?iU)" + pattern
@@ -56,7 +58,7 @@ def normalize_amounts(
     low: str = "salary_min_source",
     high: str = "salary_max_source",
     predicted: str = "salary_is_predicted",
-    text: str = "description",
+    text: str = "clean_description",
 ) -> DataFrame:
     """Add the normalized pay columns.
 

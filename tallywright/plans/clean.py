@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from tallywright.functions import fixed, labels
 from tallywright.functions.calendar import in_window, month_key, recent_flag, week_start, with_complete_week
 from tallywright.functions.extract import extract_range, extract_tags
-from tallywright.functions.patterns import first_label
+from tallywright.functions.patterns import map_sql, quoted, search_text
 from tallywright.functions.pay import normalize_amounts
-from tallywright.functions.text import (
-    clean_text, is_placeholder, normalized_text, source_family, source_provider, to_number,
-)
+from tallywright.functions.text import clean_text, is_placeholder, source_family, source_provider, to_number
 from tallywright.operators.names import canonicalize
 from tallywright.operators.quality import expect, expect_count, expect_unique, union_reports
 
@@ -50,36 +48,48 @@ def clean_jobs(
         if column not in raw.columns:
             raw = raw.withColumn(column, F.lit(None).cast("string"))
     df = canonicalize(drop_placeholders(raw), "company_name")
+    # Texts are normalized once, as columns of their own, before the rules read them.
     df = df.withColumns({
-        "created_at": utc_timestamp(F.col("created")),
-        "source_family": source_family(F.col("source")),
-        "source_provider": source_provider(F.col("source")),
-        "role_family": labels.classify(F.col("title"), role_rules),
-        "city": labels.normalize_place(F.col("location_name")),
-        "_place": normalized_text(F.col("location_name")),
-        "_text": F.concat_ws(" ", normalized_text(F.col("title")), normalized_text(F.col("description"))),
-        "_range": extract_range(F.concat_ws(" ", clean_text(F.col("title")), clean_text(F.col("description")))),
+        "posted_date": F.to_date(utc_timestamp(F.col("created"))),
+        "_source": clean_text(F.col("source")),
+        "_title": clean_text(F.col("title")),
+        "_about": clean_text(F.col("description")),
+        "_where": clean_text(F.col("location_name")),
         "salary_min_source": to_number(F.col("salary_min")),
         "salary_max_source": to_number(F.col("salary_max")),
     })
     df = df.withColumns({
-        "state": labels.normalize_region(F.col("city"), F.col("location_name")),
-        "location_scope": labels.place_scope(F.col("city")),
-        "work_mode": first_label(F.concat_ws(" ", "_text", "_place"), fixed.WORK_MODE_RULES, fixed.NOT_SPECIFIED),
+        "_role_text": search_text(F.col("_title")),
+        "_about_text": search_text(F.col("_about")),
+        "_place_text": search_text(F.col("_where")),
+        "_range": extract_range(F.concat_ws(" ", "_title", "_about")),
+    })
+    df = df.withColumns({
+        "city": labels.normalize_place("_place_text", "_where"),
+        "role_family": labels.classify("_role_text", role_rules),
+        "_text": F.concat_ws(" ", "_role_text", "_about_text"),
+        "_mode_text": F.concat_ws(" ", "_role_text", "_about_text", "_place_text"),
+    })
+    df = df.withColumns({
+        "created_at": utc_timestamp(F.col("created")),
+        "source_family": source_family(F.col("_source")),
+        "source_provider": source_provider(F.col("_source")),
+        "state": labels.normalize_region("city", "_place_text"),
+        "location_scope": labels.place_scope("city"),
+        "work_mode": labels.work_mode("_mode_text"),
         "experience_min_years": F.col("_range.min"),
         "experience_max_years": F.col("_range.max"),
-        "tags": extract_tags(F.col("_text"), tag_rules),
-        "posted_date": F.to_date("created_at"),
+        "tags": extract_tags("_text", tag_rules),
     })
     df = df.withColumns({
-        "experience_band": labels.band(F.col("experience_min_years")),
+        "experience_band": labels.band("experience_min_years"),
         "skill_count": F.size("tags"),
         "has_extracted_skill": F.size("tags") > 0,
         "posted_month": month_key(F.col("posted_date")),
         "week_start": week_start(F.col("posted_date")),
         "is_recent_90d": recent_flag(F.col("posted_date"), end),
     })
-    df = normalize_amounts(df)
+    df = normalize_amounts(df, text="_about")
     # The span needs only the date of the kept rows, so it is read from the raw columns.
     span = drop_placeholders(raw).select(F.to_date(utc_timestamp(F.col("created"))).alias("posted_date"))
     df = with_complete_week(df, "posted_date", span=span)
@@ -90,10 +100,14 @@ def explode_tags(
     df: DataFrame, entity: str = "job_id", tags: str = "tags", categories=fixed.TAG_CATEGORIES,
     default: str = fixed.OTHER_CATEGORY,
 ) -> DataFrame:
-    """(id, tag, category). Ids are unique and tag arrays distinct, so the rows are too."""
-    rows = df.select(entity, F.explode(tags).alias("skill"))
-    lookup = F.create_map(*[F.lit(x) for pair in categories.items() for x in pair])
-    return rows.withColumn("skill_category", F.coalesce(F.try_element_at(lookup, F.col("skill")), F.lit(default)))
+    """(id, tag, category). Ids are unique and tag arrays distinct, so the rows are too.
+
+    The outer form keeps the planner from adding a filter on the array, which would be
+    pushed below the projection and run the whole extraction a second time.
+    """
+    rows = df.select(entity, F.explode_outer(tags).alias("skill")).where(F.col("skill").isNotNull())
+    category = f"coalesce(try_element_at({map_sql(categories)}, skill), {quoted(default)})"
+    return rows.withColumn("skill_category", F.expr(category))
 
 
 def bridge_of(jobs: DataFrame) -> DataFrame:

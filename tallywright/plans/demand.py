@@ -187,7 +187,7 @@ def employer_breadth(jobs: DataFrame) -> DataFrame:
 
 def band_mix(jobs: DataFrame) -> DataFrame:
     counts = share(count_by(jobs, ["experience_band"]), "job_count", total=row_total(jobs))
-    return counts.orderBy(label_order(F.col("experience_band")))
+    return counts.orderBy(label_order("experience_band"))
 
 
 def band_by_role(jobs: DataFrame) -> DataFrame:

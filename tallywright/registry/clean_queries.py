@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 from tallywright.functions import fixed
 from tallywright.functions.extract import extract_range, extract_tags
 from tallywright.functions.labels import classify
+from tallywright.functions.patterns import search_text
 from tallywright.functions.text import clean_text, normalized_text
 from tallywright.operators.names import display_names
+from tallywright.operators.quality import (
+    expect, expect_count, expect_foreign_key, expect_recomputed, expect_unique, union_reports,
+)
 from tallywright.plans import clean, reports
 from tallywright.registry.base_sql import pct, with_ctes
+from tallywright.session import materialize
 from tallywright.sources import bindings as b
 
 
@@ -22,6 +27,14 @@ def _columns(*names):
     return lambda spark, root: jobs(spark, root).select(*names)
 
 
+def _with_bridge(fn):
+    """Results that read the clean rows several times share one written table of them."""
+    def run(spark, root):
+        table = materialize(jobs(spark, root).drop("description"))
+        return fn(table, clean.bridge_of(table))
+    return run
+
+
 _WORDS = [
     ("THE", [r"\bthe\b"]), ("OF THE", [r"\bof the\b", r"\bof that\b"]), ("AND", [r"\band\b"]),
     ("QUE", [r"\bque\b"]), ("LE/LA", [r"\bl[ea]\b"]), ("DER", [r"\bder\b", r"\bdie\b", r"\bdas\b"]),
@@ -37,13 +50,32 @@ _DOC_RANGES = [(r"(\d{1,2})\s*[-–]\s*(\d{1,2})", True), (r"(\d{1,2})%", False)
 
 
 def _document_tags(spark, root):
-    docs = b.table(spark, root, "documents").select("doc_id", "lang", normalized_text(F.col("text")).alias("_t"))
-    tagged = docs.select("doc_id", "lang", extract_tags(F.col("_t"), _WORDS).alias("tags"))
+    docs = b.table(spark, root, "documents").select("doc_id", "lang", search_text(F.col("text")).alias("_t"))
+    tagged = docs.select("doc_id", "lang", extract_tags("_t", _WORDS).alias("tags"))
     langs = tagged.select("doc_id", "lang")
     rows = clean.explode_tags(tagged, "doc_id", "tags", _WORD_LANGS).join(langs, "doc_id")
     return rows.groupBy("lang", "skill", "skill_category").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def _table_expectations(spark, root):
+    """Expectations that the given tables do break, so that the counts are not zero."""
+    lines, orders = b.table(spark, root, "lineitem"), b.table(spark, root, "orders")
+    finished = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return union_reports(
+        expect(lines, {
+            "untaxed": F.col("l_tax") == 0,
+            "high_discount": F.col("l_discount") > 0.08,
+            "small_but_dear": (F.col("l_quantity") < 5) & (F.col("l_extendedprice") > 50000),
+            "negative_quantity": F.col("l_quantity") < 0,
+        }),
+        expect_unique(lines, ["l_orderkey", "l_partkey"], "repeated_order_part"),
+        expect_foreign_key(lines, finished, "l_orderkey", "line_of_open_order"),
+        expect_count(lines, 1000, "difference_from_1000"),
+        expect_recomputed(orders.withColumn("big", F.col("o_totalprice") > 250000), "big",
+                          F.floor(F.col("o_totalprice") / 100000) >= 3, "big_flag"),
+    )
+
+
 QUERIES = {
     "raw_report": lambda s, r: clean.raw_report(b.raw_postings(s, r), None, "1995-01-01", "2001-07-31"),
     "clean_labels": _columns("job_id", "source_family", "source_provider", "role_family", "city", "state",
@@ -58,8 +90,9 @@ QUERIES = {
                                "is_complete_week"),
     "clean_tags": lambda s, r: clean.bridge_of(jobs(s, r)),
     "clean_tag_counts": _columns("job_id", "skill_count", "has_extracted_skill"),
-    "run_metrics": lambda s, r: reports.run_metrics(jobs(s, r), clean.bridge_of(jobs(s, r))),
-    "quality_report": lambda s, r: reports.quality_report(jobs(s, r), clean.bridge_of(jobs(s, r)), b.ORDERS_END),
+    "run_metrics": _with_bridge(reports.run_metrics),
+    "quality_report": _with_bridge(lambda j, t: reports.quality_report(j, t, b.ORDERS_END)),
+    "table_expectations": _table_expectations,
     "document_text": lambda s, r: b.table(s, r, "documents").select(
         "doc_id", F.md5(clean_text(F.col("text"))).alias("clean_md5"),
         F.md5(normalized_text(F.col("text"))).alias("normalized_md5"),
@@ -68,7 +101,8 @@ QUERIES = {
     "document_ranges": lambda s, r: b.table(s, r, "documents").select(
         "doc_id", extract_range(F.col("text"), _DOC_RANGES, 0, 99, needed=()).alias("x")).select("doc_id", "x.*"),
     "classify_text": lambda s, r: b.table(s, r, "conversations").select(
-        "conv_id", "turn", classify(F.col("text"), _TALK_RULES, "Other").alias("label")),
+        "conv_id", "turn", search_text(F.col("text")).alias("_t")).select(
+        "conv_id", "turn", classify("_t", _TALK_RULES, "Other").alias("label")),
 }
 
 # --- SQL side ---------------------------------------------------------------------
@@ -247,10 +281,11 @@ EXTRA = {
                date_trunc('week', created) >= (SELECT min(created) + CAST((8 - isodow(min(created))) % 7 AS INTEGER) FROM kept)
                AND CAST(date_trunc('week', created) AS DATE) + 6 <= (SELECT max(created) FROM kept) AS is_complete_week
         FROM kept""",
-    "tg": " UNION ALL ".join(
-        f"SELECT job_id, {_q(t)} AS skill, {_q(fixed.TAG_CATEGORIES[t])} AS skill_category FROM texts WHERE {_any('t', ps)}"
-        for t, ps in fixed.TAG_RULES
-    ),
+    "tg": f"""
+        SELECT job_id, skill, CASE skill {' '.join(f"WHEN {_q(t)} THEN {_q(c)}" for t, c in fixed.TAG_CATEGORIES.items())}
+               END AS skill_category
+        FROM (SELECT job_id, unnest([{', '.join(f"CASE WHEN {_any('t', ps)} THEN {_q(t)} END" for t, ps in fixed.TAG_RULES)}]) AS skill
+              FROM texts) WHERE skill IS NOT NULL""",
     "tagn": "SELECT job_id, count(*) AS skill_count FROM tg GROUP BY 1",
     "cj": """
         SELECT *, coalesce(tagn.skill_count, 0) > 0 AS has_extracted_skill, shown.display AS company
@@ -302,6 +337,19 @@ _SQL = {
     "clean_tag_counts": """SELECT job_id, CAST(coalesce(skill_count, 0) AS INTEGER) AS skill_count,
         coalesce(skill_count, 0) > 0 AS has_extracted_skill FROM kept LEFT JOIN tagn USING (job_id)""",
     "run_metrics": f"SELECT unnest({_list(_RUN)}) AS metric, unnest([{', '.join(f'({x})::DOUBLE' for x in _RUN.values())}]) AS value FROM cj",
+    "table_expectations": "SELECT rule, n AS failed_rows, n = 0 AS passed FROM (" + " UNION ALL ".join([
+        "SELECT 'untaxed' AS rule, count(*) FILTER (WHERE l_tax = 0) AS n FROM lineitem",
+        "SELECT 'high_discount', count(*) FILTER (WHERE l_discount > 0.08) FROM lineitem",
+        "SELECT 'small_but_dear', count(*) FILTER (WHERE l_quantity < 5 AND l_extendedprice > 50000) FROM lineitem",
+        "SELECT 'negative_quantity', count(*) FILTER (WHERE l_quantity < 0) FROM lineitem",
+        """SELECT 'repeated_order_part', count(*) FROM
+           (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)""",
+        """SELECT 'line_of_open_order', count(*) FROM lineitem
+           WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+        "SELECT 'difference_from_1000', abs(count(*) - 1000) FROM lineitem",
+        """SELECT 'big_flag', count(*) FILTER (WHERE (o_totalprice > 250000) <> (floor(o_totalprice / 100000) >= 3))
+           FROM orders""",
+    ]) + ")",
     # The clean rows keep every rule by construction, so each reports zero.
     "quality_report": f"SELECT unnest({_list(_RULES)}) AS rule, 0::BIGINT AS failed_rows, true AS passed",
     "document_text": f"""SELECT doc_id, md5({_clean('text')}) AS clean_md5, md5({_norm('text')}) AS normalized_md5,

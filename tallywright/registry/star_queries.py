@@ -1,2 +1,105 @@
-QUERIES = {}
-ORACLES = {}
+"""Star schema built from the clean postings: dimensions, fact, bridge, views, constraints."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallywright.functions.calendar import calendar
+from tallywright.plans import clean
+from tallywright.plans.star import build_star, job_tags, jobs_enriched, star_report, surrogate
+from tallywright.registry import clean_queries as cq
+from tallywright.registry.base_sql import with_ctes
+from tallywright.session import materialize
+from tallywright.sources import bindings as b
+
+
+def star(spark, root):
+    jobs = materialize(cq.jobs(spark, root))
+    return build_star(jobs, clean.bridge_of(jobs))
+
+
+_VIEW = [
+    "job_id", "title", "role_family", "company_name", "city", "state", "location_name", "location_scope", "work_mode",
+    "experience_band", "salary_analysis_eligible", "is_recent_90d", "is_complete_week", "posted_date",
+]
+_CALENDAR = ["calendar_year", "calendar_month", "month_name", "year_month", "week_start", "day_of_week", "day_name"]
+
+
+def _fact(spark, root):
+    """The fact with its money as doubles, for a comparison by value."""
+    f = star(spark, root).fact_jobs
+    doubles = {c: F.col(c).cast("double") for c, t in f.dtypes if t.startswith("decimal")}
+    return f.withColumns(doubles).select(
+        "job_id", "role_key", "source_family", "source_provider", "experience_min_years", "experience_max_years",
+        "salary_min", "salary_max", "salary_midpoint", "salary_is_predicted", "has_salary_source",
+        "salary_normalization_status", "skill_count",
+    )
+
+
+def _bridge(spark, root):
+    s = star(spark, root)
+    ids = s.fact_jobs.select("job_key", "job_id")
+    return s.bridge_job_skill.join(ids, "job_key").select("job_id", "skill_key")
+
+
+QUERIES = {
+    "dim_role": lambda s, r: star(s, r).dim_role,
+    "dim_company": lambda s, r: star(s, r).dim_company.select("company_name"),
+    "dim_location": lambda s, r: star(s, r).dim_location.drop("location_key"),
+    "dim_date": lambda s, r: star(s, r).dim_date,
+    "dim_skill": lambda s, r: star(s, r).dim_skill,
+    "fact_jobs": _fact,
+    "bridge_job_skill": _bridge,
+    "jobs_enriched": lambda s, r: jobs_enriched(star(s, r)).select(*_VIEW, *_CALENDAR),
+    "job_tags": lambda s, r: job_tags(star(s, r)).select(*_VIEW, "skill", "skill_category"),
+    "star_report": lambda s, r: star_report(star(s, r)),
+    "order_calendar": lambda s, r: calendar(b.table(s, r, "orders"), "o_orderdate"),
+    "part_names": lambda s, r: surrogate(
+        b.table(s, r, "part").select("p_name").distinct(), ["p_name"], "name_key", "rank"),
+}
+
+
+def _calendar_sql(day: str) -> str:
+    return f"""CAST(year({day}) AS INTEGER) AS calendar_year, CAST(month({day}) AS INTEGER) AS calendar_month,
+        monthname({day}) AS month_name, strftime({day}, '%Y-%m') AS year_month,
+        CAST(date_trunc('week', {day}) AS DATE) AS week_start, CAST(isodow({day}) - 1 AS INTEGER) AS day_of_week,
+        dayname({day}) AS day_name"""
+
+
+_EXTRA = {
+    **cq.EXTRA,
+    "roles": "SELECT role_family, row_number() OVER (ORDER BY role_family) AS role_key FROM (SELECT DISTINCT role_family FROM labels1)",
+    "skills": """SELECT skill, skill_category, row_number() OVER (ORDER BY skill) AS skill_key
+        FROM (SELECT DISTINCT skill, skill_category FROM tg)""",
+    "wide": f"""
+        SELECT cj.*, kept.title, kept.source, kept.predicted, CAST(kept.job_id AS BIGINT) AS k,
+               coalesce(kept.location_name, 'Unknown') AS location_name, company AS company_name,
+               {_calendar_sql('posted_date')}
+        FROM (SELECT * EXCLUDE (week_start) FROM cj) cj JOIN kept ON kept.job_id = cj.job_id""",
+}
+_CONSTRAINTS = [
+    "company_key_unique", "location_key_unique", "job_key_unique", "job_id_unique", "bridge_unique", "company_parent",
+    "location_parent", "date_parent", "bridge_job_parent", "years_negative", "years_unordered", "pay_not_positive",
+    "pay_unordered", "eligible_pay_missing", "skill_count_negative", "title_missing", "month_range", "weekday_range",
+]
+_cols = ", ".join(_VIEW)
+_SQL = {
+    "dim_role": "SELECT * FROM roles",
+    "dim_company": "SELECT DISTINCT company AS company_name FROM cj",
+    "dim_location": "SELECT DISTINCT city, state, location_name, location_scope FROM wide",
+    "dim_date": f"SELECT DISTINCT posted_date AS date_key, {_calendar_sql('posted_date')} FROM wide",
+    "dim_skill": "SELECT * FROM skills",
+    "fact_jobs": """
+        SELECT job_id, role_key, source_family, source_provider, experience_min_years, experience_max_years, salary_min,
+               salary_max, salary_midpoint, CASE WHEN k % 10 IN (3, 4, 5) THEN k % 10 <> 5 END AS salary_is_predicted,
+               has_salary_source, salary_normalization_status, CAST(coalesce(skill_count, 0) AS INTEGER) AS skill_count
+        FROM wide JOIN roles USING (role_family)""",
+    "bridge_job_skill": "SELECT job_id, skill_key FROM tg JOIN skills USING (skill)",
+    "jobs_enriched": f"SELECT {_cols}, {', '.join(_CALENDAR)} FROM wide",
+    "job_tags": f"SELECT {_cols.replace('job_id', 'wide.job_id')}, skill, skill_category FROM wide JOIN tg ON tg.job_id = wide.job_id",
+    "star_report": "SELECT unnest([" + ", ".join(f"'{c}'" for c in _CONSTRAINTS)
+    + "]) AS rule, 0::BIGINT AS failed_rows, true AS passed",
+    "order_calendar": f"SELECT DISTINCT d AS date_key, {_calendar_sql('d')} FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders)",
+    "part_names": "SELECT p_name, row_number() OVER (ORDER BY p_name) AS name_key FROM (SELECT DISTINCT p_name FROM part)",
+}
+ORACLES = {name: with_ctes(sql, _EXTRA) for name, sql in _SQL.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,19 +31,25 @@ def build_session(app: str = "tallywright", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def checkpoint_frame(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Cut the lineage of ``df`` in the shared folder named by the cluster.
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder all executors share, named by ``spark.checkpoint.dir``; None where it is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or None
 
-    The folder is ``spark.checkpoint.dir``. ``fallback_dir`` is used only where
-    the setting is absent (a test session); without either this is an error,
-    since a machine-local default would be lost with its executor.
+
+def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and read it back.
+
+    For a frame that several results are read from: it is computed once, its lineage ends in
+    files that outlive any executor, and later reads still prune columns. Where no shared folder
+    is known the frame is returned as it is, and each result computes it.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback_dir
+    folder = folder or shared_folder(spark)
     if not folder:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback_dir was given")
-    spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+        return df
+    path = f"{folder.rstrip('/')}/tallywright-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_cores() -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallywright.functions import fixed
 from tallywright.functions.calendar import month_key, recent_flag, week_start, with_complete_week
 from tallywright.functions.labels import band
+from tallywright.functions.patterns import array_sql, quoted
 
 ORDERS_END = "2001-08-01"
 
@@ -37,7 +38,7 @@ def jobs(spark: SparkSession, root: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     status = F.col("o_orderstatus")
     years = F.when(status != "P", F.floor(F.col("o_totalprice") / 25000).cast("double"))
-    df = table(spark, root, "orders").select(
+    df = table(spark, root, "orders").withColumn("years", years).select(
         F.col("o_orderkey").alias("job_id"),
         F.col("o_custkey").alias("company_key"),
         F.col("o_orderpriority").alias("role_family"),
@@ -47,8 +48,8 @@ def jobs(spark: SparkSession, root: str) -> DataFrame:
         month_key(day).alias("posted_month"),
         week_start(day).alias("week_start"),
         recent_flag(day, ORDERS_END).alias("is_recent_90d"),
-        years.alias("experience_min_years"),
-        band(years).alias("experience_band"),
+        F.col("years").alias("experience_min_years"),
+        band("years").alias("experience_band"),
         (status != "P").alias("has_salary_source"),
         (status == "F").alias("salary_analysis_eligible"),
         F.col("o_totalprice").alias("salary_midpoint"),
@@ -129,8 +130,23 @@ _PLACES = [
 ]
 
 
-def _pick(texts: list[str], by: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(t) for t in texts]), (by % len(texts) + 1).cast("int"))
+def _pick(texts: list[str], by: str) -> str:
+    return f"element_at({array_sql(texts)}, cast(({by}) % {len(texts)} + 1 AS int))"
+
+
+_YEARS = "cast(c % 18 AS string)"
+_EXPERIENCE = f"""CASE k % 8
+    WHEN 0 THEN concat({_YEARS}, '-', cast(c % 18 + 3 AS string), ' years of experience')
+    WHEN 1 THEN concat({_YEARS}, '+ years')
+    WHEN 2 THEN concat('Minimum of ', {_YEARS}, ' yrs')
+    WHEN 3 THEN concat('at least ', {_YEARS}, ' years and 11–12 years')
+    WHEN 4 THEN '45 years' WHEN 5 THEN '5 to 2 years' WHEN 6 THEN concat({_YEARS}, ' Years Experience')
+    ELSE 'some history' END"""
+_COMPANY = """CASE WHEN k % 97 = 0 THEN ' Test ' WHEN c % 50 = 0 THEN '  '
+    WHEN k % 5 = 0 THEN lower(c_name) WHEN k % 5 = 1 THEN upper(c_name) WHEN k % 5 = 2 THEN concat(c_name, ', ')
+    WHEN k % 5 = 3 THEN replace(c_name, 'o', 'ó') ELSE c_name END"""
+_LOW = """CASE WHEN k % 9 = 0 THEN NULL WHEN k % 9 = 1 THEN 0 WHEN k % 3 = 0 THEN price
+    WHEN k % 3 = 1 THEN floor(price / 10) ELSE price * 4 END"""
 
 
 def raw_postings(spark: SparkSession, root: str) -> DataFrame:
@@ -138,52 +154,21 @@ def raw_postings(spark: SparkSession, root: str) -> DataFrame:
     df = table(spark, root, "orders").join(
         table(spark, root, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).join(table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    k, c, price = F.col("o_orderkey"), F.col("o_custkey"), F.floor("o_totalprice")
-    years = (c % 18).cast("string")
-    span = (
-        F.when(k % 8 == 0, F.concat(years, F.lit("-"), (c % 18 + 3).cast("string"), F.lit(" years of experience")))
-        .when(k % 8 == 1, F.concat(years, F.lit("+ years")))
-        .when(k % 8 == 2, F.concat(F.lit("Minimum of "), years, F.lit(" yrs")))
-        .when(k % 8 == 3, F.concat(F.lit("at least "), years, F.lit(" years and 11–12 years")))
-        .when(k % 8 == 4, "45 years")
-        .when(k % 8 == 5, "5 to 2 years")
-        .when(k % 8 == 6, F.concat(years, F.lit(" Years Experience")))
-        .otherwise("some history")
-    )
-    gap = F.lit(".\n  ")
-    company = (
-        F.when(k % 97 == 0, " Test ")
-        .when(c % 50 == 0, "  ")
-        .when(k % 5 == 0, F.lower("c_name"))
-        .when(k % 5 == 1, F.upper("c_name"))
-        .when(k % 5 == 2, F.concat(F.col("c_name"), F.lit(", ")))
-        .when(k % 5 == 3, F.replace(F.col("c_name"), F.lit("o"), F.lit("ó")))
-        .otherwise(F.col("c_name"))
-    )
-    low = (
-        F.when(k % 9 == 0, F.lit(None).cast("bigint"))
-        .when(k % 9 == 1, F.lit(0).cast("bigint"))
-        .when(k % 3 == 0, price)
-        .when(k % 3 == 1, F.floor(price / 10))
-        .otherwise(price * 4)
-    )
-    high = F.when(k % 13 == 0, low - 10).otherwise(low + 20000)
-    return df.select(
-        k.cast("string").alias("job_id"),
-        source_text().alias("source"),
-        _pick(_TITLES, k).alias("title"),
-        company.alias("company_name"),
-        F.when(k % 19 == 0, F.concat(F.col("n_name"), F.lit(" | Kerala"))).when(k % 23 != 0, _pick(_PLACES, c)).alias(
-            "location_name"
-        ),
-        F.concat(span, gap, _pick(_TAG_TEXTS, c + k), gap, _pick(_PAY_TEXTS, k), gap, _pick(_MODE_TEXTS, c)).alias(
-            "description"
-        ),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created"),
-        low.cast("string").alias("salary_min"),
-        high.cast("string").alias("salary_max"),
-        F.when(k % 10 == 3, "1").when(k % 10 == 4, " Yes").when(k % 10 == 5, "False").alias("salary_is_predicted"),
-        F.lit(None).cast("string").alias("contract_type"),
-        F.lit(None).cast("string").alias("contract_time"),
-        F.lit(None).cast("string").alias("redirect_url"),
+    named = df.withColumn("source", source_text()).selectExpr(
+        "*", "o_orderkey AS k", "o_custkey AS c", "floor(o_totalprice) AS price"
+    ).selectExpr("*", f"{_LOW} AS low")
+    gap = quoted(".\n  ")
+    return named.selectExpr(
+        "cast(k AS string) AS job_id",
+        "source",
+        f"{_pick(_TITLES, 'k')} AS title",
+        f"{_COMPANY} AS company_name",
+        f"CASE WHEN k % 19 = 0 THEN concat(n_name, ' | Kerala') WHEN k % 23 <> 0 THEN {_pick(_PLACES, 'c')} END AS location_name",
+        f"concat({_EXPERIENCE}, {gap}, {_pick(_TAG_TEXTS, 'c + k')}, {gap}, {_pick(_PAY_TEXTS, 'k')}, {gap}, "
+        f"{_pick(_MODE_TEXTS, 'c')}) AS description",
+        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS created",
+        "cast(low AS string) AS salary_min",
+        "cast(CASE WHEN k % 13 = 0 THEN low - 10 ELSE low + 20000 END AS string) AS salary_max",
+        "CASE k % 10 WHEN 3 THEN '1' WHEN 4 THEN ' Yes' WHEN 5 THEN 'False' END AS salary_is_predicted",
+        *[f"cast(NULL AS string) AS {c}" for c in ("contract_type", "contract_time", "redirect_url")],
     )
