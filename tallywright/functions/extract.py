@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,40 +12,34 @@ from tallywright.functions.patterns import Rules, found_sql, quoted
 def extract_tags(text: str, rules: Rules = fixed.TAG_RULES) -> Column:
     """Sorted distinct tags whose patterns occur in ``text``, the name of a ``search_text`` column."""
     hits = ", ".join(f"CASE WHEN {found_sql(text, patterns)} THEN {quoted(tag)} END" for tag, patterns in rules)
-    return F.expr(f"array_sort(array_distinct(array_compact(array({hits}))))")
+    return F.expr(f"sort_array(array_except(array({hits}), array(cast(NULL AS string))))")
 
 
 def tag_count(tags: Column) -> Column:
     return F.size(tags)
 
 
-def _ends(text: Column, pattern: str, has_high: bool) -> Column:
-    """Every match of one pattern as an array of (low, high) structs."""
-    regex = F.lit("(?iU)" + pattern)
-    lows = F.regexp_extract_all(text, regex, F.lit(1))
-    highs = F.regexp_extract_all(text, regex, F.lit(2)) if has_high else lows
-    return F.zip_with(
-        lows, highs,
-        lambda a, b: F.struct(a.try_cast("double").alias("min"), b.try_cast("double").alias("max")),
-    )
-
-
 def extract_range(
-    text: Column, patterns=fixed.RANGE_PATTERNS, lo: int = fixed.RANGE_LOW, hi: int = fixed.RANGE_HIGH,
-    needed: Sequence[str] = fixed.RANGE_NEEDED,
+    text: str, patterns=fixed.RANGE_PATTERNS, lo: int = fixed.RANGE_LOW, hi: int = fixed.RANGE_HIGH
 ) -> Column:
     """Smallest valid (min, max) among all matches of all patterns, or a struct of nulls.
 
-    Every match contains one of the ``needed`` lower-case texts, so texts without any skip
-    the search; pass ``()`` for patterns of which that is not known.
+    ``text`` names a ``search_text`` column. A pattern runs only on texts that contain one of
+    its needed texts, and reads the second number only where it has found a first.
     """
-    pairs = F.concat(*[_ends(text, p, has_high) for p, has_high in patterns])
-    valid = F.filter(
-        pairs,
-        lambda r: r["min"].between(lo, hi) & r["max"].between(lo, hi) & (r["max"] >= r["min"]),
-    )
-    worth = F.lit(True)
-    if needed:
-        worth = functools.reduce(operator.or_, [F.lower(text).contains(w) for w in needed])
-    none = F.struct(F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"))
-    return F.coalesce(F.when(worth, F.array_min(valid)), none)
+    found = []
+    for pattern, has_high, needed in patterns:
+        regex = quoted("(?U)" + pattern)
+        lows = f"regexp_extract_all({text}, {regex}, 1)"
+        if needed:
+            worth = " OR ".join(f"contains({text}, {quoted(w)})" for w in needed)
+            lows = f"CASE WHEN {worth} THEN {lows} ELSE array() END"
+        highs = f"CASE WHEN size(x) > 0 THEN regexp_extract_all({text}, {regex}, 2) ELSE x END" if has_high else "x"
+        # transform over one element names the lows, so that they are searched once
+        found.append(
+            f"transform(array({lows}), x -> zip_with(x, {highs}, (a, b) -> "
+            "named_struct('min', try_cast(a AS double), 'max', try_cast(b AS double))))[0]"
+        )
+    valid = f"r -> r.min BETWEEN {lo} AND {hi} AND r.max BETWEEN {lo} AND {hi} AND r.max >= r.min"
+    none = "named_struct('min', cast(NULL AS double), 'max', cast(NULL AS double))"
+    return F.expr(f"coalesce(array_min(filter(concat({', '.join(found)}), {valid})), {none})")

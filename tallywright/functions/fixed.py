@@ -183,14 +183,14 @@ TRACKED_TAGS = ["SQL", "Excel", "Power BI", "Python", "Tableau"]
 COMPARED_TAG = "SQL"
 
 # --- Fixed values: years-of-experience patterns ---------------------------------
-# (pattern, has_high): without has_high the single number is both ends of the range.
+# (pattern, has_high, texts of which one is always part of a match): without has_high
+# the single number is both ends of the range.
 RANGE_PATTERNS = [
-    (r"\b(\d{1,2})\s*(?:-|–|to)\s*(\d{1,2})\s*(?:years?|yrs?)\b", True),
-    (r"\b(?:minimum|min\.?|at least)\s*(?:of\s*)?(\d{1,2})\+?\s*(?:years?|yrs?)\b", False),
-    (r"\b(\d{1,2})\+\s*(?:years?|yrs?)\b", False),
-    (r"\b(\d{1,2})\s*(?:years?|yrs?)\s+(?:of\s+)?experience\b", False),
+    (r"\b(\d{1,2})\s*(?:-|–|to)\s*(\d{1,2})\s*(?:years?|yrs?)\b", True, ["year", "yr"]),
+    (r"\b(?:minimum|min\.?|at least)\s*(?:of\s*)?(\d{1,2})\+?\s*(?:years?|yrs?)\b", False, ["min", "at least"]),
+    (r"\b(\d{1,2})\+\s*(?:years?|yrs?)\b", False, ["+"]),
+    (r"\b(\d{1,2})\s*(?:years?|yrs?)\s+(?:of\s+)?experience\b", False, ["experience"]),
 ]
-RANGE_NEEDED = ["year", "yr"]
 RANGE_LOW, RANGE_HIGH = 0, 30
 
 # --- Fixed values: experience bands [low, high) ----------------------------------

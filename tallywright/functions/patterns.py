@@ -57,12 +57,19 @@ def needed_texts(pattern: str) -> list[str]:
     return texts
 
 
+def _literal_first(pattern: str) -> str:
+    """``\\bphrase\\b`` with the phrase in front and the boundaries tested where it occurs,
+    instead of a boundary test at every character of the text."""
+    found = re.fullmatch(r"\\b([a-z0-9][a-z0-9 ]*[a-z0-9])\\b", pattern)
+    return f"{found.group(1)}(?!\\w)(?<!\\w{found.group(1)})" if found else pattern
+
+
 def found_sql(text: str, patterns: Sequence[str]) -> str:
     """Condition: any pattern occurs in ``text``, the name of a ``search_text`` column.
 
     A byte search decides most rows; the regular expression runs only where it can match.
     """
-    regex = f"rlike({text}, {quoted('(?U)' + '|'.join(f'(?:{p})' for p in patterns))})"
+    regex = f"rlike({text}, {quoted('(?U)' + '|'.join(f'(?:{_literal_first(p)})' for p in patterns))})"
     needed = [needed_texts(p) for p in patterns]
     if not all(needed):
         return regex

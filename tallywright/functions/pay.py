@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
-import functools
-import operator
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.text import parse_bool, to_number
+from tallywright.functions.patterns import quoted
+from tallywright.functions.text import parse_bool
 
 
-def amount_evidence(c: Column, patterns=fixed.PAY_PATTERNS) -> Column:
-    """Struct (unit, amount, evidence) of the first pattern that yields a number.
+def _amount_sql(text: str, search: str, needed: Sequence[str], pattern: str, factor: float) -> str:
+    worth = " OR ".join(f"contains({search}, {quoted(w)})" for w in needed)
+    number = f"try_cast(replace(regexp_extract({text}, {quoted('(?iU)' + pattern)}, 1), ',', '') AS double)"
+    return f"CASE WHEN {worth} THEN {number} * {factor}D END"
 
-    ``c`` is a ``clean_text``.
+
+def with_evidence(df: DataFrame, text: str, search: str, condition: str = "true", patterns=fixed.PAY_PATTERNS) -> DataFrame:
+    """Add ``_unit``, ``_amount`` and ``_evidence`` of the first pattern that yields a number.
+
+    ``text`` names a ``clean_text`` column and ``search`` its ``search_text``. The amounts are
+    columns of their own, so every pattern is searched once; the text of the match is cut out
+    for the winning pattern only. Rows outside ``condition`` are not searched.
     """
-    text, lower = c, F.lower(c)
-    found = []
-    for unit, factor, needed, pattern in patterns:
-        regex = "(?iU)" + pattern
-        worth = functools.reduce(operator.or_, [lower.contains(w) for w in needed])
-        amount = to_number(F.regexp_extract(text, regex, 1), thousands=True)
-        found.append(
-            F.when(
-                worth & amount.isNotNull(),
-                F.struct(
-                    F.lit(unit).alias("unit"),
-                    (amount * factor).alias("amount"),
-                    F.left(F.regexp_extract(text, regex, 0), F.lit(fixed.PAY_EVIDENCE_CHARS)).alias("evidence"),
-                ),
-            )
-        )
-    nothing = F.struct(
-        F.lit("UNKNOWN").alias("unit"),
-        F.lit(None).cast("double").alias("amount"),
-        F.lit(fixed.PAY_NO_EVIDENCE).alias("evidence"),
+    rows = list(enumerate(patterns))
+    df = df.withColumns({
+        f"_a{i}": F.expr(f"CASE WHEN {condition} THEN {_amount_sql(text, search, needed, pattern, factor)} END")
+        for i, (_, factor, needed, pattern) in rows
+    })
+    unit = " ".join(f"WHEN _a{i} IS NOT NULL THEN {quoted(p[0])}" for i, p in rows)
+    cut = " ".join(
+        f"WHEN _a{i} IS NOT NULL THEN left(regexp_extract({text}, {quoted('(?iU)' + p[3])}, 0), {fixed.PAY_EVIDENCE_CHARS})"
+        for i, p in rows
     )
-    return F.coalesce(*found, nothing)
+    amounts = [f"_a{i}" for i, _ in rows]
+    return df.withColumns({
+        "_unit": F.expr(f"CASE {unit} ELSE 'UNKNOWN' END"),
+        "_amount": F.coalesce(*amounts),
+        "_evidence": F.expr(f"CASE {cut} ELSE {quoted(fixed.PAY_NO_EVIDENCE)} END"),
+    }).drop(*amounts)
 
 
 def within_tolerance(x: Column, target: Column, tol: float = fixed.PAY_TOLERANCE) -> Column:
@@ -59,6 +61,7 @@ def normalize_amounts(
     high: str = "salary_max_source",
     predicted: str = "salary_is_predicted",
     text: str = "clean_description",
+    search: str = "search_description",
 ) -> DataFrame:
     """Add the normalized pay columns.
 
@@ -67,11 +70,8 @@ def normalize_amounts(
     """
     has_any, usable = salary_flags(F.col(low), F.col(high), F.col(predicted))
     df = df.withColumns({"has_salary_source": has_any, "_usable": usable})
-    df = df.withColumns({
-        "_found": F.when(F.col("_usable"), amount_evidence(F.col(text))),
-        "_mid": (F.col(low) + F.col(high)) / 2,
-    })
-    mid, unit, amount = F.col("_mid"), F.col("_found.unit"), F.col("_found.amount")
+    df = with_evidence(df, text, search, "_usable").withColumn("_mid", (F.col(low) + F.col(high)) / 2)
+    mid, unit, amount = F.col("_mid"), F.col("_unit"), F.col("_amount")
     monthly, annual = unit == "MONTHLY", unit == "ANNUAL"
     status = (
         F.when(~F.col("_usable"), fixed.STATUS_NOT_ELIGIBLE)
@@ -93,5 +93,5 @@ def normalize_amounts(
         "salary_max": F.col(high) * scale,
         "salary_midpoint": (F.col(low) * scale + F.col(high) * scale) / 2,
         "salary_analysis_eligible": scale.isNotNull(),
-        "salary_text_evidence": F.coalesce(F.col("_found.evidence"), F.lit(fixed.PAY_NO_RANGE)),
-    }).drop("_usable", "_found", "_mid")
+        "salary_text_evidence": F.when(F.col("_usable"), F.col("_evidence")).otherwise(fixed.PAY_NO_RANGE),
+    }).drop("_usable", "_unit", "_amount", "_evidence", "_mid")

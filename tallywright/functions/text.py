@@ -19,9 +19,11 @@ def clean_text(c: Column) -> Column:
 
 
 def normalized_text(c: Column) -> Column:
-    """``clean_text`` in lower case, with ``&`` spelled out as ``and``."""
-    spelled = F.replace(F.lower(clean_text(c)), F.lit("&"), F.lit(" and "))
-    return F.trim(F.regexp_replace(spelled, " +", " "))
+    """``clean_text`` in lower case, with ``&`` spelled out as ``and``.
+
+    The sign is spelled out first, so white space is collapsed only once.
+    """
+    return F.lower(clean_text(F.replace(c.cast("string"), F.lit("&"), F.lit(" and "))))
 
 
 def title_case(c: Column) -> Column:

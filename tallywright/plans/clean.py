@@ -62,7 +62,6 @@ def clean_jobs(
         "_role_text": search_text(F.col("_title")),
         "_about_text": search_text(F.col("_about")),
         "_place_text": search_text(F.col("_where")),
-        "_range": extract_range(F.concat_ws(" ", "_title", "_about")),
     })
     df = df.withColumns({
         "city": labels.normalize_place("_place_text", "_where"),
@@ -70,6 +69,7 @@ def clean_jobs(
         "_text": F.concat_ws(" ", "_role_text", "_about_text"),
         "_mode_text": F.concat_ws(" ", "_role_text", "_about_text", "_place_text"),
     })
+    df = df.withColumn("_range", extract_range("_text"))
     df = df.withColumns({
         "created_at": utc_timestamp(F.col("created")),
         "source_family": source_family(F.col("_source")),
@@ -89,7 +89,7 @@ def clean_jobs(
         "week_start": week_start(F.col("posted_date")),
         "is_recent_90d": recent_flag(F.col("posted_date"), end),
     })
-    df = normalize_amounts(df, text="_about")
+    df = normalize_amounts(df, text="_about", search="_about_text")
     # The span needs only the date of the kept rows, so it is read from the raw columns.
     span = drop_placeholders(raw).select(F.to_date(utc_timestamp(F.col("created"))).alias("posted_date"))
     df = with_complete_week(df, "posted_date", span=span)

@@ -15,7 +15,7 @@ from tallywright.operators.quality import (
 )
 from tallywright.plans import clean, reports
 from tallywright.registry.base_sql import pct, with_ctes
-from tallywright.session import materialize
+from tallywright.session import materialize, spread
 from tallywright.sources import bindings as b
 
 
@@ -46,15 +46,15 @@ _TALK_RULES = [
     ("German", [r"\bund\b", r"\bdie\b"]), ("English", [r"\bthe\b", r"\band\b"]), ("French", [r"\ble\b", r"\bdes\b"]),
     ("Romance", [r"\bque\b", r"\bla\b"]),
 ]
-_DOC_RANGES = [(r"(\d{1,2})\s*[-–]\s*(\d{1,2})", True), (r"(\d{1,2})%", False)]
+_DOC_RANGES = [(r"(\d{1,2})\s*[-–]\s*(\d{1,2})", True, []), (r"(\d{1,2})%", False, ["%"])]
 
 
 def _document_tags(spark, root):
-    docs = b.table(spark, root, "documents").select("doc_id", "lang", search_text(F.col("text")).alias("_t"))
-    tagged = docs.select("doc_id", "lang", extract_tags("_t", _WORDS).alias("tags"))
-    langs = tagged.select("doc_id", "lang")
-    rows = clean.explode_tags(tagged, "doc_id", "tags", _WORD_LANGS).join(langs, "doc_id")
-    return rows.groupBy("lang", "skill", "skill_category").agg(F.count(F.lit(1)).alias("documents"))
+    docs = spread(b.table(spark, root, "documents"))
+    texts = docs.select(F.struct("doc_id", "lang").alias("doc"), search_text(F.col("text")).alias("_t"))
+    tagged = texts.select("doc", extract_tags("_t", _WORDS).alias("tags"))
+    rows = clean.explode_tags(tagged, "doc", "tags", _WORD_LANGS)
+    return rows.groupBy("doc.lang", "skill", "skill_category").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def _table_expectations(spark, root):
@@ -93,13 +93,14 @@ QUERIES = {
     "run_metrics": _with_bridge(reports.run_metrics),
     "quality_report": _with_bridge(lambda j, t: reports.quality_report(j, t, b.ORDERS_END)),
     "table_expectations": _table_expectations,
-    "document_text": lambda s, r: b.table(s, r, "documents").select(
+    "document_text": lambda s, r: spread(b.table(s, r, "documents")).select(
         "doc_id", F.md5(clean_text(F.col("text"))).alias("clean_md5"),
         F.md5(normalized_text(F.col("text"))).alias("normalized_md5"),
         F.length(clean_text(F.col("text"))).alias("clean_chars")),
     "document_tags": _document_tags,
-    "document_ranges": lambda s, r: b.table(s, r, "documents").select(
-        "doc_id", extract_range(F.col("text"), _DOC_RANGES, 0, 99, needed=()).alias("x")).select("doc_id", "x.*"),
+    "document_ranges": lambda s, r: spread(b.table(s, r, "documents")).select(
+        "doc_id", search_text(F.col("text")).alias("_t")).select(
+        "doc_id", extract_range("_t", _DOC_RANGES, 0, 99).alias("x")).select("doc_id", "x.*"),
     "classify_text": lambda s, r: b.table(s, r, "conversations").select(
         "conv_id", "turn", search_text(F.col("text")).alias("_t")).select(
         "conv_id", "turn", classify("_t", _TALK_RULES, "Other").alias("label")),
@@ -204,7 +205,7 @@ def _range_rows(table: str, key: str, text: str, patterns, hi: int = 30) -> str:
     parts = [
         f"""SELECT {key}, unnest(regexp_extract_all({text}, {_q('(?i)' + p)}, 1))::DOUBLE AS a,
                    unnest(regexp_extract_all({text}, {_q('(?i)' + p)}, {2 if high else 1}))::DOUBLE AS b FROM {table}"""
-        for p, high in patterns
+        for p, high, _ in patterns
     ]
     return f"""SELECT {key}, a, b FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY a, b) AS rn
         FROM ({' UNION ALL '.join(parts)}) WHERE a BETWEEN 0 AND {hi} AND b BETWEEN 0 AND {hi} AND b >= a) WHERE rn = 1"""

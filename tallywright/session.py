@@ -52,6 +52,16 @@ def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a plain scan at least one partition per core, for text work that outweighs a shuffle.
+
+    A scan of a large table has far more splits than that and is returned untouched; only one
+    with few, unsplittable files is dealt out.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def local_cores() -> str:
     """``local[n]`` master for tests and the bench."""
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"

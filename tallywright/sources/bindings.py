@@ -14,6 +14,7 @@ from tallywright.functions import fixed
 from tallywright.functions.calendar import month_key, recent_flag, week_start, with_complete_week
 from tallywright.functions.labels import band
 from tallywright.functions.patterns import array_sql, quoted
+from tallywright.session import spread
 
 ORDERS_END = "2001-08-01"
 
@@ -151,7 +152,7 @@ _LOW = """CASE WHEN k % 9 = 0 THEN NULL WHEN k % 9 = 1 THEN 0 WHEN k % 3 = 0 THE
 
 def raw_postings(spark: SparkSession, root: str) -> DataFrame:
     """A raw posting per order: messy text composed from its columns, growing with ``orders``."""
-    df = table(spark, root, "orders").join(
+    df = spread(table(spark, root, "orders")).join(
         table(spark, root, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).join(table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     named = df.withColumn("source", source_text()).selectExpr(
