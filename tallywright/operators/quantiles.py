@@ -22,16 +22,18 @@ WHOLE_BELOW = 10_000
 
 
 def ranked_bands(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], margin: float = 4.0 / ACCURACY,
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], margin: float | None = None,
     min_n: int = 1,
 ) -> DataFrame:
     """Distinct values near the quantiles of each group, with their ranks.
 
     ``[_start, _stop)`` are the 0-based ranks a value takes in the sorted group and ``_n`` is
     the group's row count. A row with a null value stands for the rows of a gap between bands.
-    ``probs`` must ascend.
+    ``probs`` must ascend. The sketch is off by 1/ACCURACY of the rows at most; the bands reach
+    four times as far unless ``margin`` says otherwise, and a rank outside fails the query.
     """
     keys = list(keys)
+    margin = 4.0 / ACCURACY if margin is None else margin
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ends = [min(1.0, max(0.0, p + side * margin)) for p in probs for side in (-1, 1)]
     sketch = F.percentile_approx("_v", ends, ACCURACY)
