@@ -37,11 +37,12 @@ def with_complete_week(
 ) -> DataFrame:
     """Flag rows of weeks that lie wholly inside the span of dates in ``df``, or in ``span``.
 
-    The span is one min/max aggregate over the date column alone, read by two scalar
-    subqueries; no row is moved to compute the flag.
+    The span is one min/max aggregate over the date column alone, read as a scalar
+    subquery; no row is moved to compute the flag.
     """
-    span = (df if span is None else span).agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    first, last = span.select(F.col("lo").cast("date")).scalar(), span.select(F.col("hi").cast("date")).scalar()
+    ends = F.struct(F.min(date_col).cast("date").alias("lo"), F.max(date_col).cast("date").alias("hi"))
+    bounds = (df if span is None else span).agg(ends.alias("ends")).scalar()
+    first, last = bounds["lo"], bounds["hi"]
     rolled = F.next_day(F.date_sub(first, 1), "Mon")
     week = F.col(week_col)
     return df.withColumn(flag, (week >= rolled) & (F.date_add(week, 6) <= last))

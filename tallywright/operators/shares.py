@@ -93,11 +93,10 @@ def reindex(df: DataFrame, col: str, labels: Sequence[str], fill: Sequence[str],
 def histogram(df: DataFrame, col: str, bins: int, n: str = "row_count") -> DataFrame:
     """Equal-width bins over min..max, all bins kept, top edge inclusive."""
     values = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    span = values.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    )
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    ends = values.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    spread = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
+    span = ends.select(F.struct((F.col("lo") - spread).alias("lo"), (F.col("hi") + spread).alias("hi"))).scalar()
+    lo, hi = span["lo"], span["hi"]
     place = F.floor((F.col("_v") - lo) / (hi - lo) * bins)
     counts = values.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.count(F.lit(1)).alias(n))
     slots = df.sparkSession.range(bins).select(F.col("id").alias("bin"))

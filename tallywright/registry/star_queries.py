@@ -13,8 +13,12 @@ from tallywright.session import materialize
 from tallywright.sources import bindings as b
 
 
-def star(spark, root):
-    jobs = materialize(cq.jobs(spark, root))
+def star(spark, root, shared=False):
+    """The star of the clean postings. ``shared``: the result reads many of its tables, so the clean
+    rows (without the long text) are written once; else each table reads its few columns directly."""
+    jobs = cq.jobs(spark, root)
+    if shared:
+        jobs = materialize(jobs.drop("description")).withColumn("description", F.lit(None).cast("string"))
     return build_star(jobs, clean.bridge_of(jobs))
 
 
@@ -50,9 +54,9 @@ QUERIES = {
     "dim_skill": lambda s, r: star(s, r).dim_skill,
     "fact_jobs": _fact,
     "bridge_job_skill": _bridge,
-    "jobs_enriched": lambda s, r: jobs_enriched(star(s, r)).select(*_VIEW, *_CALENDAR),
-    "job_tags": lambda s, r: job_tags(star(s, r)).select(*_VIEW, "skill", "skill_category"),
-    "star_report": lambda s, r: star_report(star(s, r)),
+    "jobs_enriched": lambda s, r: jobs_enriched(star(s, r, True)).select(*_VIEW, *_CALENDAR),
+    "job_tags": lambda s, r: job_tags(star(s, r, True)).select(*_VIEW, "skill", "skill_category"),
+    "star_report": lambda s, r: star_report(star(s, r, True)),
     "order_calendar": lambda s, r: calendar(b.table(s, r, "orders"), "o_orderdate"),
     "part_names": lambda s, r: surrogate(
         b.table(s, r, "part").select("p_name").distinct(), ["p_name"], "name_key", "rank"),
