@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywright.functions.patterns import array_sql
 from tallywright.functions.text import round_to, safe_pct
 
 
@@ -84,8 +85,9 @@ def top_k(
 
 def reindex(df: DataFrame, col: str, labels: Sequence[str], fill: Sequence[str], order: str = "label_order") -> DataFrame:
     """Exactly the labels of a fixed list, in its order, with 0 where ``df`` has no row."""
-    spark = df.sparkSession
-    fixed = spark.createDataFrame([(x, i) for i, x in enumerate(labels, start=1)], f"{col} string, {order} int")
+    # The list is part of the plan: one literal array laid out with its positions.
+    listed = df.sparkSession.range(1).selectExpr(f"posexplode({array_sql(labels)}) AS (_i, {col})")
+    fixed = listed.select(col, (F.col("_i") + 1).alias(order))
     out = fixed.join(df, col, "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in fill})
 

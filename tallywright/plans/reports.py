@@ -94,29 +94,29 @@ def findings(jobs: DataFrame, bridge: DataFrame, tag: str = fixed.COMPARED_TAG)
     dist = pay.value_distribution(jobs)
     boot = bootstrap_diff(pay.tag_flagged(jobs, bridge, tag), "has_tag", pay.VALUE)
 
-    def line(df: DataFrame, metric: str, value) -> DataFrame:
-        return df.select(F.lit(metric).alias("metric"), value.cast("string").alias("value"))
+    def lines(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+        """All lines of a one-row frame at once, so that the frame is computed once."""
+        pairs = [F.struct(F.lit(m).alias("metric"), v.cast("string").alias("value")) for m, v in values.items()]
+        return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
 
     def headline(df: DataFrame, metric: str, label: str) -> DataFrame:
-        return line(df, metric, F.format_string("%s (%d postings)", F.col(label), F.col("job_count")))
+        return lines(df, {metric: F.format_string("%s (%d postings)", F.col(label), F.col("job_count"))})
 
     includes = F.when(F.col("includes_zero"), "Inconclusive because the interval includes zero").otherwise(
         "Interval excludes zero; descriptive association only"
     )
-    rows = [
+    pays = ["median_salary", "mean_salary", "minimum_salary", "maximum_salary"]
+    ends = ["observed_difference", "ci_low", "ci_high"]
+    parts = [
         headline(top_role, "top_role_family", "role_family"),
         headline(top_tag, "top_skill", "skill"),
         headline(top_city, "top_specific_city", "city"),
-        line(dist, "salary_observations", F.col("salary_n")),
-        *[line(dist, m, lakh_text(F.col(f"{m}_inr"))) for m in ("median_salary", "mean_salary", "minimum_salary", "maximum_salary")],
-        line(boot, "observed_difference", lakh_text(F.col("observed_difference"))),
-        line(boot, "ci_low", lakh_text(F.col("ci_low"))),
-        line(boot, "ci_high", lakh_text(F.col("ci_high"))),
-        line(boot, "bootstrap_conclusion", includes),
+        lines(dist, {"salary_observations": F.col("salary_n"), **{m: lakh_text(F.col(f"{m}_inr")) for m in pays}}),
+        lines(boot, {**{m: lakh_text(F.col(m)) for m in ends}, "bootstrap_conclusion": includes}),
     ]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 

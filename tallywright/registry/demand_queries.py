@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallywright.functions.text import round_to
-from tallywright.operators.sets import with_tag_flag
+from tallywright.operators.pairs import tag_sets
+from tallywright.operators.sets import difference, intersection, with_tag_flag
 from tallywright.plans import demand, kpi, reports
 from tallywright.registry.base_sql import pct, r2, with_ctes
 from tallywright.sources import bindings as b
@@ -65,6 +66,9 @@ QUERIES = {
     "tag_pairs": _bridge(demand.tag_pairs),
     "tag_pairs_all": _bridge(lambda t: demand.tag_pairs(t, k=None)),
     "tag_pair_rate": _bridge(demand.tag_pair_rate),
+    "tag_sets": _bridge(lambda t: tag_sets(t).select("job_id", F.concat_ws("|", "tags").alias("tags"))),
+    "jobs_with_tag": _both(lambda j, t: intersection(j.select("job_id", "role_family"), t.where(F.col("skill") == b.BRAND), "job_id")),
+    "jobs_without_tag": _both(lambda j, t: difference(j.select("job_id", "role_family"), t.where(F.col("skill") == b.BRAND), "job_id")),
     "role_period_mix": _jobs(demand.role_period_mix),
     "role_shift": _jobs(lambda j: demand.role_shift(j).withColumns({
         c: round_to(c, 6) for c in ("recent_share_pct", "pre_share_pct", "share_change_pp")
@@ -226,6 +230,10 @@ _SQL = {
         FROM br a JOIN br b ON a.job_id = b.job_id AND a.skill <> b.skill
         JOIN (SELECT skill, count(*) AS n FROM br GROUP BY 1) c ON c.skill = a.skill
         GROUP BY 1, 2 ORDER BY pair_jobs DESC, 1, 2 LIMIT 50""",
+    "tag_sets": "SELECT job_id, string_agg(skill, '|' ORDER BY skill) AS tags FROM br GROUP BY 1",
+    "jobs_with_tag": f"SELECT job_id, role_family FROM jobs WHERE job_id IN (SELECT job_id FROM br WHERE skill = '{b.BRAND}')",
+    "jobs_without_tag": f"""SELECT job_id, role_family FROM jobs
+        WHERE job_id NOT IN (SELECT job_id FROM br WHERE skill = '{b.BRAND}')""",
     "role_period_mix": _mix("periods", "market_period, role_family", by="market_period"),
     "role_shift": f"""
         SELECT role_family, {r2('r', 6)} AS recent_share_pct, {r2('e', 6)} AS pre_share_pct,

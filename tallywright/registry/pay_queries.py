@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallywright.functions.text import disclosure_status, round_to
 from tallywright.operators.bootstrap import bootstrap_diff, bootstrap_differences
 from tallywright.operators.shares import histogram
-from tallywright.plans import demand, kpi, pay
+from tallywright.plans import demand, kpi, pay, reports
 from tallywright.registry.base_sql import m2, pct, r2, with_ctes
 from tallywright.registry.demand_queries import _both, _jobs, _placed, full_jobs
 from tallywright.sources import bindings as b
@@ -56,6 +56,7 @@ QUERIES = {
     "bootstrap_diff": lambda s, r: bootstrap_diff(_flagged(s, r), "has_tag", "salary_midpoint"),
     "bootstrap_histogram": lambda s, r: histogram(
         bootstrap_differences(_flagged(s, r), "has_tag", "salary_midpoint")[0], "difference", 40),
+    "findings": lambda s, r: reports.findings(full_jobs(s, r), b.bridge(s, r), b.BRAND),
     "kpis": lambda s, r: _kpi(s, r),
     "kpis_filtered": lambda s, r: _kpi(s, r, _slicers()),
     "kpis_by_mode": lambda s, r: _kpi(s, r, (), "work_mode"),

@@ -12,12 +12,12 @@ from check_queries import compare, duck  # noqa: E402
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # Not expressible in SQL: draws of a random generator.
-WITHOUT_SQL = {"bootstrap_diff", "bootstrap_histogram"}
+WITHOUT_SQL = {"bootstrap_diff", "bootstrap_histogram", "findings"}
 CHECKED = [
     "overview", "provenance", "role_demand", "city_demand", "employer_top", "employer_breadth", "band_reindexed",
     "tag_demand", "tag_pairs_all", "tag_pair_rate", "role_shift", "tag_period_shares_top", "value_distribution",
     "quartiles_by_employer", "value_by_tag", "tag_vs_rest_diff", "histogram", "kpis_filtered", "week_over_week",
-    "rolling_tag_share_dense", "tag_trend_slope", "clean_labels", "clean_companies", "clean_experience", "clean_pay",
+    "rolling_tag_share_dense", "tag_trend_slope", "event_weekly_share", "tag_sets", "jobs_without_tag", "clean_labels", "clean_companies", "clean_experience", "clean_pay",
     "clean_calendar", "clean_tags", "table_expectations", "document_tags", "document_ranges", "fact_jobs", "job_tags",
 ]
 
