@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import mixing, sharding
+from tallywright.llm import mixing, packing, sharding
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -22,6 +22,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, MIX_WEIGHTS, budget=1.0, max_epochs=2, seed=7)
 
 
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
@@ -69,6 +73,7 @@ FROM placed WHERE epochs > 0 OR start < rest
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_pack": op3_pack,
     "op9_sharding": op9_sharding,
 }
 
