@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import mixing, packing, sharding
+from tallywright.llm import mixing, packing, sharding, substring_dedup
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -30,6 +30,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup(table(spark, sf_dir, "documents"), window=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def _fill_sql(name: str, nodes: str, parent: str, path: str) -> str:
     by = f"PARTITION BY {parent} " if parent else ""
     return f"""
@@ -75,9 +80,26 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_pack": op3_pack,
     "op9_sharding": op9_sharding,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
+_WINDOW_SQL = " || ' ' || ".join(["word", *[f"lead(word, {k}) OVER o" for k in range(1, 13)]])
+
+_SUBSTRING_SQL = f"""
+WITH words AS (
+    SELECT doc_id, unnest(found) AS word, generate_subscripts(found, 1) AS place
+    FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS found FROM documents)),
+whole AS (SELECT doc_id, place, hash({_WINDOW_SQL}) AS window_hash, {_WINDOW_SQL} AS window_words FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+judged AS (SELECT doc_id, place, window_words IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY window_hash, window_words) AS again FROM whole),
+marked AS (SELECT doc_id, place, max(again) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+kept AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS rest
+    FROM marked JOIN words USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
 #: Sharding has no SQL: DuckDB has no CRC-32.
 ORACLES = {
     "op2_mix_sources": _MIX_SQL,
+    "op10_substring_dedup": _SUBSTRING_SQL,
 }
