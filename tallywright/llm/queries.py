@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import mixing, packing, sharding, simhash, substring_dedup
+from tallywright.llm import fingerprints, mixing, packing, sharding, simhash, substring_dedup
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -26,6 +26,10 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
 
@@ -83,6 +87,7 @@ FROM placed WHERE epochs > 0 OR start < rest
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_pack": op3_pack,
+    "op4_fingerprints": op4_fingerprints,
     "op7_simhash": op7_simhash,
     "op9_sharding": op9_sharding,
     "op10_substring_dedup": op10_substring_dedup,
