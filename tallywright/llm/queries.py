@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import fingerprints, mixing, packing, sharding, simhash, substring_dedup
+from tallywright.llm import fingerprints, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -17,6 +17,11 @@ def domain(source: Column) -> Column:
     return F.concat(F.lit("d"), (F.coalesce(F.ascii(F.substring(source, -1, 1)), F.lit(0)) % 4).cast("string"))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("domain", domain(F.col("source")))
     return mixing.mix(docs, MIX_WEIGHTS, budget=1.0, max_epochs=2, seed=7)
@@ -85,6 +90,7 @@ FROM placed WHERE epochs > 0 OR start < rest
 """
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_pack": op3_pack,
     "op4_fingerprints": op4_fingerprints,
