@@ -72,7 +72,8 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     """(doc, anchors): places of the anchors that other documents have too.
 
     Rare keys meet in one shuffle. A frequent key would meet in one task: its smallest and largest document are found
-    by a map-side aggregation instead and broadcast, for as many keys as frequent_keys allows.
+    by a map-side aggregation instead, and the keys that two documents share, no more than frequent_keys allows, go to
+    the tasks that hash the documents.
     """
     frequent = frequent_keys(docs, window)
     by_key = Window.partitionBy("key")
@@ -81,8 +82,9 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     found = rare.where("low < high").select("doc", "at")
     if len(frequent):
         often = anchors(docs, window, lambda key: np.isin(key, frequent))
-        spread = often.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-        found = found.union(often.join(F.broadcast(spread), "key", "left_semi").select("doc", "at"))
+        spread = often.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
+        shared = np.sort(np.array([r["key"] for r in spread.collect()], np.int64))
+        found = found.union(anchors(docs, window, lambda key: np.isin(key, shared)).select("doc", "at"))
     return found.groupBy("doc").agg(F.collect_list("at").alias("anchors"))
 
 
