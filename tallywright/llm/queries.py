@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import fingerprints, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup
+from tallywright.llm import fingerprints, mixing, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -35,6 +35,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "common_distance")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
 
@@ -94,11 +98,50 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_pack": op3_pack,
     "op4_fingerprints": op4_fingerprints,
+    "op5_quality_rules": op5_quality_rules,
     "op7_simhash": op7_simhash,
     "op9_sharding": op9_sharding,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
+def _distance_sql(counts: str, reference: str) -> str:
+    """Jensen-Shannon distance of two lists of counts; null if one is null or sums to nothing."""
+    shares = [f"list_transform({x}, lambda n: n / nullif(list_sum({x}), 0))" for x in (counts, reference)]
+    half = "coalesce(CASE WHEN z[{0}] > 0 THEN z[{0}] * log2(z[{0}] / ((z[1] + z[2]) / 2)) END, 0)"
+    return f"""CASE WHEN list_sum({counts}) > 0 AND list_sum({reference}) > 0 THEN
+        sqrt(greatest(0, list_sum(list_transform(list_zip({shares[0]}, {shares[1]}), lambda z: ({half.format(1)} + {half.format(2)}) / 2)))) END"""
+
+
+_COMMON_SQL = "CASE lang " + " ".join(f"WHEN '{k}' THEN {list(v)}" for k, v in quality_rules.COMMON.items()) + " END"
+_CLASS_SQL = [f"length(regexp_replace(t, '{p}', '', 'g'))" for p in quality_rules.CLASSES.values()]
+_SUMS_SQL = {name: "[" + ", ".join(f"sum({name}[{k + 1}])" for k in range(n)) + "]" for name, n in (("classes", len(_CLASS_SQL) + 1), ("common", quality_rules.N_COMMON + 1))}
+
+_QUALITY_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, {_COMMON_SQL} AS frequent
+    FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM docs),
+grams AS (SELECT doc_id, place, lead(word, 4) OVER o IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, gram) > 1 AS again FROM (
+    SELECT doc_id, place, word, [{", ".join(["word", *[f"lead(word, {k}) OVER o" for k in range(1, 5)]])}] AS gram FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY place))
+    WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+repeats AS (SELECT doc_id, count(*) FILTER (covered) AS n_repeat_words FROM (
+    SELECT doc_id, max(again) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS covered FROM grams) GROUP BY doc_id),
+counted AS (
+    SELECT doc_id, lang, len(w) AS n_words, length(t) - {_CLASS_SQL[2]} AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        [{", ".join(_CLASS_SQL)}, length(t) - {" - ".join(_CLASS_SQL)}] AS classes,
+        list_transform(frequent, lambda c: len(list_filter(w, lambda x: x = c OR x = upper(c[1]) || c[2:]))) AS hits
+    FROM docs LEFT JOIN repeats USING (doc_id)),
+rows AS (SELECT *, CASE WHEN hits IS NOT NULL THEN list_append(hits, n_words - list_sum(hits)::BIGINT) END AS common,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
+known AS (SELECT lang, {_SUMS_SQL["classes"]} AS all_classes, {_SUMS_SQL["common"]} AS all_common FROM rows WHERE NOT base_failed GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed
+    AND coalesce(CASE WHEN n_words >= {quality_rules.LEAST_WORDS_CLASSES} THEN {_distance_sql("classes", "all_classes")} END, 0) <= {quality_rules.MOST_CLASSES}
+    AND coalesce(CASE WHEN n_words >= {quality_rules.LEAST_WORDS_COMMON} THEN {_distance_sql("common", "all_common")} END, 0) <= {quality_rules.MOST_COMMON} AS kept
+FROM rows LEFT JOIN known USING (lang)
+"""
+
 _WINDOW_SQL = " || ' ' || ".join(["word", *[f"lead(word, {k}) OVER o" for k in range(1, 13)]])
 
 _SUBSTRING_SQL = f"""
@@ -117,5 +160,6 @@ FROM documents LEFT JOIN kept USING (doc_id)
 #: Sharding has no SQL: DuckDB has no CRC-32.
 ORACLES = {
     "op2_mix_sources": _MIX_SQL,
+    "op5_quality_rules": _QUALITY_SQL,
     "op10_substring_dedup": _SUBSTRING_SQL,
 }
