@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import fingerprints, mixing, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
+from tallywright.llm import fingerprints, mixing, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -39,6 +39,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "common_distance")
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
 
@@ -99,6 +103,7 @@ QUERIES = {
     "op3_pack": op3_pack,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality_rules": op5_quality_rules,
+    "op6_url_rules": op6_url_rules,
     "op7_simhash": op7_simhash,
     "op9_sharding": op9_sharding,
     "op10_substring_dedup": op10_substring_dedup,
