@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import fingerprints, mixing, packing, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
+from tallywright.llm import fingerprints, mixing, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -47,6 +47,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), seed=8)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
@@ -105,6 +109,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_url_rules": op6_url_rules,
     "op7_simhash": op7_simhash,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
     "op10_substring_dedup": op10_substring_dedup,
 }
