@@ -1,12 +1,14 @@
 """SimHash near-duplicates, with candidates discarded by a pivot distance table.
 
-Fingerprints within ``bits`` differing bits agree on at least BLOCKS - bits of BLOCKS blocks, so they meet under some
-choice of that many blocks. Where they meet, each carries its Hamming distances to reference fingerprints; a pair
-whose distances to any reference differ by more than ``bits`` can't link and is discarded before it is verified.
+Fingerprints meet where they agree on chosen bits. Where they meet, each carries its Hamming distances to reference
+fingerprints; a pair whose distances to any reference differ by more than ``bits`` can't link and is discarded before
+it is verified. Two ways to choose the bits: of 64-bit fingerprints, all choices of BLOCKS - bits of BLOCKS blocks,
+some of which two fingerprints within ``bits`` bits always agree on; of wider ones, BANDS fixed random samples.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -17,14 +19,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.llm.common import id_and_text, stored
+from tallywright.llm.hashing import mix
 
 SEED = 42
 BLOCKS = 7
 PIVOTS = 16
 #: A meeting of more fingerprints is split by their distance to the first reference, and further by hash.
 MEETING = 2_000
-#: Reference fingerprints: drawn at random once, from a fixed seed.
-REFERENCES = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, PIVOTS, dtype=np.uint64)
+#: Of a wide fingerprint: 64-bit words, samples of bits to meet by, and bits of a sample. Texts of similarity 0.8 meet
+#: with probability 0.94, of 0.85 with 0.99. A larger corpus needs more of both, as its chance meetings grow.
+WORDS, BANDS, BAND_BITS = 8, 80, 22
+#: Reference fingerprints and sampled bits: drawn at random once, from fixed seeds.
+REFERENCES = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, (PIVOTS, WORDS), dtype=np.uint64)
+SAMPLES = np.argsort(np.random.Generator(np.random.PCG64(20240608)).random((BANDS, 64 * WORDS)), axis=1)[:, :BAND_BITS]
 
 
 def block_masks(bits: int) -> list[int]:
@@ -34,43 +41,54 @@ def block_masks(bits: int) -> list[int]:
     return [sum(c) for c in combinations(blocks, BLOCKS - bits)]
 
 
-def fingerprint(text: str, words: int) -> int:
-    """Bits set in over half the XXH64 hashes of the text's shingles, repeats included; no words: 0."""
+def fingerprint(text: str, shingle: int, width: int = 1) -> np.ndarray:
+    """Of ``width`` 64-bit hashes of each of the text's shingles, repeats included, the bits set in over half of them.
+
+    The first word is of XXH64 itself, the others of mixtures of it. No words: 0.
+    """
     parts = text.encode().lower().split()  # bytes: A-Z only, and white space \x20 \x09-\x0D
     if not parts:
-        return 0
+        return np.zeros(width, np.uint64)
     joined = b" ".join(parts)
-    if len(parts) <= words:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    else:
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        ends = np.cumsum(sizes + 1) - 1
-        digest, n = xxhash.xxh64_intdigest, len(parts) - words + 1
-        starts = (ends - sizes)[:n].tolist()
-        hashes = np.fromiter([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)], np.uint64, n)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * bits > len(hashes), bitorder="little").tobytes(), "little")
-
-
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, print): the SimHash of each whole text, as a signed long."""
+    n = max(1, len(parts) - shingle + 1)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    ends = np.cumsum(sizes + 1) - 1
+    digest, starts = xxhash.xxh64_intdigest, (ends - sizes)[:n].tolist()
+    hashes = np.fromiter([digest(joined[a:b], SEED) for a, b in zip(starts, ends[-n:].tolist(), strict=True)], np.uint64, n)
+    votes = np.zeros(64 * width, np.int64)
+    for k in range(0, n, 4096):
+        own = hashes[k : k + 4096, None]
+        if width > 1:
+            own = np.concatenate((own, mix(own ^ mix(np.arange(1, width, dtype=np.uint64)))), axis=1)
+        votes += np.unpackbits(np.ascontiguousarray(own).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * votes > n, bitorder="little").view(np.uint64)
+
+
+def fingerprints(docs: DataFrame, shingle: int, width: int = 1) -> DataFrame:
+    """(doc_id, print): the SimHash of each whole text, as signed longs."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.fromiter((fingerprint(x.as_py(), words) for x in batch["text"]), np.uint64, len(batch))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            prints = [fingerprint(x.as_py(), shingle, width) for x in batch["text"]]
+            words = np.concatenate([np.zeros(0, np.uint64), *prints]).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1, dtype=np.int32) * width), pa.array(words))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], lists], ["doc_id", "print"])
+
+    return id_and_text(docs).mapInArrow(of, "doc_id long, print array<long>")
 
-    return id_and_text(docs).mapInArrow(of, "doc_id long, print long")
 
+def distances(prints: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(prints ^ other).sum(axis=-1, dtype=np.int32)
 
-def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links within ``left``, or between it and ``right``: no more links than fingerprints.
 
-    Rows of the pivot table are compared before fingerprints are, a block of rows at a time.
+def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links within ``left``, or between it and ``right``, as places: left, then right.
+
+    Rows of the pivot table are compared before fingerprints are. There are no more links than fingerprints.
     """
     other = left if right is None else right
-    table, tables = (np.bitwise_count(x[:, None] ^ REFERENCES).astype(np.int8) for x in (left, other))
-    every = left if right is None else np.concatenate((left, other))
-    root = np.arange(len(every))
+    own_table, table = (distances(x[:, None, :], REFERENCES[:, : x.shape[1]]) for x in (left, other))
+    shift = 0 if right is None else len(left)
+    root, found = list(range(len(left) + (0 if right is None else len(right)))), []
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -78,64 +96,80 @@ def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> tuple[np.nd
             x = root[x]
         return x
 
-    shift, a, b = 0 if right is None else len(left), [], []
     for i in range(len(left)):
         near = np.arange(i + 1 if right is None else 0, len(other))
         for k in range(PIVOTS):  # the largest difference of coordinates is a lower bound of the distance
-            near = near[np.abs(tables[near, k] - table[i, k]) <= bits]
+            near = near[np.abs(table[near, k] - own_table[i, k]) <= bits]
             if not len(near):
                 break
-        near = near[np.bitwise_count(other[near] ^ left[i]) <= bits]
-        for j in near:
-            x, y = find(i), find(int(j) + shift)
+        near = near[distances(other[near], left[i]) <= bits]
+        for j in near.tolist():
+            x, y = find(i), find(j + shift)
             if x != y:
                 root[max(x, y)] = min(x, y)
-                a.append(i)
-                b.append(int(j) + shift)
-    return every[a], every[b]
+                found.append((i, j + shift))
+    return found
+
+
+def meetings(prints: DataFrame, width: int, bits: int) -> DataFrame:
+    """(key, near, node): where each fingerprint meets others, and its distance to the first reference."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks = np.array(block_masks(bits), np.uint64) if width == 1 else None
+        for batch in batches:
+            for first in range(0, len(batch), 1_000):
+                part = batch.slice(first, 1_000)
+                words = part["print"].flatten().to_numpy().view(np.uint64).reshape(-1, width)
+                if masks is not None:
+                    keys = words & masks
+                else:
+                    every = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+                    keys = (every[:, SAMPLES].astype(np.uint64) << np.arange(BAND_BITS, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+                n = keys.shape[1]
+                keys = mix(keys ^ mix(np.arange(1, n + 1, dtype=np.uint64))).view(np.int64)  # of the way and the bits
+                near = distances(words, REFERENCES[0, :width]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(near, n)), pa.array(np.repeat(part["node"].to_numpy(), n))], ["key", "near", "node"])
+
+    return prints.mapInArrow(meet, "key long, near int, node long")
 
 
-def links(prints: DataFrame, bits: int) -> DataFrame:
-    """(a, b): links between distinct fingerprints of ``prints`` that connect all within ``bits`` bits.
+def links(prints: DataFrame, width: int, bits: int) -> DataFrame:
+    """(a, b): links between the nodes of ``prints`` (node, print) that connect all that meet within ``bits`` bits.
 
-    Fingerprints that meet under some blocks are compared within one group; large meetings are split first by the
-    distance to the first reference, whose values further apart than ``bits`` can't link, and by a hash of the
-    fingerprint, and every two parts that may link form a group. So a group never exceeds about twice MEETING.
+    Those that meet are compared within one group; large meetings are split first by the distance to the first
+    reference, whose values further apart than ``bits`` can't link, and by a hash of the node, and every two parts
+    that may link form a group. So a group never exceeds about twice MEETING.
     """
-    masks = block_masks(bits)
-    met = prints.select("print", F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(m - (m >> 63 << 64)).cast("long")) for m in masks])).alias("mask", "key"))
-    met = met.withColumn("near", F.bit_count(F.col("print").bitwiseXOR(F.lit(int(REFERENCES[:1].view(np.int64)[0])))))
+    met = meetings(prints, width, bits)
     # numbers of members: of each meeting, and of each of its distances
-    sizes = met.groupBy("mask", "key", "near").agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.groupBy("mask", "key").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("near", "n"))).alias("by_near")).where("total > 1")
-    met = met.join(total, ["mask", "key"])
+    sizes = met.groupBy("key", "near").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.groupBy("key").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("near", "n"))).alias("by_near")).where("total > 1")
+    met = met.join(total, "key").withColumn("by_near", F.when(F.col("total") > MEETING, F.col("by_near")))
     parts = lambda near: F.ceil(F.coalesce(F.element_at("by_near", near), F.lit(0)) / F.lit(MEETING)).cast("int")
-    own = F.struct(F.col("near").alias("near"), F.pmod(F.xxhash64("print"), parts(F.col("near"))).cast("int").alias("part"))
-    # every part of a distance at most ``bits`` away, unless the whole meeting is small
+    own = F.struct(F.col("near").alias("near"), F.pmod(F.xxhash64("node"), parts(F.col("near"))).cast("int").alias("part"))
     near_parts = F.flatten(F.transform(
         F.sequence(F.col("near") - bits, F.col("near") + bits),
         lambda d: F.when(parts(d) > 0, F.transform(F.sequence(F.lit(0), parts(d) - 1), lambda p: F.struct(d.alias("near"), p.alias("part")))).otherwise(F.array().cast("array<struct<near:int,part:int>>")),
     ))
     one = F.array(F.struct(F.lit(-1).alias("near"), F.lit(0).alias("part")))
-    met = met.withColumn("own", F.when(F.col("total") <= MEETING, one[0]).otherwise(own))
-    met = met.withColumn("other", F.explode(F.when(F.col("total") <= MEETING, one).otherwise(near_parts)))
-    members = F.collect_list(F.struct("print", (F.col("own") > F.col("other")).alias("right"))).alias("members")
-    groups = met.groupBy("mask", "key", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second")).agg(members)
+    met = met.withColumn("own", F.when(F.col("by_near").isNull(), one[0]).otherwise(own))
+    met = met.withColumn("other", F.explode(F.when(F.col("by_near").isNull(), one).otherwise(near_parts)))
+    met = met.select("key", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "node", (F.col("own") > F.col("other")).alias("right"))
+    members = F.collect_list(F.struct("node", "print", "right")).alias("members")
+    groups = met.join(prints, "node").groupBy("key", "first", "second").agg(members)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch["members"]
+            lists, a, b = batch["members"], [], []
             ends = lists.offsets.to_numpy()
-            prints = lists.values.field("print").to_numpy().view(np.uint64)
-            right = lists.values.field("right").to_numpy(zero_copy_only=False)
-            found = [np.zeros((2, 0), np.uint64)]
+            nodes, right = lists.values.field("node").to_numpy(), lists.values.field("right").to_numpy(zero_copy_only=False)
+            words = lists.values.field("print").flatten().to_numpy().view(np.uint64).reshape(-1, width)
             for alone, x, y in zip(batch["alone"].to_pylist(), ends, ends[1:], strict=False):
-                if alone:
-                    found.append(np.stack(linked(prints[x:y], None, bits)))
-                else:
-                    found.append(np.stack(linked(prints[x:y][~right[x:y]], prints[x:y][right[x:y]], bits)))
-            out = np.concatenate(found, axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+                order = np.arange(x, y) if alone else np.concatenate((x + np.flatnonzero(~right[x:y]), x + np.flatnonzero(right[x:y])))
+                cut = y - x if alone else int((~right[x:y]).sum())
+                for i, j in linked(words[order[:cut]], None if alone else words[order[cut:]], bits):
+                    a.append(nodes[order[i]])
+                    b.append(nodes[order[j]])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     groups = groups.select((F.col("first") == F.col("second")).alias("alone"), "members")
     return groups.mapInArrow(compare, "a long, b long").distinct()
@@ -162,20 +196,37 @@ def components(edges: DataFrame) -> DataFrame:
         state = after.select("node", F.col("new").alias("root"))
 
 
+def groups(docs: DataFrame, shingle: int, width: int, bits: int) -> DataFrame:
+    """(doc_id, print, component_id): each distinct fingerprint is compared once, whatever its copies."""
+    prints = stored(fingerprints(docs, shingle, width), "fingerprints")
+    # a class of equal fingerprints is named by its least doc_id, or by a hash where all are null
+    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
+    distinct = stored(distinct.select("print", "first", F.coalesce("first", F.xxhash64("print")).alias("node")), "classes")
+    roots = components(stored(links(distinct.select("node", "print"), width, bits), "links"))
+    named = distinct.join(roots, "node", "left").select("print", F.coalesce("root", "first").alias("component_id"))
+    return prints.join(named, "print")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
-    """Groups of documents that links between SimHash fingerprints connect.
+    """Groups of documents that links between 64-bit SimHash fingerprints connect; no link is missed.
 
     Shingles are ``words`` words of the text, A-Z lower-cased, repeats included; a shorter text is one shingle, a text
-    without words (a null one too) has fingerprint zero. Fingerprints link at ``bits`` or fewer differing bits. Each
-    distinct fingerprint is compared once, whatever its copies. Returns doc_id, fingerprint (16 hex digits) and
-    component_id (the smallest doc_id of the group) for each row. A null doc_id stays null and isn't a component's
-    name unless it stands alone; repeated rows are copies; an empty table gives no rows. Other columns go.
+    without words (a null one too) has fingerprint zero. Fingerprints link at ``bits`` or fewer differing bits. Returns
+    doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id of the group) for each row. A null doc_id
+    stays null and isn't a component's name unless no other is there; rows that repeat a doc_id are one document, those
+    that repeat a text copies; an empty table gives no rows. Other columns go.
     """
-    prints = stored(fingerprints(docs, words), "fingerprints")
-    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
-    roots = components(stored(links(distinct, bits), "links"))
-    found = distinct.join(roots, distinct["print"] == roots["node"], "left").select("print", "first", F.coalesce("root", "print").alias("root"))
-    names = found.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = found.join(names, "root").select("print", "component_id")
-    out = prints.join(named, "print")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    out = groups(docs, words, 1, bits)
+    return out.select("doc_id", F.lpad(F.lower(F.hex(F.get("print", F.lit(0)))), 16, "0").alias("fingerprint"), "component_id")
+
+
+def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id): groups of documents that similarities of their ``words``-word shingles connect.
+
+    Similarity is told from the differing bits of wide fingerprints: texts of Jaccard similarity s have the cosine
+    2 s / (1 + s), and a bit differs with the probability of their angle over pi. Texts at the threshold itself link
+    half the time, texts 0.05 above it nearly always; they meet as WORDS, BANDS and BAND_BITS say. Nulls, short and
+    repeated texts and empty tables are as in near_duplicates.
+    """
+    bits = int(64 * WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    return groups(docs, words, WORDS, bits).select("doc_id", "component_id")
