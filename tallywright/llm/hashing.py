@@ -15,7 +15,7 @@ import pyarrow as pa
 #: Bases of the polynomials; each is 5 modulo 8, so that its powers have the longest period.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED05, 0x8CB92BA72F3D8DD5)
 #: Bytes of text worked on at once; a single longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 400_000
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
