@@ -19,7 +19,7 @@ BUCKETS = KINDS << BITS
 #: At most so many labelled rows are used, those with the least hash of their doc_id: half fit, half set the cut.
 MOST_LABELS = 20_000
 #: Rejecting a good document counts as much as keeping so many bad ones when the cut is set.
-GOOD_COSTS = 20
+GOOD_COSTS = 10
 #: The target model is mixed with so much of the raw one, so that n-grams which a small sample lacks don't weigh too much.
 PRIOR = 0.05
 #: Share of the Gumbel noise in the sampling key; 1 samples in proportion to the weights, 0 takes the heaviest.
