@@ -1,6 +1,7 @@
 """The registered queries: contract, plans, and results against SQL on the smallest tables."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -28,7 +29,8 @@ def con(small):
 
 
 def test_contract(spark):
-    assert set(QUERIES) - set(SQL) == WITHOUT_SQL and set(SQL) <= set(QUERIES)
+    own = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}  # the others are tested in tests/llm
+    assert own - set(SQL) == WITHOUT_SQL and set(SQL) <= set(QUERIES)
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns[0] == "role_family"
 
