@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.operators.quantiles import ACCURACY, WHOLE_BELOW, ranked_bands, read_quantiles
+from tallywright.operators.quantiles import ranked_bands, read_quantiles
 
 _BLOCK = 1_000
 
@@ -59,11 +59,10 @@ def bootstrap_differences(
     """(differences, medians): one difference per iteration, flagged minus unflagged median."""
     sides = df.select(F.col(flag).cast("int").alias("side"), F.col(value).cast("double").alias("v"))
     sides = sides.where(F.col("side").isNotNull() & F.col("v").isNotNull())
-    # Twelve standard deviations of the median's rank (sqrt(n)/2) for every n taken by band.
-    margin = 4.0 / ACCURACY + 6.0 / WHOLE_BELOW ** 0.5
-    bands = ranked_bands(sides, ["side"], "v", [0.5], margin=margin)
+    # six square roots of n: twelve standard deviations of the median's rank
+    bands = ranked_bands(sides, ["side"], "v", [0.5], spread=6.0)
     medians = read_quantiles(bands, ["side"], [0.5], ["median"])
-    sizes = sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    sizes = medians.select("side", "n")
 
     spark = df.sparkSession
     starts = spark.range(0, -(-iterations // _BLOCK)).select(

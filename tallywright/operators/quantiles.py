@@ -2,69 +2,82 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer, which
 fails when a group holds billions of rows. Here a mergeable sketch first gives, per group
-and probability, two values that surely enclose the wanted order statistics. Rows outside
-these bands are only counted, which happens map-side, and only the thin bands are ordered.
-The answer is exact: the sketch merely decides what need not be sorted. Groups of at most
-``WHOLE_BELOW`` rows are ordered whole.
+and probability, values at a geometric grid of distances from it; the narrowest pair that
+surely encloses the wanted order statistics bounds a band. Rows outside the bands are only
+counted, which happens map-side, and the bands are ranked in two levels: cells of a band
+first, then the values of a cell. The answer is exact: the sketch merely decides what need
+not be sorted. The grid ends at the smallest and largest value, so one rule serves groups
+of any size.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The sketch is off by 1 / ACCURACY of the rows at most; bands allow for four times that.
 ACCURACY = 10_000
-WHOLE_BELOW = 10_000
+#: Cells of a band, of equal width in value.
+CELLS = 64
 
 
 def ranked_bands(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], margin: float | None = None,
-    min_n: int = 1,
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], spread: float = 0.0, min_n: int = 1,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Distinct values near the quantiles of each group, with their ranks.
 
-    ``[_start, _stop)`` are the 0-based ranks a value takes in the sorted group and ``_n`` is
-    the group's row count. A row with a null value stands for the rows of a gap between bands.
-    ``probs`` must ascend. The sketch is off by 1/ACCURACY of the rows at most; the bands reach
-    four times as far unless ``margin`` says otherwise, and a rank outside fails the query.
+    ``[_start, _stop)`` are the 0-based ranks a value takes in the sorted group, ``_n`` is the
+    group's row count and ``_x_...`` its ``extra`` aggregates. A row with a null value
+    stands for the rows of a gap between bands. ``probs`` must ascend. A band holds the ranks
+    within ``spread`` * sqrt(n) of its quantile, besides what the sketch's error and rounding
+    need; a rank outside fails the query.
     """
     keys = list(keys)
-    margin = 4.0 / ACCURACY if margin is None else margin
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ends = [min(1.0, max(0.0, p + side * margin)) for p in probs for side in (-1, 1)]
-    sketch = F.percentile_approx("_v", ends, ACCURACY)
-    limits = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), sketch.alias("_b"))
-        .where(F.col("_n") >= min_n)
-        .withColumn("_b", F.when(F.col("_n") > WHOLE_BELOW, F.col("_b")))
-    )
+    rows = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
+    steps = int(math.log2(ACCURACY / 4))
+    ends = [min(1.0, max(0.0, p + side * 2.0**-j)) for p in probs for j in range(steps + 1) for side in (-1, 1)]
+    limits = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, ACCURACY).alias("_grid"), *extra)
+    more = [F.col(c).alias(f"_x_{c}") for c in limits.columns[len(keys) + 2 :]]
+    limits = limits.where(F.col("_n") >= min_n)
+    need = F.lit(4.0 / ACCURACY) + F.lit(2.0) / F.col("_n") + F.lit(spread) / F.sqrt("_n")
+    step = F.least(F.lit(steps), F.greatest(F.lit(0), F.floor(-F.log2(need)))).cast("int")
+    pick = lambda i, side: F.get("_grid", 2 * (i * (steps + 1) + step) + side)
+    bands = [F.array(*[pick(i, side) for i in range(len(probs))]).alias(name) for side, name in ((0, "_low"), (1, "_high"))]
+    limits = limits.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", *more, *bands)
+    extras = [c for c in limits.columns if c.startswith("_x_")]
+    values = rows.select(*keys, "_v")
     if keys:
-        limits = limits.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", "_b")
-        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-        joined = rows.join(limits, same)
+        joined = values.join(limits, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     else:
-        joined = rows.withColumn("_p", limits.select(F.struct("_n", "_b")).scalar()).select("_v", "_p.*")
-    v, whole = F.col("_v"), F.col("_b").isNull()
-    lows = [F.col("_b")[2 * i] for i in range(len(probs))]
-    highs = [F.col("_b")[2 * i + 1] for i in range(len(probs))]
+        joined = values.withColumn("_p", limits.select(F.struct("*")).scalar()).select("_v", "_p.*")
+    v = F.col("_v")
+    lows, highs = ([F.get(name, F.lit(i)) for i in range(len(probs))] for name in ("_low", "_high"))
     passed = functools.reduce(operator.add, [(v > hi).cast("int") for hi in highs])
     inside = functools.reduce(operator.or_, [v.between(lo, hi) for lo, hi in zip(lows, highs)])
+    low, high = F.get("_low", F.col("_gap")), F.get("_high", F.col("_gap"))
+    cell = F.when(high > low, F.floor((F.col("_v") - low) / (high - low) * CELLS)).otherwise(F.lit(0)).cast("int")
     counted = (
-        joined.where(whole | (v <= highs[-1]))
-        .select(*keys, "_n", F.when(whole, 0).otherwise(passed).alias("_gap"), F.when(whole | inside, v).alias("_v"))
-        .groupBy(*keys, "_gap", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
+        joined.where(v <= highs[-1]).withColumn("_gap", passed)
+        .select(*keys, "_n", *extras, "_gap", F.when(inside, cell).otherwise(F.lit(-1)).alias("_cell"), F.when(inside, v).alias("_v"))
+        .groupBy(*keys, "_gap", "_cell", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in ("_n", *extras)])
     )
-    run = (
-        Window.partitionBy(*keys).orderBy("_gap", F.asc_nulls_first("_v"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # first level: at most (CELLS + 2) rows for each probability of a group
+    cells = counted.groupBy(*keys, "_gap", "_cell").agg(F.sum("_c").alias("_in_cell"))
+    before = Window.partitionBy(*keys).orderBy("_gap", "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_gap").alias("_k__gap"), F.col("_cell").alias("_k__cell"), F.coalesce(F.sum("_in_cell").over(before), F.lit(0)).alias("_before"),
     )
-    return counted.withColumn("_stop", F.sum("_c").over(run)).withColumn("_start", F.col("_stop") - F.col("_c"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in (*keys, "_gap", "_cell")]
+    run = Window.partitionBy(*keys, "_gap", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_stop", F.sum("_c").over(run)).join(cells, same).withColumn("_stop", F.col("_stop") + F.col("_before"))
+    return ranked.select(*keys, "_n", *extras, "_v", (F.col("_stop") - F.col("_c")).alias("_start"), "_stop")
 
 
 def _at_rank(rank: Column) -> Column:
@@ -76,7 +89,8 @@ def read_quantiles(
     bands: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str], n: str = "n"
 ) -> DataFrame:
     """Interpolated quantiles (inclusive definition) and the row count, read off the bands."""
-    aggs = [F.max("_n").alias("_n")]
+    extras = [c for c in bands.columns if c.startswith("_x_")]
+    aggs = [F.max("_n").alias("_n"), *[F.first(c).alias(c) for c in extras]]
     for p, name in zip(probs, names):
         spot = F.lit(p) * (F.col("_n") - 1)
         aggs += [_at_rank(F.floor(spot)).alias(f"{name}_lo"), _at_rank(F.ceil(spot)).alias(f"{name}_hi")]
@@ -87,7 +101,7 @@ def read_quantiles(
         exact = lo + (hi - lo) * (spot - F.floor(spot))
         found = F.when(lo.isNull() | hi.isNull(), outside).otherwise(exact)
         out.append(F.when(F.col("_n").isNotNull(), found).alias(name))
-    return bands.groupBy(*keys).agg(*aggs).select(*keys, F.coalesce("_n", F.lit(0)).alias(n), *out)
+    return bands.groupBy(*keys).agg(*aggs).select(*keys, F.coalesce("_n", F.lit(0)).alias(n), *out, *[F.col(c).alias(c[3:]) for c in extras])
 
 
 def group_stats(
@@ -104,14 +118,8 @@ def group_stats(
 
     Without keys the result is one row; over no rows it is n = 0 with null statistics.
     """
-    keys = list(keys)
-    stats = read_quantiles(ranked_bands(df, keys, value, probs, min_n=min_n), keys, probs, names, n)
-    if not extra:
-        return stats
-    # Plain mergeable aggregates; one narrow row per group is joined.
-    rows = df.where(F.col(value).isNotNull())
-    if not keys:
-        return stats.withColumn("_x", rows.agg(F.struct(*extra)).scalar()).select("*", "_x.*").drop("_x")
-    others = rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(*extra)
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return stats.join(others, same).drop(*[f"_k_{k}" for k in keys])
+    keys, extra = list(keys), list(extra)
+    stats = read_quantiles(ranked_bands(df, keys, value, probs, min_n=min_n, extra=extra if keys else ()), keys, probs, names, n)
+    if not keys and extra:  # a single row, which stays where there are no values
+        return stats.withColumn("_x", df.where(F.col(value).isNotNull()).agg(F.struct(*extra)).scalar()).select("*", "_x.*").drop("_x")
+    return stats

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -21,11 +22,10 @@ def values(spark):
     return rows, spark.createDataFrame(rows, "g string, v double").repartition(7)
 
 
-@pytest.mark.parametrize("whole", [10_000, 100])
-def test_group_quantiles_are_exact(values, monkeypatch, whole):
+@pytest.mark.parametrize("accuracy", [10_000, 1000])
+def test_group_quantiles_are_exact(values, monkeypatch, accuracy):
     rows, df = values
-    monkeypatch.setattr(quantiles, "WHOLE_BELOW", whole)
-    monkeypatch.setattr(quantiles, "ACCURACY", 1000)
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
     probs = (0.01, 0.25, 0.5, 0.75, 1.0)
     names = [f"q{i}" for i in range(5)]
     got = quantiles.group_stats(df, ["g"], "v", probs, names, extra=[F.avg("v").alias("mean")]).collect()
@@ -43,6 +43,26 @@ def test_group_quantiles_are_exact(values, monkeypatch, whole):
     assert np.allclose([total[x] for x in names], np.quantile(every, probs), rtol=1e-12)
 
 
+def test_quantiles_of_every_small_size(spark):
+    rows = [(n, float(v * v)) for n in range(1, 60) for v in range(n)]
+    probs, names = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0), list("abcdef")
+    got = quantiles.group_stats(spark.createDataFrame(rows, "g int, v double"), ["g"], "v", probs, names).collect()
+    for r in got:
+        assert np.allclose([r[x] for x in names], np.quantile([v * v for v in range(r["g"])], probs), rtol=1e-12)
+
+
+def test_bands_are_thin_and_ranked_in_cells(spark):
+    """2 million rows a group: a bootstrap band holds some sqrt(n), and no window sorts data rows in one partition."""
+    df = spark.range(4_000_000).selectExpr("id % 2 AS g", "cast(xxhash64(id) as double) AS v")
+    bands = quantiles.ranked_bands(df, ["g"], "v", [0.5], spread=6.0)
+    inside = [r["n"] for r in bands.where("_v is not null").groupBy("g").agg(F.sum(F.col("_stop") - F.col("_start")).alias("n")).collect()]
+    assert len(inside) == 2 and all(n < 25 * 2_000_000**0.5 for n in inside)
+    plan = quantiles.ranked_bands(df, [], "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert len(windows) == 2 and sum(bool(re.search(r"\[_gap#\d+, _cell#\d+\], \[_v#", x)) for x in windows) == 1
+    assert sum("sum(_in_cell" in x for x in windows) == 1  # over sums of cells, which are few
+
+
 def test_quantiles_of_nothing_and_threshold(values):
     _, df = values
     assert quantiles.group_stats(df.where("false"), [], "v").collect() == [(0, None)]
