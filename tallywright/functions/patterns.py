@@ -69,7 +69,9 @@ def found_sql(text: str, patterns: Sequence[str]) -> str:
 
     A byte search decides most rows; the regular expression runs only where it can match.
     """
-    regex = f"rlike({text}, {quoted('(?U)' + '|'.join(f'(?:{_literal_first(p)})' for p in patterns))})"
+    # the text is in lower case: rules written in capitals are matched without regard to case
+    flags = "(?iU)" if any(re.search(r"(?<!\\)[A-Z]", p) for p in patterns) else "(?U)"
+    regex = f"rlike({text}, {quoted(flags + '|'.join(f'(?:{_literal_first(p)})' for p in patterns))})"
     needed = [needed_texts(p) for p in patterns]
     if not all(needed):
         return regex

@@ -11,6 +11,7 @@ from tallywright.functions import fixed
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _MARK = "\u0001 "
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def clean_text(c: Column) -> Column:
@@ -64,7 +65,7 @@ def parse_bool(c: Column, on_unknown: str = "false") -> Column:
     ``false``: null and unknown text are false. ``null``: null stays null.
     ``error``: text outside both fixed lists fails the query.
     """
-    text = F.lower(F.trim(c.cast("string")))
+    text = F.when(c.isNotNull(), F.lower(clean_text(c)))
     truth = F.coalesce(text.isin(fixed.TRUE_TEXTS), F.lit(False))
     if on_unknown == "false":
         return truth
@@ -82,8 +83,8 @@ def to_number(c: Column, thousands: bool = False) -> Column:
     text = c.cast("string")
     if thousands:
         text = F.replace(text, F.lit(","), F.lit(""))
-    number = F.trim(text).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    text = clean_text(text)
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def fill_label(c: Column, label: str = fixed.NOT_SPECIFIED) -> Column:
@@ -91,7 +92,7 @@ def fill_label(c: Column, label: str = fixed.NOT_SPECIFIED) -> Column:
 
 
 def is_placeholder(c: Column, names: list[str] = fixed.PLACEHOLDER_NAMES) -> Column:
-    return F.coalesce(F.lower(F.trim(c)), F.lit("")).isin(names)
+    return F.lower(clean_text(c)).isin(names)
 
 
 def to_lakh(c: Column) -> Column:

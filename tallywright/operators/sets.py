@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
@@ -16,6 +18,18 @@ def require_columns(df: DataFrame, names) -> DataFrame:
     return df
 
 
+def apply_filters(df: DataFrame, filters: Sequence[Column]) -> DataFrame:
+    for condition in filters:
+        df = df.where(condition)
+    return df
+
+
+def filtered_tags(jobs: DataFrame, bridge: DataFrame, filters: Sequence[Column] = (), entity: str = "job_id") -> tuple[DataFrame, DataFrame]:
+    """The jobs that pass ``filters``, and their tags: filters act on tags through the id."""
+    jobs = apply_filters(jobs, filters)
+    return jobs, bridge.join(jobs.select(entity), entity, "left_semi")
+
+
 def has_tag(
     df: DataFrame, bridge: DataFrame, value: str = fixed.COMPARED_TAG, entity: str = "job_id", tag: str = "skill",
     flag: str = "has_tag",

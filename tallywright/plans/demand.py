@@ -7,6 +7,8 @@ be aggregated on its key before a dimension is joined.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tallywright.functions.calendar import period_label
 from tallywright.functions.labels import label_order
 from tallywright.functions.text import round_to, safe_pct, source_family, source_provider
 from tallywright.operators.pairs import pair_counts
+from tallywright.operators.sets import filtered_tags
 from tallywright.operators.shares import (
     count_by, cumulative, demand_rank, reindex, row_total, share, top_k, total_of,
 )
@@ -221,7 +224,8 @@ def tag_counts(bridge: DataFrame) -> DataFrame:
     return bridge.groupBy("skill", "skill_category").agg(F.count(F.lit(1)).alias("job_count"))
 
 
-def tag_demand(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
+def tag_demand(jobs: DataFrame, bridge: DataFrame, filters: Sequence[Column] = ()) -> DataFrame:
+    jobs, bridge = filtered_tags(jobs, bridge, filters)
     tagged = row_total(bridge.select("job_id").distinct())
     out = tag_counts(bridge).withColumns({
         "share_of_all_jobs_pct": round_to(safe_pct(F.col("job_count"), row_total(jobs)), 2),
@@ -230,7 +234,8 @@ def tag_demand(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
     return demand_rank(out, "job_count", "skill_demand_rank", bounded=True).orderBy(F.desc("job_count"), "skill")
 
 
-def tag_coverage(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
+def tag_coverage(jobs: DataFrame, bridge: DataFrame, filters: Sequence[Column] = ()) -> DataFrame:
+    jobs, bridge = filtered_tags(jobs, bridge, filters)
     return share(tag_counts(bridge), "job_count", total=row_total(jobs)).orderBy(F.desc("job_count"), "skill")
 
 

@@ -11,19 +11,13 @@ from tallywright.functions import fixed
 from tallywright.functions.text import pair_label, safe_ratio, to_lakh
 from tallywright.operators.pairs import pair_counts
 from tallywright.operators.quantiles import group_stats
-from tallywright.operators.sets import has_tag
+from tallywright.operators.sets import apply_filters, filtered_tags, has_tag
 from tallywright.operators.shares import count_by, row_total, top_k, total_of
 from tallywright.plans.demand import known_employer, period_totals, specific_city, tag_period_counts
 
 VALUE = "salary_midpoint"
 
 
-def apply_filters(jobs: DataFrame, filters: Sequence[Column]) -> DataFrame:
-    for condition in filters:
-        jobs = jobs.where(condition)
-    return jobs
-
-
 def _scalars(jobs: DataFrame, keys: list[str]) -> DataFrame:
     n = F.count(F.lit(1))
     is_role = F.col("role_family") == fixed.OTHER_ROLE
@@ -140,14 +134,15 @@ def top_companies(jobs: DataFrame, k: int = 15, weight: str | None = None) -> Da
     return top_k(counts, "job_count", k, ties=True, rank="company_rank")
 
 
-def tag_table(jobs: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Entities per tag and their share of all entities."""
+def tag_table(jobs: DataFrame, bridge: DataFrame, filters: Sequence[Column] = ()) -> DataFrame:
+    """Entities per tag and their share of all entities, of those that pass ``filters``."""
+    jobs, bridge = filtered_tags(jobs, bridge, filters)
     counts = bridge.groupBy("skill").agg(F.count(F.lit(1)).alias("skill_jobs"))
     return counts.withColumn("skill_share", safe_ratio(F.col("skill_jobs"), row_total(jobs)))
 
 
-def top_tags(jobs: DataFrame, bridge: DataFrame, k: int = 15) -> DataFrame:
-    return top_k(tag_table(jobs, bridge), "skill_jobs", k, ties=True, rank="skill_rank")
+def top_tags(jobs: DataFrame, bridge: DataFrame, k: int = 15, filters: Sequence[Column] = ()) -> DataFrame:
+    return top_k(tag_table(jobs, bridge, filters), "skill_jobs", k, ties=True, rank="skill_rank")
 
 
 def tag_period_shares(jobs: DataFrame, bridge: DataFrame, top: int | None = None) -> DataFrame:
@@ -173,8 +168,13 @@ def tag_period_shares(jobs: DataFrame, bridge: DataFrame, top: int | None = None
                        change.alias("change_pp"))
 
 
-def top_pairs(bridge: DataFrame, k: int = 10) -> DataFrame:
-    """Pairs of the ``k`` highest counts, ties included, with their share of tagged entities."""
+def top_pairs(bridge: DataFrame, k: int = 10, jobs: DataFrame | None = None, filters: Sequence[Column] = ()) -> DataFrame:
+    """Pairs of the ``k`` highest counts, ties included, with their share of tagged entities.
+
+    With ``jobs``, of the tags of those that pass ``filters``.
+    """
+    if jobs is not None:
+        _, bridge = filtered_tags(jobs, bridge, filters)
     pairs = top_k(pair_counts(bridge, n="pair_jobs"), "pair_jobs", k, ties=True, rank="pair_rank")
     tagged = row_total(bridge.select("job_id").distinct())
     return pairs.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
 from tallywright.functions.calendar import calendar
-from tallywright.functions.text import parse_bool
+from tallywright.functions.text import clean_text, parse_bool
 from tallywright.operators.quality import expect, expect_foreign_key, expect_unique, union_reports
 
 
@@ -46,8 +46,8 @@ def surrogate(df: DataFrame, natural: Sequence[str], name: str, method: str = "h
 
 
 def _company(c: str = "company_name") -> Column:
-    trimmed = F.trim(F.col(c))
-    return F.when(F.coalesce(trimmed, F.lit("")) == "", fixed.UNKNOWN_COMPANY).otherwise(trimmed)
+    trimmed = clean_text(F.col(c))
+    return F.when(trimmed == "", fixed.UNKNOWN_COMPANY).otherwise(trimmed)
 
 
 _PLACE = ["city", "state", "location_name", "location_scope"]

@@ -8,7 +8,7 @@ from tallywright.functions.text import round_to
 from tallywright.operators.pairs import tag_sets
 from tallywright.operators.sets import difference, intersection, with_tag_flag
 from tallywright.plans import demand, kpi, reports
-from tallywright.registry.base_sql import pct, r2, with_ctes
+from tallywright.registry.base_sql import CTES, pct, r2, with_ctes
 from tallywright.sources import bindings as b
 
 
@@ -37,6 +37,14 @@ def full_jobs(spark, root):
     return with_tag_flag(b.with_employer(b.jobs(spark, root), spark, root), b.bridge(spark, root))
 
 
+def _slicers():
+    """Date range and role list, as a report page would set them."""
+    return [
+        F.col("posted_date").between(F.lit("1996-01-01").cast("date"), F.lit("2000-06-30").cast("date")),
+        F.col("role_family").isin("1-URGENT", "2-HIGH"),
+    ]
+
+
 QUERIES = {
     "overview": lambda s, r: demand.overview(full_jobs(s, r)),
     "overview_metrics": lambda s, r: reports.overview_metrics(full_jobs(s, r), b.bridge(s, r)),
@@ -81,6 +89,9 @@ QUERIES = {
     "tag_period_shares": _both(kpi.tag_period_shares),
     "tag_period_shares_top": _both(lambda j, t: kpi.tag_period_shares(j, t, top=10)),
     "top_pairs": _bridge(kpi.top_pairs),
+    "top_tags_filtered": _both(lambda j, t: kpi.top_tags(j, t, filters=_slicers())),
+    "tag_demand_filtered": _both(lambda j, t: demand.tag_demand(j, t, _slicers())),
+    "top_pairs_filtered": _both(lambda j, t: kpi.top_pairs(t, jobs=j, filters=_slicers())),
 }
 
 _ROLE = f"""
@@ -267,3 +278,9 @@ _SQL = {
         FROM ({_rank("SELECT * FROM pairs", 'pair_rank', 'n')}) WHERE pair_rank <= 10""",
 }
 ORACLES = {name: with_ctes(sql) for name, sql in _SQL.items()}
+_FILTERED = {
+    "jobs": f"""{CTES["jobs"]} WHERE role_family IN ('1-URGENT', '2-HIGH')
+        AND posted_date BETWEEN DATE '1996-01-01' AND DATE '2000-06-30'""",
+    "br": f"SELECT * FROM ({CTES['br']}) WHERE job_id IN (SELECT job_id FROM jobs)",
+}
+ORACLES |= {f"{name}_filtered": with_ctes(_SQL[name], _FILTERED) for name in ("top_tags", "tag_demand", "top_pairs")}

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own_folder: str | None = None
+
 
 def build_session(app: str = "tallywright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every plan here relies on.
@@ -31,35 +34,32 @@ def build_session(app: str = "tallywright", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors share, named by ``spark.checkpoint.dir``; None where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a session on one machine gets a temporary one; a cluster's fails.
+    """
+    global _own_folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    _own_folder = _own_folder or tempfile.mkdtemp(prefix="tallywright-")
+    return _own_folder
 
 
-def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared folder and read it back.
+def materialize(df: DataFrame, folder: str | None = None, name: str = "table") -> DataFrame:
+    """Write ``df`` once as a Parquet table in ``folder`` (the shared one by default) and read it back.
 
     For a frame that several results are read from: it is computed once, its lineage ends in
-    files that outlive any executor, and later reads still prune columns. Where no shared folder
-    is known the frame is returned as it is, and each result computes it.
+    files that outlive any executor, and later reads still prune columns. Tables stay until
+    whoever owns the folder removes them, as results read them lazily.
     """
     spark = df.sparkSession
-    folder = folder or shared_folder(spark)
-    if not folder:
-        return df
-    path = f"{folder.rstrip('/')}/tallywright-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a plain scan at least one partition per core, for text work that outweighs a shuffle.
-
-    A scan of a large table has far more splits than that and is returned untouched; only one
-    with few, unsplittable files is dealt out.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_cores() -> str:

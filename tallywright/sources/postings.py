@@ -42,17 +42,19 @@ def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = fixed.NULL_TOKENS
     return df.withColumns({c: F.when(~F.col(c).isin(list(tokens)), F.col(c)) for c in texts})
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Declared schema matched to the header by name; columns absent from the file are null.
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+    """Declared schema matched to the header by name; optional columns absent from the files are null.
 
-    A quoted cell may span lines, so one file is one task: give many files, not one large one.
+    A file whose header has not the columns of the first one in the same order fails the
+    query, and so does a missing ``required`` column, before any job. A quoted cell may span
+    lines, so one file is one task: give many files, not one large one.
     """
     options = {"header": True, "multiLine": True, "escape": '"', "encoding": "UTF-8"}
     header = spark.read.options(**options).csv(path).columns
-    names = [c.lstrip("﻿") for c in header]
-    text = spark.read.options(**options).schema(
-        T.StructType([T.StructField(c, T.StringType()) for c in names])
-    ).csv(path)
+    text = spark.read.options(**options, enforceSchema=False).schema(
+        T.StructType([T.StructField(c, T.StringType()) for c in header])
+    ).csv(path).toDF(*[c.lstrip("﻿") for c in header])
+    names = require_columns(text, required).columns
     wanted = [F.col(f.name) if f.name in names else F.lit(None).cast("string").alias(f.name) for f in schema.fields]
     return null_tokens_to_null(text.select(*wanted))
 
@@ -60,7 +62,7 @@ def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def read_postings(spark: SparkSession, path: str, schema: T.StructType = POSTING_SCHEMA, fmt: str = "csv") -> DataFrame:
     """Raw postings; every column is text, so ids keep their form and bad numbers stay visible."""
     if fmt == "csv":
-        return _read_csv(spark, path, schema)
+        return _read_csv(spark, path, schema, REQUIRED_POSTING)
     df = require_columns(spark.read.format(fmt).load(path), REQUIRED_POSTING)
     names = df.columns
     return df.select(*[
@@ -100,7 +102,7 @@ def read_clean(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 def read_clean_csv(spark: SparkSession, jobs_path: str, bridge_path: str) -> tuple[DataFrame, DataFrame]:
     """(jobs, bridge) from delimited exports: dates, numbers and flags parsed, bad cells null."""
-    jobs = _read_csv(spark, jobs_path, T.StructType([T.StructField(c, T.StringType()) for c in fixed.CLEAN_COLUMNS]))
+    jobs = _read_csv(spark, jobs_path, T.StructType([T.StructField(c, T.StringType()) for c in fixed.CLEAN_COLUMNS]), REQUIRED_CLEAN)
     jobs = jobs.withColumns({
         "created_at": F.try_to_timestamp("created_at"),
         "posted_date": F.col("posted_date").try_cast("date"),
@@ -112,8 +114,8 @@ def read_clean_csv(spark: SparkSession, jobs_path: str, bridge_path: str) -> tup
         **{c: to_number(F.col(c)) for c in _NUMBERS},
         **{c: parse_bool(F.col(c)) for c in _FLAGS},
     })
-    bridge = _read_csv(spark, bridge_path, T.StructType([T.StructField(c, T.StringType()) for c in REQUIRED_BRIDGE]))
-    return require_columns(jobs, REQUIRED_CLEAN), require_columns(bridge, REQUIRED_BRIDGE)
+    bridge = _read_csv(spark, bridge_path, T.StructType([T.StructField(c, T.StringType()) for c in REQUIRED_BRIDGE]), REQUIRED_BRIDGE)
+    return jobs, bridge
 
 
 def write_results(results: dict[str, DataFrame], root: str, fmt: str = "csv") -> None:

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.plans import clean, kpi, reports, star
-from tallywright.session import build_session, materialize, spread
+from tallywright.functions.patterns import found_sql, search_text
+from tallywright.functions.text import is_placeholder, parse_bool, to_number
+from tallywright.plans import clean, demand, kpi, reports, star
+from tallywright.session import build_session, materialize
 from tallywright.sources import postings as src
 
 HEADER = "job_id,source,title,company_name,location_name,description,created,salary_min,salary_max,salary_is_predicted"
@@ -122,8 +124,55 @@ def test_kpis_follow_filters(tables):
     assert by == {"Data Analyst": 2, "Business Analyst": 1, "BI Analyst": 1}
 
 
-def test_shared_tables_and_spread(spark, tmp_path):
+def test_shared_tables(spark, tmp_path):
     df = spark.range(10)
     assert materialize(df, str(tmp_path)).count() == 10
-    assert spread(df.coalesce(1)).count() == 10
+    assert materialize(df).count() == 10  # no folder is named: a local session has its own
     assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_filters_act_on_tags(tables):
+    jobs, bridge = tables
+    pune = [F.col("city") == "Pune"]
+    ids = {r["job_id"] for r in jobs.where(pune[0]).collect()}
+    some = bridge.where(F.col("job_id").isin(list(ids)))
+    wanted = {r["skill"]: r["count"] for r in some.groupBy("skill").count().collect()}
+    found = {r["skill"]: r for r in kpi.tag_table(jobs, bridge, pune).collect()}
+    assert {k: r["skill_jobs"] for k, r in found.items()} == wanted and all(r["skill_share"] <= 1 for r in found.values())
+    assert {r["skill"]: r["job_count"] for r in demand.tag_demand(jobs, bridge, pune).collect()} == wanted
+    assert {r["skill"]: r["job_count"] for r in demand.tag_coverage(jobs.where(pune[0]), bridge).collect()} == wanted
+    assert all(r["share_of_tagged_jobs"] <= 1 for r in kpi.top_pairs(bridge, jobs=jobs, filters=pune).collect())
+
+
+def _csv(folder, **files):
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def test_csv_headers_are_checked(spark, tmp_path):
+    columns = src.REQUIRED_POSTING
+    row = ",".join(f"v{k}" for k in range(len(columns)))
+    same, other, short = tmp_path / "same", tmp_path / "other", tmp_path / "short"
+    for folder in (same, other, short):
+        folder.mkdir()
+    header = ",".join(columns)
+    assert src.read_postings(spark, _csv(same, a=f"{header}\n{row}\n", b=f"{header}\n{row}\n")).count() == 2
+    swapped = ",".join([columns[1], columns[0], *columns[2:]])
+    with pytest.raises(Exception, match="(?i)header"):
+        src.read_postings(spark, _csv(other, a=f"{header}\n{row}\n", b=f"{swapped}\n{row}\n")).collect()
+    with pytest.raises(ValueError, match="description"):
+        src.read_postings(spark, _csv(short, a=header.replace("description,", "") + "\n"))
+    with pytest.raises(ValueError, match="posted_date"):
+        src.read_clean_csv(spark, _csv(short, a=header.replace("description,", "") + "\n"), str(short))
+
+
+def test_white_space_and_number_texts(spark):
+    df = spark.createDataFrame([("Test\t", "10d", "true\n"), ("test\u2003", "5f", "\tYES"), ("Best", "0x1p3", None), ("x", " -1.5e3 ", "no")], "name string, n string, b string")
+    rows = df.select(is_placeholder(F.col("name"), ["test"]).alias("p"), to_number(F.col("n")).alias("n"), parse_bool(F.col("b"), "null").alias("b")).collect()
+    assert [tuple(r) for r in rows] == [(True, None, True), (True, None, True), (False, None, None), (False, -1500.0, False)]
+
+
+def test_rules_in_capitals(spark):
+    df = spark.createDataFrame([("We use sql daily",), ("nothing",)], "t string").select(search_text(F.col("t")).alias("t"))
+    assert [r[0] for r in df.select(F.expr(found_sql("t", [r"\bSQL\b"]))).collect()] == [True, False]
