@@ -72,12 +72,16 @@ def parse_bool(c: Column, on_unknown: str = "false") -> Column:
     if on_unknown == "null":
         return F.when(text.isNotNull(), truth)
     if on_unknown == "error":
-        odd = text.isNotNull() & ~text.isin(fixed.TRUE_TEXTS + fixed.FALSE_TEXTS)
         failure = F.raise_error(F.concat(F.lit("unexpected boolean value: "), text)).cast("boolean")
-        return F.when(odd, failure).otherwise(truth)
+        return F.when(odd_bool(c), failure).otherwise(truth)
     raise ValueError(f"on_unknown must be false, null or error, not {on_unknown!r}")
 
 
+def odd_bool(c: Column) -> Column:
+    """Text outside both fixed lists of booleans."""
+    return c.isNotNull() & ~F.lower(clean_text(c)).isin(fixed.TRUE_TEXTS + fixed.FALSE_TEXTS)
+
+
 def to_number(c: Column, thousands: bool = False) -> Column:
     """Double, or null for text that is no number; ``thousands`` drops commas first."""
     text = c.cast("string")

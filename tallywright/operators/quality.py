@@ -37,6 +37,12 @@ def expect_count(df: DataFrame, expected: int, rule: str) -> DataFrame:
     return _report(df.agg(F.abs(F.count(F.lit(1)) - F.lit(expected)).alias(rule)))
 
 
+def expect_sum(parts: DataFrame, n: str, df: DataFrame, rule: str) -> DataFrame:
+    """Difference between the sum of counts and the number of rows they count."""
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return _report(parts.agg(F.abs(F.coalesce(F.sum(n), F.lit(0)) - rows).alias(rule)))
+
+
 def expect_recomputed(df: DataFrame, flag: str, again: Column, rule: str) -> DataFrame:
     """Rows whose stored flag differs from its recomputation."""
     return expect(df, {rule: ~F.col(flag).eqNullSafe(again)})

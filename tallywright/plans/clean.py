@@ -10,7 +10,7 @@ from tallywright.functions.calendar import in_window, month_key, recent_flag, we
 from tallywright.functions.extract import extract_range, extract_tags
 from tallywright.functions.patterns import map_sql, quoted, search_text
 from tallywright.functions.pay import normalize_amounts
-from tallywright.functions.text import clean_text, is_placeholder, source_family, source_provider, to_number
+from tallywright.functions.text import clean_text, is_placeholder, odd_bool, parse_bool, source_family, source_provider, to_number
 from tallywright.operators.names import canonicalize
 from tallywright.operators.quality import expect, expect_count, expect_unique, union_reports
 
@@ -128,6 +128,8 @@ def clean_rules() -> dict[str, Column]:
         "eligible_pay_not_positive": eligible & ((low <= 0) | (high <= 0)),
         "eligible_pay_unordered": eligible & (high < low),
         "eligible_pay_midpoint": eligible & (F.abs(mid - (low + high) / 2) > 0.01),
+        "eligible_but_predicted": eligible & parse_bool(F.col("salary_is_predicted")),
+        "unexpected_boolean_text": odd_bool(F.col("salary_is_predicted")),
         "week_not_monday": F.col("is_complete_week") & (F.weekday("week_start") != 0),
         "years_range": (years < 0) | (F.col("experience_max_years") < years),
         "negative_skill_count": F.col("skill_count") < 0,

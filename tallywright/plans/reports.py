@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.calendar import recent_flag
+from tallywright.functions.calendar import recent_flag, with_complete_week
 from tallywright.functions.text import lakh_text, round_to, safe_pct
 from tallywright.operators.bootstrap import bootstrap_diff
 from tallywright.operators.names import ascii_key
 from tallywright.operators.quality import (
-    expect, expect_count, expect_foreign_key, expect_recomputed, expect_unique, union_reports,
+    expect, expect_count, expect_foreign_key, expect_recomputed, expect_sum, expect_unique, union_reports,
 )
 from tallywright.operators.shares import row_total
 from tallywright.plans import demand, pay, trends
@@ -80,6 +80,8 @@ def quality_report(
         expect_foreign_key(bridge, jobs, "job_id", "bridge_without_job"),
         expect_unique(ascii_key(names, "company_name"), ["name_key"], "employer_spellings"),
         expect_recomputed(jobs, "is_recent_90d", recent_flag(F.col("posted_date"), end), "recent_flag"),
+        expect_recomputed(with_complete_week(jobs, "posted_date", flag="_again"), "is_complete_week", F.col("_again"), "complete_week_flag"),
+        expect_sum(demand.role_demand(jobs), "job_count", jobs, "role_totals_difference"),
     ]
     if expected_rows is not None:
         reports.append(expect_count(jobs, expected_rows, "row_count_difference"))

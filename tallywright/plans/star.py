@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallywright.functions import fixed
 from tallywright.functions.calendar import calendar
 from tallywright.functions.text import clean_text, parse_bool
-from tallywright.operators.quality import expect, expect_foreign_key, expect_unique, union_reports
+from tallywright.operators.quality import expect, expect_count, expect_foreign_key, expect_unique, union_reports
 
 
 @dataclass(frozen=True)
@@ -149,12 +149,17 @@ def register_views(star: Star) -> None:
     job_tags(star).createOrReplaceTempView("vw_job_skills")
 
 
-def star_report(star: Star) -> DataFrame:
-    """Constraints of the star as expectations: unique keys, parents, value checks."""
+def star_report(star: Star, expected_rows: Mapping[str, int] = {}) -> DataFrame:
+    """Constraints of the star as expectations: unique keys, parents, value checks, pinned row counts."""
     f = star.fact_jobs
     low, high, mid = F.col("salary_min"), F.col("salary_max"), F.col("salary_midpoint")
     lo, hi, eligible = F.col("experience_min_years"), F.col("experience_max_years"), F.col("salary_analysis_eligible")
     return union_reports(
+        *[expect_count(getattr(star, name), n, f"rows_of_{name}") for name, n in expected_rows.items()],
+        expect_unique(star.dim_role, ["role_key"], "role_key_unique"),
+        expect_unique(star.dim_skill, ["skill_key"], "skill_key_unique"),
+        expect_foreign_key(f, star.dim_role, "role_key", "role_parent"),
+        expect_foreign_key(star.bridge_job_skill, star.dim_skill, "skill_key", "bridge_skill_parent"),
         expect_unique(star.dim_company, ["company_key"], "company_key_unique"),
         expect_unique(star.dim_location, ["location_key"], "location_key_unique"),
         expect_unique(f, ["job_key"], "job_key_unique"),

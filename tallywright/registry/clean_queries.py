@@ -318,8 +318,8 @@ _RUN = {
 _RULES = [
     "placeholder_names", "band_without_years", "top_band_too_low", "city_is_country", "country_scope",
     "eligible_pay_missing", "eligible_pay_not_positive", "eligible_pay_unordered", "eligible_pay_midpoint",
-    "week_not_monday", "years_range", "negative_skill_count", "repeated_job_ids", "repeated_job_skill_pairs",
-    "bridge_without_job", "employer_spellings", "recent_flag",
+    "eligible_but_predicted", "unexpected_boolean_text", "week_not_monday", "years_range", "negative_skill_count", "repeated_job_ids", "repeated_job_skill_pairs",
+    "bridge_without_job", "employer_spellings", "recent_flag", "complete_week_flag", "role_totals_difference",
 ]
 
 _SQL = {

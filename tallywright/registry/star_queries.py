@@ -82,6 +82,7 @@ _EXTRA = {
         FROM (SELECT * EXCLUDE (week_start) FROM cj) cj JOIN kept ON kept.job_id = cj.job_id""",
 }
 _CONSTRAINTS = [
+    "role_key_unique", "skill_key_unique", "role_parent", "bridge_skill_parent",
     "company_key_unique", "location_key_unique", "job_key_unique", "job_id_unique", "bridge_unique", "company_parent",
     "location_parent", "date_parent", "bridge_job_parent", "years_negative", "years_unordered", "pay_not_positive",
     "pay_unordered", "eligible_pay_missing", "skill_count_negative", "title_missing", "month_range", "weekday_range",
