@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.operators.quantiles import ranked_bands, read_quantiles
+from tallywright.operators.quantiles import at_rank, ranked_bands, read_quantiles
 
 _BLOCK = 1_000
 
@@ -99,6 +99,19 @@ def bootstrap_differences(
     return differences, medians
 
 
+def rank_bounds(df: DataFrame, flag: str, value: str, deviations: float = 6.0) -> DataFrame:
+    """(low, high): the differences of the values so many standard deviations of a resampled median's rank around the
+    middle of each side, between which the ends of any interval lie."""
+    sides = df.select(F.col(flag).cast("int").alias("side"), F.col(value).cast("double").alias("v"))
+    bands = ranked_bands(sides.where(F.col("side").isNotNull()), ["side"], "v", [0.5], spread=deviations)
+    middle, reach = (F.col("_n") - 1) / 2, deviations * F.sqrt("_n") / 2
+    ends = bands.groupBy("side").agg(
+        at_rank(F.greatest(F.lit(0), F.floor(middle - reach))).alias("a"), at_rank(F.least(F.col("_n") - 1, F.ceil(middle + reach))).alias("b"),
+    )
+    of = lambda side, end: F.max(F.when(F.col("side") == side, F.col(end)))
+    return ends.agg((of(1, "a") - of(0, "b")).alias("low"), (of(1, "b") - of(0, "a")).alias("high"))
+
+
 def bootstrap_diff(
     df: DataFrame, flag: str, value: str, iterations: int = fixed.BOOTSTRAP_ITERATIONS,
     seed: int = fixed.BOOTSTRAP_SEED, level: float = 0.95,

@@ -80,7 +80,7 @@ def ranked_bands(
     return ranked.select(*keys, "_n", *extras, "_v", (F.col("_stop") - F.col("_c")).alias("_start"), "_stop")
 
 
-def _at_rank(rank: Column) -> Column:
+def at_rank(rank: Column) -> Column:
     inside = F.col("_v").isNotNull() & (F.col("_start") <= rank) & (rank < F.col("_stop"))
     return F.max(F.when(inside, F.col("_v")))
 
@@ -93,7 +93,7 @@ def read_quantiles(
     aggs = [F.max("_n").alias("_n"), *[F.first(c).alias(c) for c in extras]]
     for p, name in zip(probs, names):
         spot = F.lit(p) * (F.col("_n") - 1)
-        aggs += [_at_rank(F.floor(spot)).alias(f"{name}_lo"), _at_rank(F.ceil(spot)).alias(f"{name}_hi")]
+        aggs += [at_rank(F.floor(spot)).alias(f"{name}_lo"), at_rank(F.ceil(spot)).alias(f"{name}_hi")]
     outside = F.raise_error("quantile rank outside its sketch band").cast("double")
     out = []
     for p, name in zip(probs, names):

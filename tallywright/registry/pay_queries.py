@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywright.functions.text import disclosure_status, round_to
-from tallywright.operators.bootstrap import bootstrap_diff, bootstrap_differences
+from tallywright.functions.text import disclosure_status, round_money, round_to
+from tallywright.operators.bootstrap import bootstrap_diff, bootstrap_differences, rank_bounds
 from tallywright.operators.shares import histogram
 from tallywright.plans import demand, kpi, pay, reports
 from tallywright.registry.base_sql import m2, pct, r2, with_ctes
@@ -31,6 +31,27 @@ def _kpi(spark, root, filters=(), by=None):
     return df.withColumns({c: round_to(c, 6) for c in floats})
 
 
+def _bootstrap(spark, root):
+    """The interval's ends are draws: what must hold of them is checked, the observed numbers are compared."""
+    rows = _flagged(spark, root)
+    found = bootstrap_diff(rows, "has_tag", "salary_midpoint")
+    bounds = rank_bounds(rows, "has_tag", "salary_midpoint").agg(F.struct(F.max("low").alias("low"), F.max("high").alias("high"))).scalar()
+    low, high = F.col("ci_low"), F.col("ci_high")
+    return found.select(
+        "iterations", *[round_money(x.alias(n)).alias(n) for n, x in (("observed_difference", F.col("observed_difference")), ("least_difference", bounds["low"]), ("largest_difference", bounds["high"]))],
+        (low < high).alias("ends_ordered"), ((low >= bounds["low"]) & (high <= bounds["high"])).alias("ends_within"),
+        (F.col("includes_zero") == ((low <= 0) & (high >= 0))).alias("zero_agrees"),
+    )
+
+
+def _findings(spark, root):
+    """All lines; of those that depend on draws, whether they have their form."""
+    lines = reports.findings(full_jobs(spark, root), b.bridge(spark, root), b.BRAND)
+    value = F.col("value")
+    drawn = F.when(F.col("metric").isin("ci_low", "ci_high"), value.rlike("^₹-?[0-9]+[.][0-9]{2}L$")).when(F.col("metric") == "bootstrap_conclusion", value.rlike("interval (in|ex)cludes zero|Interval excludes zero"))
+    return lines.select("metric", F.when(drawn.isNotNull(), drawn.cast("string")).otherwise(value).alias("value"))
+
+
 QUERIES = {
     "value_distribution": _jobs(pay.value_distribution),
     "value_by_role": _jobs(pay.value_by_role),
@@ -53,10 +74,11 @@ QUERIES = {
         "disclosure")),
     "histogram": _jobs(lambda j: histogram(pay.eligible(j), "salary_midpoint", 18).withColumns({
         c: round_to(c, 4) for c in ("bin_low", "bin_high")})),
-    "bootstrap_diff": lambda s, r: bootstrap_diff(_flagged(s, r), "has_tag", "salary_midpoint"),
+    "bootstrap_diff": _bootstrap,
     "bootstrap_histogram": lambda s, r: histogram(
-        bootstrap_differences(_flagged(s, r), "has_tag", "salary_midpoint")[0], "difference", 40),
-    "findings": lambda s, r: reports.findings(full_jobs(s, r), b.bridge(s, r), b.BRAND),
+        bootstrap_differences(_flagged(s, r), "has_tag", "salary_midpoint")[0], "difference", 40).agg(
+            F.count(F.lit(1)).alias("bins"), F.sum("row_count").alias("iterations"), F.bool_and("bin_low < bin_high").alias("ordered")),
+    "findings": _findings,
     "kpis": lambda s, r: _kpi(s, r),
     "kpis_filtered": lambda s, r: _kpi(s, r, _slicers()),
     "kpis_by_mode": lambda s, r: _kpi(s, r, (), "work_mode"),
@@ -201,4 +223,26 @@ def _merge(sql: str) -> str:
     return f"{head},\n{tail}" if found else text
 
 
+_RANK = lambda side, sign: (
+    f"(SELECT v[1 + CAST(CASE WHEN {sign} < 0 THEN greatest(0, floor((len(v) - 1) / 2 - 3 * sqrt(len(v)))) ELSE least(len(v) - 1, ceil((len(v) - 1) / 2 + 3 * sqrt(len(v)))) END AS BIGINT)]"
+    f" FROM (SELECT list(salary_midpoint ORDER BY salary_midpoint) AS v FROM flagged WHERE {side}))")
+_GAP = "(SELECT quantile_cont(salary_midpoint, 0.5) FILTER (WHERE has_tag) - quantile_cont(salary_midpoint, 0.5) FILTER (WHERE NOT has_tag) FROM flagged)"
+_LAKH = lambda x: f"printf('₹%.2fL', ({x}) / 100000.0)"
+_OF = lambda x: f"(SELECT {m2(x)} FROM jobs WHERE salary_analysis_eligible)"
+_TOP = lambda label, table, where="true": (
+    f"(SELECT {label} || ' (' || n || ' postings)' FROM (SELECT {label}, count(*) AS n FROM {table} WHERE {where} GROUP BY {label} ORDER BY n DESC, {label} LIMIT 1))")
+_FINDINGS = {
+    "top_role_family": _TOP("role_family", "jobs"), "top_skill": _TOP("skill", "br"), "top_specific_city": _TOP("city", "je", _CITY),
+    "salary_observations": "(SELECT CAST(count(*) AS VARCHAR) FROM jobs WHERE salary_analysis_eligible)",
+    "median_salary": _LAKH(_OF("quantile_cont(salary_midpoint, 0.5)")), "mean_salary": _LAKH(_OF("avg(salary_midpoint)")),
+    "minimum_salary": _LAKH(_OF("min(salary_midpoint)")), "maximum_salary": _LAKH(_OF("max(salary_midpoint)")),
+    "observed_difference": _LAKH(_GAP), "ci_low": "'true'", "ci_high": "'true'", "bootstrap_conclusion": "'true'",
+}
+_SQL |= {
+    "bootstrap_diff": f"""
+        SELECT 50000::BIGINT AS iterations, {m2(_GAP)} AS observed_difference, {m2(f"{_RANK('has_tag', -1)} - {_RANK('NOT has_tag', 1)}")} AS least_difference,
+            {m2(f"{_RANK('has_tag', 1)} - {_RANK('NOT has_tag', -1)}")} AS largest_difference, true AS ends_ordered, true AS ends_within, true AS zero_agrees""",
+    "bootstrap_histogram": "SELECT 40::BIGINT AS bins, 50000::BIGINT AS iterations, true AS ordered",
+    "findings": " UNION ALL ".join(f"SELECT '{k}' AS metric, {v} AS value" for k, v in _FINDINGS.items()),
+}
 ORACLES = {name: _merge(sql.strip()) for name, sql in _SQL.items()}
