@@ -41,17 +41,15 @@ def weekly_tag_share(
     )
 
 
-def dense_grid(rows: DataFrame, tags: Column, tag: str = "skill") -> DataFrame:
-    """Every row with every tag of an array column; the array is a bounded vocabulary."""
-    return rows.withColumn(tag, F.explode(tags))
+def dense_grid(weeks: DataFrame, bridge: DataFrame, tags: Sequence[str] | None = None, tag: str = "skill", week: str = "week_start") -> DataFrame:
+    """Every week with every tag that occurs, or with those of a list that do.
 
-
-def vocabulary(bridge: DataFrame, tags: Sequence[str] | None = None, tag: str = "skill") -> Column:
-    """The tags that occur, as an array scalar subquery; optionally only those of a list."""
-    found = bridge.select(tag).distinct().agg(F.array_sort(F.collect_set(tag))).scalar()
-    if tags is None:
-        return found
-    return F.array_intersect(F.array(*[F.lit(t) for t in tags]), found)
+    The weeks are a bounded calendar: they go to the tags as one array, so tags of any number
+    stay distributed. The list is applied before tags are collected.
+    """
+    found = (bridge if tags is None else bridge.where(F.col(tag).isin(list(tags)))).select(tag).distinct()
+    calendar = weeks.agg(F.collect_list(F.struct(*weeks.columns))).scalar()
+    return found.withColumn("_week", F.explode(calendar)).select("_week.*", tag)
 
 
 def dense_weekly_share(
@@ -64,7 +62,7 @@ def dense_weekly_share(
     totals before the grid is laid out.
     """
     weeks = weekly_counts(jobs, week).withColumn("week_index", F.row_number().over(Window.orderBy(week)) - 1)
-    grid = dense_grid(weeks, vocabulary(bridge, tags, tag), tag)
+    grid = dense_grid(weeks, bridge, tags, tag, week)
     links = bridge if tags is None else bridge.where(F.col(tag).isin(list(tags)))
     complete = jobs.where("is_complete_week").select(entity, week)
     counts = links.join(complete, entity).groupBy(week, tag).agg(F.count(F.lit(1)).alias("skill_jobs"))

@@ -77,7 +77,7 @@ QUERIES = {
     "bootstrap_diff": _bootstrap,
     "bootstrap_histogram": lambda s, r: histogram(
         bootstrap_differences(_flagged(s, r), "has_tag", "salary_midpoint")[0], "difference", 40).agg(
-            F.count(F.lit(1)).alias("bins"), F.sum("row_count").alias("iterations"), F.bool_and("bin_low < bin_high").alias("ordered")),
+            F.count(F.lit(1)).alias("bins"), F.sum("row_count").alias("iterations"), F.bool_and(F.expr("bin_low < bin_high")).alias("ordered")),
     "findings": _findings,
     "kpis": lambda s, r: _kpi(s, r),
     "kpis_filtered": lambda s, r: _kpi(s, r, _slicers()),

@@ -59,7 +59,7 @@ QUERIES = {
     "star_report": lambda s, r: star_report(star(s, r, True)),
     "order_calendar": lambda s, r: calendar(b.table(s, r, "orders"), "o_orderdate"),
     "part_names": lambda s, r: surrogate(
-        b.table(s, r, "part").select("p_name").distinct(), ["p_name"], "name_key", "rank"),
+        b.table(s, r, "part").select("p_name").distinct(), ["p_name"], "name_key", "ranges"),
 }
 
 
