@@ -2,32 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_own_folder: str | None = None
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Unset (tests on one machine): a temporary one."""
-    global _own_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    _own_folder = _own_folder or tempfile.mkdtemp(prefix="tallywright-")
-    return _own_folder
-
+from tallywright.session import materialize
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as a Parquet table in the shared folder and read from there."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once as a Parquet table in the folder of ``spark.checkpoint.dir`` and read from there."""
+    return materialize(df, name=name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
