@@ -27,8 +27,8 @@ PIVOTS = 16
 #: A meeting of more fingerprints is split by their distance to the first reference, and further by hash.
 MEETING = 2_000
 #: Of a wide fingerprint: 64-bit words, samples of bits to meet by, and bits of a sample. Texts of similarity 0.8 meet
-#: with probability 0.94, of 0.85 with 0.99. A larger corpus needs more of both, as its chance meetings grow.
-WORDS, BANDS, BAND_BITS = 8, 80, 22
+#: with probability 0.96, of 0.85 with 0.99. A larger corpus needs more of both, as its chance meetings grow.
+WORDS, BANDS, BAND_BITS = 8, 128, 24
 #: Reference fingerprints and sampled bits: drawn at random once, from fixed seeds.
 REFERENCES = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, (PIVOTS, WORDS), dtype=np.uint64)
 SAMPLES = np.argsort(np.random.Generator(np.random.PCG64(20240608)).random((BANDS, 64 * WORDS)), axis=1)[:, :BAND_BITS]
@@ -80,15 +80,14 @@ def distances(prints: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.bitwise_count(prints ^ other).sum(axis=-1, dtype=np.int32)
 
 
-def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links within ``left``, or between it and ``right``, as places: left, then right.
-
-    Rows of the pivot table are compared before fingerprints are. There are no more links than fingerprints.
+def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[int]:
+    """Which fingerprints the links within ``left``, or between it and ``right``, connect: a place for each of left,
+    then right, equal for connected ones. Rows of the pivot table are compared before fingerprints are.
     """
     other = left if right is None else right
     own_table, table = (distances(x[:, None, :], REFERENCES[:, : x.shape[1]]) for x in (left, other))
     shift = 0 if right is None else len(left)
-    root, found = list(range(len(left) + (0 if right is None else len(right)))), []
+    root = list(range(len(left) + (0 if right is None else len(right))))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -105,10 +104,8 @@ def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[tuple[
         near = near[distances(other[near], left[i]) <= bits]
         for j in near.tolist():
             x, y = find(i), find(j + shift)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                found.append((i, j + shift))
-    return found
+            root[max(x, y)] = min(x, y)
+    return [find(x) for x in range(len(root))]
 
 
 def meetings(prints: DataFrame, width: int, bits: int) -> DataFrame:
@@ -133,7 +130,10 @@ def meetings(prints: DataFrame, width: int, bits: int) -> DataFrame:
 
 
 def links(prints: DataFrame, width: int, bits: int) -> DataFrame:
-    """(a, b): links between the nodes of ``prints`` (node, print) that connect all that meet within ``bits`` bits.
+    """(a, b): pairs of the nodes of ``prints`` (node, print) that connect all that meet within ``bits`` bits.
+
+    A group gives one pair for each node that it connects, with the least node of its part, so that pairs of different
+    meetings are mostly the same ones.
 
     Those that meet are compared within one group; large meetings are split first by the distance to the first
     reference, whose values further apart than ``bits`` can't link, and by a hash of the node, and every two parts
@@ -166,9 +166,12 @@ def links(prints: DataFrame, width: int, bits: int) -> DataFrame:
             for alone, x, y in zip(batch["alone"].to_pylist(), ends, ends[1:], strict=False):
                 order = np.arange(x, y) if alone else np.concatenate((x + np.flatnonzero(~right[x:y]), x + np.flatnonzero(right[x:y])))
                 cut = y - x if alone else int((~right[x:y]).sum())
-                for i, j in linked(words[order[:cut]], None if alone else words[order[cut:]], bits):
-                    a.append(nodes[order[i]])
-                    b.append(nodes[order[j]])
+                place = np.array(linked(words[order[:cut]], None if alone else words[order[cut:]], bits))
+                own, low = nodes[order], np.full(y - x, np.iinfo(np.int64).max)
+                np.minimum.at(low, place, own)
+                joined = own != low[place]
+                a.extend(low[place][joined].tolist())
+                b.extend(own[joined].tolist())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     groups = groups.select((F.col("first") == F.col("second")).alias("alone"), "members")
