@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.llm.common import id_and_text, stored
-from tallywright.llm.hashing import BASES, prefix_sums, runs, slices, windows, word_bounds, word_hashes
+from tallywright.llm.hashing import BASES, mix, prefix_sums, runs, slices, windows, word_bounds, word_hashes
 
 #: Perfect difference sets by period.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -25,6 +25,8 @@ COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31:
 SHOWN = 32
 #: A key is frequent if more than one in so many of the shown documents, and at least so many of them, have it.
 FREQUENT_ONE_IN, FREQUENT_LEAST = 500, 25
+#: Windows with a frequent anchor are joined in so many parts of their documents.
+SALTS = 32
 #: Stands for a null doc_id while documents are compared: it comes before all others.
 NULL_ID = -(2**63)
 
@@ -69,7 +71,7 @@ def frequent_keys(docs: DataFrame, window: int) -> np.ndarray:
 
 
 def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(doc, anchors): places of the anchors that other documents have too.
+    """(doc, anchors): places of the anchors that other documents have too, and whether they are frequent.
 
     Rare keys meet in one shuffle. A frequent key would meet in one task: its smallest and largest document are found
     by a map-side aggregation instead, and the keys that two documents share, no more than frequent_keys allows, go to
@@ -79,17 +81,18 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     by_key = Window.partitionBy("key")
     rare = anchors(docs, window, (lambda key: ~np.isin(key, frequent)) if len(frequent) else None)
     rare = rare.withColumns({"low": F.min("doc").over(by_key), "high": F.max("doc").over(by_key)})
-    found = rare.where("low < high").select("doc", "at")
+    found = rare.where("low < high").select("doc", "at", F.lit(False).alias("often"))
     if len(frequent):
         often = anchors(docs, window, lambda key: np.isin(key, frequent))
         spread = often.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
         shared = np.sort(np.array([r["key"] for r in spread.collect()], np.int64))
-        found = found.union(anchors(docs, window, lambda key: np.isin(key, shared)).select("doc", "at"))
-    return found.groupBy("doc").agg(F.collect_list("at").alias("anchors"))
+        found = found.union(anchors(docs, window, lambda key: np.isin(key, shared)).select("doc", "at", F.lit(True).alias("often")))
+    return found.groupBy("doc").agg(F.collect_list(F.struct("at", "often")).alias("anchors"))
 
 
 def whole_windows(texts: DataFrame, window: int) -> DataFrame:
-    """(key, doc, at): windows of ``window`` words that contain an anchor of ``anchors``."""
+    """(key, salt, doc, at): windows of ``window`` words that contain an anchor of ``anchors``; with a frequent one, the
+    document's salt."""
     back = best_period(window)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,17 +104,25 @@ def whole_windows(texts: DataFrame, window: int) -> DataFrame:
                 row = np.repeat(np.arange(len(heads) - 1), np.diff(heads))
                 n = len(key)
                 near = lists.slice(first, len(heads) - 1)
-                x = near.flatten().to_numpy() + np.repeat(heads[:-1], pa.compute.list_value_length(near).to_numpy())
-                steps = np.zeros(len(row) + 1, np.int64)  # an anchor at x lies in the windows from x - back + 1 to x
-                np.add.at(steps, np.maximum(x - back + 1, heads[row[x]]), 1)
-                np.add.at(steps, x + 1, -1)
-                take = (np.cumsum(steps)[:n] > 0) & (row[:n] == row[window - 1 :][:n])
-                at = (np.arange(n) - heads[row[:n]])[take]
+                listed = near.flatten()
+                x = listed.field("at").to_numpy() + np.repeat(heads[:-1], pa.compute.list_value_length(near).to_numpy())
+                often = listed.field("often").to_numpy(zero_copy_only=False)
+
+                def around(x: np.ndarray, n: int = n, row: np.ndarray = row, heads: np.ndarray = heads) -> np.ndarray:
+                    """Windows with an anchor among ``x``: those from x - back + 1 to x."""
+                    steps = np.zeros(len(row) + 1, np.int64)
+                    np.add.at(steps, np.maximum(x - back + 1, heads[row[x]]), 1)
+                    np.add.at(steps, x + 1, -1)
+                    return np.cumsum(steps)[:n] > 0
+
+                take = around(x) & (row[:n] == row[window - 1 :][:n])
+                doc, at = docs_of[first + row[:n][take]], (np.arange(n) - heads[row[:n]])[take]
+                salt = np.where(around(x[often])[take], mix(doc.view(np.uint64)) % np.uint64(SALTS), 0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[take]), pa.array(docs_of[first + row[:n][take]]), pa.array(at.astype(np.int32))], ["key", "doc", "at"],
+                    [pa.array(key[take]), pa.array(salt.astype(np.int32)), pa.array(doc), pa.array(at.astype(np.int32))], ["key", "salt", "doc", "at"],
                 )
 
-    return texts.mapInArrow(hashed, "key long, doc long, at int")
+    return texts.mapInArrow(hashed, "key long, salt int, doc long, at int")
 
 
 def cut_words(window: int, spacing: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -165,7 +176,8 @@ def dedup(docs: DataFrame, window: int = 13, spacing: bool = False) -> DataFrame
     shared = stored(shared_anchors(docs, window), "anchors")
     # one shuffle of the texts serves both joins by doc
     whole = whole_windows(docs.join(shared, "doc"), window)
-    first = whole.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key", "low")
-    again = whole.join(first, "key").where("doc > low").groupBy("doc").agg(F.collect_list("at").alias("starts"))
+    first = whole.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("salt").alias("salts")).where("low < high")
+    first = first.select("key", F.explode(F.when(F.col("salts") > 0, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"), "low")
+    again = whole.join(first, ["key", "salt"]).where("doc > low").groupBy("doc").agg(F.collect_list("at").alias("starts"))
     out = docs.join(again, "doc", "left").mapInArrow(cut_words(window, spacing), "doc long, text string, n_words long, n_removed long")
     return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "text", "n_words", "n_removed")
