@@ -167,9 +167,39 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_remo
 FROM documents LEFT JOIN kept USING (doc_id)
 """
 
+_FITS = sorted(url_rules.RULES, key=lambda r: -len(r[1] + r[2]))
+_FIT_SQL = {
+    what: "CASE " + " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{found(v, h, p)}'" for v, h, p in _FITS) + " END"
+    for what, found in (("rule", lambda v, h, p: h + p), ("verdict", lambda v, h, p: v))
+}
+
+
+def _words_sql(text: str, pattern: str, mark: str) -> str:
+    return f"list_transform(list_filter(regexp_split_to_array({text}, '{pattern}'), lambda x: x <> '' AND NOT regexp_matches(x, '^[0-9]+$')), lambda x: '{mark}' || x)"
+
+
+# FP-growth by listing every combination of tokens of the labelled pages: for small tables only.
+_URL_SQL = f"""
+WITH parts AS (SELECT page_id, coalesce(url, '') AS url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), '{url_rules.UPPER}', '{url_rules.LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+urls AS (SELECT page_id, host, path, {_FIT_SQL["rule"]} AS rule, {_FIT_SQL["verdict"]} AS verdict, list_sort(list_distinct(flatten([
+    ['scheme:' || regexp_extract(url, '^([^:/?#]*)://', 1)], {_words_sql("host", "[.-]", "host:")}, {_words_sql("path", "[/._-]+", "path:")},
+    {_words_sql("regexp_replace(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '=[^&]*', '', 'g')", "&", "query:")},
+    CASE WHEN contains(url, '#') THEN ['fragment'] ELSE [] END]))) AS tokens FROM split),
+listed AS (SELECT list_filter(tokens, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items, verdict FROM (
+    SELECT tokens, verdict, unnest(range(1, 1 << len(tokens))) AS m FROM urls WHERE verdict IS NOT NULL)),
+alone AS (SELECT items, count(*) AS n FROM listed GROUP BY items),
+rules AS (SELECT items, verdict, b.n / a.n AS confidence, b.n AS support FROM (SELECT items, verdict, count(*) AS n FROM listed GROUP BY items, verdict) b JOIN alone a USING (items)
+    WHERE b.n >= ceil({url_rules.LEAST_SUPPORT} * (SELECT count(*) FROM urls WHERE verdict IS NOT NULL)) AND b.n / a.n >= {url_rules.LEAST_CONFIDENCE}),
+mined AS (SELECT tokens, rules.verdict AS mined FROM (SELECT DISTINCT tokens FROM urls WHERE verdict IS NULL) JOIN rules ON list_has_all(tokens, items)
+    QUALIFY row_number() OVER (PARTITION BY tokens ORDER BY confidence DESC, support DESC, len(items) DESC, array_to_string(items, chr(10)) DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, mined, '{url_rules.DEFAULT}') AS verdict FROM urls LEFT JOIN mined USING (tokens)
+"""
+
 #: Sharding has no SQL: DuckDB has no CRC-32.
 ORACLES = {
     "op2_mix_sources": _MIX_SQL,
     "op5_quality_rules": _QUALITY_SQL,
+    "op6_url_rules": _URL_SQL,
     "op10_substring_dedup": _SUBSTRING_SQL,
 }
