@@ -34,28 +34,37 @@ def specific_city(scope: str = "location_scope") -> Column:
 # --- overview ------------------------------------------------------------------
 
 def overview(jobs: DataFrame) -> DataFrame:
-    """One row of counts and coverages; distinct companies include the unknown label."""
-    n = F.count(F.lit(1))
+    """One row of counts and coverages; distinct companies include the unknown label.
 
-    def coverage(flag: Column) -> Column:
-        return round_to(safe_pct(F.count_if(flag), n), 2)
+    Rows are counted by company, place and role first, so the distinct counts go over those
+    groups and no row is copied for them.
+    """
+    flags = {
+        "skill_tagged_jobs": F.col("has_extracted_skill"), "experience_labeled_jobs": F.col("experience_min_years").isNotNull(),
+        "salary_source_jobs": F.col("has_salary_source"), "salary_analysis_jobs": F.col("salary_analysis_eligible"),
+        "recent_90d_jobs": F.col("is_recent_90d"), "complete_week_jobs": F.col("is_complete_week"),
+    }
+    groups = jobs.groupBy("company_key", "location_key", "role_family").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(flag).alias(name) for name, flag in flags.items()]
+    )
+    n = F.sum("n")
 
-    labeled = F.col("experience_min_years").isNotNull()
-    return jobs.agg(
-        n.alias("unique_vacancies"),
+    def coverage(name: str) -> Column:
+        return round_to(safe_pct(F.sum(name), n), 2)
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+
+    return groups.agg(
+        F.coalesce(n, F.lit(0)).alias("unique_vacancies"),
         F.count_distinct("company_key").alias("unique_companies"),
         F.count_distinct("location_key").alias("unique_locations"),
         F.count_distinct("role_family").alias("role_families"),
-        F.count_if("has_extracted_skill").alias("skill_tagged_jobs"),
-        coverage(F.col("has_extracted_skill")).alias("skill_coverage_pct"),
-        F.count_if(labeled).alias("experience_labeled_jobs"),
-        coverage(labeled).alias("experience_coverage_pct"),
-        F.count_if("has_salary_source").alias("salary_source_jobs"),
-        coverage(F.col("has_salary_source")).alias("salary_source_coverage_pct"),
-        F.count_if("salary_analysis_eligible").alias("salary_analysis_jobs"),
-        coverage(F.col("salary_analysis_eligible")).alias("salary_analysis_coverage_pct"),
-        F.count_if("is_recent_90d").alias("recent_90d_jobs"),
-        F.count_if("is_complete_week").alias("complete_week_jobs"),
+        total("skill_tagged_jobs"), coverage("skill_tagged_jobs").alias("skill_coverage_pct"),
+        total("experience_labeled_jobs"), coverage("experience_labeled_jobs").alias("experience_coverage_pct"),
+        total("salary_source_jobs"), coverage("salary_source_jobs").alias("salary_source_coverage_pct"),
+        total("salary_analysis_jobs"), coverage("salary_analysis_jobs").alias("salary_analysis_coverage_pct"),
+        total("recent_90d_jobs"), total("complete_week_jobs"),
     )
 
 

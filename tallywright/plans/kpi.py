@@ -19,28 +19,38 @@ VALUE = "salary_midpoint"
 
 
 def _scalars(jobs: DataFrame, keys: list[str]) -> DataFrame:
-    n = F.count(F.lit(1))
-    is_role = F.col("role_family") == fixed.OTHER_ROLE
+    """Counts, extremes and means per group.
+
+    Rows are counted by employer and city first, so the distinct counts go over those groups.
+    """
     eligible = F.col("salary_analysis_eligible")
     value = F.when(eligible, F.col(VALUE))
-    return jobs.groupBy(*keys).agg(
-        n.alias("analytical_vacancies"),
-        F.count_distinct(F.when(known_employer(), F.col("company_name"))).alias("unique_companies"),
-        F.count_distinct(F.when(specific_city(), F.col("city"))).alias("unique_specific_cities"),
-        F.count_if("has_extracted_skill").alias("skill_tagged_jobs"),
-        F.count("experience_min_years").alias("experience_labeled_jobs"),
-        F.count_if(eligible).alias("salary_observations"),
-        F.count_if(specific_city()).alias("specific_city_vacancies"),
-        to_lakh(F.avg(value)).alias("mean_salary_lakh"),
-        to_lakh(F.min(value)).alias("minimum_salary_lakh"),
-        to_lakh(F.max(value)).alias("maximum_salary_lakh"),
-        F.count_if(is_role).alias("other_role_jobs"),
-        F.count_if("is_recent_90d").alias("recent_90d_jobs"),
-        F.count_if(~F.col("is_recent_90d")).alias("pre_90d_jobs"),
-        F.count_if("is_complete_week").alias("complete_week_jobs"),
-        # Weeks are a bounded calendar, so their set is small.
-        F.size(F.collect_set(F.when(F.col("is_complete_week"), F.col("week_start")))).cast("bigint").alias("complete_weeks"),
+    counts = {
+        "skill_tagged_jobs": F.col("has_extracted_skill"), "experience_labeled_jobs": F.col("experience_min_years").isNotNull(),
+        "salary_observations": eligible, "specific_city_vacancies": specific_city(),
+        "other_role_jobs": F.col("role_family") == fixed.OTHER_ROLE, "recent_90d_jobs": F.col("is_recent_90d"),
+        "pre_90d_jobs": ~F.col("is_recent_90d"), "complete_week_jobs": F.col("is_complete_week"),
+    }
+    rows = jobs.withColumns({
+        "_employer": F.when(known_employer(), F.col("company_name")), "_city": F.when(specific_city(), F.col("city")),
+    })
+    groups = rows.groupBy(*keys, "_employer", "_city").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(x).alias(name) for name, x in counts.items()],
+        F.sum(value).alias("_sum"), F.count(value).alias("_values"), F.min(value).alias("_min"), F.max(value).alias("_max"),
+    )
+    out = groups.groupBy(*keys).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("analytical_vacancies"),
+        F.count_distinct("_employer").alias("unique_companies"),
+        F.count_distinct("_city").alias("unique_specific_cities"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
+        to_lakh(safe_ratio(F.sum("_sum"), F.sum("_values"))).alias("mean_salary_lakh"),
+        to_lakh(F.min("_min")).alias("minimum_salary_lakh"),
+        to_lakh(F.max("_max")).alias("maximum_salary_lakh"),
+    )
+    weeks = jobs.where("is_complete_week").select(*keys, "week_start").distinct().groupBy(*keys).agg(
+        F.count("week_start").alias("complete_weeks")
     )
+    return _glue(out, weeks, keys).withColumn("complete_weeks", F.coalesce("complete_weeks", F.lit(0)))
 
 
 def _top_employers(jobs: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
