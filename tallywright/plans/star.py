@@ -36,12 +36,17 @@ class Star:
 PREFIX = 4
 
 
+def key_of(*natural: str) -> Column:
+    """128 bits of the natural columns as hex, so that keys don't collide at any number of rows; a null counts as empty."""
+    return F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in natural]).cast("binary"))
+
+
 def surrogate(df: DataFrame, natural: Sequence[str], name: str, method: str = "hash") -> DataFrame:
     """Add a surrogate key to a frame of distinct natural keys.
 
     ``rank``: 1, 2, ... in the order of the natural key, for dimensions bounded by a rule
     list. ``ranges``: the same numbers for any number of names, counted by prefix first, so that
-    only counts of prefixes meet in one task. ``hash``: 64-bit hash, for dimensions that grow with the data; a fact computes it
+    only counts of prefixes meet in one task. ``hash``: 128-bit hash, for dimensions that grow with the data; a fact computes it
     from its own columns, so no key lookup is joined. ``star_report`` checks that hash keys
     are unique.
     """
@@ -55,7 +60,7 @@ def surrogate(df: DataFrame, natural: Sequence[str], name: str, method: str = "h
         return df.withColumn(name, (F.col(name) + F.col("_before")).cast("bigint")).drop("_prefix", "_n", "_before")
     if method == "rank":
         return df.withColumn(name, F.row_number().over(Window.orderBy(*natural)).cast("bigint"))
-    return df.withColumn(name, F.xxhash64(*natural))
+    return df.withColumn(name, key_of(*natural))
 
 
 def _company(c: str = "company_name") -> Column:
@@ -87,9 +92,9 @@ def build_star(jobs: DataFrame, bridge: DataFrame) -> Star:
     fact = (
         jobs.withColumns({**_place(), "company_name": _company(), "role_family": role})
         .withColumns({
-            "job_key": F.xxhash64("job_id"),
-            "company_key": F.xxhash64("company_name"),
-            "location_key": F.xxhash64(*_PLACE),
+            "job_key": key_of("job_id"),
+            "company_key": key_of("company_name"),
+            "location_key": key_of(*_PLACE),
             "date_key": F.col("posted_date"),
             "work_mode": F.coalesce("work_mode", F.lit(fixed.NOT_SPECIFIED)),
             "experience_band": F.coalesce("experience_band", F.lit(fixed.NOT_SPECIFIED)),
@@ -107,7 +112,7 @@ def build_star(jobs: DataFrame, bridge: DataFrame) -> Star:
         )
     )
     links = (
-        bridge.select(F.xxhash64("job_id").alias("job_key"), "skill")
+        bridge.select(key_of("job_id").alias("job_key"), "skill")
         .join(dim_skill.select("skill", "skill_key"), "skill")
         .select("job_key", "skill_key")
         .dropDuplicates()

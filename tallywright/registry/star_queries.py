@@ -22,40 +22,28 @@ def star(spark, root, shared=False):
     return build_star(jobs, clean.bridge_of(jobs))
 
 
-_VIEW = [
-    "job_id", "title", "role_family", "company_name", "city", "state", "location_name", "location_scope", "work_mode",
-    "experience_band", "salary_analysis_eligible", "is_recent_90d", "is_complete_week", "posted_date",
-]
 _CALENDAR = ["calendar_year", "calendar_month", "month_name", "year_month", "week_start", "day_of_week", "day_name"]
 
 
-def _fact(spark, root):
-    """The fact with its money as doubles, for a comparison by value."""
-    f = star(spark, root).fact_jobs
-    doubles = {c: F.col(c).cast("double") for c, t in f.dtypes if t.startswith("decimal")}
-    return f.withColumns(doubles).select(
-        "job_id", "role_key", "source_family", "source_provider", "experience_min_years", "experience_max_years",
-        "salary_min", "salary_max", "salary_midpoint", "salary_is_predicted", "has_salary_source",
-        "salary_normalization_status", "skill_count",
-    )
+def _doubles(df):
+    """Decimals as doubles, for a comparison by value."""
+    return df.withColumns({c: F.col(c).cast("double") for c, t in df.dtypes if t.startswith("decimal")})
 
 
-def _bridge(spark, root):
-    s = star(spark, root)
-    ids = s.fact_jobs.select("job_key", "job_id")
-    return s.bridge_job_skill.join(ids, "job_key").select("job_id", "skill_key")
+def _fact(spark, root):
+    return _doubles(star(spark, root).fact_jobs)
 
 
 QUERIES = {
     "dim_role": lambda s, r: star(s, r).dim_role,
-    "dim_company": lambda s, r: star(s, r).dim_company.select("company_name"),
-    "dim_location": lambda s, r: star(s, r).dim_location.drop("location_key"),
+    "dim_company": lambda s, r: star(s, r).dim_company,
+    "dim_location": lambda s, r: star(s, r).dim_location,
     "dim_date": lambda s, r: star(s, r).dim_date,
     "dim_skill": lambda s, r: star(s, r).dim_skill,
     "fact_jobs": _fact,
-    "bridge_job_skill": _bridge,
-    "jobs_enriched": lambda s, r: jobs_enriched(star(s, r, True)).select(*_VIEW, *_CALENDAR),
-    "job_tags": lambda s, r: job_tags(star(s, r, True)).select(*_VIEW, "skill", "skill_category"),
+    "bridge_job_skill": lambda s, r: star(s, r).bridge_job_skill,
+    "jobs_enriched": lambda s, r: _doubles(jobs_enriched(star(s, r, True))),
+    "job_tags": lambda s, r: _doubles(job_tags(star(s, r, True))),
     "star_report": lambda s, r: star_report(star(s, r, True)),
     "order_calendar": lambda s, r: calendar(b.table(s, r, "orders"), "o_orderdate"),
     "part_names": lambda s, r: surrogate(
@@ -77,7 +65,8 @@ _EXTRA = {
         FROM (SELECT DISTINCT skill, skill_category FROM tg)""",
     "wide": f"""
         SELECT cj.*, kept.title, kept.source, kept.predicted, CAST(kept.job_id AS BIGINT) AS k,
-               coalesce(kept.location_name, 'Unknown') AS location_name, company AS company_name,
+               coalesce(kept.location_name, 'Unknown') AS location_name, company AS company_name, kept.description, md5(kept.job_id) AS job_key, md5(company) AS company_key,
+               md5(concat_ws(chr(1), city, state, coalesce(kept.location_name, 'Unknown'), location_scope)) AS location_key,
                {_calendar_sql('posted_date')}
         FROM (SELECT * EXCLUDE (week_start) FROM cj) cj JOIN kept ON kept.job_id = cj.job_id""",
 }
@@ -87,21 +76,24 @@ _CONSTRAINTS = [
     "location_parent", "date_parent", "bridge_job_parent", "years_negative", "years_unordered", "pay_not_positive",
     "pay_unordered", "eligible_pay_missing", "skill_count_negative", "title_missing", "month_range", "weekday_range",
 ]
-_cols = ", ".join(_VIEW)
+_FACTS = """work_mode, experience_min_years, experience_max_years, experience_band, salary_min_source, salary_max_source,
+    salary_min, salary_max, salary_midpoint, CASE WHEN k % 10 IN (3, 4, 5) THEN k % 10 <> 5 END AS salary_is_predicted, has_salary_source,
+    salary_analysis_eligible, salary_normalization_status, salary_text_evidence, CAST(coalesce(skill_count, 0) AS INTEGER) AS skill_count,
+    has_extracted_skill, is_recent_90d, is_complete_week, source, source_family, source_provider,
+    CAST(NULL AS VARCHAR) AS contract_type, CAST(NULL AS VARCHAR) AS contract_time, CAST(NULL AS VARCHAR) AS redirect_url"""
+_NAMES = "job_key, wide.job_id, title, role_family, company_name, city, state, location_name, location_scope"
+_TAGGED = "work_mode, experience_band, salary_midpoint, salary_analysis_eligible, is_recent_90d, is_complete_week, posted_date, skill, skill_category"
 _SQL = {
     "dim_role": "SELECT * FROM roles",
-    "dim_company": "SELECT DISTINCT company AS company_name FROM cj",
-    "dim_location": "SELECT DISTINCT city, state, location_name, location_scope FROM wide",
+    "dim_company": "SELECT DISTINCT company_name, company_key FROM wide",
+    "dim_location": "SELECT DISTINCT city, state, location_name, location_scope, location_key FROM wide",
     "dim_date": f"SELECT DISTINCT posted_date AS date_key, {_calendar_sql('posted_date')} FROM wide",
     "dim_skill": "SELECT * FROM skills",
-    "fact_jobs": """
-        SELECT job_id, role_key, source_family, source_provider, experience_min_years, experience_max_years, salary_min,
-               salary_max, salary_midpoint, CASE WHEN k % 10 IN (3, 4, 5) THEN k % 10 <> 5 END AS salary_is_predicted,
-               has_salary_source, salary_normalization_status, CAST(coalesce(skill_count, 0) AS INTEGER) AS skill_count
+    "fact_jobs": f"""SELECT job_key, job_id, role_key, company_key, location_key, posted_date AS date_key, title, description, {_FACTS}
         FROM wide JOIN roles USING (role_family)""",
-    "bridge_job_skill": "SELECT job_id, skill_key FROM tg JOIN skills USING (skill)",
-    "jobs_enriched": f"SELECT {_cols}, {', '.join(_CALENDAR)} FROM wide",
-    "job_tags": f"SELECT {_cols.replace('job_id', 'wide.job_id')}, skill, skill_category FROM wide JOIN tg ON tg.job_id = wide.job_id",
+    "bridge_job_skill": "SELECT md5(job_id) AS job_key, skill_key FROM tg JOIN skills USING (skill)",
+    "jobs_enriched": f"SELECT {_NAMES}, posted_date, {', '.join(_CALENDAR)}, {_FACTS} FROM wide",
+    "job_tags": f"SELECT {_NAMES}, {_TAGGED} FROM wide JOIN tg ON tg.job_id = wide.job_id",
     "star_report": "SELECT unnest([" + ", ".join(f"'{c}'" for c in _CONSTRAINTS)
     + "]) AS rule, 0::BIGINT AS failed_rows, true AS passed",
     "order_calendar": f"SELECT DISTINCT d AS date_key, {_calendar_sql('d')} FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders)",

@@ -76,7 +76,7 @@ def test_gates_and_contract(raw, tables):
     assert got == {"repeated_job_ids": 0, "outside_date_window": 0, "row_count_difference": 1}
     jobs, bridge = tables
     report = reports.quality_report(jobs, bridge, expected_rows=4).collect()
-    assert len(report) == 18 and all(r["passed"] for r in report)
+    assert len(report) == 22 and all(r["passed"] for r in report)
     broken = jobs.withColumn("city", F.lit("India")).withColumn("is_recent_90d", F.lit(False))
     bad = {r["rule"]: r["failed_rows"] for r in reports.quality_report(broken, bridge).collect() if not r["passed"]}
     assert bad == {"city_is_country": 4, "recent_flag": 2}
