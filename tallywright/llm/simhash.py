@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.llm.common import id_and_text, stored
@@ -181,10 +181,14 @@ def links(prints: DataFrame, width: int, bits: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each linked node reaches; ``edges`` (a, b) of longs.
 
-    Each round points every node at the smallest one among its neighbours' and then at that one's own, and stops when
-    nothing changes. Rounds are written to the shared folder, so that lost executors cost one round.
+    First every node is tied to its smallest neighbour only, and its other smaller neighbours to that one, which leaves
+    few links of a dense group. Each round then points every node at the smallest one among its neighbours' and then at
+    that one's own, and stops when nothing changes. Rounds are written to the shared folder, so that lost executors cost one round.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
+    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tied = edges.withColumn("low", F.min("a").over(Window.partitionBy("b")))
+    edges = tied.select(F.col("low").alias("a"), "b").union(tied.where("a <> low").select("low", "a")).distinct()
+    both = stored(edges.union(edges.select("b", "a")).distinct(), "links")
     state = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "node"), "roots")
     while True:
         around = both.join(state.select(F.col("node").alias("b"), F.col("root").alias("seen")), "b").groupBy("a").agg(F.min("seen").alias("seen"))
