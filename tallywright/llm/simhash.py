@@ -19,13 +19,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.llm.common import id_and_text, stored
-from tallywright.llm.hashing import mix
+from tallywright.llm.hashing import BASES, mix, prefix_sums, ranges, slices, word_bounds, word_hashes
 
 SEED = 42
 BLOCKS = 7
 PIVOTS = 16
 #: A meeting of more fingerprints is split by their distance to the first reference, and further by hash.
 MEETING = 2_000
+#: Texts whose hash is 0 modulo this show which shingles are common: those of more than one in so many of them, and of
+#: at least so many.
+SHOWN, COMMON_ONE_IN, COMMON_LEAST = 32, 500, 5
+#: Rounds that compare each text with one other before all pairs still apart are compared.
+ROUNDS = 3
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 #: Of a wide fingerprint: 64-bit words, samples of bits to meet by, and bits of a sample. Texts of similarity 0.8 meet
 #: with probability 0.96, of 0.85 with 0.99. A larger corpus needs more of both, as its chance meetings grow.
 WORDS, BANDS, BAND_BITS = 8, 128, 24
@@ -203,15 +210,24 @@ def components(edges: DataFrame) -> DataFrame:
         state = after.select("node", F.col("new").alias("root"))
 
 
+def named_groups(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``classes`` (node, first, ...) with root and component_id, the least ``first`` of the root's classes.
+
+    Nodes are no doc_ids: a component's name is null only if no class of it has an id.
+    """
+    rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.join(names, "root")
+
+
 def groups(docs: DataFrame, shingle: int, width: int, bits: int) -> DataFrame:
     """(doc_id, print, component_id): each distinct fingerprint is compared once, whatever its copies."""
     prints = stored(fingerprints(docs, shingle, width), "fingerprints")
-    # a class of equal fingerprints is named by its least doc_id, or by a hash where all are null
-    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
-    distinct = stored(distinct.select("print", "first", F.coalesce("first", F.xxhash64("print")).alias("node")), "classes")
+    # a class of equal fingerprints is a node named by the fingerprint, whatever its doc_ids
+    node = F.get("print", F.lit(0)) if width == 1 else F.xxhash64("print")
+    distinct = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first")).withColumn("node", node), "classes")
     roots = components(stored(links(distinct.select("node", "print"), width, bits), "links"))
-    named = distinct.join(roots, "node", "left").select("print", F.coalesce("root", "first").alias("component_id"))
-    return prints.join(named, "print")
+    return prints.join(named_groups(distinct, roots).select("print", "component_id"), "print")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
@@ -227,13 +243,136 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame
     return out.select("doc_id", F.lpad(F.lower(F.hex(F.get("print", F.lit(0)))), 16, "0").alias("fingerprint"), "component_id")
 
 
+def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, name of each row's words, row and hash of each distinct shingle), rows and hashes ascending.
+
+    A-Z are lower-cased; a text of fewer words is one shingle, a text without words has none and is named 0.
+    """
+    for first, data, offsets in slices(texts):
+        data = LOWER[data]
+        starts, ends, heads = word_bounds(data, offsets)
+        hashes, counts = word_hashes(data, starts, ends), np.diff(heads)
+        names = ranges(prefix_sums(hashes, BASES[2]), BASES[2], heads[:-1], heads[1:]).view(np.int64)
+        n = np.where(counts > 0, np.maximum(counts - words + 1, 1), 0)
+        row = np.repeat(np.arange(len(counts)), n)
+        begin = heads[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        shingle = ranges(prefix_sums(hashes, BASES[1]), BASES[1], begin, np.minimum(begin + words, heads[row + 1]))
+        order = np.lexsort((shingle, row))
+        row, shingle = row[order], shingle[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (shingle[1:] != shingle[:-1])
+        yield first, names, row[new], shingle[new]
+
+
+def named_rows(texts: DataFrame, words: int) -> DataFrame:
+    """(doc_id, mark, node) of each row of ``texts`` (doc_id, mark, text)."""
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [names for _, names, _, _ in shingle_sets(batch["text"], words)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(np.concatenate([np.zeros(0, np.int64), *names]))], ["doc_id", "mark", "node"])
+
+    return texts.mapInArrow(named, "doc_id long, mark long, node long")
+
+
+def prefixes(texts: DataFrame, words: int, millionths: int, last: np.ndarray) -> DataFrame:
+    """(key, node, n): the first shingles of each text, and the number of all its shingles.
+
+    All texts order shingles alike, those of ``last`` after the others. Sets of likeness s share at least one of the
+    first n - ceil(s n) + 1 shingles of either, so no pair is missed.
+    """
+    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, names, row, shingle in shingle_sets(batch["text"], words):
+                order = np.lexsort((shingle, np.isin(shingle, last), row)) if len(last) else slice(None)
+                row, shingle = row[order], shingle[order]
+                n = np.bincount(row, minlength=len(names))
+                place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+                take = place <= (n + -n * millionths // 1_000_000)[row]  # n - ceil(s n)
+                row = row[take]
+                yield pa.RecordBatch.from_arrays([pa.array(shingle[take].view(np.int64)), pa.array(names[row]), pa.array(n[row].astype(np.int32))], ["key", "node", "n"])
+
+    return texts.mapInArrow(first_ones, "key long, node long, n int")
+
+
+def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
+    """Shingles that many texts share, told from a part of them; they only decide the order of shingles."""
+    shown = texts.where(F.pmod(F.xxhash64("mark"), F.lit(SHOWN)) == 0).dropDuplicates(["mark"])
+    least = max(COMMON_LEAST, shown.count() // COMMON_ONE_IN)
+    counts = prefixes(shown, words, 0, np.zeros(0, np.uint64)).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return np.sort(np.array([r["key"] for r in counts.select("key").collect()], np.int64).view(np.uint64))
+
+
+def alike(pairs: DataFrame, sets: DataFrame, millionths: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose shingles are alike enough: the sets themselves are compared."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")).cast("long"))
+    every = F.size("left") + F.size("right") - F.col("common")
+    return both.where(F.col("common") * 1_000_000 >= every * millionths).select("a", "b")
+
+
+def open_meetings(met: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, node, n, root): meetings of nodes that aren't all connected yet."""
+    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")) if roots else met.withColumn("root", F.col("node"))
+    by_key = Window.partitionBy("key")
+    rooted = rooted.withColumns({"low": F.min("root").over(by_key), "high": F.max("root").over(by_key)})
+    return rooted.where("low < high").drop("low", "high")
+
+
+def set_links(met: DataFrame, sets: DataFrame, millionths: int) -> DataFrame | None:
+    """(node, root) of the parts that pairs of likeness ``millionths`` connect; all that meet are compared, unless
+    they are connected already.
+
+    In ROUNDS rounds every node is compared with one node of one of its meetings, which connects dense groups by about
+    one pair for each node; then all pairs of nodes still apart.
+    """
+    fits = lambda n, m: F.least(n, m).cast("long") * 1_000_000 >= F.greatest(n, m).cast("long") * millionths
+    found, roots = None, None
+    for turn in range(ROUNDS + 1):
+        near = stored(open_meetings(met, roots), "meetings")
+        if near.isEmpty():
+            break
+        if turn < ROUNDS:
+            center = F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"))).over(Window.partitionBy("key"))
+            met_center = near.withColumn("center", center).where(F.col("root") != F.col("center.other")).where(fits(F.col("n"), F.col("center.m")))
+            one = met_center.groupBy("node").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)), F.col("center.a").alias("a"))).alias("one"))
+            pairs = one.select("one.a", F.col("node").alias("b"))
+        else:
+            b = near.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+            apart = (F.col("node") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("m"))
+            pairs = near.join(b, "key").where(apart).select(F.col("node").alias("a"), "b").distinct()
+        new = stored(alike(pairs, sets, millionths), "alike")
+        found = new if found is None else found.union(new)
+        roots = components(found)
+    return roots
+
+
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id): groups of documents that similarities of their ``words``-word shingles connect.
+    """(doc_id, component_id, mark, root): groups of documents that similarities of their ``words``-word shingles connect.
 
-    Similarity is told from the differing bits of wide fingerprints: texts of Jaccard similarity s have the cosine
-    2 s / (1 + s), and a bit differs with the probability of their angle over pi. Texts at the threshold itself link
-    half the time, texts 0.05 above it nearly always; they meet as WORDS, BANDS and BAND_BITS say. Nulls, short and
-    repeated texts and empty tables are as in near_duplicates.
+    Texts link if the Jaccard similarity of their sets of shingles, A-Z lower-cased, is ``similarity`` (to six digits)
+    or more; it is taken from the sets themselves, and no pair is left out. Texts of the same words are one node. Equal
+    words and shingles are told by 64-bit hashes. ``mark`` is the text's hash and ``root`` tells groups apart, those
+    without a doc_id too. Nulls, short and repeated texts and empty tables are as in near_duplicates.
     """
-    bits = int(64 * WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-    return groups(docs, words, WORDS, bits).select("doc_id", "component_id")
+    millionths = round(similarity * 1_000_000)
+    texts = id_and_text(docs).withColumn("mark", F.xxhash64("text"))
+    rows = stored(named_rows(texts, words), "named")
+    classes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.max(F.struct("doc_id", "mark")).alias("shown")), "classes")
+    by_key = Window.partitionBy("key")
+    met = prefixes(texts, words, millionths, common_shingles(texts, words)).withColumns({"low": F.min("node").over(by_key), "high": F.max("node").over(by_key)})
+    met = stored(met.where("low < high").select("key", "node", "n").distinct(), "met")
+    wanted = classes.join(met.select("node").distinct(), "node", "left_semi").select(F.col("shown.doc_id").alias("shown_id"), F.col("shown.mark").alias("shown_mark"))
+    chosen = texts.join(wanted, (F.col("mark") == F.col("shown_mark")) & F.col("doc_id").eqNullSafe(F.col("shown_id")), "left_semi")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, names, row, shingle in shingle_sets(batch["text"], words):
+                ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(names))))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingle.view(np.int64)))], ["node", "shingles"])
+
+    sets = stored(chosen.mapInArrow(listed, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+    roots = set_links(met, sets, millionths)
+    if roots is None:
+        roots = classes.select("node", F.col("node").alias("root")).where("false")
+    return rows.join(named_groups(classes, roots).select("node", "root", "component_id"), "node").select("doc_id", "component_id", "mark", "root")

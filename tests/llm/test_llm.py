@@ -338,6 +338,33 @@ def test_similar_documents(spark):
     assert found == {i: i % 100 for i, _ in rows}
 
 
+def test_similar_documents_are_all_pairs(spark, small):
+    """Components of all pairs of shingle sets of likeness 0.8 or more, also close to the threshold and of short texts."""
+    rng = np.random.default_rng(11)
+    texts = {i: t or "" for i, t in documents(spark, small).items()}
+    for k in range(60):
+        n = int(rng.integers(5, 120))
+        own = passage(5000 + k, n).split()
+        texts[10_000 + 3 * k] = " ".join(own)
+        for copy in (1, 2):
+            at = set(rng.integers(0, n, max(1, n // 45)).tolist())
+            texts[10_000 + 3 * k + copy] = " ".join("new" if i in at else w for i, w in enumerate(own)).upper()
+    ids = sorted(texts)
+    sets = []
+    for i in ids:
+        words = words_of(texts[i].lower())
+        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(ids)))
+    for x in range(len(ids)):
+        for y in range(x):
+            if 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y]):
+                low, high = sorted((root[x], root[y]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()}
+    assert found == {i: ids[r] for i, r in zip(ids, root, strict=True)}
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (70, 2)) if a != b] + [(k, k + 1) for k in range(200, 260)]
