@@ -24,6 +24,8 @@ GOOD_COSTS = 10
 PRIOR = 0.05
 #: Share of the Gumbel noise in the sampling key; 1 samples in proportion to the weights, 0 takes the heaviest.
 NOISE = 0.5
+#: Added to the shares of toxic and of clean documents that have an n-gram, besides two clean documents.
+TOXIC_PRIOR = 0.005
 NULL_ID = -(2**63)
 
 
@@ -48,49 +50,68 @@ def gumbel(ids: np.ndarray, seed: int) -> np.ndarray:
     return -np.log(-np.log(((drawn >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53))
 
 
-def model(docs: DataFrame) -> np.ndarray:
+def model(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Per bucket, the log of its share in the target texts over its share in all texts, one added to each count,
-    the target model mixed with PRIOR of the raw one.
+    the target model mixed with PRIOR of the raw one; and the log of the share of toxic documents that have it over
+    that of clean ones (all 0 if one of them is missing).
 
-    ``docs`` (doc, text, role): all documents count as raw text, those of role ``fit`` as target. The driver gets
-    BUCKETS rows.
+    ``docs`` (doc, text, role, side): all documents count as raw text, those of role ``fit`` as target; those of side
+    ``fit toxic`` and ``fit clean`` tell toxic from clean. The driver gets BUCKETS rows.
     """
+    def is_(column: pa.Array, value: str) -> np.ndarray:
+        return pa.compute.fill_null(pa.compute.equal(column, value), False).to_numpy(zero_copy_only=False)
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, target, toxic, clean = np.zeros((4, BUCKETS + 1), np.int64)  # the last place counts documents
         for batch in batches:
-            fit = pa.compute.fill_null(pa.compute.equal(batch["role"], "fit"), False).to_numpy(zero_copy_only=False)
+            fit, sides = is_(batch["role"], "fit"), [(n, is_(batch["side"], side)) for n, side in ((toxic, "fit toxic"), (clean, "fit clean"))]
+            for n, own in sides:
+                n[-1] += own.sum()
             for first, data, offsets in slices(batch["text"]):
                 for row, bucket in n_grams(data, offsets):
-                    raw += np.bincount(bucket, minlength=BUCKETS)
-                    target += np.bincount(bucket[fit[first + row]], minlength=BUCKETS)
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], ["bucket", "raw", "target"])
-
-    sums = docs.mapInArrow(counted, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    counts = np.ones((2, BUCKETS))
+                    raw += np.bincount(bucket, minlength=BUCKETS + 1)
+                    target += np.bincount(bucket[fit[first + row]], minlength=BUCKETS + 1)
+                    for n, own in sides:
+                        has = own[first + row]
+                        n += np.bincount(np.unique(row[has] * BUCKETS + bucket[has]) % BUCKETS, minlength=BUCKETS + 1)
+        some = np.flatnonzero(raw + toxic + clean)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, raw[some], target[some], toxic[some], clean[some])], ["bucket", *names])
+
+    names = ("raw", "target", "toxic", "clean")
+    sums = docs.mapInArrow(counted, "bucket long, raw long, target long, toxic long, clean long").groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names])
+    counts = np.zeros((4, BUCKETS + 1))
     for r in sums.collect():
-        counts[:, r["bucket"]] += r["raw"], r["target"]
-    shares = counts.reshape(2, KINDS, -1)
+        counts[:, r["bucket"]] += [r[c] for c in names]
+    shares = (counts[:2, :BUCKETS] + 1).reshape(2, KINDS, -1)
     shares /= shares.sum(axis=2, keepdims=True)
-    return np.log((1 - PRIOR) * shares[1] / shares[0] + PRIOR).ravel()
+    toxic, clean = counts[2:, -1]
+    ratios = np.zeros(BUCKETS)
+    if toxic and clean:
+        prior = TOXIC_PRIOR + 2 / clean
+        ratios = np.log(counts[2, :BUCKETS] / toxic + prior) - np.log(counts[3, :BUCKETS] / clean + prior)
+    return np.log((1 - PRIOR) * shares[1] / shares[0] + PRIOR).ravel(), ratios
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
-    """(doc, role, log_weight, key, place): the log importance weight, the Gumbel key, and the key's place in the order
-    of 64-bit integers."""
+def weigh(docs: DataFrame, ratios: np.ndarray, toxic_ratios: np.ndarray, seed: int) -> DataFrame:
+    """(doc, role, side, log_weight, toxicity, key, place): the log importance weight, the log ratio of the most toxic
+    n-gram (at least 0), the Gumbel key, and the key's place in the order of 64-bit integers."""
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weight = np.zeros(len(batch))
+            weight, toxicity = np.zeros(len(batch)), np.zeros(len(batch))
             for first, data, offsets in slices(batch["text"]):
                 for row, bucket in n_grams(data, offsets):
                     weight[first : first + len(offsets) - 1] += np.bincount(row, ratios[bucket], len(offsets) - 1)
+                    heads = np.flatnonzero(np.diff(row, prepend=-1))
+                    if len(heads):
+                        at = first + row[heads]
+                        toxicity[at] = np.maximum(toxicity[at], np.maximum.reduceat(toxic_ratios[bucket], heads))
             weight = np.round(weight, 9)
             key = weight + NOISE * gumbel(batch["doc"].to_numpy(), seed)
             place = key.view(np.int64)
             place = np.where(place < 0, place ^ np.int64(2**63 - 1), place)
-            yield pa.RecordBatch.from_arrays([batch["doc"], batch["role"], pa.array(weight), pa.array(key), pa.array(place)], ["doc", "role", "log_weight", "key", "place"])
+            yield pa.RecordBatch.from_arrays([batch["doc"], batch["role"], batch["side"], pa.array(weight), pa.array(np.round(toxicity, 9)), pa.array(key), pa.array(place)], ["doc", "role", "side", "log_weight", "toxicity", "key", "place"])
 
-    return docs.mapInArrow(weighed, "doc long, role string, log_weight double, key double, place long")
+    return docs.mapInArrow(weighed, "doc long, role string, side string, log_weight double, toxicity double, key double, place long")
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
@@ -121,23 +142,30 @@ def classify(docs: DataFrame, labels: DataFrame, seed: int = 0) -> DataFrame:
     """Which documents to keep: a Gumbel top-k sample by the importance of target text over raw text.
 
     The weight of a text is the ratio of its likelihoods under two generative models of hashed n-grams, of good texts
-    (quality 1, not toxic) and of all texts. k is the number of texts whose log weight reaches the cut that suits the
-    held-out labels best, so that what the labels call bad is left out whatever the corpus's size; the noise moves
-    documents at that cut only. Returns doc_id, log_weight, key and kept for each row. Null and empty texts have log
+    (quality 1, not toxic) and of all texts. A few toxic words hardly move that sum, so a text is also judged by its most
+    toxic n-gram, by the shares of toxic and clean labelled documents that have it; it is left out above the cut that
+    suits the held-out labels best. k is the number of the other texts whose log weight reaches the cut that suits the
+    held-out labels best (quality 0 and toxic ones are bad), so that what the labels call bad is left out whatever the
+    corpus's size; the noise moves documents at that cut only. Without toxic labels on both sides of the split nothing
+    is left out as toxic. Returns doc_id, log_weight, key and kept for each row. Null and empty texts have log
     weight 0; a null doc_id draws noise like an id, repeated rows draw the same, and ties at the last place are all
     kept; labels with a null are not used; without labels what weighs 0 or more is kept. An empty table gives no rows.
     Other columns go.
     """
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc"), ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"), "quality").dropna().dropDuplicates(["doc"])
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc"), ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"), "quality", (F.coalesce("toxic", F.lit(0)) == 1).alias("toxic")).dropna().dropDuplicates(["doc"])
     usable = usable.orderBy(F.xxhash64("doc"), "doc").limit(MOST_LABELS)
     held = F.pmod(F.xxhash64("doc", F.lit("held")), F.lit(2)) == 0
-    role = F.when(held & F.col("good"), "good").when(held & (F.col("quality") == 0), "bad").when(~held & F.col("good"), "fit")
+    role = F.when(held & F.col("good"), "good").when(held & ((F.col("quality") == 0) | F.col("toxic")), "bad").when(~held & F.col("good"), "fit")
+    side = F.concat(F.when(held, "held ").otherwise("fit "), F.when(F.col("toxic"), "toxic").otherwise("clean"))
     docs = id_and_text(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")
-    docs = docs.join(F.broadcast(usable.select("doc", role.alias("role"))), "doc", "left")  # MOST_LABELS short rows at most
-    weights = stored(weigh(docs, model(docs), seed), "weights")
+    docs = docs.join(F.broadcast(usable.select("doc", role.alias("role"), side.alias("side"))), "doc", "left")  # MOST_LABELS short rows at most
+    weights = stored(weigh(docs, *model(docs), seed), "weights")
     seen = weights.where("role in ('good', 'bad')").select("role", "log_weight").collect()
     cut = best_cut(*[np.array([r["log_weight"] for r in seen if r["role"] == role]) for role in ("good", "bad")])
-    k = weights.where(F.col("log_weight") >= cut).count()
-    last = kth_place(weights, k) if k else 0
-    kept = F.col("place") >= last if k else F.lit(False)
+    sides = weights.where("side in ('held toxic', 'held clean')").select("side", "toxicity").collect()
+    toxic, clean = (np.array([r["toxicity"] for r in sides if r["side"] == side]) for side in ("held toxic", "held clean"))
+    fits = F.col("toxicity") <= -best_cut(-clean, -toxic) if len(toxic) else F.lit(True)
+    k = weights.where((F.col("log_weight") >= cut) & fits).count()
+    last = kth_place(weights.where(fits), k) if k else 0
+    kept = fits & (F.col("place") >= last) if k else F.lit(False)
     return weights.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "log_weight", "key", kept.alias("kept"))

@@ -231,6 +231,16 @@ def test_quality_classifier_held_out(spark):
     assert kept == {i for i in range(400) if i % 5}
 
 
+def test_quality_classifier_leaves_out_toxic(spark):
+    """A few toxic words in texts of quality 1 decide, whatever their other words are."""
+    bad = ["vile", "nasty", "awful"]
+    text = lambda i: " ".join(bad[(i + k) % 3] if not i % 8 and k % 40 == 7 else w for k, w in enumerate(passage(i, 120).split()))
+    docs = spark.createDataFrame([(i, text(i)) for i in range(800)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(0, 800) if i % 16 < 9], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in quality_classifier.classify(docs, marks).where("kept").collect()}
+    assert kept and not {i for i in kept if i % 8 == 0} and len(kept) > 600
+
+
 def js(p: list[int], q: list[int]) -> float:
     p, q = np.array(p) / sum(p), np.array(q) / sum(q)
     part = lambda x: np.where(x > 0, x * np.log2(np.maximum(x, 1e-300) / ((p + q) / 2)), 0).sum() / 2
