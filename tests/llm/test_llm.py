@@ -375,6 +375,19 @@ def test_similar_documents_are_all_pairs(spark, small):
     assert found == {i: ids[r] for i, r in zip(ids, root, strict=True)}
 
 
+def test_groups_without_ids(spark):
+    """Classes whose doc_ids are all null never name a group that has a doc_id, and a group without ids keeps one row."""
+    def edit(seed: int, at: int) -> str:
+        return " ".join("new" if k == at else w for k, w in enumerate(passage(seed, 400).split()))
+
+    rows = [(5, passage(70, 400)), *[(None, edit(70, k)) for k in (0, 1, 399)], (None, passage(71, 400)), (None, edit(71, 0)), (None, edit(71, 0)), (None, passage(72, 400))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for found in (simhash.near_duplicates(docs, bits=6), simhash.similar_documents(docs)):
+        assert Counter((r["doc_id"], r["component_id"]) for r in found.collect()) == {(5, 5): 1, (None, 5): 3, (None, None): 4}
+    kept = Counter((r["doc_id"], r["text"].split()[9]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert kept == {(5, rows[0][1].split()[9]): 1, (None, rows[4][1].split()[9]): 1, (None, rows[7][1].split()[9]): 1}
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (70, 2)) if a != b] + [(k, k + 1) for k in range(200, 260)]
