@@ -16,7 +16,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import id_and_text, stored
+from tallywright.llm.common import gapless, id_and_text, stored
 from tallywright.llm.hashing import BASES, prefix_sums, runs, slices, windows, word_bounds, word_hashes
 
 #: Perfect difference sets by period.
@@ -36,14 +36,37 @@ def best_period(window: int) -> int:
     return max([p for p in COVERS if window - p + 1 >= p] or [3])
 
 
+def parted(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc, text) with ``part``, which tells the different texts of a doc_id apart: 0 where it has one row."""
+    ids = docs.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc")
+    ids = stored(ids, "repeated")
+    if ids.isEmpty():
+        return docs.withColumn("part", F.lit(0).cast("long"))
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    several = marked.select("doc", "mark").join(ids, "doc", "left_semi").distinct()
+    numbered = stored(gapless(several, ["doc"], [F.col("mark")], "part", F.col("mark")), "parts")
+    return marked.join(numbered, ["doc", "mark"], "left").select("doc", "text", F.coalesce("part", F.lit(0)).alias("part"))
+
+
+def parts_of(batch: pa.RecordBatch) -> np.ndarray:
+    """What is added to the places of each row's words: its part in the upper half."""
+    return batch["part"].to_numpy() << 32 if "part" in batch.schema.names else np.zeros(len(batch), np.int64)
+
+
+def places(found: DataFrame, name: str) -> DataFrame:
+    """(doc, part, ``name``): the places of (doc, at) as one list for each text; the upper half of ``at`` is the part."""
+    place = F.col("at").bitwiseAND(F.lit(2**32 - 1)).cast("int")
+    return found.groupBy("doc", F.shiftright("at", 32).alias("part")).agg(F.collect_list(place).alias(name))
+
+
 def anchors(docs: DataFrame, window: int, keep: Keep | None = None) -> DataFrame:
-    """(key, doc, at): the hashed anchors of each document, those that ``keep`` tells by their keys."""
+    """(key, doc, at): the hashed anchors of each document, those that ``keep`` tells by their keys; see ``places``."""
     period = best_period(window)
     size, members = window - period + 1, np.array(COVERS[period])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_of = batch["doc"].to_numpy()
+            docs_of, parts = batch["doc"].to_numpy(), parts_of(batch)
             for first, data, offsets in slices(batch["text"]):
                 starts, ends, heads = word_bounds(data, offsets)
                 key = windows(prefix_sums(word_hashes(data, starts, ends), BASES[1]), BASES[1], size).view(np.int64)
@@ -54,10 +77,10 @@ def anchors(docs: DataFrame, window: int, keep: Keep | None = None) -> DataFrame
                 if keep:
                     take &= keep(key)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[take]), pa.array(docs_of[first + row[:n][take]]), pa.array(at[:n][take].astype(np.int32))], ["key", "doc", "at"],
+                    [pa.array(key[take]), pa.array(docs_of[first + row[:n][take]]), pa.array(at[:n][take] + parts[first + row[:n][take]])], ["key", "doc", "at"],
                 )
 
-    return docs.mapInArrow(hashed, "key long, doc long, at int")
+    return docs.mapInArrow(hashed, "key long, doc long, at long")
 
 
 def frequent_keys(docs: DataFrame, window: int) -> np.ndarray:
@@ -69,7 +92,7 @@ def frequent_keys(docs: DataFrame, window: int) -> np.ndarray:
 
 
 def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(doc, anchors): places of the anchors that other documents have too.
+    """(doc, part, anchors): places of the anchors that other documents have too.
 
     Rare keys meet in one shuffle. A frequent key would meet in one task: its smallest and largest document are found
     by a map-side aggregation instead, and the keys that two documents share, no more than frequent_keys allows, go to
@@ -85,7 +108,7 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
         spread = often.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
         shared = np.sort(np.array([r["key"] for r in spread.collect()], np.int64))
         found = found.union(anchors(docs, window, lambda key: np.isin(key, shared)).select("doc", "at"))
-    return found.groupBy("doc").agg(F.collect_list("at").alias("anchors"))
+    return places(found, "anchors")
 
 
 def whole_windows(texts: DataFrame, window: int) -> DataFrame:
@@ -94,7 +117,7 @@ def whole_windows(texts: DataFrame, window: int) -> DataFrame:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_of, lists = batch["doc"].to_numpy(), batch["anchors"]
+            docs_of, parts, lists = batch["doc"].to_numpy(), parts_of(batch), batch["anchors"]
             for first, data, offsets in slices(batch["text"]):
                 starts, ends, heads = word_bounds(data, offsets)
                 key = windows(prefix_sums(word_hashes(data, starts, ends), BASES[2]), BASES[2], window).view(np.int64)
@@ -108,10 +131,10 @@ def whole_windows(texts: DataFrame, window: int) -> DataFrame:
                 take = (np.cumsum(steps)[:n] > 0) & (row[:n] == row[window - 1 :][:n])
                 at = (np.arange(n) - heads[row[:n]])[take]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[take]), pa.array(docs_of[first + row[:n][take]]), pa.array(at.astype(np.int32))], ["key", "doc", "at"],
+                    [pa.array(key[take]), pa.array(docs_of[first + row[:n][take]]), pa.array(at + parts[first + row[:n][take]])], ["key", "doc", "at"],
                 )
 
-    return texts.mapInArrow(hashed, "key long, doc long, at int")
+    return texts.mapInArrow(hashed, "key long, doc long, at long")
 
 
 def cut_words(window: int, spacing: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -147,7 +170,7 @@ def cut_words(window: int, spacing: bool) -> Callable[[Iterator[pa.RecordBatch]]
                     else:
                         kept.append(b" ".join([raw[i:j] for i, j in zip(begin[~gone].tolist(), end[~gone].tolist(), strict=True)]))
             text = pa.array(kept, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch["doc"], text, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], ["doc", "text", "n_words", "n_removed"])
+            yield pa.RecordBatch.from_arrays([batch["doc"], batch["mark"], text, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], ["doc", "mark", "text", "n_words", "n_removed"])
 
     return cut
 
@@ -156,16 +179,17 @@ def dedup(docs: DataFrame, window: int = 13, spacing: bool = False) -> DataFrame
     """Removes each word covered by a window of ``window`` words that a document with a smaller doc_id has too.
 
     Windows are judged on the input. Returns doc_id, text (the kept words joined by one blank, or with ``spacing``
-    the text without the removed words and the white space after them), n_words and n_removed for each row. A null
+    the text without the removed words and the white space after them), n_words, n_removed and mark (the hash of the
+    text before) for each row. A null
     text has no words, a null doc_id comes before all others; a text shorter than the window keeps all its words, and
-    so do rows that repeat a doc_id among themselves (such rows are one document: what is found for one of them
-    holds, by its places, for all). An empty table gives no rows. Other columns go.
+    so do rows that repeat a doc_id among themselves, each with places of its own. An empty table gives no rows. Other columns go.
     """
     docs = id_and_text(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")
+    docs = parted(docs)
     shared = stored(shared_anchors(docs, window), "anchors")
     # one shuffle of the texts serves both joins by doc
-    whole = whole_windows(docs.join(shared, "doc"), window)
+    whole = whole_windows(docs.join(shared, ["doc", "part"]), window)
     first = whole.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key", "low")
-    again = whole.join(first, "key").where("doc > low").groupBy("doc").agg(F.collect_list("at").alias("starts"))
-    out = docs.join(again, "doc", "left").mapInArrow(cut_words(window, spacing), "doc long, text string, n_words long, n_removed long")
-    return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "text", "n_words", "n_removed")
+    again = places(whole.join(first, "key").where("doc > low").select("doc", "at"), "starts")
+    out = docs.join(again, ["doc", "part"], "left").withColumn("mark", F.xxhash64("text")).mapInArrow(cut_words(window, spacing), "doc long, mark long, text string, n_words long, n_removed long")
+    return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "mark", "text", "n_words", "n_removed")

@@ -25,7 +25,6 @@ from tallywright.llm.hashing import BASES, byte_sums, mix, ranges, runs, slices,
 GRAM, CORE, TOKEN, LEAD = 8, 100, 100, 16
 #: A core with more distinct surroundings isn't sorted in one bucket: its strings are counted by their names instead.
 MOST_IN_BUCKET = 1_000
-NULL_ID = -(2**63)
 ANCHOR = "core long, around long, doc long, low int, n int, place int"
 
 
@@ -204,7 +203,7 @@ def cut_bytes(length: int):
                 out.append((len(raw), int(gone.sum()), len(runs(gone)[0]), np.frombuffer(raw, np.uint8)[~gone].tobytes()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays([batch["doc"], *columns], ["doc", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return cut
 
@@ -214,11 +213,11 @@ def dedup(docs: DataFrame, length: int = 400) -> DataFrame:
 
     Strings lie within a document, may overlap, and are judged on the input. Returns doc_id, n_bytes, n_removed,
     n_spans (maximal removed runs) and kept (the other bytes joined, as binary, since a cut may split a character) for
-    each row. Null and empty texts, and texts shorter than ``length``, lose nothing. Rows with the same doc_id are one
-    document: its strings repeat those of its other rows, and what is found in one row holds, by its places, for all.
-    A null doc_id is an id of its own. An empty table gives no rows. Other columns go.
+    each row. Null and empty texts, and texts shorter than ``length``, lose nothing. Rows are told apart by a hash
+    of doc_id and text, so that rows with the same doc_id, or none, are texts of their own; equal rows repeat each
+    other. An empty table gives no rows. Other columns go.
     """
-    docs = id_and_text(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")
+    docs = id_and_text(docs).select("doc_id", F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text").alias("doc"), "text")
     every = anchors(docs, length)
     cores = every.groupBy("core").agg(F.count(F.lit(1)).alias("times"), (F.min("around") < F.max("around")).alias("mixed")).where("times > 1").drop("times")
     shared = stored(every.join(stored(cores, "cores"), "core"), "suffixes")
@@ -238,5 +237,4 @@ def dedup(docs: DataFrame, length: int = 400) -> DataFrame:
     found = mixed.drop("n").join(equal.union(often), ["core", "around"]).select("doc", (F.col("low") + F.col("skip")).alias("first"), "n")
     found = found.union(shared.where("not mixed").select("doc", F.col("low").alias("first"), "n"))
     own = found.groupBy("doc").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
-    out = docs.join(own, "doc", "left").mapInArrow(cut_bytes(length), "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), *out.columns[1:])
+    return docs.join(own, "doc", "left").mapInArrow(cut_bytes(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -138,6 +138,35 @@ def test_substring_dedup_spacing(spark):
     assert {r["doc_id"]: r["text"] for r in substring_dedup.dedup(docs, 50, spacing=True).collect()} == {1: f"a  b\n{shared}", 2: " c\td  e ", 3: ""}
 
 
+def same_ids() -> list[tuple[int | None, str | None]]:
+    """Two null ids and a repeated id with texts of different lengths, the longer with passages of others."""
+    shared, other = passage(51, 220), passage(52, 230)
+    return [
+        (None, f"{passage(53, 90)} {shared} {passage(54, 60)}"), (None, passage(55, 8)), (None, f"{passage(56, 140)} {other}"), (4, shared),
+        (7, passage(57, 20)), (7, f"{passage(58, 300)} {other} {shared} {passage(59, 9)}"), (7, f"{other} {passage(60, 200)}"), (7, passage(57, 20)), (9, f"{other} {passage(61, 30)} {shared}"),
+    ]
+
+
+@pytest.mark.parametrize("most", [1000, 1])
+def test_suffix_dedup_same_ids(spark, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "MOST_IN_BUCKET", most)
+    docs = spark.createDataFrame(same_ids(), "doc_id long, text string").repartition(2)
+    check_suffixes(suffix_dedup.dedup(docs, 400).collect(), same_ids(), 400)
+
+
+@pytest.mark.parametrize("window", [13, 50])
+def test_substring_dedup_same_ids(spark, window):
+    docs = spark.createDataFrame(same_ids(), "doc_id long, text string").repartition(2)
+    check_passages(substring_dedup.dedup(docs, window).collect(), same_ids(), window)
+
+
+def test_cut_passages_same_ids(spark):
+    """Each row keeps its own text where rows share a doc_id or have none."""
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in same_ids()], "doc_id long, text string, n_chars long")
+    want = Counter((r["doc_id"], " ".join(r["text"].split())) for r in substring_dedup.dedup(docs, 50).collect())
+    assert Counter((r["doc_id"], " ".join(r["text"].split())) for r in corpus_pipeline.cut_passages(spark, docs, "").collect()) == want
+
+
 @pytest.mark.parametrize("period", substring_dedup.COVERS)
 def test_difference_covers(period):
     members = substring_dedup.COVERS[period]
