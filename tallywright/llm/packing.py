@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from base64 import b64decode
 from collections.abc import Iterator
@@ -14,37 +15,46 @@ from pyspark.sql import functions as F
 from tallywright.llm.common import gapless, id_and_text, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_models: dict[tuple[str, str], object] = {}
+_models: dict[tuple, object] = {}
 
 
-def model(ranks: str | None, pattern: str | None):
+def added_tokens() -> dict[str, int]:
+    """Text and id of the tokens that ``byte_bpe_50k.json`` adds to its vocabulary and finds inside of texts."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
+
+
+def model(ranks: str | None, pattern: str | None, added: dict[str, int] | None = None):
     """The byte-level BPE of a rank file; by default the public 50k one. Loaded once by each worker."""
     import public_tokenizers
     import tiktoken
 
-    key = (ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN)
+    key = (ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN, tuple((added or {}).items()))
     if key not in _models:
         with open(key[0], "rb") as lines:
             known = {b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _models[key] = tiktoken.Encoding("pieces", pat_str=key[1], mergeable_ranks=known, special_tokens={})
+        _models[key] = tiktoken.Encoding("pieces", pat_str=key[1], mergeable_ranks=known, special_tokens=dict(key[2]))
     return _models[key]
 
 
-def pieces(docs: DataFrame, capacity: int, ranks: str | None = None, pattern: str | None = None, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int, ranks: str | None = None, pattern: str | None = None, end_id: int = 0, added: dict[str, int] | None = None) -> DataFrame:
     """Token pieces of at most ``capacity`` ids of each document, ``end_id`` after its last one.
 
     A longer document is cut so that all pieces but the first are full. ``ranks`` and ``pattern`` name a vocabulary in
     the rank format; the default gives the ids of ``byte_bpe_50k.json``, which is the same vocabulary, in a third of
-    the time. Strings of special tokens are ordinary text.
+    the time. ``added`` names strings that are one token wherever a text has them, as ``added_tokens`` gives them;
+    without it they are ordinary text.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = model(ranks, pattern), int(end_id).to_bytes(4, "little")
+        bpe, end = model(ranks, pattern, added), int(end_id).to_bytes(4, "little")
         for batch in batches:
             for first in range(0, len(batch), 256):
                 part = batch.slice(first, 256)
                 out: list[tuple] = []
                 for doc, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    ids = bpe.encode_to_numpy(text).astype("<u4").tobytes() + end
+                    ids = bpe.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes() + end
                     n = len(ids) // 4
                     head = n - (n - 1) // capacity * capacity
                     at = [0, *range(head, n, capacity), n]
@@ -129,7 +139,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return out
 
 
-def pack(docs: DataFrame, capacity: int = 2048, **vocabulary: str | int) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, **vocabulary: str | int | dict[str, int] | None) -> DataFrame:
     """Packs the tokens of ``docs`` (doc_id, text) into sequences of at most ``capacity`` tokens.
 
     Best-fit decreasing sees lengths alone: the driver gets the count of each length, at most ``capacity`` numbers

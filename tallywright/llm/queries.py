@@ -28,7 +28,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048, added=packing.added_tokens())
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,6 +225,19 @@ def test_pack(odd):
     assert sorted(2048 - sum(n for _, n in own) for own in bins.values()) == rooms_by_best_fit(lengths, 2048)
 
 
+def test_pack_added_tokens(spark):
+    """The registered query and the pipeline give the ids of the tokenizer file at its defaults."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " x<|endoftext|>  y\n", "<|endoftext| >", passage(80, 20)]
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: zlib.crc32(np.array([*model.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes()) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["ids_crc32"] for r in corpus_pipeline.pack(spark, docs, "").collect()} == want
+    assert {r["doc_id"]: r["ids_crc32"] for r in packing.pack(docs, added=packing.added_tokens()).collect()} == want
+
+
 def test_gumbel_top_k_and_place(spark):
     keys = [3.5, -1.25, 0.0, -0.0, 7.0, 7.0, -1e300, 2.0**-1000]
     place = np.array(keys).view(np.int64)
