@@ -29,6 +29,8 @@ MEETING = 2_000
 #: Texts whose hash is 0 modulo this show which shingles are common: those of more than one in so many of them, and of
 #: at least so many.
 SHOWN, COMMON_ONE_IN, COMMON_LEAST = 32, 500, 5
+#: Ranges of hashes whose shingles are counted to discard pairs.
+PLACES = 256
 #: Rounds that compare each text with one other before all pairs still apart are compared.
 ROUNDS = 3
 LOWER = np.arange(256, dtype=np.uint8)
@@ -303,7 +305,25 @@ def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
 
 
 def alike(pairs: DataFrame, sets: DataFrame, millionths: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose shingles are alike enough: the sets themselves are compared."""
+    """Those of ``pairs`` (a, b) whose shingles are alike enough: the sets themselves are compared.
+
+    First a bound that no pair of such likeness exceeds discards most pairs by their counts of shingles in each of
+    PLACES ranges, so that only the sets of the other pairs go round.
+    """
+    counts = sets.select("node", "counts")
+    met = pairs.join(counts.toDF("a", "left"), "a").join(counts.toDF("b", "right"), "b")
+
+    def may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, PLACES).astype(np.int64) for c in ("left", "right"))
+            common = np.minimum(left, right).sum(axis=1)
+            every = left.sum(axis=1) + right.sum(axis=1) - common
+            full = (left == 65535).any(axis=1) | (right == 65535).any(axis=1)
+            take = pa.array(np.flatnonzero(full | (common * 1_000_000 >= every * millionths)))
+            yield pa.RecordBatch.from_arrays([batch["a"].take(take), batch["b"].take(take)], ["a", "b"])
+
+    pairs = stored(met.mapInArrow(may_link, "a long, b long"), "pairs")
+    sets = sets.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")).cast("long"))
@@ -369,9 +389,11 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8)
         for batch in batches:
             for _, names, row, shingle in shingle_sets(batch["text"], words):
                 ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(names))))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingle.view(np.int64)))], ["node", "shingles"])
+                place = row * PLACES + (shingle >> np.uint64(56)).astype(np.int64)
+                counts = np.minimum(np.bincount(place, minlength=len(names) * PLACES), 65535).astype(np.uint16).reshape(-1, PLACES)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([x.tobytes() for x in counts], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingle.view(np.int64)))], ["node", "counts", "shingles"])
 
-    sets = stored(chosen.mapInArrow(listed, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+    sets = stored(chosen.mapInArrow(listed, "node long, counts binary, shingles array<long>").dropDuplicates(["node"]), "sets")
     roots = set_links(met, sets, millionths)
     if roots is None:
         roots = classes.select("node", F.col("node").alias("root")).where("false")
