@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywright.session import materialize
 
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the folder of ``spark.checkpoint.dir`` and read from there."""
     return materialize(df, name=name)
@@ -16,9 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_and_text(docs: DataFrame) -> DataFrame:
-    """doc_id and whole text, null texts as empty ones; all other columns go."""
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def id_and_text(docs: DataFrame, carry: str | None = None) -> DataFrame:
+    """doc_id, carried (the column ``carry`` as text, or null) and whole text, null texts as empty ones; all other columns go."""
+    carried = F.col(carry) if carry else F.lit(None)
+    return docs.select(F.col("doc_id").cast("long"), carried.cast("string").alias("carried"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def hex_draw(*parts: Column | str | int) -> Column:

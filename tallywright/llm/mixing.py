@@ -56,7 +56,7 @@ def budgets(leaves: DataFrame, weights: dict[str, int], budget: Column, max_epoc
     return out.select(*LEVELS, F.floor("share").cast("long").alias("budget"))
 
 
-def mix(docs: DataFrame, weights: dict[str, int], budget: float = 1.0, max_epochs: int = 2, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, int], budget: float = 1.0, max_epochs: int = 2, seed: int = 0, carry: str | None = None) -> DataFrame:
     """Which documents of ``docs`` (doc_id, text, domain, lang, source) to take, and how often.
 
     The token budget is ``budget`` times all tokens. A leaf with budget b and t tokens gives floor(b / t) whole epochs
@@ -65,10 +65,12 @@ def mix(docs: DataFrame, weights: dict[str, int], budget: float = 1.0, max_epoch
     document is taken whole), cut (tokens of it taken once more: all of them but for the last document) for the
     documents taken. Labels that are null count as empty ones, null texts as no tokens; a document without tokens is
     taken with whole epochs or where the prefix hasn't ended before it. A null doc_id is ordered like an empty one,
-    repeated rows count singly, an empty table gives no rows. Other columns go.
+    repeated rows count singly, an empty table gives no rows. Other columns go but
+    ``carry``, if named.
     """
+    carried = [F.col(carry).cast("string").alias("carried")] if carry else []
     rows = stored(docs.select(
-        F.col("doc_id").cast("long"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LEVELS], n_tokens(F.col("text")).alias("n_tokens"),
+        F.col("doc_id").cast("long"), *carried, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LEVELS], n_tokens(F.col("text")).alias("n_tokens"),
     ), "tokens")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     leaves = leaves.join(budgets(leaves, weights, F.lit(float(budget)), max_epochs), list(LEVELS)).select(
@@ -87,4 +89,5 @@ def mix(docs: DataFrame, weights: dict[str, int], budget: float = 1.0, max_epoch
     start = F.col("part_start") + F.col("inside")
     rows = rows.withColumn("cut", F.greatest(F.lit(0), F.least(F.col("n_tokens"), F.col("rest") - start)).cast("long"))
     taken = (F.col("epochs") > 0) | (start < F.col("rest"))
-    return rows.where(taken).select("doc_id", *LEVELS, "n_tokens", F.col("epochs").cast("long"), "cut")
+    carried = [F.col("carried").alias(carry)] if carry else []
+    return rows.where(taken).select("doc_id", *carried, *LEVELS, "n_tokens", F.col("epochs").cast("long"), "cut")

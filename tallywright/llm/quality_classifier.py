@@ -93,7 +93,7 @@ def model(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray, toxic_ratios: np.ndarray, seed: int) -> DataFrame:
-    """(doc, role, side, log_weight, toxicity, key, place): the log importance weight, the log ratio of the most toxic
+    """(doc, carried, role, side, log_weight, toxicity, key, place): the log importance weight, the log ratio of the most toxic
     n-gram (at least 0), the Gumbel key, and the key's place in the order of 64-bit integers."""
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,9 +109,9 @@ def weigh(docs: DataFrame, ratios: np.ndarray, toxic_ratios: np.ndarray, seed: i
             key = weight + NOISE * gumbel(batch["doc"].to_numpy(), seed)
             place = key.view(np.int64)
             place = np.where(place < 0, place ^ np.int64(2**63 - 1), place)
-            yield pa.RecordBatch.from_arrays([batch["doc"], batch["role"], batch["side"], pa.array(weight), pa.array(np.round(toxicity, 9)), pa.array(key), pa.array(place)], ["doc", "role", "side", "log_weight", "toxicity", "key", "place"])
+            yield pa.RecordBatch.from_arrays([batch["doc"], batch["carried"], batch["role"], batch["side"], pa.array(weight), pa.array(np.round(toxicity, 9)), pa.array(key), pa.array(place)], ["doc", "carried", "role", "side", "log_weight", "toxicity", "key", "place"])
 
-    return docs.mapInArrow(weighed, "doc long, role string, side string, log_weight double, toxicity double, key double, place long")
+    return docs.mapInArrow(weighed, "doc long, carried string, role string, side string, log_weight double, toxicity double, key double, place long")
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
@@ -138,7 +138,7 @@ def kth_place(weights: DataFrame, k: int) -> int:
     return settled
 
 
-def classify(docs: DataFrame, labels: DataFrame, seed: int = 0) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, seed: int = 0, carry: str | None = None) -> DataFrame:
     """Which documents to keep: a Gumbel top-k sample by the importance of target text over raw text.
 
     The weight of a text is the ratio of its likelihoods under two generative models of hashed n-grams, of good texts
@@ -150,14 +150,14 @@ def classify(docs: DataFrame, labels: DataFrame, seed: int = 0) -> DataFrame:
     is left out as toxic. Returns doc_id, log_weight, key and kept for each row. Null and empty texts have log
     weight 0; a null doc_id draws noise like an id, repeated rows draw the same, and ties at the last place are all
     kept; labels with a null are not used; without labels what weighs 0 or more is kept. An empty table gives no rows.
-    Other columns go.
+    Other columns go but ``carry``, if named.
     """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc"), ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"), "quality", (F.coalesce("toxic", F.lit(0)) == 1).alias("toxic")).dropna().dropDuplicates(["doc"])
     usable = usable.orderBy(F.xxhash64("doc"), "doc").limit(MOST_LABELS)
     held = F.pmod(F.xxhash64("doc", F.lit("held")), F.lit(2)) == 0
     role = F.when(held & F.col("good"), "good").when(held & ((F.col("quality") == 0) | F.col("toxic")), "bad").when(~held & F.col("good"), "fit")
     side = F.concat(F.when(held, "held ").otherwise("fit "), F.when(F.col("toxic"), "toxic").otherwise("clean"))
-    docs = id_and_text(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")
+    docs = id_and_text(docs, carry).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "carried", "text")
     docs = docs.join(F.broadcast(usable.select("doc", role.alias("role"), side.alias("side"))), "doc", "left")  # MOST_LABELS short rows at most
     weights = stored(weigh(docs, *model(docs), seed), "weights")
     seen = weights.where("role in ('good', 'bad')").select("role", "log_weight").collect()
@@ -168,4 +168,5 @@ def classify(docs: DataFrame, labels: DataFrame, seed: int = 0) -> DataFrame:
     k = weights.where((F.col("log_weight") >= cut) & fits).count()
     last = kth_place(weights.where(fits), k) if k else 0
     kept = fits & (F.col("place") >= last) if k else F.lit(False)
-    return weights.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "log_weight", "key", kept.alias("kept"))
+    carried = [F.col("carried").alias(carry)] if carry else []
+    return weights.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), *carried, "log_weight", "key", kept.alias("kept"))

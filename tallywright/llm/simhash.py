@@ -1,14 +1,13 @@
 """SimHash near-duplicates, with candidates discarded by a pivot distance table.
 
-Fingerprints meet where they agree on chosen bits. Where they meet, each carries its Hamming distances to reference
+Fingerprints meet where they agree on chosen bits: all choices of BLOCKS - bits of BLOCKS blocks, on some of which two
+fingerprints within ``bits`` bits always agree. Where they meet, each carries its Hamming distances to reference
 fingerprints; a pair whose distances to any reference differ by more than ``bits`` can't link and is discarded before
-it is verified. Two ways to choose the bits: of 64-bit fingerprints, all choices of BLOCKS - bits of BLOCKS blocks,
-some of which two fingerprints within ``bits`` bits always agree on; of wider ones, BANDS fixed random samples.
+it is verified.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -19,28 +18,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.llm.common import id_and_text, stored
-from tallywright.llm.hashing import BASES, mix, prefix_sums, ranges, slices, word_bounds, word_hashes
+from tallywright.llm.hashing import mix
 
 SEED = 42
 BLOCKS = 7
 PIVOTS = 16
 #: A meeting of more fingerprints is split by their distance to the first reference, and further by hash.
 MEETING = 2_000
-#: Texts whose hash is 0 modulo this show which shingles are common: those of more than one in so many of them, and of
-#: at least so many.
-SHOWN, COMMON_ONE_IN, COMMON_LEAST = 32, 500, 5
-#: Ranges of hashes whose shingles are counted to discard pairs.
-PLACES = 256
-#: Rounds that compare each text with one other before all pairs still apart are compared.
-ROUNDS = 3
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[ord("A") : ord("Z") + 1] += 32
-#: Of a wide fingerprint: 64-bit words, samples of bits to meet by, and bits of a sample. Texts of similarity 0.8 meet
-#: with probability 0.96, of 0.85 with 0.99. A larger corpus needs more of both, as its chance meetings grow.
-WORDS, BANDS, BAND_BITS = 8, 128, 24
-#: Reference fingerprints and sampled bits: drawn at random once, from fixed seeds.
-REFERENCES = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, (PIVOTS, WORDS), dtype=np.uint64)
-SAMPLES = np.argsort(np.random.Generator(np.random.PCG64(20240608)).random((BANDS, 64 * WORDS)), axis=1)[:, :BAND_BITS]
+#: Reference fingerprints, drawn at random once, from a fixed seed.
+REFERENCES = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, PIVOTS, dtype=np.uint64)
 
 
 def block_masks(bits: int) -> list[int]:
@@ -50,43 +36,35 @@ def block_masks(bits: int) -> list[int]:
     return [sum(c) for c in combinations(blocks, BLOCKS - bits)]
 
 
-def fingerprint(text: str, shingle: int, width: int = 1) -> np.ndarray:
-    """Of ``width`` 64-bit hashes of each of the text's shingles, repeats included, the bits set in over half of them.
-
-    The first word is of XXH64 itself, the others of mixtures of it. No words: 0.
-    """
+def fingerprint(text: str, shingle: int) -> int:
+    """The bits set in over half of the XXH64 hashes of the text's shingles, repeats included. No words: 0."""
     parts = text.encode().lower().split()  # bytes: A-Z only, and white space \x20 \x09-\x0D
     if not parts:
-        return np.zeros(width, np.uint64)
+        return 0
     joined = b" ".join(parts)
     n = max(1, len(parts) - shingle + 1)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(sizes + 1) - 1
     digest, starts = xxhash.xxh64_intdigest, (ends - sizes)[:n].tolist()
     hashes = np.fromiter([digest(joined[a:b], SEED) for a, b in zip(starts, ends[-n:].tolist(), strict=True)], np.uint64, n)
-    votes = np.zeros(64 * width, np.int64)
+    votes = np.zeros(64, np.int64)
     for k in range(0, n, 4096):
-        own = hashes[k : k + 4096, None]
-        if width > 1:
-            own = np.concatenate((own, mix(own ^ mix(np.arange(1, width, dtype=np.uint64)))), axis=1)
-        votes += np.unpackbits(np.ascontiguousarray(own).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
-    return np.packbits(2 * votes > n, bitorder="little").view(np.uint64)
+        votes += np.unpackbits(hashes[k : k + 4096, None].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, width: int = 1) -> DataFrame:
-    """(doc_id, print): the SimHash of each whole text, as signed longs."""
+def fingerprints(docs: DataFrame, shingle: int, carry: str | None = None) -> DataFrame:
+    """(doc_id, carried, print): the SimHash of each whole text, as a signed long."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(x.as_py(), shingle, width) for x in batch["text"]]
-            words = np.concatenate([np.zeros(0, np.uint64), *prints]).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1, dtype=np.int32) * width), pa.array(words))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], lists], ["doc_id", "print"])
+            prints = np.array([fingerprint(x.as_py(), shingle) for x in batch["text"]], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["carried"], pa.array(prints)], ["doc_id", "carried", "print"])
 
-    return id_and_text(docs).mapInArrow(of, "doc_id long, print array<long>")
+    return id_and_text(docs, carry).mapInArrow(of, "doc_id long, carried string, print long")
 
 
 def distances(prints: np.ndarray, other: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(prints ^ other).sum(axis=-1, dtype=np.int32)
+    return np.bitwise_count(prints ^ other).astype(np.int32)
 
 
 def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[int]:
@@ -94,7 +72,7 @@ def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[int]:
     then right, equal for connected ones. Rows of the pivot table are compared before fingerprints are.
     """
     other = left if right is None else right
-    own_table, table = (distances(x[:, None, :], REFERENCES[:, : x.shape[1]]) for x in (left, other))
+    own_table, table = (distances(x[:, None], REFERENCES) for x in (left, other))
     shift = 0 if right is None else len(left)
     root = list(range(len(left) + (0 if right is None else len(right))))
 
@@ -117,29 +95,25 @@ def linked(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[int]:
     return [find(x) for x in range(len(root))]
 
 
-def meetings(prints: DataFrame, width: int, bits: int) -> DataFrame:
+def meetings(prints: DataFrame, bits: int) -> DataFrame:
     """(key, near, node): where each fingerprint meets others, and its distance to the first reference."""
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = np.array(block_masks(bits), np.uint64) if width == 1 else None
+        masks = np.array(block_masks(bits), np.uint64)
         for batch in batches:
             for first in range(0, len(batch), 1_000):
                 part = batch.slice(first, 1_000)
-                words = part["print"].flatten().to_numpy().view(np.uint64).reshape(-1, width)
-                if masks is not None:
-                    keys = words & masks
-                else:
-                    every = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
-                    keys = (every[:, SAMPLES].astype(np.uint64) << np.arange(BAND_BITS, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+                words = part["node"].to_numpy().view(np.uint64)
+                keys = words[:, None] & masks
                 n = keys.shape[1]
                 keys = mix(keys ^ mix(np.arange(1, n + 1, dtype=np.uint64))).view(np.int64)  # of the way and the bits
-                near = distances(words, REFERENCES[0, :width]).astype(np.int32)
+                near = distances(words, REFERENCES[0])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(near, n)), pa.array(np.repeat(part["node"].to_numpy(), n))], ["key", "near", "node"])
 
     return prints.mapInArrow(meet, "key long, near int, node long")
 
 
-def links(prints: DataFrame, width: int, bits: int) -> DataFrame:
-    """(a, b): pairs of the nodes of ``prints`` (node, print) that connect all that meet within ``bits`` bits.
+def links(prints: DataFrame, bits: int) -> DataFrame:
+    """(a, b): pairs of the fingerprints of ``prints`` (node) that connect all that meet within ``bits`` bits.
 
     A group gives one pair for each node that it connects, with the least node of its part, so that pairs of different
     meetings are mostly the same ones.
@@ -148,7 +122,7 @@ def links(prints: DataFrame, width: int, bits: int) -> DataFrame:
     reference, whose values further apart than ``bits`` can't link, and by a hash of the node, and every two parts
     that may link form a group. So a group never exceeds about twice MEETING.
     """
-    met = meetings(prints, width, bits)
+    met = meetings(prints, bits)
     # numbers of members: of each meeting, and of each of its distances
     sizes = met.groupBy("key", "near").agg(F.count(F.lit(1)).alias("n"))
     total = sizes.groupBy("key").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("near", "n"))).alias("by_near")).where("total > 1")
@@ -163,15 +137,14 @@ def links(prints: DataFrame, width: int, bits: int) -> DataFrame:
     met = met.withColumn("own", F.when(F.col("by_near").isNull(), one[0]).otherwise(own))
     met = met.withColumn("other", F.explode(F.when(F.col("by_near").isNull(), one).otherwise(near_parts)))
     met = met.select("key", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "node", (F.col("own") > F.col("other")).alias("right"))
-    members = F.collect_list(F.struct("node", "print", "right")).alias("members")
-    groups = met.join(prints, "node").groupBy("key", "first", "second").agg(members)
+    groups = met.groupBy("key", "first", "second").agg(F.collect_list(F.struct("node", "right")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, a, b = batch["members"], [], []
             ends = lists.offsets.to_numpy()
             nodes, right = lists.values.field("node").to_numpy(), lists.values.field("right").to_numpy(zero_copy_only=False)
-            words = lists.values.field("print").flatten().to_numpy().view(np.uint64).reshape(-1, width)
+            words = nodes.view(np.uint64)
             for alone, x, y in zip(batch["alone"].to_pylist(), ends, ends[1:], strict=False):
                 order = np.arange(x, y) if alone else np.concatenate((x + np.flatnonzero(~right[x:y]), x + np.flatnonzero(right[x:y])))
                 cut = y - x if alone else int((~right[x:y]).sum())
@@ -222,14 +195,16 @@ def named_groups(classes: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(names, "root")
 
 
-def groups(docs: DataFrame, shingle: int, width: int, bits: int) -> DataFrame:
-    """(doc_id, print, component_id): each distinct fingerprint is compared once, whatever its copies."""
-    prints = stored(fingerprints(docs, shingle, width), "fingerprints")
-    # a class of equal fingerprints is a node named by the fingerprint, whatever its doc_ids
-    node = F.get("print", F.lit(0)) if width == 1 else F.xxhash64("print")
-    distinct = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first")).withColumn("node", node), "classes")
-    roots = components(stored(links(distinct.select("node", "print"), width, bits), "links"))
-    return prints.join(named_groups(distinct, roots).select("print", "component_id"), "print")
+def groups(docs: DataFrame, words: int = 4, bits: int = 4, carry: str | None = None) -> DataFrame:
+    """(doc_id, carried, print, root, component_id) of each row; see ``near_duplicates``.
+
+    ``carried`` is the column ``carry`` as text. Rows of one ``root`` form a group, with or without doc_ids.
+    Each distinct fingerprint is compared once, whatever its copies.
+    """
+    prints = stored(fingerprints(docs, words, carry), "fingerprints")
+    distinct = stored(prints.groupBy(F.col("print").alias("node")).agg(F.min("doc_id").alias("first")), "classes")
+    roots = components(stored(links(distinct.select("node"), bits), "links"))
+    return prints.join(named_groups(distinct, roots).select(F.col("node").alias("print"), "root", "component_id"), "print")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
@@ -238,163 +213,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame
     Shingles are ``words`` words of the text, A-Z lower-cased, repeats included; a shorter text is one shingle, a text
     without words (a null one too) has fingerprint zero. Fingerprints link at ``bits`` or fewer differing bits. Returns
     doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id of the group) for each row. A null doc_id
-    stays null and isn't a component's name unless no other is there; rows that repeat a doc_id are one document, those
-    that repeat a text copies; an empty table gives no rows. Other columns go.
-    """
-    out = groups(docs, words, 1, bits)
-    return out.select("doc_id", F.lpad(F.lower(F.hex(F.get("print", F.lit(0)))), 16, "0").alias("fingerprint"), "component_id")
-
-
-def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, name of each row's words, row and hash of each distinct shingle), rows and hashes ascending.
-
-    A-Z are lower-cased; a text of fewer words is one shingle, a text without words has none and is named 0.
-    """
-    for first, data, offsets in slices(texts):
-        data = LOWER[data]
-        starts, ends, heads = word_bounds(data, offsets)
-        hashes, counts = word_hashes(data, starts, ends), np.diff(heads)
-        names = ranges(prefix_sums(hashes, BASES[2]), BASES[2], heads[:-1], heads[1:]).view(np.int64)
-        n = np.where(counts > 0, np.maximum(counts - words + 1, 1), 0)
-        row = np.repeat(np.arange(len(counts)), n)
-        begin = heads[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        shingle = ranges(prefix_sums(hashes, BASES[1]), BASES[1], begin, np.minimum(begin + words, heads[row + 1]))
-        order = np.lexsort((shingle, row))
-        row, shingle = row[order], shingle[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (shingle[1:] != shingle[:-1])
-        yield first, names, row[new], shingle[new]
-
-
-def named_rows(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, mark, node) of each row of ``texts`` (doc_id, mark, text)."""
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = [names for _, names, _, _ in shingle_sets(batch["text"], words)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(np.concatenate([np.zeros(0, np.int64), *names]))], ["doc_id", "mark", "node"])
-
-    return texts.mapInArrow(named, "doc_id long, mark long, node long")
-
-
-def prefixes(texts: DataFrame, words: int, millionths: int, last: np.ndarray) -> DataFrame:
-    """(key, node, n): the first shingles of each text, and the number of all its shingles.
-
-    All texts order shingles alike, those of ``last`` after the others. Sets of likeness s share at least one of the
-    first n - ceil(s n) + 1 shingles of either, so no pair is missed.
+    stays null and isn't a component's name unless no other is there; rows that repeat a doc_id are judged by their own
+    texts, those that repeat a text are copies; an empty table gives no rows. Other columns go.
     """
-    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, names, row, shingle in shingle_sets(batch["text"], words):
-                order = np.lexsort((shingle, np.isin(shingle, last), row)) if len(last) else slice(None)
-                row, shingle = row[order], shingle[order]
-                n = np.bincount(row, minlength=len(names))
-                place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
-                take = place <= (n + -n * millionths // 1_000_000)[row]  # n - ceil(s n)
-                row = row[take]
-                yield pa.RecordBatch.from_arrays([pa.array(shingle[take].view(np.int64)), pa.array(names[row]), pa.array(n[row].astype(np.int32))], ["key", "node", "n"])
-
-    return texts.mapInArrow(first_ones, "key long, node long, n int")
-
-
-def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
-    """Shingles that many texts share, told from a part of them; they only decide the order of shingles."""
-    shown = texts.where(F.pmod(F.xxhash64("mark"), F.lit(SHOWN)) == 0).dropDuplicates(["mark"])
-    least = max(COMMON_LEAST, shown.count() // COMMON_ONE_IN)
-    counts = prefixes(shown, words, 0, np.zeros(0, np.uint64)).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    return np.sort(np.array([r["key"] for r in counts.select("key").collect()], np.int64).view(np.uint64))
-
-
-def alike(pairs: DataFrame, sets: DataFrame, millionths: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose shingles are alike enough: the sets themselves are compared.
-
-    First a bound that no pair of such likeness exceeds discards most pairs by their counts of shingles in each of
-    PLACES ranges, so that only the sets of the other pairs go round.
-    """
-    counts = sets.select("node", "counts")
-    met = pairs.join(counts.toDF("a", "left"), "a").join(counts.toDF("b", "right"), "b")
-
-    def may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, PLACES).astype(np.int64) for c in ("left", "right"))
-            common = np.minimum(left, right).sum(axis=1)
-            every = left.sum(axis=1) + right.sum(axis=1) - common
-            full = (left == 65535).any(axis=1) | (right == 65535).any(axis=1)
-            take = pa.array(np.flatnonzero(full | (common * 1_000_000 >= every * millionths)))
-            yield pa.RecordBatch.from_arrays([batch["a"].take(take), batch["b"].take(take)], ["a", "b"])
-
-    pairs = stored(met.mapInArrow(may_link, "a long, b long"), "pairs")
-    sets = sets.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")).cast("long"))
-    every = F.size("left") + F.size("right") - F.col("common")
-    return both.where(F.col("common") * 1_000_000 >= every * millionths).select("a", "b")
-
-
-def open_meetings(met: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(key, node, n, root): meetings of nodes that aren't all connected yet."""
-    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")) if roots else met.withColumn("root", F.col("node"))
-    by_key = Window.partitionBy("key")
-    rooted = rooted.withColumns({"low": F.min("root").over(by_key), "high": F.max("root").over(by_key)})
-    return rooted.where("low < high").drop("low", "high")
-
-
-def set_links(met: DataFrame, sets: DataFrame, millionths: int) -> DataFrame | None:
-    """(node, root) of the parts that pairs of likeness ``millionths`` connect; all that meet are compared, unless
-    they are connected already.
-
-    In ROUNDS rounds every node is compared with one node of one of its meetings, which connects dense groups by about
-    one pair for each node; then all pairs of nodes still apart.
-    """
-    fits = lambda n, m: F.least(n, m).cast("long") * 1_000_000 >= F.greatest(n, m).cast("long") * millionths
-    found, roots = None, None
-    for turn in range(ROUNDS + 1):
-        near = stored(open_meetings(met, roots), "meetings")
-        if near.isEmpty():
-            break
-        if turn < ROUNDS:
-            center = F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"))).over(Window.partitionBy("key"))
-            met_center = near.withColumn("center", center).where(F.col("root") != F.col("center.other")).where(fits(F.col("n"), F.col("center.m")))
-            one = met_center.groupBy("node").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)), F.col("center.a").alias("a"))).alias("one"))
-            pairs = one.select("one.a", F.col("node").alias("b"))
-        else:
-            b = near.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-            apart = (F.col("node") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("m"))
-            pairs = near.join(b, "key").where(apart).select(F.col("node").alias("a"), "b").distinct()
-        new = stored(alike(pairs, sets, millionths), "alike")
-        found = new if found is None else found.union(new)
-        roots = components(found)
-    return roots
-
-
-def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id, mark, root): groups of documents that similarities of their ``words``-word shingles connect.
-
-    Texts link if the Jaccard similarity of their sets of shingles, A-Z lower-cased, is ``similarity`` (to six digits)
-    or more; it is taken from the sets themselves, and no pair is left out. Texts of the same words are one node. Equal
-    words and shingles are told by 64-bit hashes. ``mark`` is the text's hash and ``root`` tells groups apart, those
-    without a doc_id too. Nulls, short and repeated texts and empty tables are as in near_duplicates.
-    """
-    millionths = round(similarity * 1_000_000)
-    texts = id_and_text(docs).withColumn("mark", F.xxhash64("text"))
-    rows = stored(named_rows(texts, words), "named")
-    classes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.max(F.struct("doc_id", "mark")).alias("shown")), "classes")
-    by_key = Window.partitionBy("key")
-    met = prefixes(texts, words, millionths, common_shingles(texts, words)).withColumns({"low": F.min("node").over(by_key), "high": F.max("node").over(by_key)})
-    met = stored(met.where("low < high").select("key", "node", "n").distinct(), "met")
-    wanted = classes.join(met.select("node").distinct(), "node", "left_semi").select(F.col("shown.doc_id").alias("shown_id"), F.col("shown.mark").alias("shown_mark"))
-    chosen = texts.join(wanted, (F.col("mark") == F.col("shown_mark")) & F.col("doc_id").eqNullSafe(F.col("shown_id")), "left_semi")
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, names, row, shingle in shingle_sets(batch["text"], words):
-                ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(names))))).astype(np.int32)
-                place = row * PLACES + (shingle >> np.uint64(56)).astype(np.int64)
-                counts = np.minimum(np.bincount(place, minlength=len(names) * PLACES), 65535).astype(np.uint16).reshape(-1, PLACES)
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([x.tobytes() for x in counts], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingle.view(np.int64)))], ["node", "counts", "shingles"])
-
-    sets = stored(chosen.mapInArrow(listed, "node long, counts binary, shingles array<long>").dropDuplicates(["node"]), "sets")
-    roots = set_links(met, sets, millionths)
-    if roots is None:
-        roots = classes.select("node", F.col("node").alias("root")).where("false")
-    return rows.join(named_groups(classes, roots).select("node", "root", "component_id"), "node").select("doc_id", "component_id", "mark", "root")
+    out = groups(docs, words, bits)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")

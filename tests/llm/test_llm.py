@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -364,59 +365,24 @@ def components_by_hand(prints: list[int], bits: int) -> list[int]:
     return root
 
 
+def print_by_hand(text: str | None) -> int:
+    parts = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words_of(text)]
+    grams = [" ".join(parts[k : k + 4]) for k in range(max(1, len(parts) - 3))] if parts else []
+    votes = Counter(b for g in grams for h in [xxhash.xxh64_intdigest(g.encode(), 42)] for b in range(64) if h >> b & 1)
+    return sum(1 << b for b in range(64) if 2 * votes[b] > len(grams))
+
+
 @pytest.mark.parametrize("meeting", [2000, 3])
 def test_simhash(odd, monkeypatch, meeting):
     """Also with meetings that are split."""
-    import xxhash
-
     monkeypatch.setattr(simhash, "MEETING", meeting)
     texts = sorted(odd_texts(), key=lambda x: (x[0] is None, x[0]))
-    prints = []
-    for _, text in texts:
-        parts = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words_of(text)]
-        grams = [" ".join(parts[k : k + 4]) for k in range(max(1, len(parts) - 3))] if parts else []
-        votes = [sum(xxhash.xxh64_intdigest(g.encode(), 42) >> b & 1 for g in grams) for b in range(64)]
-        prints.append(sum(1 << b for b in range(64) if 2 * votes[b] > len(grams)))
+    prints = [print_by_hand(text) for _, text in texts]
     names = [texts[k][0] for k in components_by_hand(prints, 4)]
     want = Counter((i, f"{p:016x}", c) for (i, _), p, c in zip(texts, prints, names, strict=True))
     assert Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(odd).collect()) == want
 
 
-def test_similar_documents(spark):
-    base = [passage(k, 250) for k in range(40)]
-    edit = lambda text, at: " ".join("new" if k in at else w for k, w in enumerate(text.split()))
-    rows = [(i, t) for i, t in enumerate(base)] + [(100 + i, edit(t, {40, 160})) for i, t in enumerate(base)] + [(200 + i, t) for i, t in enumerate(base)]
-    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found == {i: i % 100 for i, _ in rows}
-
-
-def test_similar_documents_are_all_pairs(spark, small):
-    """Components of all pairs of shingle sets of likeness 0.8 or more, also close to the threshold and of short texts."""
-    rng = np.random.default_rng(11)
-    texts = {i: t or "" for i, t in documents(spark, small).items()}
-    for k in range(60):
-        n = int(rng.integers(5, 120))
-        own = passage(5000 + k, n).split()
-        texts[10_000 + 3 * k] = " ".join(own)
-        for copy in (1, 2):
-            at = set(rng.integers(0, n, max(1, n // 45)).tolist())
-            texts[10_000 + 3 * k + copy] = " ".join("new" if i in at else w for i, w in enumerate(own)).upper()
-    ids = sorted(texts)
-    sets = []
-    for i in ids:
-        words = words_of(texts[i].lower())
-        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
-    root = list(range(len(ids)))
-    for x in range(len(ids)):
-        for y in range(x):
-            if 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y]):
-                low, high = sorted((root[x], root[y]))
-                root = [low if r == high else r for r in root]
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
-    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()}
-    assert found == {i: ids[r] for i, r in zip(ids, root, strict=True)}
-
-
 def test_groups_without_ids(spark):
     """Classes whose doc_ids are all null never name a group that has a doc_id, and a group without ids keeps one row."""
     def edit(seed: int, at: int) -> str:
@@ -424,8 +390,8 @@ def test_groups_without_ids(spark):
 
     rows = [(5, passage(70, 400)), *[(None, edit(70, k)) for k in (0, 1, 399)], (None, passage(71, 400)), (None, edit(71, 0)), (None, edit(71, 0)), (None, passage(72, 400))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for found in (simhash.near_duplicates(docs, bits=6), simhash.similar_documents(docs)):
-        assert Counter((r["doc_id"], r["component_id"]) for r in found.collect()) == {(5, 5): 1, (None, 5): 3, (None, None): 4}
+    found = simhash.near_duplicates(docs)
+    assert Counter((r["doc_id"], r["component_id"]) for r in found.collect()) == {(5, 5): 1, (None, 5): 3, (None, None): 4}
     kept = Counter((r["doc_id"], r["text"].split()[9]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
     assert kept == {(5, rows[0][1].split()[9]): 1, (None, rows[4][1].split()[9]): 1, (None, rows[7][1].split()[9]): 1}
 
@@ -523,7 +489,7 @@ def test_empty_tables(spark, odd, labels):
     pages = spark.createDataFrame([], "page_id long, url string")
     results = [
         suffix_dedup.dedup(none), mixing.mix(none.withColumn("domain", F.lit("x")), {}), packing.pack(none), fingerprints.fingerprint(none), quality_rules.judge(none),
-        url_rules.judge(pages), simhash.near_duplicates(none), simhash.similar_documents(none), quality_classifier.classify(none, labels), sharding.shard(none),
+        url_rules.judge(pages), simhash.near_duplicates(none), quality_classifier.classify(none, labels), sharding.shard(none),
         substring_dedup.dedup(none),
     ]
     assert [r.count() for r in results] == [0] * len(results)
@@ -540,12 +506,23 @@ def test_stages_on_odd_rows(spark, odd, small):
         assert docs.columns == odd.columns, name
         assert docs.count() <= before.count()
     near = corpus_pipeline.drop_near_copies(spark, odd, small).select("doc_id").collect()
-    assert {r["doc_id"] for r in near} >= {6, 10, 12, 17, -5, None} and not {8, 9, 11} & {r["doc_id"] for r in near}
+    assert {r["doc_id"] for r in near} >= {6, 10, 12, 17, -5, None} and not {2, 3, 9} & {r["doc_id"] for r in near}
     cut = {r["doc_id"]: r for r in corpus_pipeline.cut_passages(spark, odd, small).collect()}
     assert cut[8]["text"] == "" and cut[8]["n_chars"] == 0 and cut[-5]["text"].endswith("tail") and len(words_of(cut[6]["text"])) == 70
     assert cut[1]["text"] is None
 
 
+def test_rows_of_one_id_are_judged_singly(spark, small):
+    """A kept row without a doc_id keeps no other row without one, nor does a repeated doc_id; see ``classify``."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").join(spark.read.parquet(f"{small}/labels.parquet"), "doc_id", "left")
+    good, bad = ([r["text"] for r in docs.where(w).orderBy("doc_id").limit(3).collect()] for w in ("quality = 1 and toxic = 0", "quality = 0"))
+    rows = [(i, t, len(t)) for i, t in zip([None, -1, -2], good, strict=True)] + [(i, t, len(t)) for i in (None, -1) for t in bad]
+    more = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumns({"lang": F.lit("en"), "source": F.lit("src0")})
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    kept = corpus_pipeline.classify(spark, docs.select(columns).union(more.select(columns)), small)
+    assert {(r["doc_id"], r["text"]) for r in kept.where("coalesce(doc_id, -1) < 0").collect()} == set(zip([None, -1, -2], good, strict=True))
+
+
 def test_pipeline_by_brute_force(spark, small):
     """Each stage's decisions, taken again from its own input, over the whole small table."""
     docs = spark.read.parquet(f"{small}/documents.parquet")
@@ -554,13 +531,9 @@ def test_pipeline_by_brute_force(spark, small):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in judged.where("kept").collect()}
     rows = {r["doc_id"]: r["text"] for r in kept.collect()}
     near = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, kept, small).collect()}
-    texts = set()
-    for i in sorted(rows):
-        if rows[i] in texts:
-            assert i not in near  # an exact copy
-        texts.add(rows[i])
-    for i in set(rows) - near:
-        assert max(jaccard(rows[i].lower(), rows[j].lower()) for j in rows if j < i) > 0.7
+    ids = sorted(rows)
+    roots = components_by_hand([print_by_hand(rows[i]) for i in ids], 4)
+    assert near == {ids[r] for r in roots}
     cut = corpus_pipeline.cut_passages(spark, docs, small).collect()
     words = {r["doc_id"]: words_of(r["text"]) for r in docs.collect()}
     first: dict[tuple, int] = {}
