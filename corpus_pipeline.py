@@ -1,7 +1,7 @@
 """A training corpus from the documents table: classify, remove near copies, cut shared passages, mix, pack.
 
 Each stage takes what its predecessor kept, written as Parquet and read again. All but the last return the columns of
-documents. A dropped document is dropped with all rows of its doc_id; a null doc_id is an id like any other.
+documents. Decisions are about rows: rows that differ in any column are told apart whether or not they have a doc_id.
 """
 
 from __future__ import annotations
@@ -29,30 +29,33 @@ def fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``ids``, a null one too."""
-    kept = fresh(docs, "kept_id")
-    ids = ids.select(F.col("doc_id").alias(kept)).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(kept)), "left_semi")
+def marked(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column of 128 bits, whose name is returned too: equal for rows that are equal in all columns."""
+    mark = fresh(docs, "row_mark")
+    return docs.withColumn(mark, F.md5(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).cast("binary"))), mark
+
+
+def only(docs: DataFrame, mark: str, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose mark is one of ``kept``'s."""
+    return docs.join(kept.select(mark).distinct(), mark, "left_semi")
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    judged = quality_classifier.classify(docs, table(spark, sf_dir, "labels"), seed=8)
-    return only(docs, judged.where("kept"))
+    rows, mark = marked(docs)
+    judged = quality_classifier.classify(rows, table(spark, sf_dir, "labels"), seed=8, carry=mark)
+    return only(rows, mark, judged.where("kept")).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group that five-word shingles of similarity 0.8 or more connect.
+    """The row with the smallest doc_id of each group that SimHash links connect; one row of a group without doc_ids.
 
-    All rows of that doc_id stay. Of a group without any doc_id one row stays; other rows without one are dropped.
+    Of several rows with that doc_id in a group one stays, the one of the least mark.
     """
-    near = stored(simhash.similar_documents(docs, words=5, similarity=0.8), "near-copies")
-    mark = fresh(docs, "mark")
-    named = only(docs.where("doc_id IS NOT NULL"), near.where("doc_id = component_id"))
-    marks = near.where("component_id IS NULL").groupBy("root").agg(F.min("mark").alias(mark)).select(mark)
-    nameless = docs.where("doc_id IS NULL").withColumn(mark, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return named.union(nameless.join(marks, mark, "left_semi").dropDuplicates([mark]).select(docs.columns))
+    rows, mark = marked(docs)
+    near = simhash.groups(rows, words=4, bits=4, carry=mark)
+    kept = near.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "carried")).alias("first")).select(F.col("first.carried").alias(mark))
+    return only(rows, mark, kept).dropDuplicates([mark]).select(docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,9 +74,10 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of one epoch's mixture; a leaf's last document stays whole."""
-    taken = mixing.mix(docs.withColumn("domain", domain(F.col("source"))), {}, budget=BUDGET, max_epochs=1, seed=2)
-    return only(docs, taken)
+    """The documents of one epoch's mixture; a leaf's last document stays whole. Rows equal in all columns stay or go together."""
+    rows, mark = marked(docs)
+    taken = mixing.mix(rows.withColumn("domain", domain(F.col("source"))), {}, budget=BUDGET, max_epochs=1, seed=2, carry=mark)
+    return only(rows, mark, taken).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
