@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import fingerprints, mixing, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
+from tallywright.llm import fingerprints, mixing, more_queries, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
 from tallywright.llm.common import table
 
 #: Weights of the mixing query, whole numbers among siblings; nodes not named weigh 1.
@@ -112,8 +112,10 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
     "op10_substring_dedup": op10_substring_dedup,
+    **more_queries.QUERIES,
 }
 
+
 def _distance_sql(counts: str, reference: str) -> str:
     """Jensen-Shannon distance of two lists of counts; null if one is null or sums to nothing."""
     shares = [f"list_transform({x}, lambda n: n / nullif(list_sum({x}), 0))" for x in (counts, reference)]
@@ -202,4 +204,5 @@ ORACLES = {
     "op5_quality_rules": _QUALITY_SQL,
     "op6_url_rules": _URL_SQL,
     "op10_substring_dedup": _SUBSTRING_SQL,
+    **more_queries.ORACLES,
 }

@@ -514,8 +514,9 @@ def test_stages_on_odd_rows(spark, odd, small):
 
 def test_rows_of_one_id_are_judged_singly(spark, small):
     """A kept row without a doc_id keeps no other row without one, nor does a repeated doc_id; see ``classify``."""
-    docs = spark.read.parquet(f"{small}/documents.parquet").join(spark.read.parquet(f"{small}/labels.parquet"), "doc_id", "left")
-    good, bad = ([r["text"] for r in docs.where(w).orderBy("doc_id").limit(3).collect()] for w in ("quality = 1 and toxic = 0", "quality = 0"))
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    judged = quality_classifier.classify(docs, spark.read.parquet(f"{small}/labels.parquet"), seed=8, carry="text")
+    good, bad = ([r["text"] for r in judged.where(f"kept = {kept}").orderBy(F.abs("log_weight").desc()).limit(3).collect()] for kept in ("true", "false"))
     rows = [(i, t, len(t)) for i, t in zip([None, -1, -2], good, strict=True)] + [(i, t, len(t)) for i in (None, -1) for t in bad]
     more = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumns({"lang": F.lit("en"), "source": F.lit("src0")})
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
