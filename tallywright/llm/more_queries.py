@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import manifest
+from tallywright.llm import manifest, ngram_join, spelling
 from tallywright.llm.common import table
 
 #: Every how many-th document, by the CRC-32 of its id, is tampered with to see the manifest fail.
@@ -26,6 +26,14 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), words=5, similarity=0.8)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), least_letters=7, least_n=2, times=10)
+
+
 def crc32_sql(text: str) -> str:
     """CRC-32 of a text's UTF-8 bytes, as an unsigned number: eight shifts for each byte."""
     shifts = "list_reduce(list_prepend(xor({0}, {1}), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda u, v: xor(u >> 1, 3988292384::UBIGINT * (u & 1)))"
@@ -67,5 +75,39 @@ whole AS (SELECT level AS height, h AS root FROM over WHERE n = 1)
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified FROM folded JOIN whole ON level = height
 """
 
-QUERIES = {"op11_manifest": op11_manifest}
-ORACLES = {"op11_manifest": _MANIFEST_SQL}
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# all pairs that share an n-gram, counted: for small tables only
+_JOIN_SQL = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER_SQL}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END) AS grams FROM docs),
+grams AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(doc_id, other) AS (SELECT x, y FROM links UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(least(doc_id, least_other), doc_id) AS component_id
+FROM sets LEFT JOIN (SELECT doc_id, min(other) AS least_other FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+# near words share what is left when a letter is left out or blotted out
+_SPELLING_SQL = f"""
+WITH RECURSIVE runs AS (SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER_SQL}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs),
+slipped AS (SELECT n, CASE WHEN h % {spelling.SLIPS} = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words),
+blots AS (SELECT word, n, left(word, k - 1) || '*' || substr(word, k + 1) AS rest FROM places),
+gaps AS (SELECT DISTINCT word, n, left(word, k - 1) || substr(word, k + 1) AS rest FROM places),
+near AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM blots a JOIN blots b USING (rest) WHERE a.word <> b.word UNION
+    SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+formed AS (SELECT word, CASE WHEN near_n >= 10 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+led(word, root) AS (SELECT word, word FROM formed UNION ALL SELECT l.word, f.form FROM led l JOIN formed f ON l.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, l.root, f.n, f.n_near, f.form_n FROM formed f
+JOIN (SELECT l.word, l.root FROM led l JOIN formed g ON l.root = g.word WHERE g.form IS NULL) l USING (word)
+"""
+
+QUERIES = {"op11_manifest": op11_manifest, "op12_ngram_join": op12_ngram_join, "op13_spelling": op13_spelling}
+ORACLES = {"op11_manifest": _MANIFEST_SQL, "op12_ngram_join": _JOIN_SQL, "op13_spelling": _SPELLING_SQL}

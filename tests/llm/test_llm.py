@@ -558,4 +558,4 @@ def test_sql(spark, name):
 
 def test_each_operator_is_registered():
     found = queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in found) == 1 for k in range(1, 11)) and "pipeline" in found
+    assert all(sum(n.startswith(f"op{k}_") for n in found) == 1 for k in range(1, 14)) and "pipeline" in found
