@@ -75,6 +75,34 @@ def _place() -> dict[str, Column]:
     return {c: F.coalesce(F.col(c), F.lit(fixed.UNKNOWN)) for c in _PLACE}
 
 
+FACT_COLUMNS = [
+    "job_key", "job_id", "role_key", "company_key", "location_key", "date_key", "source", "source_family", "source_provider",
+    "title", "description", "work_mode", "experience_min_years", "experience_max_years", "experience_band",
+    "salary_min_source", "salary_max_source", "salary_min", "salary_max", "salary_midpoint", "salary_is_predicted",
+    "has_salary_source", "salary_analysis_eligible", "salary_normalization_status", "salary_text_evidence", "skill_count",
+    "has_extracted_skill", "is_recent_90d", "is_complete_week", "contract_type", "contract_time", "redirect_url",
+]
+
+
+def fact_rows(jobs: DataFrame) -> DataFrame:
+    """Clean jobs with the types and filled labels of the fact, and the natural keys of its dimensions."""
+    years = {c: F.col(c).cast("decimal(6,2)") for c in ("experience_min_years", "experience_max_years")}
+    money = {
+        c: F.col(c).cast("decimal(18,2)")
+        for c in ("salary_min_source", "salary_max_source", "salary_min", "salary_max", "salary_midpoint")
+    }
+    return jobs.withColumns({
+        **_place(),
+        "company_name": _company(),
+        "role_family": F.coalesce("role_family", F.lit(fixed.OTHER_ROLE)),
+        "date_key": F.col("posted_date"),
+        "work_mode": F.coalesce("work_mode", F.lit(fixed.NOT_SPECIFIED)),
+        "experience_band": F.coalesce("experience_band", F.lit(fixed.NOT_SPECIFIED)),
+        "salary_is_predicted": parse_bool(F.col("salary_is_predicted"), "null"),
+        **years, **money,
+    })
+
+
 def build_star(jobs: DataFrame, bridge: DataFrame) -> Star:
     role = F.coalesce("role_family", F.lit(fixed.OTHER_ROLE)).alias("role_family")
     dim_role = surrogate(jobs.select(role).distinct(), ["role_family"], "role_key", "rank")
@@ -83,34 +111,9 @@ def build_star(jobs: DataFrame, bridge: DataFrame) -> Star:
     dim_skill = surrogate(
         bridge.groupBy("skill").agg(F.min("skill_category").alias("skill_category")), ["skill"], "skill_key", "rank"
     )
-    years = {c: F.col(c).cast("decimal(6,2)") for c in ("experience_min_years", "experience_max_years")}
-    money = {
-        c: F.col(c).cast("decimal(18,2)")
-        for c in ("salary_min_source", "salary_max_source", "salary_min", "salary_max", "salary_midpoint")
-    }
     # Dates, roles and skills are bounded lists; companies, places and jobs get hash keys in place.
-    fact = (
-        jobs.withColumns({**_place(), "company_name": _company(), "role_family": role})
-        .withColumns({
-            "job_key": key_of("job_id"),
-            "company_key": key_of("company_name"),
-            "location_key": key_of(*_PLACE),
-            "date_key": F.col("posted_date"),
-            "work_mode": F.coalesce("work_mode", F.lit(fixed.NOT_SPECIFIED)),
-            "experience_band": F.coalesce("experience_band", F.lit(fixed.NOT_SPECIFIED)),
-            "salary_is_predicted": parse_bool(F.col("salary_is_predicted"), "null"),
-            **years, **money,
-        })
-        .join(dim_role, "role_family")
-        .select(
-            "job_key", "job_id", "role_key", "company_key", "location_key", "date_key", "source", "source_family",
-            "source_provider", "title", "description", "work_mode", "experience_min_years", "experience_max_years",
-            "experience_band", "salary_min_source", "salary_max_source", "salary_min", "salary_max",
-            "salary_midpoint", "salary_is_predicted", "has_salary_source", "salary_analysis_eligible",
-            "salary_normalization_status", "salary_text_evidence", "skill_count", "has_extracted_skill",
-            "is_recent_90d", "is_complete_week", "contract_type", "contract_time", "redirect_url",
-        )
-    )
+    keys = {"job_key": key_of("job_id"), "company_key": key_of("company_name"), "location_key": key_of(*_PLACE)}
+    fact = fact_rows(jobs).withColumns(keys).join(dim_role, "role_family").select(*FACT_COLUMNS)
     links = (
         bridge.select(key_of("job_id").alias("job_key"), "skill")
         .join(dim_skill.select("skill", "skill_key"), "skill")

@@ -125,7 +125,7 @@ def write_results(results: dict[str, DataFrame], root: str, fmt: str = "csv") ->
 
 
 def write_star(star, root: str) -> None:
-    """All star tables; the fact is partitioned by month so date filters prune files."""
+    """All star tables, overwritten; the fact is partitioned by month, see ``read_star``. For adding to one: ``loads``."""
     for name, df in star.tables().items():
         if name == "fact_jobs":
             df = df.withColumn("year_month", F.date_format("date_key", "yyyy-MM"))
@@ -134,11 +134,23 @@ def write_star(star, root: str) -> None:
             write_table(df, f"{root}/{name}")
 
 
-def read_star(spark: SparkSession, root: str):
+def within(fact: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """Rows of a stored fact from day ``first`` to day ``last`` (ISO dates, both included; None: open).
+
+    The months are filtered too, so only the folders of these months are listed and read; the month column then goes.
+    """
+    for day, keep in ((first, lambda c, x: c >= x), (last, lambda c, x: c <= x)):
+        if day is not None:
+            fact = fact.where(keep(F.col("year_month"), F.lit(day[:7])) & keep(F.col("date_key"), F.lit(day).cast("date")))
+    return fact.drop("year_month")
+
+
+def read_star(spark: SparkSession, root: str, first: str | None = None, last: str | None = None):
+    """The stored star, of the days from ``first`` to ``last``: other months of the fact are not read."""
     from tallywright.plans.star import Star
 
     tables = {name: spark.read.parquet(f"{root}/{name}") for name in Star.names()}
-    tables["fact_jobs"] = tables["fact_jobs"].drop("year_month")
+    tables["fact_jobs"] = within(tables["fact_jobs"], first, last)
     return Star(**tables)
 
 
