@@ -21,67 +21,99 @@ from tallywright.llm.hashing import BASES, mix, prefix_sums, ranges, slices, wor
 
 SHINGLE = 5
 SAMPLES = 128
-#: Terms are hashed to so many numbers; two of a text's n shingles share one with probability n / TERMS.
-TERMS = 1 << 17
-SEED = 20240911
-#: About so many consecutive documents are fingerprinted by one task after another's.
-ROWS_PER_PART = 1_000
-CHUNK = 256
+#: Documents fingerprinted at once, and terms drawn for at once.
+CHUNK, TERMS_AT_ONCE = 128, 256
 NULL_ID = -(2**63)
+#: What tells the numbers of the samples apart, drawn once from a fixed seed; odd.
+OF_SAMPLE = np.random.Generator(np.random.PCG64(20240911)).integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+ODD = np.uint64(0x9E3779B97F4A7C15)
+#: The low bits of a draw name its term and t; the others order draws.
+NAME = np.uint64((1 << 26) - 1)
 
-_tables: list[np.ndarray] = []
 
+def draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(h, ln c, r, b) for each of ``terms`` (64-bit hashes) and sample: c and r from Gamma(2, 1), b from [0, 1).
 
-def tables() -> list[np.ndarray]:
-    """r, b and ln c - r + r b (ln a of weight 1) for each term and sample; made once by each worker."""
-    if not _tables:
-        rng = np.random.Generator(np.random.PCG64(SEED))
-        r, b, one = (np.empty((TERMS, SAMPLES), kind) for kind in (np.float16, np.float16, np.float32))
-        for at in range(0, TERMS, 4096):
-            shape = (min(4096, TERMS - at), SAMPLES)
-            gamma = [-np.log((1 - rng.random(shape, np.float32)) * (1 - rng.random(shape, np.float32))) for _ in range(2)]
-            r[at : at + 4096] = np.maximum(gamma[0], 1e-3)
-            b[at : at + 4096] = rng.random(shape, np.float32) * 0.999
-            one[at : at + 4096] = np.log(np.maximum(gamma[1], 1e-30)) - r[at : at + 4096].astype(np.float32) * (1 - b[at : at + 4096].astype(np.float32))
-        _tables.extend((r, b, one))
-    return _tables
-
-
-def signatures(texts: list[str]) -> np.ndarray:
-    """SAMPLES 16-bit values of each text; all zero without words.
-
-    A sample is told by its ln a, which the term, t and the sample's number decide; 16 hashed bits of it are kept.
+    Every draw comes from a hash of the whole term and the number of the sample, so that no two terms share theirs,
+    and nothing is kept between calls.
     """
-    r, b, one = tables()
-    out = np.zeros((len(texts), SAMPLES), np.uint16)
+    h = terms[:, None] * OF_SAMPLE
+    h ^= h >> np.uint64(32)
+    h *= ODD
+    h ^= h >> np.uint64(29)
+    g = h * ODD
+    gammas = []
+    for bits in (h, g):  # minus the log of a product of two uniform numbers
+        u = (bits >> np.uint64(32)).astype(np.float32)
+        u += np.float32(0.5)
+        v = bits.astype(np.uint32).astype(np.float32)
+        v += np.float32(0.5)
+        u *= v
+        u *= np.float32(2.0**-64)
+        np.clip(u, 1e-30, 1 - 6e-8, out=u)
+        np.log(u, out=u)
+        gammas.append(np.negative(u, out=u))
+    g ^= h
+    g >>= np.uint64(40)
+    b = g.astype(np.float32)
+    b *= np.float32(2.0**-24)
+    return h, np.log(gammas[0], out=gammas[0]), gammas[1], b
+
+
+def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, weight) of each different shingle of each text, by text and term."""
+    found = []
     for first, data, offsets in slices(pa.array(texts, pa.large_string())):
         starts, ends, heads = word_bounds(data, offsets)
         sums = prefix_sums(word_hashes(data, starts, ends), BASES[1])
         counts = np.diff(heads)
-        shingles = np.where(counts > 0, np.maximum(counts - SHINGLE + 1, 1), 0)
-        row = np.repeat(np.arange(len(counts)), shingles)
-        begin = heads[row] + np.arange(len(row)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
-        term = ranges(sums, BASES[1], begin, np.minimum(begin + SHINGLE, heads[row + 1])) % np.uint64(TERMS)
-        pairs, weights = np.unique(row.astype(np.uint64) * np.uint64(TERMS) + term, return_counts=True)
-        rows, terms = (pairs // np.uint64(TERMS)).astype(np.int64), (pairs % np.uint64(TERMS)).astype(np.int64)
-        edges = np.searchsorted(rows, np.arange(len(counts) + 1))
-        for k, (x, y) in enumerate(zip(edges, edges[1:], strict=False)):
-            if x == y:
-                continue
-            low = np.full(SAMPLES, np.inf, np.float32)
-            for z in range(x, y, 4096):
-                own, weight = terms[z : min(y, z + 4096)], weights[z : min(y, z + 4096)]
-                log_a = one[own]
-                more = np.flatnonzero(weight > 1)
-                if len(more):
-                    scale = r[own[more]].astype(np.float32)
-                    t = np.floor(np.log(weight[more].astype(np.float32))[:, None] / scale + b[own[more]].astype(np.float32))
-                    log_a[more] -= scale * t
-                low = np.minimum(low, log_a.min(axis=0))
-            out[first + k] = mix(low.view(np.uint32).astype(np.uint64)) >> np.uint64(48)
+        n = np.where(counts > 0, np.maximum(counts - SHINGLE + 1, 1), 0)
+        row = np.repeat(np.arange(len(counts)), n)
+        begin = heads[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        term = ranges(sums, BASES[1], begin, np.minimum(begin + SHINGLE, heads[row + 1]))
+        order = np.lexsort((term, row))
+        row, term = row[order], term[order]
+        new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (term[1:] != term[:-1])))) if len(row) else np.zeros(0, np.int64)
+        found.append((first + row[new], term[new], np.diff(np.append(new, len(row)))))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def signatures(texts: list[str]) -> np.ndarray:
+    """SAMPLES 16-bit values of each text, hashes of the sampled term and its t; all zero without words.
+
+    The terms of all texts are drawn for once each, TERMS_AT_ONCE at a time, so memory doesn't grow with a text.
+    """
+    rows, terms, weights = shingles(texts)
+    low = np.full((len(texts), SAMPLES), np.inf)
+    every, which = np.unique(terms, return_inverse=True)
+    order = np.argsort(which, kind="stable")  # by term, texts ascending for each
+    edges = np.searchsorted(which[order], np.arange(0, len(every) + TERMS_AT_ONCE, TERMS_AT_ONCE))
+    for k, (x, y) in enumerate(zip(edges, edges[1:], strict=False)):
+        own = order[x:y]
+        own = own[np.argsort(rows[own], kind="stable")]
+        first = k * TERMS_AT_ONCE
+        h, ln_c, r, b = draws(every[first : first + TERMS_AT_ONCE])
+        at, weight = which[own] - first, weights[own]
+        alone = _named(ln_c - r * (1 - b), h)  # t = 0 for a weight of 1
+        values = alone[at]
+        more = np.flatnonzero(weight > 1)
+        if len(more):
+            z = at[more]
+            t = np.floor(np.log(weight[more].astype(np.float32))[:, None] / np.maximum(r[z], 1e-6) + b[z])
+            values[more] = _named(ln_c[z] - r[z] * (t + 1 - b[z]), h[z] ^ t.astype(np.uint64) * ODD)
+        heads = np.flatnonzero(np.diff(rows[own], prepend=-1))
+        text = rows[own][heads]
+        low[text] = np.minimum(low[text], np.minimum.reduceat(values, heads, axis=0))
+    out = (mix(low.view(np.uint64) & NAME) >> np.uint64(48)).astype(np.uint16)
+    out[np.isinf(low)] = 0
     return out
 
 
+def _named(ln_a: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """``ln_a`` whose last bits are those of ``h``: an order of draws that carries their names."""
+    return (ln_a.astype(np.float64).view(np.uint64) & ~NAME | h & NAME).view(np.float64)
+
+
 def edited(text: str, following: str) -> str:
     """``text`` with its last floor(n / 2) code points replaced by the first as many (or all) of ``following``."""
     half = len(text) // 2
@@ -91,11 +123,11 @@ def edited(text: str, following: str) -> str:
 def in_order(docs: DataFrame) -> DataFrame:
     """(part, carried, doc, text): runs of consecutive documents, and after each run the document that follows it.
 
-    Parts are ranges of doc_id of about equal size; the driver gets their bounds and largest ids, one of each for
-    ROWS_PER_PART documents.
+    Parts are ranges of doc_id of about equal size, as many as shuffles have partitions, which later stream through their
+    tasks; the driver gets their bounds and largest ids, however many documents there are.
     """
     ids = docs.select("doc")
-    parts = max(1, ids.count() // ROWS_PER_PART)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = np.unique(np.array(ids.approxQuantile("doc", [k / parts for k in range(1, parts)], 0.1 / parts), np.int64)) if parts > 1 else np.zeros(0, np.int64)
 
     def part_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +193,8 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edit, by consistent weighted sampling of five-word shingles.
 
     The edit replaces the last half of a text by the beginning of the next document's, in descending doc_id (after the
-    last: the first). Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (SAMPLES times 4 hex
+    last: the first). Each sample is drawn for the whole hash of a shingle, so unlike texts stay unlike however long they
+    are. Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (SAMPLES times 4 hex
     digits), near_edited and near_next (shares of equal samples). A null text is empty; a text of fewer words is one
     shingle; texts without words have fingerprint zero and are alike. A null doc_id comes last; rows with the same
     doc_id follow each other by descending text. A lone document is its own next; an empty table gives no rows. Other

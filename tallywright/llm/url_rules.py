@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,30 +47,58 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     ))))
 
 
+def frequent_together(labelled: DataFrame, least: int) -> DataFrame:
+    """(token, item): tokens that ``least`` labelled pages have; those that occur on exactly the same pages are one item.
+
+    The pages of a token are told by their number and by sums of two hashes over them, so no list of pages is gathered.
+    """
+    met = labelled.groupBy("tokens").agg(F.sum("n").alias("n")).select(F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit("b"), "tokens").alias("b"), "n", F.explode("tokens").alias("token"))
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).alias(c)
+    counted = met.groupBy("token").agg(F.sum("n").alias("n"), total("a"), total("b")).where(F.col("n") >= least)
+    names = counted.groupBy("n", "a", "b").agg(F.min("token").alias("item"))
+    return counted.join(names, ["n", "a", "b"]).select("token", "item")
+
+
 def mine(labelled: DataFrame, least_support: float, least_confidence: float) -> DataFrame:
-    """(rule_id, items, verdict, confidence, support) from ``labelled`` (tokens, verdict), by FP-growth.
+    """(token, item, rule, n_items, verdict, confidence, support) from ``labelled`` (tokens, verdict), by FP-growth: the
+    rules, listed under each token that stands for one of their items.
 
-    A label is an item among the tokens; rules that conclude something else than a label are dropped.
+    Only tokens that are frequent enough are mined, and tokens that always occur together are one item, so that a URL
+    of many words that repeats costs one item and not all combinations of its words. Any of an item's tokens stands for
+    it: combinations that differ in them have the same pages. A label is an item among the tokens; rules that conclude
+    something else than a label are dropped.
     """
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(baskets)
+    sets = stored(labelled.groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("n")), "sets")
+    pages = sets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    items = stored(frequent_together(sets, max(1, math.ceil(least_support * pages - 1e-9))), "items")
+    named = sets.select("tokens", "verdict", F.explode("tokens").alias("token")).join(items, "token")
+    named = named.groupBy("tokens", "verdict").agg(F.collect_set("item").alias("items"))
+    baskets = sets.join(named, ["tokens", "verdict"], "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    baskets = baskets.groupBy(F.array_sort("items").alias("items"), "verdict").agg(F.sum("n").alias("n"))
+    # one row for each page again, laid out a million at a time
+    rows = baskets.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(1_000_000).cast("long"))))
+    rows = rows.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.least(F.col("n") - F.col("from"), F.lit(1_000_000)).cast("int"))))
+    rows = rows.select(F.concat("items", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(rows)
     rules = model.associationRules.where(F.get("consequent", F.lit(0)).startswith(LABEL) & ~F.exists("antecedent", lambda x: x.startswith(LABEL)))
-    return rules.select(
-        F.concat_ws("\n", F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("items"),
-        F.substring(F.get("consequent", F.lit(0)), 2, 100).alias("verdict"), "confidence", "support",
+    rules = rules.select(
+        F.concat_ws("\n", F.array_sort("antecedent")).alias("rule"), F.size("antecedent").alias("n_items"),
+        F.substring(F.get("consequent", F.lit(0)), 2, 100).alias("verdict"), "confidence", "support", F.explode("antecedent").alias("item"),
     )
+    return rules.join(items, "item").select("token", "item", "rule", "n_items", "verdict", "confidence", "support")
 
 
-def matched(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, verdict) of the strongest rule whose items are all among a set's tokens.
+def matched(sets: DataFrame, index: DataFrame) -> DataFrame:
+    """(tokens, mined): the verdict of the strongest rule all of whose items are among a set's tokens.
 
-    Inverted index: a rule is listed under each of its items; a set meets the rules listed under its tokens and has
-    matched those it met as often as they have items. Strongest: confidence, then support, then more items, then name.
+    Inverted index: a set meets the rules listed under its tokens and has matched those of which it met as many items
+    as they have. Strongest: confidence, then support, then more tokens, then their names.
     """
-    index = rules.select("rule_id", F.size("items").alias("n_items"), "verdict", "confidence", "support", F.explode("items").alias("item"))
-    met = sets.select("tokens", F.explode("tokens").alias("item")).join(index, "item")
-    met = met.groupBy("tokens", "rule_id", "n_items", "verdict", "confidence", "support").agg(F.count(F.lit(1)).alias("n")).where("n = n_items")
-    return met.groupBy("tokens").agg(F.max_by("verdict", F.struct("confidence", "support", "n_items", "rule_id")).alias("mined"))
+    met = sets.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
+    met = met.groupBy("tokens", "rule", "n_items", "verdict", "confidence", "support").agg(
+        F.size(F.collect_set("item")).alias("n"), F.count(F.lit(1)).alias("n_tokens"), F.concat_ws("\n", F.array_sort(F.collect_set("token"))).alias("name"))
+    met = met.where("n = n_items")
+    return met.groupBy("tokens").agg(F.max_by("verdict", F.struct("confidence", "support", "n_tokens", "name")).alias("mined"))
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, least_support: float = LEAST_SUPPORT, least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
