@@ -27,37 +27,39 @@ NULL_ID = -(2**63)
 #: What tells the numbers of the samples apart, drawn once from a fixed seed; odd.
 OF_SAMPLE = np.random.Generator(np.random.PCG64(20240911)).integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
-#: The low bits of a draw name its term and t; the others order draws.
-NAME = np.uint64((1 << 26) - 1)
+#: Gamma(2, 1) is drawn by its quantiles, this many at equal steps.
+QUANTILES = 1 << 16
 
 
-def draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(h, ln c, r, b) for each of ``terms`` (64-bit hashes) and sample: c and r from Gamma(2, 1), b from [0, 1).
+def gamma_quantiles() -> np.ndarray:
+    """The middle of each of QUANTILES equal shares of Gamma(2, 1), by bisection of 1 - e^-x (1 + x)."""
+    share = (np.arange(QUANTILES) + 0.5) / QUANTILES
+    low, high = np.zeros(QUANTILES), np.full(QUANTILES, 40.0)
+    for _ in range(48):
+        middle = (low + high) / 2
+        below = 1 - np.exp(-middle) * (1 + middle) < share
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+    return (low + high) / 2
 
-    Every draw comes from a hash of the whole term and the number of the sample, so that no two terms share theirs,
-    and nothing is kept between calls.
+
+GAMMA = gamma_quantiles().astype(np.float32)
+LOG_GAMMA = np.log(gamma_quantiles()).astype(np.float32)
+
+
+def draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ln c, r, b) for each of ``terms`` (64-bit hashes) and sample: c and r from Gamma(2, 1), b from [0, 1).
+
+    Every draw comes from a hash of the whole term and the number of the sample, so that no two terms share theirs: 16
+    bits of it for c, 16 for r and 32 for b.
     """
     h = terms[:, None] * OF_SAMPLE
     h ^= h >> np.uint64(32)
     h *= ODD
     h ^= h >> np.uint64(29)
-    g = h * ODD
-    gammas = []
-    for bits in (h, g):  # minus the log of a product of two uniform numbers
-        u = (bits >> np.uint64(32)).astype(np.float32)
-        u += np.float32(0.5)
-        v = bits.astype(np.uint32).astype(np.float32)
-        v += np.float32(0.5)
-        u *= v
-        u *= np.float32(2.0**-64)
-        np.clip(u, 1e-30, 1 - 6e-8, out=u)
-        np.log(u, out=u)
-        gammas.append(np.negative(u, out=u))
-    g ^= h
-    g >>= np.uint64(40)
-    b = g.astype(np.float32)
-    b *= np.float32(2.0**-24)
-    return h, np.log(gammas[0], out=gammas[0]), gammas[1], b
+    last = np.uint64(QUANTILES - 1)
+    b = (h >> np.uint64(32)).astype(np.float32)
+    b *= np.float32(2.0**-32)
+    return np.take(LOG_GAMMA, (h & last).view(np.int64)), np.take(GAMMA, (h >> np.uint64(16) & last).view(np.int64)), b
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,12 +81,13 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def signatures(texts: list[str]) -> np.ndarray:
-    """SAMPLES 16-bit values of each text, hashes of the sampled term and its t; all zero without words.
+    """SAMPLES 16-bit values of each text; all zero without words.
 
-    The terms of all texts are drawn for once each, TERMS_AT_ONCE at a time, so memory doesn't grow with a text.
+    A sample is told by its ln a, which the term, t and the sample's number decide; 16 hashed bits of it are kept. The
+    terms of all texts are drawn for once each, TERMS_AT_ONCE at a time, so memory doesn't grow with a text.
     """
     rows, terms, weights = shingles(texts)
-    low = np.full((len(texts), SAMPLES), np.inf)
+    low = np.full((len(texts), SAMPLES), np.inf, np.float32)
     every, which = np.unique(terms, return_inverse=True)
     order = np.argsort(which, kind="stable")  # by term, texts ascending for each
     edges = np.searchsorted(which[order], np.arange(0, len(every) + TERMS_AT_ONCE, TERMS_AT_ONCE))
@@ -92,28 +95,22 @@ def signatures(texts: list[str]) -> np.ndarray:
         own = order[x:y]
         own = own[np.argsort(rows[own], kind="stable")]
         first = k * TERMS_AT_ONCE
-        h, ln_c, r, b = draws(every[first : first + TERMS_AT_ONCE])
+        ln_c, r, b = draws(every[first : first + TERMS_AT_ONCE])
         at, weight = which[own] - first, weights[own]
-        alone = _named(ln_c - r * (1 - b), h)  # t = 0 for a weight of 1
-        values = alone[at]
+        values = np.take(ln_c - r * (1 - b), at, axis=0)  # t = 0 for a weight of 1
         more = np.flatnonzero(weight > 1)
         if len(more):
             z = at[more]
-            t = np.floor(np.log(weight[more].astype(np.float32))[:, None] / np.maximum(r[z], 1e-6) + b[z])
-            values[more] = _named(ln_c[z] - r[z] * (t + 1 - b[z]), h[z] ^ t.astype(np.uint64) * ODD)
+            t = np.floor(np.log(weight[more].astype(np.float32))[:, None] / r[z] + b[z])
+            values[more] = ln_c[z] - r[z] * (t + 1 - b[z])
         heads = np.flatnonzero(np.diff(rows[own], prepend=-1))
         text = rows[own][heads]
         low[text] = np.minimum(low[text], np.minimum.reduceat(values, heads, axis=0))
-    out = (mix(low.view(np.uint64) & NAME) >> np.uint64(48)).astype(np.uint16)
+    out = (mix(low.view(np.uint32).astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
     out[np.isinf(low)] = 0
     return out
 
 
-def _named(ln_a: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """``ln_a`` whose last bits are those of ``h``: an order of draws that carries their names."""
-    return (ln_a.astype(np.float64).view(np.uint64) & ~NAME | h & NAME).view(np.float64)
-
-
 def edited(text: str, following: str) -> str:
     """``text`` with its last floor(n / 2) code points replaced by the first as many (or all) of ``following``."""
     half = len(text) // 2
@@ -128,7 +125,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     """
     ids = docs.select("doc")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = np.unique(np.array(ids.approxQuantile("doc", [k / parts for k in range(1, parts)], 0.1 / parts), np.int64)) if parts > 1 else np.zeros(0, np.int64)
+    bounds = np.unique(np.array(ids.approxQuantile("doc", [k / parts for k in range(1, parts)], 0.02 / parts), np.int64)) if parts > 1 else np.zeros(0, np.int64)
 
     def part_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
