@@ -21,7 +21,7 @@ SELECT CAST(k - CASE WHEN k % 23 = 1 THEN 1 ELSE 0 END AS VARCHAR(20)) AS job_id
     k % 3 > 0 AS salary_analysis_eligible, CASE WHEN k % 13 > 0 THEN CAST(k % 17 - 1 AS DOUBLE) END AS salary_min,
     CAST(k % 19 AS DOUBLE) AS salary_max, (k % 17 - 1 + k % 19) / 2.0E0 + CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END AS salary_midpoint,
     CASE k % 6 WHEN 0 THEN 'Yes' WHEN 1 THEN 'maybe' WHEN 2 THEN 'false' END AS salary_is_predicted,
-    k % 29 - 1 AS skill_count, role AS role_family,
+    k % 29 - 1 AS skill_count, CASE WHEN k % 47 > 0 THEN role END AS role_family,
     CAST(date_trunc('week', day) AS DATE) + CAST(k % 8 - k % 7 AS INTEGER) AS week_start, k % 3 = 0 AS is_complete_week, k % 41 = 0 AS is_recent_90d
 FROM (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, o_orderpriority AS role FROM orders)"""
 _BRIDGE = "SELECT CAST(l_orderkey + CASE WHEN l_linenumber = 5 THEN 100000000 ELSE 0 END AS VARCHAR(20)) AS job_id, CAST(l_partkey % 50 AS VARCHAR(20)) AS skill FROM lineitem"
@@ -99,7 +99,7 @@ _QUALITY_SQL = {
     "employer_spellings": _repeated("regexp_replace(lower(company_name), '[^a-z0-9]+', '', 'g')", f"(SELECT DISTINCT company_name FROM jobs WHERE company_name <> '{fixed.UNKNOWN_COMPANY}')"),
     "recent_flag": _count("is_recent_90d <> (posted_date >= DATE '2001-08-01' - 89)", "jobs"),
     "complete_week_flag": _count(f"is_complete_week IS DISTINCT FROM {_COMPLETE}", "jobs"),
-    "role_totals_difference": "SELECT abs((SELECT count(*) FROM jobs) - (SELECT sum(n) FROM (SELECT count(*) AS n FROM jobs GROUP BY role_family)))",
+    "role_totals_difference": "SELECT abs((SELECT count(*) FROM jobs) - (SELECT sum(n) FROM (SELECT count(*) AS n FROM jobs WHERE role_family IS NOT NULL GROUP BY role_family)))",
     "row_count_difference": "SELECT abs(count(*) - 1000) FROM jobs",
 }
 _STAR_SQL = {

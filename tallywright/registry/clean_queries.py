@@ -19,8 +19,13 @@ from tallywright.session import materialize
 from tallywright.sources import bindings as b
 
 
+def raw(spark, root):
+    """Raw postings, dealt to as many tasks as there are cores."""
+    return b.raw_postings(spark, root, spark.sparkContext.defaultParallelism)
+
+
 def jobs(spark, root):
-    return clean.clean_jobs(b.raw_postings(spark, root), end=b.ORDERS_END)
+    return clean.clean_jobs(raw(spark, root), end=b.ORDERS_END)
 
 
 def _columns(*names):
@@ -77,11 +82,11 @@ def _table_expectations(spark, root):
 
 
 QUERIES = {
-    "raw_report": lambda s, r: clean.raw_report(b.raw_postings(s, r), None, "1995-01-01", "2001-07-31"),
+    "raw_report": lambda s, r: clean.raw_report(raw(s, r), None, "1995-01-01", "2001-07-31"),
     "clean_labels": _columns("job_id", "source_family", "source_provider", "role_family", "city", "state",
                              "location_scope", "work_mode"),
     "clean_companies": _columns("job_id", "company_name"),
-    "canonical_names": lambda s, r: display_names(clean.drop_placeholders(b.raw_postings(s, r)), "company_name"),
+    "canonical_names": lambda s, r: display_names(clean.drop_placeholders(raw(s, r)), "company_name"),
     "clean_experience": _columns("job_id", "experience_min_years", "experience_max_years", "experience_band"),
     "clean_pay": _columns("job_id", "salary_min_source", "salary_max_source", "salary_min", "salary_max",
                           "salary_midpoint", "has_salary_source", "salary_analysis_eligible",
