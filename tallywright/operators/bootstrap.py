@@ -5,7 +5,8 @@ the middle one or two of them. The k-th smallest of n uniform draws follows
 Beta(k, n - k + 1), and given it the next one is the minimum of the n - k remaining draws,
 so each resample costs two random numbers per group instead of n: the result has exactly
 the distribution of the resample that draws every row. The ranks lie within a few sqrt(n)
-of the middle, so only that band of the data is ordered.
+of the middle, so only that band of the data is ordered. It is written once, some sqrt(n) rows: medians, sizes and
+draws are read off it, and the data are read twice in all, for the sketch and for the band.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
 from tallywright.operators.quantiles import at_rank, ranked_bands, read_quantiles
+from tallywright.session import materialize
 
 _BLOCK = 1_000
 
@@ -60,7 +62,7 @@ def bootstrap_differences(
     sides = df.select(F.col(flag).cast("int").alias("side"), F.col(value).cast("double").alias("v"))
     sides = sides.where(F.col("side").isNotNull() & F.col("v").isNotNull())
     # six square roots of n: twelve standard deviations of the median's rank
-    bands = ranked_bands(sides, ["side"], "v", [0.5], spread=6.0)
+    bands = materialize(ranked_bands(sides, ["side"], "v", [0.5], spread=6.0), name="bands")
     medians = read_quantiles(bands, ["side"], [0.5], ["median"])
     sizes = medians.select("side", "n")
 
@@ -103,7 +105,7 @@ def rank_bounds(df: DataFrame, flag: str, value: str, deviations: float = 6.0) -
     """(low, high): the differences of the values so many standard deviations of a resampled median's rank around the
     middle of each side, between which the ends of any interval lie."""
     sides = df.select(F.col(flag).cast("int").alias("side"), F.col(value).cast("double").alias("v"))
-    bands = ranked_bands(sides.where(F.col("side").isNotNull()), ["side"], "v", [0.5], spread=deviations)
+    bands = materialize(ranked_bands(sides.where(F.col("side").isNotNull()), ["side"], "v", [0.5], spread=deviations), name="bands")
     middle, reach = (F.col("_n") - 1) / 2, deviations * F.sqrt("_n") / 2
     ends = bands.groupBy("side").agg(
         at_rank(F.greatest(F.lit(0), F.floor(middle - reach))).alias("a"), at_rank(F.least(F.col("_n") - 1, F.ceil(middle + reach))).alias("b"),

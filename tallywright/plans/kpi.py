@@ -14,8 +14,14 @@ from tallywright.operators.quantiles import group_stats
 from tallywright.operators.sets import apply_filters, filtered_tags, has_tag
 from tallywright.operators.shares import count_by, row_total, top_k, total_of
 from tallywright.plans.demand import known_employer, period_totals, specific_city, tag_period_counts
+from tallywright.session import materialize
 
 VALUE = "salary_midpoint"
+#: What the measures read of a job.
+READ = [
+    "job_id", "company_name", "city", "location_scope", "role_family", "week_start", "has_extracted_skill", "experience_min_years",
+    "salary_analysis_eligible", "is_recent_90d", "is_complete_week", VALUE,
+]
 
 
 def _scalars(jobs: DataFrame, keys: list[str]) -> DataFrame:
@@ -89,16 +95,18 @@ def kpis(
 
     Filters act on jobs and, through the id, on their tags. The comparison of rows with and
     without one tag ignores any tag filter, since it reads the unfiltered bridge.
+
+    The rows that pass are written once with the short columns that measures read, and those with pay once more with
+    their flag of the tag: every measure reads these, so filters, joins of dimensions and the tag join run once each.
     """
     keys = [by] if by else []
-    kept = apply_filters(jobs, filters)
+    kept = materialize(apply_filters(jobs, filters).select(*dict.fromkeys([*READ, *keys])), name="kept")
     out = _scalars(kept, keys)
-    eligible = kept.where("salary_analysis_eligible")
-    quartiles = group_stats(eligible, keys, VALUE, (0.25, 0.5, 0.75), ("_p25", "_p50", "_p75"), n="_n")
+    flagged = materialize(has_tag(kept.where("salary_analysis_eligible").select("job_id", VALUE, *keys), bridge, tag).drop("job_id"), name="flagged")
+    quartiles = group_stats(flagged, keys, VALUE, (0.25, 0.5, 0.75), ("_p25", "_p50", "_p75"), n="_n")
     out = _glue(out, quartiles.drop("_n"), keys)
     out = _glue(out, _top_employers(kept, keys), keys)
     out = _glue(out, _tag_scalars(kept, bridge, keys), keys)
-    flagged = has_tag(eligible.select("job_id", VALUE, *keys), bridge, tag)
     medians = group_stats(flagged, [*keys, "has_tag"], VALUE, (0.5,), ("_m",), n="_n")
     sides = medians.groupBy(*keys).agg(
         F.max(F.when(F.col("has_tag"), F.col("_n"))).alias("tag_salary_observations"),
