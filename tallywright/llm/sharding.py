@@ -3,8 +3,7 @@
 A row descends region, rack and shard. At each node every child draws ``-ln(u) / weight`` with u hashed from the
 seed, the child's name and the row's key; the least draw wins. A child whose weight is unchanged keeps its draw, so a
 row moves only into a child that got heavier or out of one that got lighter, and nothing moves in other subtrees.
-A subtree is added or removed whole for that to hold down to the shard; ``tree`` opens a new region for a shard
-beyond a full number of regions.
+A subtree is added or removed whole for that to hold down to the shard; ``grown`` opens a new region for an added shard.
 """
 
 from __future__ import annotations
@@ -28,6 +27,12 @@ def tree(shards: int, racks: int = 2, per_rack: int = 2) -> Node:
     return root
 
 
+def grown(shards: int, racks: int = 2, per_rack: int = 2) -> Node:
+    """``tree(shards)`` and one shard more, alone in a region of its own, so that rows move into it only."""
+    rack, region = -(-shards // per_rack), -(-shards // (racks * per_rack))
+    return {**tree(shards, racks, per_rack), f"region{region}": {f"rack{rack}": {str(shards): 1.0}}}
+
+
 def weight(node: Node | float) -> float:
     return sum(map(weight, node.values())) if isinstance(node, dict) else float(node)
 
@@ -69,7 +74,7 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 0) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.lit("key").alias("law"), place(F.col("doc_id"), tree(shards), seed).alias("shard"), place(F.col("doc_id"), tree(shards + 1), seed).alias("grown_shard"),
+        F.lit("key").alias("law"), place(F.col("doc_id"), tree(shards), seed).alias("shard"), place(F.col("doc_id"), grown(shards), seed).alias("grown_shard"),
     )
     out = gapless(rows, ["shard"], [F.col("doc_id"), F.col("size"), F.col("text_crc32")], "slot", F.xxhash64("doc_id", "text_crc32"))
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -469,6 +469,14 @@ def test_sharding(odd):
         assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in rows)))
 
 
+@pytest.mark.parametrize("shards", [1, 6, 10, 16])
+def test_one_shard_more_takes_rows_only_into_itself(spark, shards):
+    rows = sharding.shard(spark.range(2000).selectExpr("id AS doc_id", "'x' AS text"), shards).collect()
+    assert all(r["grown_shard"] in (r["shard"], shards) for r in rows) and {r["shard"] for r in rows} == set(range(shards))
+    moved = sum(r["grown_shard"] == shards for r in rows)
+    assert abs(moved - 2000 / (shards + 1)) < 5 * (2000 * shards / (shards + 1) ** 2) ** 0.5
+
+
 def test_sharding_moves_only_into_the_new_subtree(spark):
     keys = spark.range(4000).withColumnRenamed("id", "doc_id").withColumn("text", F.lit("x"))
     rows = sharding.shard(keys, 16).collect()
