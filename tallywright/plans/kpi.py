@@ -24,6 +24,16 @@ READ = [
 ]
 
 
+def conditions() -> dict[str, Column]:
+    """The measures that count the jobs for which a condition holds."""
+    return {
+        "skill_tagged_jobs": F.col("has_extracted_skill"), "experience_labeled_jobs": F.col("experience_min_years").isNotNull(),
+        "salary_observations": F.col("salary_analysis_eligible"), "specific_city_vacancies": specific_city(),
+        "other_role_jobs": F.col("role_family") == fixed.OTHER_ROLE, "recent_90d_jobs": F.col("is_recent_90d"),
+        "pre_90d_jobs": ~F.col("is_recent_90d"), "complete_week_jobs": F.col("is_complete_week"),
+    }
+
+
 def _scalars(jobs: DataFrame, keys: list[str]) -> DataFrame:
     """Counts, extremes and means per group.
 
@@ -31,12 +41,7 @@ def _scalars(jobs: DataFrame, keys: list[str]) -> DataFrame:
     """
     eligible = F.col("salary_analysis_eligible")
     value = F.when(eligible, F.col(VALUE))
-    counts = {
-        "skill_tagged_jobs": F.col("has_extracted_skill"), "experience_labeled_jobs": F.col("experience_min_years").isNotNull(),
-        "salary_observations": eligible, "specific_city_vacancies": specific_city(),
-        "other_role_jobs": F.col("role_family") == fixed.OTHER_ROLE, "recent_90d_jobs": F.col("is_recent_90d"),
-        "pre_90d_jobs": ~F.col("is_recent_90d"), "complete_week_jobs": F.col("is_complete_week"),
-    }
+    counts = conditions()
     rows = jobs.withColumns({
         "_employer": F.when(known_employer(), F.col("company_name")), "_city": F.when(specific_city(), F.col("city")),
     })
@@ -56,7 +61,7 @@ def _scalars(jobs: DataFrame, keys: list[str]) -> DataFrame:
     weeks = jobs.where("is_complete_week").select(*keys, "week_start").distinct().groupBy(*keys).agg(
         F.count("week_start").alias("complete_weeks")
     )
-    return _glue(out, weeks, keys).withColumn("complete_weeks", F.coalesce("complete_weeks", F.lit(0)))
+    return glue(out, weeks, keys).withColumn("complete_weeks", F.coalesce("complete_weeks", F.lit(0)))
 
 
 def _top_employers(jobs: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
@@ -77,7 +82,7 @@ def _tag_scalars(jobs: DataFrame, bridge: DataFrame, keys: list[str]) -> DataFra
     )
 
 
-def _glue(base: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+def glue(base: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Add the columns of a frame with one row per group, or of a one-row frame."""
     names = [c for c in other.columns if c not in keys]
     if not keys:
@@ -104,16 +109,21 @@ def kpis(
     out = _scalars(kept, keys)
     flagged = materialize(has_tag(kept.where("salary_analysis_eligible").select("job_id", VALUE, *keys), bridge, tag).drop("job_id"), name="flagged")
     quartiles = group_stats(flagged, keys, VALUE, (0.25, 0.5, 0.75), ("_p25", "_p50", "_p75"), n="_n")
-    out = _glue(out, quartiles.drop("_n"), keys)
-    out = _glue(out, _top_employers(kept, keys), keys)
-    out = _glue(out, _tag_scalars(kept, bridge, keys), keys)
+    out = glue(out, quartiles.drop("_n"), keys)
+    out = glue(out, _top_employers(kept, keys), keys)
+    out = glue(out, _tag_scalars(kept, bridge, keys), keys)
     medians = group_stats(flagged, [*keys, "has_tag"], VALUE, (0.5,), ("_m",), n="_n")
     sides = medians.groupBy(*keys).agg(
         F.max(F.when(F.col("has_tag"), F.col("_n"))).alias("tag_salary_observations"),
         F.max(F.when(F.col("has_tag"), F.col("_m"))).alias("_with"),
         F.max(F.when(~F.col("has_tag"), F.col("_m"))).alias("_without"),
     )
-    out = _glue(out, sides, keys)
+    out = glue(out, sides, keys)
+    return derived(out)
+
+
+def derived(out: DataFrame) -> DataFrame:
+    """Medians in their unit, gates, coverages and shares, from the counts and quantiles of each group."""
     n = F.col("analytical_vacancies")
     observed = F.col("salary_observations")
     zero = F.lit(0).cast("bigint")

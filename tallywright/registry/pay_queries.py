@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallywright.functions.text import disclosure_status, round_money, round_to
 from tallywright.operators.bootstrap import bootstrap_diff, bootstrap_differences, rank_bounds
 from tallywright.operators.shares import histogram
-from tallywright.plans import demand, kpi, pay, reports
+from tallywright.plans import cube, demand, kpi, pay, reports
 from tallywright.registry.base_sql import m2, pct, r2, with_ctes
 from tallywright.registry.demand_queries import _both, _jobs, _placed, full_jobs
 from tallywright.sources import bindings as b
@@ -25,10 +25,25 @@ def _flagged(spark, root):
     return pay.tag_flagged(b.jobs(spark, root), b.bridge(spark, root), b.BRAND)
 
 
+def _rounded(df):
+    return df.withColumns({c: round_to(c, 6) for c, t in df.dtypes if t == "double"})
+
+
 def _kpi(spark, root, filters=(), by=None):
-    df = kpi.kpis(full_jobs(spark, root), b.bridge(spark, root), filters, by, b.BRAND)
-    floats = [c for c, t in df.dtypes if t == "double"]
-    return df.withColumns({c: round_to(c, 6) for c in floats})
+    return _rounded(kpi.kpis(full_jobs(spark, root), b.bridge(spark, root), filters, by, b.BRAND))
+
+
+SLICERS = ("role_family", "work_mode", "location_scope")
+
+
+def _cube(spark, root, filters=(), sets=None):
+    cells = cube.store_cells(full_jobs(spark, root), b.bridge(spark, root), SLICERS, b.BRAND)
+    return _rounded(cube.measures(cells, filters, cube.all_sets(SLICERS) if sets is None else sets))
+
+
+def _selection():
+    """Two roles and every scope but one, as a report page would select them."""
+    return [F.col("role_family").isin("1-URGENT", "2-HIGH"), F.col("location_scope") != "Unknown"]
 
 
 def _bootstrap(spark, root):
@@ -82,6 +97,8 @@ QUERIES = {
     "kpis": lambda s, r: _kpi(s, r),
     "kpis_filtered": lambda s, r: _kpi(s, r, _slicers()),
     "kpis_by_mode": lambda s, r: _kpi(s, r, (), "work_mode"),
+    "kpis_cube": lambda s, r: _cube(s, r),
+    "kpis_cube_filtered": lambda s, r: _cube(s, r, _selection(), [(), ("work_mode",), ("role_family", "location_scope")]),
 }
 
 
@@ -116,7 +133,7 @@ _EXTRA = {
 
 def _kpi_sql(where: str = "true", by: str = "") -> str:
     keys = f"{by}," if by else ""
-    same = f"AND {by} IS NOT DISTINCT FROM g.{by}" if by else ""
+    same = " ".join(f"AND {c} IS NOT DISTINCT FROM g.{c}" for c in by.split(", ")) if by else ""
     elig = "salary_analysis_eligible"
     q = lambda p, cond="true": f"quantile_cont(salary_midpoint, {p}) FILTER (WHERE {elig} AND {cond}) / 100000"
     n = "count(*)"
@@ -162,6 +179,17 @@ def _kpi_sql(where: str = "true", by: str = "") -> str:
     return f"SELECT {keys} {', '.join(f'{x} AS {c}' for c, x in cols.items())} FROM kj g WHERE {where} {group}"
 
 
+def _cube_sql(sets, where: str = "true") -> str:
+    """One grouping after another, the slicers outside of it null."""
+    parts = []
+    for kept in sets:
+        level = sum((c not in kept) << (len(SLICERS) - 1 - i) for i, c in enumerate(SLICERS))
+        labels = ", ".join(f"{c if c in kept else 'NULL::VARCHAR'} AS {c}" for c in SLICERS)
+        rest = f"EXCLUDE ({', '.join(kept)})" if kept else ""
+        parts.append(f"SELECT {level}::BIGINT AS rolled_up, {labels}, * {rest} FROM ({_kpi_sql(where, ', '.join(kept))})")
+    return " UNION ALL BY NAME ".join(parts)
+
+
 _SQL = {
     "value_distribution": f"""
         SELECT count(*) AS salary_n, {m2('quantile_cont(salary_midpoint, 0.25)')} AS salary_p25_inr,
@@ -213,6 +241,10 @@ _SQL = {
     "kpis_filtered": _kpi_sql("""posted_date BETWEEN DATE '1996-01-01' AND DATE '2000-06-30'
         AND role_family IN ('1-URGENT', '2-HIGH') AND location_scope = 'Specific City'"""),
     "kpis_by_mode": _kpi_sql(by="work_mode"),
+    "kpis_cube": _cube_sql(cube.all_sets(SLICERS)),
+    "kpis_cube_filtered": _cube_sql(
+        [(), ("work_mode",), ("role_family", "location_scope")],
+        "role_family IN ('1-URGENT', '2-HIGH') AND location_scope <> 'Unknown'"),
 }
 
 
