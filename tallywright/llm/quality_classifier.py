@@ -23,7 +23,7 @@ GOOD_COSTS = 10
 #: The target model is mixed with so much of the raw one, so that n-grams which a small sample lacks don't weigh too much.
 PRIOR = 0.05
 #: Share of the Gumbel noise in the sampling key; 1 samples in proportion to the weights, 0 takes the heaviest.
-NOISE = 0.5
+NOISE = 1.0
 #: Added to the shares of toxic and of clean documents that have an n-gram, besides two clean documents.
 TOXIC_PRIOR = 0.005
 NULL_ID = -(2**63)
@@ -146,7 +146,8 @@ def classify(docs: DataFrame, labels: DataFrame, seed: int = 0, carry: str | Non
     toxic n-gram, by the shares of toxic and clean labelled documents that have it; it is left out above the cut that
     suits the held-out labels best. k is the number of the other texts whose log weight reaches the cut that suits the
     held-out labels best (quality 0 and toxic ones are bad), so that what the labels call bad is left out whatever the
-    corpus's size; the noise moves documents at that cut only. Without toxic labels on both sides of the split nothing
+    corpus's size; those k are drawn without replacement in proportion to their weights, which differ by less than the
+    noise near the cut only. Without toxic labels on both sides of the split nothing
     is left out as toxic. Returns doc_id, log_weight, key and kept for each row. Null and empty texts have log
     weight 0; a null doc_id draws noise like an id, repeated rows draw the same, and ties at the last place are all
     kept; labels with a null are not used; without labels what weighs 0 or more is kept. An empty table gives no rows.

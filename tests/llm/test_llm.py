@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from tallywright.llm import fingerprints, mixing, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
+from tallywright.llm import fingerprints, hashing, mixing, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
 from tools.check_queries import compare, duck
 
 CLASHES = ("key doc near node root a b n core low part rank length tokens share budget kept verdict w role at starts anchors print first label n_tokens "
@@ -254,15 +254,104 @@ def test_best_cut():
     assert quality_classifier.best_cut(np.array([2.0]), np.zeros(0)) == 1.0
 
 
-def test_quality_classifier(spark, odd, labels):
-    """Weights equal those of models counted one n-gram at a time; all rows come back."""
+def mixed(h: int) -> int:
+    h &= 2**64 - 1
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ h >> 33) * factor % 2**64
+    return h ^ h >> 33
+
+
+def buckets_of(text: str | None) -> list[int]:
+    """Every n-gram of a text, one at a time: words, pairs of words and three bytes, 2^14 buckets for each kind."""
+    def hashed(word: bytes) -> int:
+        return mixed(sum(int(hashing._BYTE_VALUES[x]) * pow(hashing.BASES[0], i, 2**64) for i, x in enumerate(word)) + len(word))
+
+    data = (text or "").encode()
+    words = [hashed(w) for w in re.findall(rb"[^\x20\x09-\x0D]+", data)]
+    pairs = [0 if v == w else mixed(v + w * hashing.BASES[1]) >> 50 for v, w in zip(words, words[1:])]
+    threes = [mixed(int.from_bytes(data[i : i + 3], "little")) >> 50 for i in range(len(data) - 2)]
+    return [w >> 50 for w in words] + [2**14 + p for p in pairs] + [2**15 + t for t in threes]
+
+
+def classified(docs: list[tuple[int | None, str | None]], marks: dict[int, tuple[int, int]], seed: int) -> list[tuple]:
+    """(doc_id, log weight, key, kept) of each row by counting in Python: models, cuts, k, Gumbel keys and their top k."""
+    grams = [buckets_of(t) for _, t in docs]
+    signed = lambda x: (x % 2**64).to_bytes(8, "little")
+    first = {i: xxhash.xxh64_intdigest(signed(i), 42) for i in marks}
+    held = {i: xxhash.xxh64_intdigest(b"held", first[i]) % 2 == 0 for i in marks}
+    good = {i for i, (quality, toxic) in marks.items() if quality == 1 and not toxic}
+    toxic = {i for i, mark in marks.items() if mark[1]}
+    raw = Counter(g for row in grams for g in row)
+    target = Counter(g for (i, _), row in zip(docs, grams) for g in row if i in good and not held[i])
+    ratio = {}
+    for kind in range(3):
+        own = range(kind << 14, (kind + 1) << 14)
+        of_raw, of_target = (sum(c[g] for g in own) + 2**14 for c in (raw, target))
+        ratio |= {g: np.log(0.95 * ((target[g] + 1) / of_target) / ((raw[g] + 1) / of_raw) + 0.05) for g in own}
+    sides = [[set(row) for (i, _), row in zip(docs, grams) if i in marks and not held[i] and (i in toxic) == side] for side in (True, False)]
+    having = [Counter(g for row in rows for g in row) for rows in sides]
+    prior = 0.005 + 2 / max(len(sides[1]), 1)
+    worst = lambda g: np.log((having[0][g] / len(sides[0]) + prior) / (having[1][g] / len(sides[1]) + prior)) if all(sides) else 0.0
+    weights = [round(sum(ratio[g] for g in row), 9) for row in grams]
+    toxicity = [max([0.0, *map(worst, set(row))]) for row in grams]
+    at = lambda values, ids: [v for (i, _), v in zip(docs, values) if i in ids]
+    cut = least_cost(at(weights, {i for i in good if held[i]}), at(weights, {i for i in marks if held[i] and (marks[i][0] == 0 or i in toxic)}))
+    fits = [True] * len(docs)
+    if at(toxicity, {i for i in toxic if held[i]}):
+        most = -least_cost([-x for x in at(toxicity, {i for i in marks if held[i] and i not in toxic})], [-x for x in at(toxicity, {i for i in toxic if held[i]})])
+        fits = [x <= most for x in toxicity]
+    keys = []
+    for (i, _), weight in zip(docs, weights):
+        drawn = mixed((quality_classifier.NULL_ID if i is None else i) % 2**64 ^ mixed(seed + 1)) >> 11
+        keys.append(weight - np.log(-np.log((drawn + 0.5) / 2**53)))
+    k = sum(f and w >= cut for f, w in zip(fits, weights))
+    last = sorted((x for f, x in zip(fits, keys) if f), reverse=True)[k - 1] if k else np.inf
+    return [(i, weight, key, bool(f and key >= last)) for (i, _), weight, key, f in zip(docs, weights, keys, fits)]
+
+
+def least_cost(good: list[float], bad: list[float]) -> float:
+    """The mean of the cuts of least cost among those below, between and above all values; a rejected good one costs ten."""
+    if not good and not bad:
+        return 0.0
+    values = sorted({*good, *bad})
+    cuts = [values[0] - 1, *[(v + w) / 2 for v, w in zip(values, values[1:])], values[-1] + 1]
+    costs = [10 * sum(g < c for g in good) + sum(x >= c for x in bad) for c in cuts]
+    least = [c for c, cost in zip(cuts, costs) if cost == min(costs)]
+    return sum(least) / len(least)
+
+
+def same_rows(found, want) -> None:
+    place = lambda r: (r[0] is None, r[0] or 0, round(r[1], 4))
+    found, want = sorted(((r["doc_id"], r["log_weight"], r["key"], r["kept"]) for r in found), key=place), sorted(want, key=place)
+    assert [(r[0], r[3]) for r in found] == [(r[0], r[3]) for r in want]
+    np.testing.assert_allclose([r[1:3] for r in found], [r[1:3] for r in want], atol=1e-6)
+
+
+def test_quality_classifier_by_counting(spark, small):
+    """The registered query on whole tables: weights, Gumbel keys and kept rows equal those counted one n-gram at a time."""
+    small = small.replace("0.001", "0.01")  # the smallest has too few labels of bad texts to leave any out
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    marks = {r["doc_id"]: (r["quality"], r["toxic"]) for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    want = classified(docs, marks, 8)
+    assert 0 < sum(r[3] for r in want) < len(want)
+    same_rows(queries()["op8_quality_classifier"](spark, small).collect(), want)
+
+
+def test_quality_classifier(odd, labels):
+    """Odd rows: weights, keys and kept rows as counted one n-gram at a time; all rows come back."""
     rows = quality_classifier.classify(odd, labels).collect()
-    assert len(rows) == len(odd_texts())
+    same_rows(rows, classified(odd_texts(), {6: (1, 0), 7: (1, 0), 14: (0, 0)}, 0))
     empty = [r for r in rows if r["doc_id"] in (1, 2)]
     assert [r["log_weight"] for r in empty] == [0.0, 0.0]
     twice = [(r["log_weight"], r["key"], r["kept"]) for r in rows if r["doc_id"] == 19]
     assert twice[0] == twice[1]
-    assert {r["key"] >= min(x["key"] for x in rows if x["kept"]) for r in rows if r["kept"]} == {True}
+
+
+def test_gumbel_keys_sample_in_proportion():
+    """Over many seeds the largest key falls on each of three rows in proportion to their weights."""
+    weights = np.log(np.array([0.5, 0.3, 0.2]))
+    firsts = [int(np.argmax(weights + quality_classifier.NOISE * quality_classifier.gumbel(np.array([11, 12, 13]), s))) for s in range(20_000)]
+    np.testing.assert_allclose(np.bincount(firsts) / 20_000, [0.5, 0.3, 0.2], atol=0.015)
 
 
 def test_quality_classifier_held_out(spark):
