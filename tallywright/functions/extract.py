@@ -6,13 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.patterns import Rules, found_sql, quoted
+from tallywright.functions.patterns import Rules, array_sql, index_words, indexed_sql, quoted, words_sql
 
 
 def extract_tags(text: str, rules: Rules = fixed.TAG_RULES) -> Column:
-    """Sorted distinct tags whose patterns occur in ``text``, the name of a ``search_text`` column."""
-    hits = ", ".join(f"CASE WHEN {found_sql(text, patterns)} THEN {quoted(tag)} END" for tag, patterns in rules)
-    return F.expr(f"sort_array(array_except(array({hits}), array(cast(NULL AS string))))")
+    """Sorted distinct tags whose patterns occur in ``text``, the name of a ``search_text`` column.
+
+    The text is split into words once, and the words that rules ask for are looked up together.
+    """
+    wanted = index_words(p for _, patterns in rules for p in patterns)
+    known = f"array_intersect({words_sql(text)}, {array_sql(wanted)})" if wanted else "array()"
+    hits = ", ".join(f"CASE WHEN {indexed_sql(text, 'known', patterns)} THEN {quoted(tag)} END" for tag, patterns in rules)
+    # transform over one element names the known words, so that they are looked up once
+    return F.expr(f"transform(array({known}), known -> sort_array(array_except(array({hits}), array(cast(NULL AS string)))))[0]")
 
 
 def tag_count(tags: Column) -> Column:

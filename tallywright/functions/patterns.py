@@ -80,6 +80,38 @@ def found_sql(text: str, patterns: Sequence[str]) -> str:
     return f"(({' OR '.join(f'contains({text}, {quoted(t)})' for t in shortest)}) AND {regex})"
 
 
+def phrase_words(pattern: str) -> list[str]:
+    """The words of a pattern that is a phrase of plain words between boundaries, else []."""
+    found = re.fullmatch(r"\\b([a-z0-9]+(?: [a-z0-9]+)*)\\b", pattern)
+    return found.group(1).split(" ") if found else []
+
+
+def words_sql(text: str) -> str:
+    """The words of a ``search_text`` column: runs of what word boundaries lie around."""
+    return f"CASE WHEN octet_length({text}) = length({text}) THEN split({text}, '[^a-z0-9_]+') ELSE split({text}, {quoted(r'(?U)[^\w]+')}) END"
+
+
+def index_words(patterns: Iterable[str]) -> list[str]:
+    """Per phrase the word to look for: the phrase itself or its longest word."""
+    return sorted({max(words, key=len) for words in map(phrase_words, patterns) if words})
+
+
+def indexed_sql(text: str, words: str, patterns: Sequence[str]) -> str:
+    """``found_sql`` for a text whose ``index_words`` are at hand as the array ``words``.
+
+    A pattern of one word is settled by the array, and a longer phrase is searched only if the array has its longest
+    word; patterns that are no phrases are searched as ever.
+    """
+    found = []
+    for pattern in patterns:
+        own = phrase_words(pattern)
+        if own:
+            known = f"array_contains({words}, {quoted(max(own, key=len))})"
+            found.append(known if len(own) == 1 else f"({known} AND {found_sql(text, [pattern])})")
+    rest = [p for p in patterns if not phrase_words(p)]
+    return " OR ".join([*found, *([found_sql(text, rest)] if rest else [])])
+
+
 def first_label(text: str, rules: Rules, default: str) -> Column:
     """Label of the first rule in list order with a pattern in ``text``."""
     cases = " ".join(f"WHEN {found_sql(text, patterns)} THEN {quoted(label)}" for label, patterns in rules)

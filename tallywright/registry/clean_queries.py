@@ -24,6 +24,11 @@ def raw(spark, root):
     return b.raw_postings(spark, root, spark.sparkContext.defaultParallelism)
 
 
+def docs(spark, root, *columns):
+    """Columns of the documents, dealt to as many tasks as there are cores."""
+    return b.texts(spark, root, "documents", [*columns, "text"], spark.sparkContext.defaultParallelism)
+
+
 def jobs(spark, root):
     return clean.clean_jobs(raw(spark, root), end=b.ORDERS_END)
 
@@ -55,8 +60,7 @@ _DOC_RANGES = [(r"(\d{1,2})\s*[-–]\s*(\d{1,2})", True, []), (r"(\d{1,2})%", Fa
 
 
 def _document_tags(spark, root):
-    docs = b.table(spark, root, "documents")
-    texts = docs.select(F.struct("doc_id", "lang").alias("doc"), search_text(F.col("text")).alias("_t"))
+    texts = docs(spark, root, "doc_id", "lang").select(F.struct("doc_id", "lang").alias("doc"), search_text(F.col("text")).alias("_t"))
     tagged = texts.select("doc", extract_tags("_t", _WORDS).alias("tags"))
     rows = clean.explode_tags(tagged, "doc", "tags", _WORD_LANGS)
     return rows.groupBy("doc.lang", "skill", "skill_category").agg(F.count(F.lit(1)).alias("documents"))
@@ -98,12 +102,12 @@ QUERIES = {
     "run_metrics": _with_bridge(reports.run_metrics),
     "quality_report": _with_bridge(lambda j, t: reports.quality_report(j, t, b.ORDERS_END)),
     "table_expectations": _table_expectations,
-    "document_text": lambda s, r: b.table(s, r, "documents").select(
+    "document_text": lambda s, r: docs(s, r, "doc_id").select(
         "doc_id", F.md5(clean_text(F.col("text"))).alias("clean_md5"),
         F.md5(normalized_text(F.col("text"))).alias("normalized_md5"),
         F.length(clean_text(F.col("text"))).alias("clean_chars")),
     "document_tags": _document_tags,
-    "document_ranges": lambda s, r: b.table(s, r, "documents").select(
+    "document_ranges": lambda s, r: docs(s, r, "doc_id").select(
         "doc_id", search_text(F.col("text")).alias("_t")).select(
         "doc_id", extract_range("_t", _DOC_RANGES, 0, 99).alias("x")).select("doc_id", "x.*"),
     "classify_text": lambda s, r: b.table(s, r, "conversations").select(

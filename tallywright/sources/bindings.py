@@ -22,6 +22,12 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def texts(spark: SparkSession, root: str, name: str, columns: list[str], partitions: int | None = None) -> DataFrame:
+    """Some columns of a table of long texts; ``partitions``: dealt to so many tasks first (see ``raw_postings``)."""
+    df = table(spark, root, name).select(*columns)
+    return df.repartition(partitions) if partitions else df
+
+
 def source_text() -> Column:
     """Four forms of a source: a board, provider paths with and without a name, and other text."""
     k = F.col("o_custkey") % 4

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import calendar as cal
 from tallywright.functions import extract, fixed, labels, pay, text
-from tallywright.functions.patterns import needed_texts, search_text
+from tallywright.functions.patterns import found_sql, index_words, needed_texts, search_text
 
 
 def one(spark, values, column, kind="string"):
@@ -109,6 +109,19 @@ def test_tags(spark):
         ["Machine Learning", "Spark"], []]
 
 
+def test_tags_by_words_equal_tags_by_patterns(spark):
+    """The lookup of words finds what every pattern finds when it is searched by itself."""
+    texts = ["sql", "SQL.", "sql_x", "ésql", "sqlé sql", "nosql", "x–sql–y", "sql\u0301", "a\u200dsql", "ms excel", "MS  Excel", "ms-excel", "ms excels",
+             "data_warehouse data warehouse", "data warehouses", "machine\u00a0learning", "a/b testing", "ml models", "powerbi", "Power  BI", "r language²",
+             "ſql ſas", "GIT github gitlab", "git·hub", "", " ", None, "google cloud platform", "google cloud", "statiſtical analysis", "ssis, sap; sas/spss"]
+    rules = [*fixed.TAG_RULES, ("Capital", [r"\bSQL\b"]), ("Either", [r"\b(git|jira)\b", r"\bms\b"])]
+    plain = ", ".join(f"CASE WHEN {found_sql('s', patterns)} THEN '{tag}' END" for tag, patterns in rules)
+    expected = one(spark, texts, F.expr(f"sort_array(array_compact(array({plain})))"))
+    assert one(spark, texts, extract.extract_tags("s", rules)) == expected and sum(map(bool, expected)) > 15
+    assert one(spark, texts[:3], extract.extract_tags("s", [("Number", [r"\d"])])) == [[], [], []]
+    assert index_words([r"\bms excel\b", r"\bsql\b", r"\bml models?\b"]) == ["excel", "sql"]
+
+
 def test_needed_texts_are_part_of_each_pattern():
     assert needed_texts(r"\bpower\s*bi\b") == ["power"]
     assert needed_texts(r"\bml models?\b") == ["ml model"]
