@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallywright.operators import bootstrap, pairs, quality, quantiles, sets, shares, trend
 from tallywright.operators.names import canonicalize, display_names
+from tallywright.session import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -197,3 +199,19 @@ def test_trend_operators(spark):
     assert trend.dense_weekly_share(jobs, bridge, None).count() == 6
     change = trend.change_vs_prior(trend.weekly_counts(jobs), "weekly_jobs", "week_start").orderBy("week_start").collect()
     assert [(r["absolute_change"], r["week_over_week_pct"]) for r in change] == [(None, None), (-2, -50.0), (2, 100.0)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Only a session in one process may use a folder of its own; executors of ``local-cluster`` are others."""
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    def session(master):
+        return SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master=master))
+
+    for master in ("local", "local[8]", "local[*, 4]"):
+        assert shared_folder(session(master))
+    for master in ("local-cluster[3,2,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_folder(session(master))
