@@ -8,6 +8,10 @@ counted, which happens map-side, and the bands are ranked in two levels: cells o
 first, then the values of a cell. The answer is exact: the sketch merely decides what need
 not be sorted. The grid ends at the smallest and largest value, so one rule serves groups
 of any size.
+
+A sketch depends on the order in which its parts are merged, which on a cluster is the order of
+arrival, so a bound that is computed twice may differ. The bounds of the groups, one row each, are
+therefore written once, and whatever counts and ranks by them reads these.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywright.session import materialize
+
 #: The sketch is off by 1 / ACCURACY of the rows at most; bands allow for four times that.
 ACCURACY = 10_000
 #: Cells of a band, of equal width in value.
@@ -49,13 +55,16 @@ def ranked_bands(
     step = F.least(F.lit(steps), F.greatest(F.lit(0), F.floor(-F.log2(need)))).cast("int")
     pick = lambda i, side: F.get("_grid", 2 * (i * (steps + 1) + step) + side)
     bands = [F.array(*[pick(i, side) for i in range(len(probs))]).alias(name) for side, name in ((0, "_low"), (1, "_high"))]
-    limits = limits.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", *more, *bands)
+    limits = materialize(limits.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", *more, *bands), name="limits")
     extras = [c for c in limits.columns if c.startswith("_x_")]
-    values = rows.select(*keys, "_v")
-    if keys:
-        joined = values.join(limits, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    else:
-        joined = values.withColumn("_p", limits.select(F.struct("*")).scalar()).select("_v", "_p.*")
+
+    def limited(df: DataFrame, names: Sequence[str]) -> DataFrame:
+        if keys:
+            side = limits.select(*[f"_k_{k}" for k in keys], *names)
+            return df.join(side, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]).drop(*[f"_k_{k}" for k in keys])
+        return df.withColumn("_p", limits.select(F.struct(*names)).scalar()).select("*", "_p.*").drop("_p")
+
+    joined = limited(rows.select(*keys, "_v"), ["_low", "_high"])
     v = F.col("_v")
     lows, highs = ([F.get(name, F.lit(i)) for i in range(len(probs))] for name in ("_low", "_high"))
     passed = functools.reduce(operator.add, [(v > hi).cast("int") for hi in highs])
@@ -64,9 +73,9 @@ def ranked_bands(
     cell = F.when(high > low, F.floor((F.col("_v") - low) / (high - low) * CELLS)).otherwise(F.lit(0)).cast("int")
     counted = (
         joined.where(v <= highs[-1]).withColumn("_gap", passed)
-        .select(*keys, "_n", *extras, "_gap", F.when(inside, cell).otherwise(F.lit(-1)).alias("_cell"), F.when(inside, v).alias("_v"))
+        .select(*keys, "_gap", F.when(inside, cell).otherwise(F.lit(-1)).alias("_cell"), F.when(inside, v).alias("_v"))
         .groupBy(*keys, "_gap", "_cell", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in ("_n", *extras)])
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
     # first level: at most (CELLS + 2) rows for each probability of a group
     cells = counted.groupBy(*keys, "_gap", "_cell").agg(F.sum("_c").alias("_in_cell"))
@@ -77,7 +86,8 @@ def ranked_bands(
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in (*keys, "_gap", "_cell")]
     run = Window.partitionBy(*keys, "_gap", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumn("_stop", F.sum("_c").over(run)).join(cells, same).withColumn("_stop", F.col("_stop") + F.col("_before"))
-    return ranked.select(*keys, "_n", *extras, "_v", (F.col("_stop") - F.col("_c")).alias("_start"), "_stop")
+    ranked = ranked.select(*keys, "_v", (F.col("_stop") - F.col("_c")).alias("_start"), "_stop")
+    return limited(ranked, ["_n", *extras]).select(*keys, "_n", *extras, "_v", "_start", "_stop")
 
 
 def at_rank(rank: Column) -> Column:

@@ -65,6 +65,20 @@ def test_bands_are_thin_and_ranked_in_cells(spark):
     assert sum("sum(_in_cell" in x for x in windows) == 1  # over sums of cells, which are few
 
 
+def test_bounds_are_sketched_once(spark):
+    """Rows in another order at every evaluation, as after a shuffle between machines: the sketch differs each time."""
+    def stirred(batches):
+        for batch in batches:
+            yield batch.sample(frac=1.0)
+
+    df = spark.range(0, 240_000, 1, 6).selectExpr("id % 2 AS g", "cast((id * 7919) % 240007 AS double) AS v").mapInPandas(stirred, "g long, v double")
+    want = {g: np.quantile([i * 7919 % 240_007 for i in range(g, 240_000, 2)], [0.25, 0.5, 0.75]) for g in (0, 1)}
+    found = quantiles.group_stats(df, ["g"], "v", (0.25, 0.5, 0.75), ("a", "b", "c"), extra=[F.avg("v").alias("mean")])
+    assert "percentile_approx" not in found._jdf.queryExecution().toString()
+    for r in found.collect():
+        assert np.allclose([r["a"], r["b"], r["c"]], want[r["g"]], rtol=1e-12)
+
+
 def test_quantiles_of_nothing_and_threshold(values):
     _, df = values
     assert quantiles.group_stats(df.where("false"), [], "v").collect() == [(0, None)]
