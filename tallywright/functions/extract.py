@@ -6,19 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
-from tallywright.functions.patterns import Rules, array_sql, index_words, indexed_sql, quoted, words_sql
+from tallywright.functions.patterns import Rules, first_seen, found_sql, index_words, labels_by_word, phrase_words, quoted, words_sql
 
 
 def extract_tags(text: str, rules: Rules = fixed.TAG_RULES) -> Column:
     """Sorted distinct tags whose patterns occur in ``text``, the name of a ``search_text`` column.
 
-    The text is split into words once, and the words that rules ask for are looked up together.
+    The text is split into words once. Its words that rules ask for name their rules; only patterns that are no phrases
+    of plain words are searched in every text.
     """
     wanted = index_words(p for _, patterns in rules for p in patterns)
-    known = f"array_intersect({words_sql(text)}, {array_sql(wanted)})" if wanted else "array()"
-    hits = ", ".join(f"CASE WHEN {indexed_sql(text, 'known', patterns)} THEN {quoted(tag)} END" for tag, patterns in rules)
-    # transform over one element names the known words, so that they are looked up once
-    return F.expr(f"transform(array({known}), known -> sort_array(array_except(array({hits}), array(cast(NULL AS string)))))[0]")
+    others = [(tag, [p for p in patterns if not phrase_words(p)]) for tag, patterns in rules]
+    hits = [f"CASE WHEN {found_sql(text, patterns)} THEN {quoted(tag)} END" for tag, patterns in others if patterns]
+    parts = [f"array({', '.join(hits) or 'cast(NULL AS string)'})"]
+    if wanted:
+        known = f"filter({words_sql(text)}, w -> w IN ({', '.join(map(quoted, wanted))}))"
+        parts.append(f"coalesce(flatten(transform({known}, w -> {labels_by_word(text, 'w', rules)})), array())")
+    return F.expr(f"sort_array(array_except(concat({', '.join(parts)}), array(cast(NULL AS string))))")
 
 
 def tag_count(tags: Column) -> Column:
@@ -35,7 +39,7 @@ def extract_range(
     """
     found = []
     for pattern, has_high, needed in patterns:
-        regex = quoted("(?U)" + pattern)
+        regex = quoted("(?U)" + first_seen(pattern))
         lows = f"regexp_extract_all({text}, {regex}, 1)"
         if needed:
             worth = " OR ".join(f"contains({text}, {quoted(w)})" for w in needed)

@@ -13,9 +13,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallywright.functions.text import normalized_text
+from tallywright.functions.text import normalized_clean, normalized_text
 
 Rules = Sequence[tuple[str, Sequence[str]]]
+_WORD_CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789_"
 
 
 def quoted(text: str) -> str:
@@ -31,10 +32,11 @@ def map_sql(pairs: Mapping[str, str]) -> str:
     return f"map({', '.join(f'{quoted(k)}, {quoted(v)}' for k, v in pairs.items())})"
 
 
-def search_text(c: Column) -> Column:
+def search_text(c: Column, cleaned: bool = False) -> Column:
     """Normalized text with the two letters that ``lower`` keeps although they equal ``s`` and
-    ``i`` when case is ignored, so that patterns need not ignore case."""
-    return F.replace(F.replace(normalized_text(c), F.lit("ſ"), F.lit("s")), F.lit("ı"), F.lit("i"))
+    ``i`` when case is ignored, so that patterns need not ignore case. ``cleaned``: the column is a ``clean_text``."""
+    text = normalized_clean(c) if cleaned else normalized_text(c)
+    return F.replace(F.replace(text, F.lit("ſ"), F.lit("s")), F.lit("ı"), F.lit("i"))
 
 
 def needed_texts(pattern: str) -> list[str]:
@@ -64,6 +66,21 @@ def _literal_first(pattern: str) -> str:
     return f"{found.group(1)}(?!\\w)(?<!\\w{found.group(1)})" if found else pattern
 
 
+def first_seen(pattern: str) -> str:
+    """``pattern`` with a look at its first character before the boundary that it begins with.
+
+    A boundary asks for the kinds of two characters, at every place of a text; few places have a digit, or the first
+    letter of one of the listed words.
+    """
+    if pattern.startswith((r"\b(\d", r"\b\d")):
+        return r"(?=\d)" + pattern
+    listed = re.match(r"\\b\((?:\?:)?((?:[a-z0-9][^()|\\]*(?:\\\.\??)?\|?)+)\)", pattern)
+    words = listed.group(1).split("|") if listed else []
+    if words and all(re.match(r"[a-z0-9](?![?*{])", w) for w in words):
+        return f"(?=[{''.join(sorted({w[0] for w in words}))}])" + pattern
+    return pattern
+
+
 def found_sql(text: str, patterns: Sequence[str]) -> str:
     """Condition: any pattern occurs in ``text``, the name of a ``search_text`` column.
 
@@ -71,7 +88,7 @@ def found_sql(text: str, patterns: Sequence[str]) -> str:
     """
     # the text is in lower case: rules written in capitals are matched without regard to case
     flags = "(?iU)" if any(re.search(r"(?<!\\)[A-Z]", p) for p in patterns) else "(?U)"
-    regex = f"rlike({text}, {quoted(flags + '|'.join(f'(?:{_literal_first(p)})' for p in patterns))})"
+    regex = f"rlike({text}, {quoted(flags + '|'.join(f'(?:{first_seen(_literal_first(p))})' for p in patterns))})"
     needed = [needed_texts(p) for p in patterns]
     if not all(needed):
         return regex
@@ -87,8 +104,14 @@ def phrase_words(pattern: str) -> list[str]:
 
 
 def words_sql(text: str) -> str:
-    """The words of a ``search_text`` column: runs of what word boundaries lie around."""
-    return f"CASE WHEN octet_length({text}) = length({text}) THEN split({text}, '[^a-z0-9_]+') ELSE split({text}, {quoted(r'(?U)[^\w]+')}) END"
+    """The words of a ``search_text`` column: runs of what word boundaries lie around.
+
+    ``split`` compiles its pattern anew for every row unless that is one plain character, so what lies between words is
+    made a blank first. The characters of words are listed one by one: ranges are tested one after the other.
+    """
+    plain = f"regexp_replace({text}, '[^{_WORD_CHARACTERS}]+', ' ')"
+    other = f"regexp_replace({text}, {quoted(r'(?U)[^\w]+')}, ' ')"
+    return f"split(CASE WHEN octet_length({text}) = length({text}) THEN {plain} ELSE {other} END, ' ')"
 
 
 def index_words(patterns: Iterable[str]) -> list[str]:
@@ -96,20 +119,25 @@ def index_words(patterns: Iterable[str]) -> list[str]:
     return sorted({max(words, key=len) for words in map(phrase_words, patterns) if words})
 
 
-def indexed_sql(text: str, words: str, patterns: Sequence[str]) -> str:
-    """``found_sql`` for a text whose ``index_words`` are at hand as the array ``words``.
+def labels_by_word(text: str, word: str, rules: Rules) -> str:
+    """The labels of the rules that ``word``, one of the ``index_words`` of ``text``, settles, as an array.
 
-    A pattern of one word is settled by the array, and a longer phrase is searched only if the array has its longest
-    word; patterns that are no phrases are searched as ever.
+    A pattern of one word is settled by it, and a longer phrase is searched only at its longest word.
     """
-    found = []
-    for pattern in patterns:
-        own = phrase_words(pattern)
-        if own:
-            known = f"array_contains({words}, {quoted(max(own, key=len))})"
-            found.append(known if len(own) == 1 else f"({known} AND {found_sql(text, [pattern])})")
-    rest = [p for p in patterns if not phrase_words(p)]
-    return " OR ".join([*found, *([found_sql(text, rest)] if rest else [])])
+    by_word: dict[str, dict[str, list[str]]] = {}
+    for label, patterns in rules:
+        for pattern in patterns:
+            own = phrase_words(pattern)
+            if own:
+                by_word.setdefault(max(own, key=len), {}).setdefault(label, []).append(pattern)
+    cases = []
+    for key, labels in by_word.items():
+        found = [
+            quoted(label) if any(len(phrase_words(p)) == 1 for p in patterns) else f"CASE WHEN {found_sql(text, patterns)} THEN {quoted(label)} END"
+            for label, patterns in labels.items()
+        ]
+        cases.append(f"WHEN {quoted(key)} THEN array({', '.join(found)})")
+    return f"CASE {word} {' '.join(cases)} END"
 
 
 def first_label(text: str, rules: Rules, default: str) -> Column:

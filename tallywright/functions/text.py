@@ -27,6 +27,11 @@ def normalized_text(c: Column) -> Column:
     return F.lower(clean_text(F.replace(c.cast("string"), F.lit("&"), F.lit(" and "))))
 
 
+def normalized_clean(c: Column) -> Column:
+    """``normalized_text`` of a ``clean_text`` column: only a text with the sign is collapsed again."""
+    return F.lower(F.when(c.contains("&"), clean_text(F.replace(c, F.lit("&"), F.lit(" and ")))).otherwise(c))
+
+
 def title_case(c: Column) -> Column:
     """Upper-case every letter that follows a non-letter, lower-case the others.
 
@@ -37,8 +42,9 @@ def title_case(c: Column) -> Column:
     return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
 
 
-def source_family(c: Column) -> Column:
-    text = F.lower(clean_text(c))
+def source_family(c: Column, cleaned: bool = False) -> Column:
+    """``cleaned``: the column is a ``clean_text`` already, here and in ``source_provider``."""
+    text = F.lower(c if cleaned else clean_text(c))
     return (
         F.when(text.contains("adzuna"), "Adzuna")
         .when(text.startswith("freehire"), "Freehire")
@@ -46,9 +52,9 @@ def source_family(c: Column) -> Column:
     )
 
 
-def source_provider(c: Column) -> Column:
+def source_provider(c: Column, cleaned: bool = False) -> Column:
     """The part after the first ``/`` in title case; else the known board; else the text."""
-    text = clean_text(c)
+    text = c if cleaned else clean_text(c)
     after = F.trim(F.regexp_extract(text, r"^[^/]*/(.*)$", 1))
     return (
         F.when(text == "", fixed.UNKNOWN)

@@ -43,7 +43,8 @@ def display_names(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY)
     the group: not all-lower-case first, then the most frequent, then by name.
     """
     name = F.when(clean_text(F.col(col)) == "", default).otherwise(clean_text(F.col(col)))
-    counts = df.select(name.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    # asked for their count, both sides of the join below are the same shuffle, and rows are read and counted once
+    counts = df.select(name.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     keyed = ascii_key(counts, "name")
     lowered = F.col("name").rlike(r"\p{L}") & ~F.col("name").rlike(r"[\p{L}&&[^\p{IsLowercase}]]")
     choice = F.struct(lowered.alias("lowered"), (-F.col("n")).alias("less"), F.col("name").alias("display"))
@@ -51,12 +52,13 @@ def display_names(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY)
     return keyed.join(winners, "name_key").where(F.col("name") != F.col("display")).select("name", "display")
 
 
-def canonicalize(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY) -> DataFrame:
+def canonicalize(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY, counted: DataFrame | None = None) -> DataFrame:
     """Replace every spelling in ``col`` by the display name of its group.
 
-    Only spellings that change are joined, which are few next to the names.
+    Only spellings that change are joined, which are few next to the names. ``counted``: the same rows of ``col`` before
+    other columns were added.
     """
-    renames = display_names(df, col, default).withColumnRenamed("name", "_name")
+    renames = display_names(df if counted is None else counted, col, default).withColumnRenamed("name", "_name")
     name = F.when(clean_text(F.col(col)) == "", default).otherwise(clean_text(F.col(col)))
     named = df.withColumn(col, name)
     joined = named.join(renames, named[col] == renames["_name"], "left")

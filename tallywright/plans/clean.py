@@ -42,15 +42,16 @@ def clean_jobs(
 
     Three steps leave the row-wise flow: employer spellings are counted by name, the
     span of dates is one aggregate, and renamed spellings are joined back. Everything else
-    is projection, so columns that are not selected later cost nothing.
+    is projection, so columns that are not selected later cost nothing. The join is the last step: the rules
+    run on the rows as they are dealt, not on those that a join has gathered by name (one name may have very many).
     """
     for column in ("salary_min", "salary_max", "salary_is_predicted", "contract_type", "contract_time", "redirect_url"):
         if column not in raw.columns:
             raw = raw.withColumn(column, F.lit(None).cast("string"))
-    df = canonicalize(drop_placeholders(raw), "company_name")
+    kept = drop_placeholders(raw)
     # Texts are normalized once, as columns of their own, before the rules read them.
-    df = df.withColumns({
-        "posted_date": F.to_date(utc_timestamp(F.col("created"))),
+    df = kept.withColumns({
+        "created_at": utc_timestamp(F.col("created")),
         "_source": clean_text(F.col("source")),
         "_title": clean_text(F.col("title")),
         "_about": clean_text(F.col("description")),
@@ -59,9 +60,10 @@ def clean_jobs(
         "salary_max_source": to_number(F.col("salary_max")),
     })
     df = df.withColumns({
-        "_role_text": search_text(F.col("_title")),
-        "_about_text": search_text(F.col("_about")),
-        "_place_text": search_text(F.col("_where")),
+        "posted_date": F.to_date("created_at"),
+        "_role_text": search_text(F.col("_title"), cleaned=True),
+        "_about_text": search_text(F.col("_about"), cleaned=True),
+        "_place_text": search_text(F.col("_where"), cleaned=True),
     })
     df = df.withColumns({
         "city": labels.normalize_place("_place_text", "_where"),
@@ -71,9 +73,8 @@ def clean_jobs(
     })
     df = df.withColumn("_range", extract_range("_text"))
     df = df.withColumns({
-        "created_at": utc_timestamp(F.col("created")),
-        "source_family": source_family(F.col("_source")),
-        "source_provider": source_provider(F.col("_source")),
+        "source_family": source_family(F.col("_source"), cleaned=True),
+        "source_provider": source_provider(F.col("_source"), cleaned=True),
         "state": labels.normalize_region("city", "_place_text"),
         "location_scope": labels.place_scope("city"),
         "work_mode": labels.work_mode("_mode_text"),
@@ -91,8 +92,8 @@ def clean_jobs(
     })
     df = normalize_amounts(df, text="_about", search="_about_text")
     # The span needs only the date of the kept rows, so it is read from the raw columns.
-    span = drop_placeholders(raw).select(F.to_date(utc_timestamp(F.col("created"))).alias("posted_date"))
-    df = with_complete_week(df, "posted_date", span=span)
+    span = kept.select(F.to_date(utc_timestamp(F.col("created"))).alias("posted_date"))
+    df = canonicalize(with_complete_week(df, "posted_date", span=span), "company_name", counted=kept)
     return df.select(*fixed.CLEAN_COLUMNS, "tags")
 
 
