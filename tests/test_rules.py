@@ -1,12 +1,14 @@
 """Rule semantics on hand-made rows."""
 
+import re
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallywright.functions import calendar as cal
 from tallywright.functions import extract, fixed, labels, pay, text
-from tallywright.functions.patterns import found_sql, index_words, needed_texts, search_text
+from tallywright.functions.patterns import found_sql, index_words, needed_texts, search_text, words_sql
 
 
 def one(spark, values, column, kind="string"):
@@ -187,3 +189,22 @@ def test_complete_weeks(spark):
     df = spark.createDataFrame([(d,) for d in days], "s string").select(F.to_date("s").alias("d"))
     df = cal.with_complete_week(df.withColumn("week_start", cal.week_start(F.col("d"))), "d")
     assert [r["is_complete_week"] for r in df.orderBy("d").collect()] == [False, True, True, False, False]
+
+
+def test_words_are_split_at_one_plain_character(spark):
+    sql = words_sql("s")
+    assert re.findall(r"split\(.*, '(.*?)'\)", sql) == [" "]  # any other pattern is compiled for every row
+    texts = ["sql, python/r_2; (c++)", " a\tb ", "", "Größe–größe 11–12 naïve", "a.b"]
+    df = spark.createDataFrame([(i, x.lower()) for i, x in enumerate(texts)], "i int, s string")
+    got = [set(r[0]) - {""} for r in df.orderBy("i").selectExpr(sql).collect()]
+    assert got == [set(re.findall(r"\w+", x.lower())) for x in texts]
+
+
+def test_rules_run_before_names_are_joined(spark):
+    from tallywright.plans.clean import clean_jobs
+    from tallywright.sources.postings import POSTING_SCHEMA
+
+    plan = clean_jobs(spark.createDataFrame([], POSTING_SCHEMA)).select("company_name", "tags")
+    lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join LeftOuter" in x)
+    assert join < next(i for i, x in enumerate(lines) if "sort_array(" in x)
