@@ -14,33 +14,46 @@ from tallywright.functions.text import parse_bool
 
 def _amount_sql(text: str, search: str, needed: Sequence[str], pattern: str, factor: float) -> str:
     worth = " OR ".join(f"contains({search}, {quoted(w)})" for w in needed)
-    number = f"try_cast(replace(regexp_extract({text}, {quoted('(?iU)' + pattern)}, 1), ',', '') AS double)"
+    found = f"replace(regexp_extract({text}, {quoted('(?iU)' + pattern)}, 1), ',', '')"
+    # a cast that fails costs an exception, so "not found" is not cast; transform over one element names what is found
+    number = f"transform(array({found}), x -> CASE WHEN x <> '' THEN try_cast(x AS double) END)[0]"
     return f"CASE WHEN {worth} THEN {number} * {factor}D END"
 
 
-def with_evidence(df: DataFrame, text: str, search: str, condition: str = "true", patterns=fixed.PAY_PATTERNS) -> DataFrame:
-    """Add ``_unit``, ``_amount`` and ``_evidence`` of the first pattern that yields a number.
+def amounts_in_text(text: str, search: str, condition: Column, patterns=fixed.PAY_PATTERNS) -> dict[str, Column]:
+    """``_a0``, ``_a1``, ...: the amount that each pattern yields, or null.
 
     ``text`` names a ``clean_text`` column and ``search`` its ``search_text``. The amounts are
-    columns of their own, so every pattern is searched once; the text of the match is cut out
-    for the winning pattern only. Rows outside ``condition`` are not searched.
+    columns of their own, so every pattern is searched once. Rows outside ``condition`` are not searched.
+    """
+    return {
+        f"_a{i}": F.when(condition, F.expr(_amount_sql(text, search, needed, pattern, factor)))
+        for i, (_, factor, needed, pattern) in enumerate(patterns)
+    }
+
+
+def evidence(text: str, patterns=fixed.PAY_PATTERNS) -> dict[str, Column]:
+    """``_unit``, ``_amount`` and ``_evidence`` of the first pattern with an amount in ``amounts_in_text``.
+
+    The text of the match is cut out for the winning pattern only.
     """
     rows = list(enumerate(patterns))
-    df = df.withColumns({
-        f"_a{i}": F.expr(f"CASE WHEN {condition} THEN {_amount_sql(text, search, needed, pattern, factor)} END")
-        for i, (_, factor, needed, pattern) in rows
-    })
     unit = " ".join(f"WHEN _a{i} IS NOT NULL THEN {quoted(p[0])}" for i, p in rows)
     cut = " ".join(
         f"WHEN _a{i} IS NOT NULL THEN left(regexp_extract({text}, {quoted('(?iU)' + p[3])}, 0), {fixed.PAY_EVIDENCE_CHARS})"
         for i, p in rows
     )
-    amounts = [f"_a{i}" for i, _ in rows]
-    return df.withColumns({
+    return {
         "_unit": F.expr(f"CASE {unit} ELSE 'UNKNOWN' END"),
-        "_amount": F.coalesce(*amounts),
+        "_amount": F.coalesce(*[f"_a{i}" for i, _ in rows]),
         "_evidence": F.expr(f"CASE {cut} ELSE {quoted(fixed.PAY_NO_EVIDENCE)} END"),
-    }).drop(*amounts)
+    }
+
+
+def with_evidence(df: DataFrame, text: str, search: str, condition: Column, patterns=fixed.PAY_PATTERNS) -> DataFrame:
+    """Add ``_unit``, ``_amount`` and ``_evidence`` of the first pattern that yields a number."""
+    amounts = amounts_in_text(text, search, condition, patterns)
+    return df.withColumns(amounts).withColumns(evidence(text, patterns)).drop(*amounts)
 
 
 def within_tolerance(x: Column, target: Column, tol: float = fixed.PAY_TOLERANCE) -> Column:
@@ -68,9 +81,16 @@ def normalize_amounts(
     Built in steps so that each pattern search appears once in the plan. The text is
     searched only for rows whose source range is usable.
     """
-    has_any, usable = salary_flags(F.col(low), F.col(high), F.col(predicted))
-    df = df.withColumns({"has_salary_source": has_any, "_usable": usable})
-    df = with_evidence(df, text, search, "_usable").withColumn("_mid", (F.col(low) + F.col(high)) / 2)
+    df = df.withColumn("_usable", salary_flags(F.col(low), F.col(high), F.col(predicted))[1])
+    return normalize_found(with_evidence(df, text, search, F.col("_usable")), low, high)
+
+
+def normalize_found(df: DataFrame, low: str = "salary_min_source", high: str = "salary_max_source") -> DataFrame:
+    """Add the normalized pay columns to a frame with ``_usable`` and the columns of ``evidence``."""
+    df = df.withColumns({
+        "has_salary_source": F.col(low).isNotNull() | F.col(high).isNotNull(),
+        "_mid": (F.col(low) + F.col(high)) / 2,
+    })
     mid, unit, amount = F.col("_mid"), F.col("_unit"), F.col("_amount")
     monthly, annual = unit == "MONTHLY", unit == "ANNUAL"
     status = (

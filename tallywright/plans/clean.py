@@ -9,7 +9,7 @@ from tallywright.functions import fixed, labels
 from tallywright.functions.calendar import in_window, month_key, recent_flag, week_start, with_complete_week
 from tallywright.functions.extract import extract_range, extract_tags
 from tallywright.functions.patterns import map_sql, quoted, search_text
-from tallywright.functions.pay import normalize_amounts
+from tallywright.functions.pay import amounts_in_text, evidence, normalize_found, salary_flags
 from tallywright.functions.text import clean_text, is_placeholder, odd_bool, parse_bool, source_family, source_provider, to_number
 from tallywright.operators.names import canonicalize
 from tallywright.operators.quality import expect, expect_count, expect_unique, union_reports
@@ -51,36 +51,43 @@ def clean_jobs(
     kept = drop_placeholders(raw)
     # Texts are normalized once, as columns of their own, before the rules read them.
     df = kept.withColumns({
-        "created_at": utc_timestamp(F.col("created")),
-        "_source": clean_text(F.col("source")),
-        "_title": clean_text(F.col("title")),
+        "_role_text": search_text(F.col("title")),
         "_about": clean_text(F.col("description")),
         "_where": clean_text(F.col("location_name")),
-        "salary_min_source": to_number(F.col("salary_min")),
-        "salary_max_source": to_number(F.col("salary_max")),
     })
     df = df.withColumns({
-        "posted_date": F.to_date("created_at"),
-        "_role_text": search_text(F.col("_title"), cleaned=True),
         "_about_text": search_text(F.col("_about"), cleaned=True),
         "_place_text": search_text(F.col("_where"), cleaned=True),
     })
+    df = df.withColumn("_text", F.concat_ws(" ", "_role_text", "_about_text"))
+    # The long rules stand in the projections of the ranges and the tags. Those hold higher-order functions, so Spark
+    # makes their code in short methods; fused with the other steps it is one method of over 8,000 bytes, and those the
+    # JVM only interprets.
+    low, high = to_number(F.col("salary_min")), to_number(F.col("salary_max"))
+    usable = salary_flags(low, high, F.col("salary_is_predicted"))[1]
     df = df.withColumns({
+        "_range": extract_range("_text"),
         "city": labels.normalize_place("_place_text", "_where"),
         "role_family": labels.classify("_role_text", role_rules),
-        "_text": F.concat_ws(" ", "_role_text", "_about_text"),
-        "_mode_text": F.concat_ws(" ", "_role_text", "_about_text", "_place_text"),
+        "_mode_text": F.concat_ws(" ", "_text", "_place_text"),
+        "created_at": utc_timestamp(F.col("created")),
+        "_source": clean_text(F.col("source")),
+        "salary_min_source": low,
+        "salary_max_source": high,
+        "_usable": usable,
+        **amounts_in_text("_about", "_about_text", usable),
     })
-    df = df.withColumn("_range", extract_range("_text"))
     df = df.withColumns({
+        "tags": extract_tags("_text", tag_rules),
+        "posted_date": F.to_date("created_at"),
         "source_family": source_family(F.col("_source"), cleaned=True),
         "source_provider": source_provider(F.col("_source"), cleaned=True),
+        "work_mode": labels.work_mode("_mode_text"),
         "state": labels.normalize_region("city", "_place_text"),
         "location_scope": labels.place_scope("city"),
-        "work_mode": labels.work_mode("_mode_text"),
         "experience_min_years": F.col("_range.min"),
         "experience_max_years": F.col("_range.max"),
-        "tags": extract_tags("_text", tag_rules),
+        **evidence("_about"),
     })
     df = df.withColumns({
         "experience_band": labels.band("experience_min_years"),
@@ -90,7 +97,7 @@ def clean_jobs(
         "week_start": week_start(F.col("posted_date")),
         "is_recent_90d": recent_flag(F.col("posted_date"), end),
     })
-    df = normalize_amounts(df, text="_about", search="_about_text")
+    df = normalize_found(df)
     # The span needs only the date of the kept rows, so it is read from the raw columns.
     span = kept.select(F.to_date(utc_timestamp(F.col("created"))).alias("posted_date"))
     df = canonicalize(with_complete_week(df, "posted_date", span=span), "company_name", counted=kept)

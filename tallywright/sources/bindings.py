@@ -140,7 +140,7 @@ def _pick(texts: list[str], by: str) -> str:
     return f"element_at({array_sql(texts)}, cast(({by}) % {len(texts)} + 1 AS int))"
 
 
-_YEARS = "cast(c % 18 AS string)"
+_YEARS = "years"
 _EXPERIENCE = f"""CASE k % 8
     WHEN 0 THEN concat({_YEARS}, '-', cast(c % 18 + 3 AS string), ' years of experience')
     WHEN 1 THEN concat({_YEARS}, '+ years')
@@ -167,7 +167,7 @@ def raw_postings(spark: SparkSession, root: str, partitions: int | None = None)
     if partitions:
         df = df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus", "c_name", "n_name").repartition(partitions)
     named = df.withColumn("source", source_text()).selectExpr(
-        "*", "o_orderkey AS k", "o_custkey AS c", "floor(o_totalprice) AS price"
+        "*", "o_orderkey AS k", "o_custkey AS c", "floor(o_totalprice) AS price", "cast(o_custkey % 18 AS string) AS years"
     ).selectExpr("*", f"{_LOW} AS low")
     gap = quoted(".\n  ")
     return named.selectExpr(

@@ -208,3 +208,30 @@ def test_rules_run_before_names_are_joined(spark):
     lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
     join = next(i for i, x in enumerate(lines) if "Join LeftOuter" in x)
     assert join < next(i for i, x in enumerate(lines) if "sort_array(" in x)
+
+
+def test_clean_rules_have_short_methods(spark, capsys):
+    """The JVM interprets a method of over 8,000 bytes; the rules fused with the other steps made one of 16,000."""
+    from tallywright.plans.clean import clean_jobs
+    from tallywright.sources.postings import POSTING_SCHEMA
+
+    rows = [("1", "adzuna_in", "Data Analyst", "A", "Pune", "3-5 years, sql", "2026-02-01T00:00:00Z", "1", "2", "0", None, None, None)]
+    raw = spark.createDataFrame(rows, POSTING_SCHEMA)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the code is made stage by stage, when it runs
+    try:
+        clean_jobs(raw).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_amounts_not_found_are_null(spark):
+    """Texts without a number, or with commas only, have no amount; the first pattern that has one wins."""
+    texts = ["salary , per month", "nothing per month", "rs 25,000 per month", "salary 9 per month, 3 lpa", "3 lpa"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = pay.with_evidence(df, "t", "t", F.lit(True)).orderBy("i").select("_unit", "_amount").collect()
+    assert [tuple(r) for r in got] == [
+        ("UNKNOWN", None), ("UNKNOWN", None), ("MONTHLY", 25000.0), ("MONTHLY", 9.0), ("ANNUAL", 300000.0),
+    ]
