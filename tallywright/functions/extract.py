@@ -41,15 +41,16 @@ def extract_range(
     for pattern, has_high, needed in patterns:
         regex = quoted("(?U)" + first_seen(pattern))
         lows = f"regexp_extract_all({text}, {regex}, 1)"
-        if needed:
-            worth = " OR ".join(f"contains({text}, {quoted(w)})" for w in needed)
-            lows = f"CASE WHEN {worth} THEN {lows} ELSE array() END"
         highs = f"CASE WHEN size(x) > 0 THEN regexp_extract_all({text}, {regex}, 2) ELSE x END" if has_high else "x"
         # transform over one element names the lows, so that they are searched once
-        found.append(
+        pairs = (
             f"transform(array({lows}), x -> zip_with(x, {highs}, (a, b) -> "
             "named_struct('min', try_cast(a AS double), 'max', try_cast(b AS double))))[0]"
         )
+        if needed:  # else nothing of this is evaluated
+            worth = " OR ".join(f"contains({text}, {quoted(w)})" for w in needed)
+            pairs = f"CASE WHEN {worth} THEN {pairs} ELSE cast(array() AS array<struct<min: double, max: double>>) END"
+        found.append(pairs)
     valid = f"r -> r.min BETWEEN {lo} AND {hi} AND r.max BETWEEN {lo} AND {hi} AND r.max >= r.min"
     none = "named_struct('min', cast(NULL AS double), 'max', cast(NULL AS double))"
     return F.expr(f"coalesce(array_min(filter(concat({', '.join(found)}), {valid})), {none})")

@@ -122,7 +122,8 @@ def index_words(patterns: Iterable[str]) -> list[str]:
 def labels_by_word(text: str, word: str, rules: Rules) -> str:
     """The labels of the rules that ``word``, one of the ``index_words`` of ``text``, settles, as an array.
 
-    A pattern of one word is settled by it, and a longer phrase is searched only at its longest word.
+    A pattern of one word is settled by it, and a longer phrase is searched only at its longest word. Words that settle
+    all their labels are looked up in one constant map; a CASE over all words would test one after the other.
     """
     by_word: dict[str, dict[str, list[str]]] = {}
     for label, patterns in rules:
@@ -130,14 +131,24 @@ def labels_by_word(text: str, word: str, rules: Rules) -> str:
             own = phrase_words(pattern)
             if own:
                 by_word.setdefault(max(own, key=len), {}).setdefault(label, []).append(pattern)
-    cases = []
+    settled, cases = {}, {}
     for key, labels in by_word.items():
+        alone = [any(len(phrase_words(p)) == 1 for p in patterns) for patterns in labels.values()]
+        if all(alone):
+            settled[key] = array_sql(labels)
+            continue
         found = [
-            quoted(label) if any(len(phrase_words(p)) == 1 for p in patterns) else f"CASE WHEN {found_sql(text, patterns)} THEN {quoted(label)} END"
-            for label, patterns in labels.items()
+            quoted(label) if own else f"CASE WHEN {found_sql(text, patterns)} THEN {quoted(label)} END"
+            for own, (label, patterns) in zip(alone, labels.items(), strict=True)
         ]
-        cases.append(f"WHEN {quoted(key)} THEN array({', '.join(found)})")
-    return f"CASE {word} {' '.join(cases)} END"
+        cases[key] = f"WHEN {quoted(key)} THEN array({', '.join(found)})"
+    known = f"try_element_at(map({', '.join(f'{quoted(k)}, {v}' for k, v in settled.items())}), {word})"
+    if not cases:
+        return known
+    searched = f"CASE {word} {' '.join(cases.values())} END"
+    if not settled:
+        return searched
+    return f"CASE WHEN {word} IN ({', '.join(map(quoted, cases))}) THEN {searched} ELSE {known} END"
 
 
 def first_label(text: str, rules: Rules, default: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,9 +13,28 @@ from tallywright.functions.patterns import quoted
 from tallywright.functions.text import parse_bool
 
 
+def amount_part(pattern: str) -> str:
+    """``pattern`` without an optional beginning (words, then a bounded run) that decides only where its match begins.
+
+    The amount is the first in the text with or without that beginning, which would be tried at every character.
+    """
+    found = re.fullmatch(r"\(\?:[a-z|]+\)\?\[\^\.\\n\]\{0,\d+\}\?(\(\[\\d\].*)", pattern, re.S)
+    return found.group(1) if found else pattern
+
+
+def first_words(pattern: str) -> list[str]:
+    """The plain words of which one begins every match, else []. A word with an ``i`` is none: a capital İ equals it in a
+    pattern, but not in lower case."""
+    found = re.match(r"\(\?:([a-z]+(?:\|[a-z]+)*)\)(?![?*{])", pattern)
+    words = found.group(1).split("|") if found else []
+    return [] if any("i" in w for w in words) else words
+
+
 def _amount_sql(text: str, search: str, needed: Sequence[str], pattern: str, factor: float) -> str:
-    worth = " OR ".join(f"contains({search}, {quoted(w)})" for w in needed)
-    found = f"replace(regexp_extract({text}, {quoted('(?iU)' + pattern)}, 1), ',', '')"
+    worth = " AND ".join(
+        f"({' OR '.join(f'contains({search}, {quoted(w)})' for w in words)})" for words in (needed, first_words(pattern)) if words
+    )
+    found = f"replace(regexp_extract({text}, {quoted('(?iU)' + amount_part(pattern))}, 1), ',', '')"
     # a cast that fails costs an exception, so "not found" is not cast; transform over one element names what is found
     number = f"transform(array({found}), x -> CASE WHEN x <> '' THEN try_cast(x AS double) END)[0]"
     return f"CASE WHEN {worth} THEN {number} * {factor}D END"

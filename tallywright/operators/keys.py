@@ -20,9 +20,10 @@ def numbered(names: DataFrame, natural: Sequence[str], key: str, after: Column |
     """Distinct ``names`` with ``key``: ``after`` + 1, + 2, ... by part and then by name, without gaps.
 
     A name's number is the count of the parts before its own plus its place there, so it depends on the names only, and
-    no task sorts more than a part.
+    no task sorts more than a part. ``names`` may have their ``_part`` already, by which they then are best dealt, too.
     """
-    names = names.withColumn("_part", part_of(natural))
+    if "_part" not in names.columns:
+        names = names.withColumn("_part", part_of(natural))
     sizes = names.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))

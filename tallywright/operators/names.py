@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import fixed
@@ -29,10 +29,12 @@ def ascii_key(df: DataFrame, col: str, key: str = "name_key") -> DataFrame:
     Python sees only the names that have a non-ASCII character.
     """
     name = clean_text(F.col(col))
-    plain = name.rlike(r"^\p{ASCII}*$")
-    folded = df.withColumn("_folded", _fold_ascii()(F.when(~plain, name)))
-    text = F.lower(F.coalesce(F.col("_folded"), name))
-    return folded.withColumn(key, F.regexp_replace(text, "[^a-z0-9]+", "")).drop("_folded")
+    plain = F.octet_length(name) == F.length(name)
+    return _keyed(df.where(plain), key, name).unionByName(_keyed(df.where(~plain), key, _fold_ascii()(name)))
+
+
+def _keyed(df: DataFrame, key: str, text: Column) -> DataFrame:
+    return df.withColumn(key, F.regexp_replace(F.lower(text), "[^a-z0-9]+", ""))
 
 
 def display_names(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY) -> DataFrame:
@@ -45,6 +47,8 @@ def display_names(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY)
     name = F.when(clean_text(F.col(col)) == "", default).otherwise(clean_text(F.col(col)))
     # asked for their count, both sides of the join below are the same shuffle, and rows are read and counted once
     counts = df.select(name.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    # tied to the count, the name's conditions stay above the shuffle too
+    counts = counts.withColumn("name", F.when(F.col("n") > 0, F.col("name")))
     keyed = ascii_key(counts, "name")
     lowered = F.col("name").rlike(r"\p{L}") & ~F.col("name").rlike(r"[\p{L}&&[^\p{IsLowercase}]]")
     choice = F.struct(lowered.alias("lowered"), (-F.col("n")).alias("less"), F.col("name").alias("display"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywright.functions.calendar import calendar
-from tallywright.operators.keys import numbered, registered, unknown
+from tallywright.operators.keys import numbered, part_of, registered, unknown
 from tallywright.plans.star import FACT_COLUMNS, Star, _PLACE, fact_rows, key_lookup
 from tallywright.session import materialize
 from tallywright.sources.postings import within, write_table
@@ -84,13 +84,16 @@ def load_star(jobs: DataFrame, bridge: DataFrame, root: str, fixed_dates: bool =
     seen = known
     if fixed_dates:
         seen = known.where(F.col("year_month").isin([r["year_month"] for r in rows.select("year_month").distinct().collect()]))
-    order = Window.partitionBy("job_id").orderBy("date_key", "title", "company_name")
-    fresh = unknown(rows, seen, ["job_id"]).withColumn("_turn", F.row_number().over(order)).where("_turn = 1").drop("_turn")
+    # dealt by the parts of their numbers once, rows are chosen and numbered in one order; the keys of dimensions come after
+    fresh = unknown(rows, seen, ["job_id"]).withColumn("_part", part_of(["job_id"])).repartition("_part")
+    order = Window.partitionBy("_part", "job_id").orderBy("date_key", "title", "company_name")
+    fresh = fresh.withColumn("_turn", F.row_number().over(order)).where("_turn = 1").drop("_turn")
+    largest = known.agg(F.coalesce(F.max("job_key"), F.lit(0)).alias("largest"))
+    fresh = numbered(fresh, ["job_id"], "job_key", largest.scalar())
     for name in ("dim_role", "dim_company", "dim_location"):
         key, natural = KEYS[name]
         fresh = key_lookup(fresh, dims[name], natural, key)
-    largest = known.agg(F.coalesce(F.max("job_key"), F.lit(0)).alias("largest"))
-    fresh = numbered(fresh, ["job_id"], "job_key", largest.scalar()).select(*schema.names)
+    fresh = fresh.select(*schema.names)
     fact = _add(fresh, f"{root}/fact_jobs", ("year_month",))
 
     links = bridge.select("job_id", "skill").join(fact.select("job_id", "job_key"), "job_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallywright.operators import keys
@@ -58,3 +59,14 @@ def test_registered(spark):
     assert set(found) == {("b", "1"), (None, None)} and found["b", "1"][1] == "x" and sorted(k for k, _ in found.values()) == [3, 4]
     assert keys.registered(names.where("false"), known, ["p", "q"], "key").count() == 0
     assert [r["key"] for r in keys.numbered(names.select("note").where("note = 'w'"), ["note"], "key", 9).collect()] == [10]
+
+
+def test_rows_are_dealt_once_to_be_chosen_and_numbered(spark):
+    rows = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "job_id string, d int")
+    dealt = rows.withColumn("_part", keys.part_of(["job_id"])).repartition("_part")
+    turn = F.row_number().over(Window.partitionBy("_part", "job_id").orderBy("d"))
+    found = keys.numbered(dealt.withColumn("_turn", turn).where("_turn = 1"), ["job_id"], "key")
+    assert sorted((r["d"], r["key"]) for r in found.collect()) in ([(1, 1), (3, 2)], [(1, 2), (3, 1)])
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    main = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "REPARTITION" not in x]
+    assert len(main) <= 1  # the counts of parts are moved, the rows are not

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import calendar as cal
 from tallywright.functions import extract, fixed, labels, pay, text
-from tallywright.functions.patterns import found_sql, index_words, needed_texts, search_text, words_sql
+from tallywright.functions.patterns import found_sql, index_words, labels_by_word, needed_texts, search_text, words_sql
 
 
 def one(spark, values, column, kind="string"):
@@ -235,3 +235,42 @@ def test_amounts_not_found_are_null(spark):
     assert [tuple(r) for r in got] == [
         ("UNKNOWN", None), ("UNKNOWN", None), ("MONTHLY", 25000.0), ("MONTHLY", 9.0), ("ANNUAL", 300000.0),
     ]
+
+
+def test_words_that_settle_their_labels_are_looked_up(spark):
+    """A CASE over all words tests one after the other; only words of longer phrases still need one."""
+    rules = [("A", [r"\balpha\b"]), ("B", [r"\bbeta\b", r"\bold beta\b"]), ("C", [r"\bgamma ray\b"]), ("D", [r"\bgamma\b"])]
+    assert "CASE" not in labels_by_word("s", "w", rules[:2])
+    df = spark.createDataFrame([(w, f"old {w} rays") for w in ("alpha", "beta", "gamma", "none")], "w string, s string")
+    assert [r[0] for r in df.select(F.expr(labels_by_word("s", "w", rules))).collect()] == [["A"], ["B"], [None, "D"], None]
+
+
+def test_amounts_without_their_optional_beginning():
+    full = fixed.PAY_PATTERNS[2][3]
+    assert pay.amount_part(full) != full and all(pay.amount_part(p[3]) == p[3] for p in (*fixed.PAY_PATTERNS[:2], fixed.PAY_PATTERNS[3]))
+    texts = ["Salary. Then 12 LPA", "ctc 3.5 4 lakhs per annum, 9 lpa", "x" * 300 + "7lpa", "salary" * 30 + "8 lpa 9 lpa", "1.2.3 lpa", "lpa 5", "4 lpax 6 lpa"]
+    for t in texts:
+        one, other = (re.search(p, t, re.I) for p in (full, pay.amount_part(full)))
+        assert (one and one.group(1)) == (other and other.group(1)), t
+    assert pay.first_words(full) == [] and pay.first_words(fixed.PAY_PATTERNS[0][3]) == ["salary", "budget", "ctc"]
+
+
+def test_calendar_labels_need_no_formatter(spark):
+    days = ["2026-01-05", "2026-01-11", "0999-12-31", "1000-01-01", None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, s string").selectExpr("i", "to_date(s) AS d")
+    df = df.union(spark.sql("SELECT 5, date_add(DATE '9999-12-31', 1)")).orderBy("i")
+    got = df.select(cal.month_key(F.col("d")), F.date_format("d", "yyyy-MM"), cal.week_start(F.col("d")).cast("string"), F.date_trunc("week", "d").cast("date").cast("string")).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in got) and got[0][0] == "2026-01" and got[1][2] == "2026-01-05"
+    assert "date_trunc" not in df.select(cal.week_start(F.col("d")))._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_python_sees_only_names_to_fold(spark):
+    from tallywright.operators.names import display_names
+
+    names = [("Acme",), ("ACME",), ("Acmé",), ("Ácme",), ("Ácme",), (None,), (" ",)]
+    plan = display_names(spark.createDataFrame(names, "n string"), "n")
+    assert sorted(tuple(r) for r in plan.collect()) == [("ACME", "Ácme"), ("Acme", "Ácme"), ("Acmé", "Ácme")]
+    lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    udfs = [i for i, x in enumerate(lines) if "ArrowEvalPython" in x]
+    assert udfs and any("Union" in x for x in lines), plan._jdf.queryExecution().optimizedPlan().toString()
+    assert all(any("Filter" in x for x in lines[i + 1:i + 5]) for i in udfs)
