@@ -126,7 +126,8 @@ def links(prints: DataFrame, bits: int) -> DataFrame:
     # numbers of members: of each meeting, and of each of its distances
     sizes = met.groupBy("key", "near").agg(F.count(F.lit(1)).alias("n"))
     total = sizes.groupBy("key").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("near", "n"))).alias("by_near")).where("total > 1")
-    met = met.join(total, "key").withColumn("by_near", F.when(F.col("total") > MEETING, F.col("by_near")))
+    # Spark sizes both sides as if each fingerprint met once, and would broadcast what is many times as large
+    met = met.hint("merge").join(total, "key").withColumn("by_near", F.when(F.col("total") > MEETING, F.col("by_near")))
     parts = lambda near: F.ceil(F.coalesce(F.element_at("by_near", near), F.lit(0)) / F.lit(MEETING)).cast("int")
     own = F.struct(F.col("near").alias("near"), F.pmod(F.xxhash64("node"), parts(F.col("near"))).cast("int").alias("part"))
     near_parts = F.flatten(F.transform(

@@ -495,6 +495,14 @@ def test_groups_without_ids(spark):
     assert kept == {(5, rows[0][1].split()[9]): 1, (None, rows[4][1].split()[9]): 1, (None, rows[7][1].split()[9]): 1}
 
 
+def test_meetings_are_not_broadcast(spark):
+    """A fingerprint meets others in 35 places; Spark sizes them as one row and would send them all through the driver."""
+    found = simhash.links(spark.range(3_000).select(F.xxhash64("id").alias("node")), 4)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (70, 2)) if a != b] + [(k, k + 1) for k in range(200, 260)]
