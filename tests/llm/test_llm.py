@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from tallywright.llm import fingerprints, hashing, mixing, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_rules
+from tallywright.llm.common import stored
 from tools.check_queries import compare, duck
 
 CLASHES = ("key doc near node root a b n core low part rank length tokens share budget kept verdict w role at starts anchors print first label n_tokens "
@@ -503,6 +504,21 @@ def test_meetings_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_near_copies_broadcast_no_meetings(spark, monkeypatch):
+    """The stage of the pipeline, with fingerprints read from files, as they are sized there."""
+    plans = {}
+
+    def kept(df, name):
+        out = stored(df, name)
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(simhash, "stored", kept)
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.xxhash64("id", F.lit(k)) for k in range(9)]).alias("text"))
+    assert corpus_pipeline.drop_near_copies(spark, docs, "").count() == 300
+    assert "SortMergeJoin" in plans["links"][0] and "Broadcast" not in plans["links"][0]
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (70, 2)) if a != b] + [(k, k + 1) for k in range(200, 260)]
