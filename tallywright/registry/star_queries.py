@@ -13,11 +13,13 @@ from tallywright.session import materialize
 from tallywright.sources import bindings as b
 
 
-def star(spark, root, shared=False):
+def star(spark, root, shared=False, whole=False):
     """The star of the clean postings. ``shared``: the result reads many of its tables, so the clean
-    rows (without the long text) are written once; else each table reads its few columns directly."""
+    rows (without the long text, unless ``whole``) are written once; else each table reads its few columns directly."""
     jobs = cq.jobs(spark, root)
-    if shared:
+    if whole:
+        jobs = materialize(jobs)
+    elif shared:
         jobs = materialize(jobs.drop("description")).withColumn("description", F.lit(None).cast("string"))
     return build_star(jobs, clean.bridge_of(jobs))
 

@@ -56,9 +56,9 @@ def _results(spark, root):
 
 
 def _star(spark, root):
-    """All star tables."""
+    """All star tables, the fact with its long text."""
     path = _folder(spark)
-    postings.write_star(sq.star(spark, root, True), path)
+    postings.write_star(sq.star(spark, root, shared=True, whole=True), path)
     star = postings.read_star(spark, path)
     counts = [getattr(star, n).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("row_count")) for n in Star.names()]
     out = counts[0]

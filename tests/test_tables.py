@@ -7,7 +7,9 @@ from tallywright.functions import fixed
 from tallywright.functions.patterns import found_sql, search_text
 from tallywright.functions.text import is_placeholder, parse_bool, to_number
 from tallywright.plans import clean, demand, kpi, reports, star
+from tallywright.registry import written_queries
 from tallywright.session import build_session, materialize
+from tallywright.sources import bindings
 from tallywright.sources import postings as src
 
 HEADER = "job_id,source,title,company_name,location_name,description,created,salary_min,salary_max,salary_is_predicted"
@@ -176,3 +178,18 @@ def test_white_space_and_number_texts(spark):
 def test_rules_in_capitals(spark):
     df = spark.createDataFrame([("We use sql daily",), ("nothing",)], "t string").select(search_text(F.col("t")).alias("t"))
     assert [r[0] for r in df.select(F.expr(found_sql("t", [r"\bSQL\b"]))).collect()] == [True, False]
+
+
+def test_written_star_has_whole_texts(spark, tmp_path, monkeypatch):
+    """The stored fact holds the description of every posting."""
+    root = str(tmp_path)
+    orders = [(k, 1 + k % 2, 1000.0 * k, "2001-05-0%d" % k, "1-URGENT", "F") for k in (1, 2, 3, 4)]
+    columns = "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate string, o_orderpriority string, o_orderstatus string"
+    spark.createDataFrame(orders, columns).withColumn("o_orderdate", F.to_timestamp("o_orderdate")).write.parquet(f"{root}/orders.parquet")
+    spark.createDataFrame([(1, "Customer#1", 0), (2, "Customer#2", 0)], "c_custkey long, c_name string, c_nationkey long").write.parquet(f"{root}/customer.parquet")
+    spark.createDataFrame([(0, "NATION_0")], "n_nationkey long, n_name string").write.parquet(f"{root}/nation.parquet")
+    monkeypatch.setattr(written_queries, "_folder", lambda spark: f"{root}/star")
+    counts = {r["name"]: r["row_count"] for r in written_queries.QUERIES["written_star"](spark, root).collect()}
+    want = {r["job_id"]: r["description"] for r in bindings.raw_postings(spark, root).collect()}
+    assert len(want) == counts["fact_jobs"] == 4 and all(want.values())
+    assert {r["job_id"]: r["description"] for r in spark.read.parquet(f"{root}/star/fact_jobs").collect()} == want
