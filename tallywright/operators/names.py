@@ -53,7 +53,8 @@ def display_names(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY)
     lowered = F.col("name").rlike(r"\p{L}") & ~F.col("name").rlike(r"[\p{L}&&[^\p{IsLowercase}]]")
     choice = F.struct(lowered.alias("lowered"), (-F.col("n")).alias("less"), F.col("name").alias("display"))
     winners = keyed.groupBy("name_key").agg(F.min(choice).alias("best")).select("name_key", "best.display")
-    return keyed.join(winners, "name_key").where(F.col("name") != F.col("display")).select("name", "display")
+    found = keyed.join(winners, "name_key").where(F.col("name") != F.col("display"))
+    return found.groupBy("name").agg(F.min("display").alias("display"))  # one row each already; so a join that needs no display goes
 
 
 def canonicalize(df: DataFrame, col: str, default: str = fixed.UNKNOWN_COMPANY, counted: DataFrame | None = None) -> DataFrame:
